@@ -5,9 +5,11 @@ Words are maximal runs of anything but space and the control characters 9 to 13;
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,11 @@ WHITE_CLASS = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def runs_on_executors(module: str) -> None:
+    """Send the functions of a module with the tasks, so that executors need not have this package installed."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate tables: spark.checkpoint.dir, or a fresh local folder when Spark is local."""
     told = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from locusweave.llm import exact_dedup, source_mix
+from locusweave.llm import exact_dedup, minhash_dedup, source_mix, toxicity
 from locusweave.llm.common import read_table
 
 SQL_WORDS = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)"
@@ -21,6 +21,14 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.classes(read_table(spark, sf_dir, "documents"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.mix_table(read_table(spark, sf_dir, "documents")).drop("copies")
 
@@ -53,6 +61,8 @@ FROM sizes d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source
 
 QUERIES = {
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_minhash_dedup": op7_minhash_dedup,
+    "op8_toxicity": op8_toxicity,
     "op10_source_mix": op10_source_mix,
 }
 SQL = {

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from locusweave.llm import exact_dedup, minhash_dedup, source_mix, toxicity
+from locusweave.llm import exact_dedup, minhash_dedup, secret_scan, source_mix, toxicity
 from locusweave.llm.common import read_table
 
 SQL_WORDS = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)"
@@ -29,6 +30,37 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    repository = F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")))
+    return secret_scan.scan(read_table(spark, sf_dir, "documents"), F.col("source"), repository)
+
+
+def _matches(kind: str, rank: int, pattern: str) -> str:
+    p = pattern.replace("'", "''")
+    return f"""SELECT rid, '{kind}' AS kind, {rank} AS rank, unnest(v) AS val, unnest(s[1:len(v)]) AS gap, generate_subscripts(v, 1) AS i
+      FROM (SELECT rid, regexp_extract_all(t, '{p}') AS v, string_split_regex(t, '{p}') AS s FROM texts WHERE regexp_matches(t, '{p}'))"""
+
+
+_KINDS = [*((k, p) for k, p, _ in secret_scan.BASE), ("other", secret_scan.OTHER)]
+OP9_SQL = f"""
+WITH texts AS (SELECT row_number() OVER (ORDER BY doc_id) AS rid, doc_id, coalesce(text, '') AS t, coalesce(source, '') AS owner FROM documents),
+found AS ({" UNION ALL ".join(_matches(k, r, p) for r, (k, p) in enumerate(_KINDS))}),
+placed AS (SELECT rid, kind, rank, CASE WHEN rank = 0 THEN regexp_extract(val, '{secret_scan.ASSIGN.replace("'", "''")}', 2) ELSE val END AS secret,
+    CAST(sum(length(gap)) OVER w + sum(length(val)) OVER w - length(val) AS BIGINT) AS a, length(val) AS n FROM found
+    WINDOW w AS (PARTITION BY rid, kind ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+good AS (SELECT p.*, t.owner, kind || ':' || a || ':' || (a + n) AS span FROM placed p JOIN texts t USING (rid)
+    WHERE length(secret) >= CASE rank WHEN 0 THEN 6 WHEN 1 THEN 20 WHEN 2 THEN 24 ELSE 1 END),
+copied AS (SELECT secret FROM good GROUP BY secret HAVING count(DISTINCT owner) >= {secret_scan.EXAMPLE_OWNERS}),
+judged AS (SELECT g.*, g.secret IN (SELECT secret FROM copied) AS example FROM good g),
+per AS (SELECT rid, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access, count(*) FILTER (rank = 2) AS n_hex,
+    string_agg(span, ',' ORDER BY a, rank) FILTER (rank < 3) AS base, string_agg(span, ',' ORDER BY a, rank) FILTER (rank < 3 OR NOT example) AS spans,
+    count(*) FILTER (NOT example) AS n_live, count(*) FILTER (example) AS n_example FROM judged GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+FROM texts LEFT JOIN per USING (rid)
+"""
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.mix_table(read_table(spark, sf_dir, "documents")).drop("copies")
 
@@ -63,9 +95,11 @@ QUERIES = {
     "op5_exact_dedup": op5_exact_dedup,
     "op7_minhash_dedup": op7_minhash_dedup,
     "op8_toxicity": op8_toxicity,
+    "op9_secret_scan": op9_secret_scan,
     "op10_source_mix": op10_source_mix,
 }
 SQL = {
     "op5_exact_dedup": OP5_SQL,
+    "op9_secret_scan": OP9_SQL,
     "op10_source_mix": OP10_SQL,
 }

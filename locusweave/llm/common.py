@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import sys
 import tempfile
+import types
 import uuid
 
 from pyspark import cloudpickle
@@ -23,6 +24,14 @@ def runs_on_executors(module: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module])
 
 
+def kept_by_worker(kind: str, key, make):
+    """make(), remembered by this Python process for later tasks with the same key; one value of each kind."""
+    held = sys.modules.setdefault("_locusweave_kept", types.ModuleType("_locusweave_kept")).__dict__
+    if kind not in held or held[kind][0] != key:
+        held[kind] = (key, make())
+    return held[kind][1]
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate tables: spark.checkpoint.dir, or a fresh local folder when Spark is local."""
     told = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

@@ -5,12 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusweave.llm import exact_dedup, minhash_dedup, secret_scan, source_mix, toxicity
+from locusweave.llm import exact_dedup, minhash_dedup, secret_scan, sentencepiece_codec, source_mix, toxicity
 from locusweave.llm.common import read_table
 
 SQL_WORDS = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)"
 
 
+def tokenizer_path(name: str = "piece_bpe_32k.model") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.digests(read_table(spark, sf_dir, "documents"), sentencepiece_codec.model_bytes(tokenizer_path()))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.classes(read_table(spark, sf_dir, "documents")).drop("text_id")
 
@@ -92,6 +102,7 @@ FROM sizes d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source
 """
 
 QUERIES = {
+    "op3_sentencepiece": op3_sentencepiece,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_minhash_dedup": op7_minhash_dedup,
     "op8_toxicity": op8_toxicity,

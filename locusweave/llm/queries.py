@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusweave.llm import exact_dedup, minhash_dedup, secret_scan, sentencepiece_codec, source_mix, toxicity
+from locusweave.llm import exact_dedup, lm_score, minhash_dedup, secret_scan, sentencepiece_codec, source_mix, toxicity
 from locusweave.llm.common import read_table
 
 SQL_WORDS = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)"
@@ -32,6 +32,10 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(read_table(spark, sf_dir, "documents"))
+
+
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.classes(read_table(spark, sf_dir, "documents"))
 
@@ -104,6 +108,7 @@ FROM sizes d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source
 QUERIES = {
     "op3_sentencepiece": op3_sentencepiece,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_lm_score": op6_lm_score,
     "op7_minhash_dedup": op7_minhash_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_secret_scan": op9_secret_scan,

@@ -5,10 +5,13 @@ the first scatters the shingles, the second, shifted circularly by k places, giv
 the set. Bands of coordinates are hashed into buckets; documents that share a bucket are candidates, and a link needs
 the Jaccard similarity of the two full sets.
 
-Documents with equal sets are one node. Pairs of a bucket are not all made: each round compares one or more hubs of
-a bucket with the members that are not yet in their component, and takes the hubs out, until the members left are in
-one component. So each candidate pair is either compared or already connected, whatever the size of the bucket. With
-32 bands of 4, a pair of similarity 0.8 shares no bucket with a chance of 5e-8.
+Documents with equal sets are one node. Pairs of a bucket are not all made. First each small bucket's least node is
+compared with its other members. Then nodes that can have no link are taken out exactly: those with so many shingles
+that no other node in question has that no partner can be similar. In each bucket that still spans several
+components, the most central node is compared with the others; whoever is then outside the largest component of its
+family is compared with all of the family. So each pair that shares a bucket is compared, excluded or connected. With
+32 bands of 4, a pair of similarity 0.8 shares no bucket with a chance of 5e-8. Nodes are 64 bits of a digest of the
+sorted set, so two different sets are taken for one with a chance of 5e-20.
 
 Defined cases: null, empty and blank texts have empty sets and are linked with nothing, not even one another; a text
 with fewer words than a shingle is one shingle; component_id is the least doc_id of the component, null ids last;
@@ -23,6 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from locusweave.llm.common import runs_on_executors, saved
@@ -33,6 +37,12 @@ runs_on_executors(__name__)
 SHINGLE_WORDS = 4
 PERCENT = 80
 BANDS, ROWS = 32, 4
+#: Buckets of up to so many nodes are compared first.
+SMALL = 3
+#: Times that nodes without possible links are taken out.
+PEELS = 2
+#: Stragglers in one row.
+PACK = 16
 SLICE = 1 << 16
 ROWS_AT_ONCE = 256
 
@@ -121,67 +131,146 @@ def _full_sets(words: int):
     return full
 
 
-def _linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Those pairs (hub, node) whose full sets have at least `percent` percent in common."""
-    ids = pairs.select("node").union(pairs.select(F.col("hub").alias("node"))).distinct()
+def _sets_of(ids: DataFrame, nodes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """ids(node) -> node, n, shingles: full sets, made again from the texts."""
     wanted = nodes.join(ids, "node").select(F.col("first_id").alias("_id")).distinct()
     rows = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    sets = rows.mapInArrow(_full_sets(words), "node long, shingles array<long>")
-    hubs = sets.withColumnRenamed("node", "hub").withColumnRenamed("shingles", "others")
-    hubs = hubs.join(pairs.select("hub").distinct(), "hub", "left_semi")
-    both = pairs.join(sets, "node").join(hubs, "hub")
-    shared = F.size(F.array_intersect("shingles", "others")).cast("long")
-    union = F.size("shingles") + F.size("others") - shared
-    return both.where(shared * 100 >= union * percent).select("hub", "node").distinct()
+    sets = rows.mapInArrow(_full_sets(words), "node long, shingles array<long>").join(ids, "node", "left_semi")
+    return sets.dropDuplicates(["node"]).select("node", F.size("shingles").cast("long").alias("n"), "shingles")
+
+
+def _similar(shared, n, m, percent: int):
+    return shared * 100 >= (n + m - shared) * percent
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those pairs (a, b) whose full sets are similar."""
+    one = sets.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("s_a"))
+    two = sets.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("s_b"))
+    both = pairs.join(two, "b").join(one.join(pairs.select("a").distinct(), "a", "left_semi"), "a")
+    shared = F.size(F.array_intersect("s_a", "s_b")).cast("long")
+    return both.where(_similar(shared, F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
+
+
+def _open(cells: DataFrame, stars: DataFrame | None) -> DataFrame:
+    """cells with the component of each node, without buckets whose members are all in one."""
+    cells = cells.drop("comp", "size")
+    if stars is None:
+        cells = cells.withColumn("comp", F.col("node"))
+    else:
+        of = stars.select(F.col("a").alias("node"), F.col("b").alias("comp"))
+        cells = cells.join(of, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    groups = cells.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    return saved(cells.join(groups.where("lo < hi").select("bucket", "size"), "bucket"), "near-cells")
+
+
+def _compare_hubs(cells: DataFrame, hubs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between each bucket's hub and its members of other components. hubs(bucket, hub)."""
+    of = cells.select("bucket", F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("comp").alias("hub_comp"))
+    hubs = hubs.join(of, ["bucket", "hub"])
+    near = _similar(F.least("n", "hub_n"), F.col("n"), F.col("hub_n"), percent)
+    pairs = cells.join(hubs, "bucket").where((F.col("comp") != F.col("hub_comp")) & near)
+    pairs = pairs.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    return _linked(saved(pairs, "near-pairs"), sets, percent)
+
+
+def _without(cells: DataFrame, hubs: DataFrame) -> DataFrame:
+    return cells.join(hubs.withColumnRenamed("hub", "node"), ["bucket", "node"], "left_anti")
+
+
+def _peel(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """cells with `alone`, without nodes that can have no link.
+
+    alone counts the shingles that no other node in question has. What a node shares with a partner is at most the
+    rest of its set, and the partner is no smaller than the least set of its buckets.
+    """
+    live = cells.select("node").distinct()
+    seen = sets.join(live, "node", "left_semi").select("node", F.explode("shingles").alias("shingle"))
+    once = seen.groupBy("shingle").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("node")).where("c = 1")
+    alone = once.groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
+    least = cells.groupBy("bucket").agg(F.min("n").alias("least"))
+    able = cells.join(least, "bucket").groupBy("node").agg(F.max("n").alias("n"), F.min("least").alias("least"))
+    able = able.join(alone, "node", "left").withColumn("alone", F.coalesce("alone", F.lit(0)))
+    rest = F.col("n") - F.col("alone")
+    able = able.where(_similar(rest, F.col("n"), F.greatest("least", rest), percent)).select("node", "alone")
+    return cells.drop("alone").join(able, "node")
+
+
+def _compare_stragglers(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All links of open buckets: whoever is outside the largest component of a family against all of the family.
+
+    A family is a set of nodes that buckets connect. Its stragglers are packed into rows of a few, which its members
+    meet by a join on the family, so pairs are compared inside a row and only links become rows.
+    """
+    least = cells.groupBy("bucket").agg(F.min("node").alias("b"))
+    families = components(cells.join(least, "bucket").select(F.col("node").alias("a"), "b"))
+    members = cells.groupBy("node").agg(F.first("comp").alias("comp"), F.first("n").alias("n"))
+    members = members.join(families.select(F.col("a").alias("node"), F.col("b").alias("family")), "node", "left")
+    members = saved(members.withColumn("family", F.coalesce("family", "node")), "near-members")
+    sizes = members.groupBy("family", "comp").agg(F.count(F.lit(1)).alias("c"))
+    main = sizes.groupBy("family").agg(F.max(F.struct("c", "comp")).alias("m")).select("family", F.col("m.comp").alias("main"))
+    few = members.join(main, "family").where("comp <> main")
+    few = few.withColumn("pack", F.floor((F.row_number().over(W.partitionBy("family").orderBy("node")) - 1) / PACK))
+    few = few.join(sets.select("node", "shingles"), "node")
+    packs = few.groupBy("family", "pack").agg(F.collect_list(F.struct("node", "comp", "n", "shingles")).alias("others"))
+    met = members.join(sets.select("node", "shingles"), "node").join(packs, "family")
+
+    def shared(x):
+        able = (x["comp"] != F.col("comp")) & _similar(F.least(x["n"], F.col("n")), x["n"], F.col("n"), percent)
+        return F.when(able, F.size(F.array_intersect("shingles", x["shingles"])).cast("long")).otherwise(F.lit(-1))
+
+    links = F.filter("others", lambda x: _similar(shared(x), x["n"], F.col("n"), percent))
+    return met.select("node", F.explode(F.transform(links, lambda x: x["node"])).alias("b")).select(F.col("node").alias("a"), "b")
+
+
+def _links_of(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+    """Stars (a, b) of the components of all similar pairs that share a bucket."""
+    stars = None
+
+    def add(found: DataFrame):
+        return components(found if stars is None else found.unionByName(stars))
+
+    cells = _open(cells, None)
+    hubs = cells.where(F.col("size") <= SMALL).groupBy("bucket").agg(F.min("node").alias("hub"))
+    stars = add(_compare_hubs(cells, hubs, sets, percent))
+    cells = _open(_without(cells, hubs), stars)
+    for _ in range(PEELS):
+        cells = _open(_peel(cells, sets, percent), stars)
+    if cells.isEmpty():
+        return stars
+    central = F.min(F.struct((F.col("alone") / F.col("n")).alias("o"), F.col("node").alias("hub")))
+    hubs = saved(cells.groupBy("bucket").agg(central.alias("h")).select("bucket", "h.hub"), "near-hubs")
+    stars = add(_compare_hubs(cells, hubs, sets, percent))
+    cells = _open(_without(cells, hubs), stars)
+    return stars if cells.isEmpty() else add(_compare_stragglers(cells, sets, percent))
 
 
 def classes(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """docs(doc_id, text) -> doc_id, n_shingles, component_id, kept; a row per document."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    sketches = saved(
-        docs.select("doc_id", "text").mapInArrow(
-            _sketches(words, bands, rows), f"doc_id {id_type}, n_shingles long, node long, buckets array<long>"
-        ),
-        "near-sketches",
-    )
+    kinds = f"doc_id {id_type}, n_shingles long, node long, buckets array<long>"
+    sketches = saved(docs.select("doc_id", "text").mapInArrow(_sketches(words, bands, rows), kinds), "near-sketches")
     full = sketches.where("n_shingles > 0")
-    nodes = saved(full.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.max("n_shingles").alias("n")), "near-nodes")
-    one = F.min(F.struct("doc_id", "buckets"))  # equal sets have equal buckets
-    cells = full.groupBy("node", "n_shingles").agg(one.alias("one")).select("node", F.col("n_shingles").alias("n"), F.explode("one.buckets").alias("bucket"))
-    cells = cells.withColumn("comp", F.col("node"))
-    groups = cells.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("hub"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("print"))
+    # Equal sets have equal buckets.
+    nodes = full.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.max("n_shingles").alias("n"), F.first("buckets").alias("buckets"))
+    nodes = saved(nodes, "near-nodes")
+    cells = nodes.select("node", "n", F.explode("buckets").alias("bucket"))
+    members = F.sum(F.xxhash64("node").cast("decimal(38,0)"))
+    groups = cells.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("first"), members.alias("print"))
     # Of buckets with the same members one is enough.
-    groups = groups.where("size > 1").groupBy("size", "hub", "print").agg(F.min("bucket").alias("bucket"))
-    cells = saved(cells.join(groups.select("bucket", "size"), "bucket"), "near-cells")
-    stars, hubs_each = None, 1
-    while not cells.isEmpty():
-        drawn = F.pmod(F.xxhash64("node", F.lit(hubs_each)), F.col("size")) < hubs_each - 1
-        least = cells.groupBy("bucket").agg(F.min("node").alias("hub"))
-        chosen = least.unionByName(cells.where(drawn).select("bucket", F.col("node").alias("hub"))).distinct() if hubs_each > 1 else least
-        hubs = chosen.join(nodes.select(F.col("node").alias("hub"), F.col("n").alias("hub_n")), "hub")
-        if stars is None:
-            hubs = hubs.withColumn("hub_comp", F.col("hub"))
-        else:
-            hubs = hubs.join(stars.select(F.col("a").alias("hub"), F.col("b").alias("hub_comp")), "hub", "left")
-            hubs = hubs.withColumn("hub_comp", F.coalesce("hub_comp", "hub"))
-        near = F.least("n", "hub_n") * 100 >= F.greatest("n", "hub_n") * percent
-        pairs = cells.join(hubs, "bucket").where((F.col("comp") != F.col("hub_comp")) & near).select("hub", "node").distinct()
-        found = _linked(saved(pairs, "near-pairs"), nodes, docs, words, percent).select(F.col("hub").alias("a"), F.col("node").alias("b"))
-        stars = components(found if stars is None else found.unionByName(stars))
-        left = cells.join(chosen, (cells["bucket"] == chosen["bucket"]) & (cells["node"] == chosen["hub"]), "left_anti")
-        left = left.drop("comp", "size").join(stars.withColumnRenamed("a", "node").withColumnRenamed("b", "comp"), "node", "left")
-        left = left.withColumn("comp", F.coalesce("comp", "node"))
-        open_ = left.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-        cells = saved(left.join(open_.where("lo < hi").select("bucket", "size"), "bucket").select("bucket", "node", "n", "comp", "size"), "near-cells")
-        hubs_each *= 2
+    groups = groups.where("size > 1").groupBy("size", "first", "print").agg(F.min("bucket").alias("bucket"))
+    cells = saved(cells.join(groups.select("bucket"), "bucket"), "near-cells")
+    stars = None
+    if not cells.isEmpty():
+        sets = saved(_sets_of(cells.select("node").distinct(), nodes, docs, words), "near-sets")
+        stars = _links_of(cells, sets, percent)
+    of = nodes.select("node", "first_id")
     if stars is None:
-        labels = nodes.select("node", F.col("first_id").alias("component_id"))
+        labels = of.withColumnRenamed("first_id", "component_id")
     else:
-        of = nodes.join(stars.withColumnRenamed("a", "node").withColumnRenamed("b", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        least = of.groupBy("comp").agg(F.min("first_id").alias("component_id"))
-        labels = of.join(least, "comp").select("node", "component_id")
-    labels = saved(labels, "near-labels")
-    out = sketches.select("doc_id", "n_shingles", "node").join(labels, "node", "left")
+        of = of.join(stars.select(F.col("a").alias("node"), F.col("b").alias("comp")), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        labels = of.join(of.groupBy("comp").agg(F.min("first_id").alias("component_id")), "comp").select("node", "component_id")
+    out = sketches.select("doc_id", "n_shingles", "node").join(saved(labels, "near-labels"), "node", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 

@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusweave.llm import exact_dedup, lm_score, minhash_dedup, ogg_media, secret_scan, sentencepiece_codec, source_mix, toxicity
+from locusweave.llm import exact_dedup, html_extract, lm_score, minhash_dedup, ogg_media, secret_scan, sentencepiece_codec, source_mix, toxicity
 from locusweave.llm.common import read_table
 
 SQL_WORDS = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)"
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op2_ogg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ogg_media.digests(read_table(spark, sf_dir, "documents"))
 
@@ -110,6 +114,7 @@ FROM sizes d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source
 """
 
 QUERIES = {
+    "op1_html_extract": op1_html_extract,
     "op2_ogg_media": op2_ogg_media,
     "op3_sentencepiece": op3_sentencepiece,
     "op5_exact_dedup": op5_exact_dedup,

@@ -175,6 +175,11 @@ LABELLED = (
     '<p>Skip</p><p><a href=1>Home</a></p><article><h2>+Tin</h2><p>+Tin</p><p>+melts</p></article><p>Terms</p><p>Privacy</p>',
     '<div><a href=1>Ten ways to make your garden ready for the winter months</a></div><div><a href=2>Why the price of bread went up again in the spring</a></div><div>+The garden needs less work in autumn than most people think, and what it needs is soon done.</div><div><a href=3>What to do when a tree has fallen over the road</a></div>',
     '<p><a href=1>Read the report of the council about the new bridge and its cost</a></p><p>+The bridge will be longer than the old one, and it will have a path for those who walk.</p><p>+It opens in May.</p>',
+    '<footer>This site is run by a small group of friends who like old maps, and all texts in it may be copied for any use that earns no money, if the source is named.</footer>',
+    '<div class="cookie-banner">We and our partners store small files on your device so that this page works, and so that we can count who reads it and show what may be of use to you.</div><div id="main"><p>+Maps lie.</p><p>+They have to, since the world is round and paper is flat, and something must give when one is laid on the other.</p></div><div class="newsletter">Once a week we send a letter with the newest maps, the best of the old ones and a riddle, and you can stop it at any time with one click.</div>',
+    '<aside class="sidebar"><h3>About the author</h3><p>The author has drawn maps for thirty years and has lost his way in most of the towns of the country, which he says is the best way to learn how they are laid out.</p></aside><p>+A legend explains the signs of a map, and it should be read before anything else is believed about it.</p><div class="comments"><p>My father had a map with a legend as long as my arm, and I learned to read from it one winter when the snow lay so high that nobody could go out.</p></div><footer><p>Printed with care in the town where it was written, by people who are paid fairly for what they do and who own the press that they print it with.</p></footer>',
+    '<div class="advertisement">Our folding maps of strong paper fit in each pocket, survive rain and coffee, and cost less than two cups of it, so order today and walk away with a free pencil.</div><p>+Scale is the other thing to look at first, because without it a brook and a river are the same blue line on the page.</p>',
+    '<article><h1>+<a href=/p/1>Where the old road ends</a></h1><p>+It ends at the sea.</p><p>+<a href=2>A long walk</a></p></article><article><h1>+<a href=/p/2>What the tide brings</a></h1><p>+Mostly wood and shells.</p></article>',
     '<div>Menu</div><article><p>+<a href=1>Linked</a></p><p>+It is said that the tower leans because the ground under it is soft on one side only.</p></article><div>Top</div>',
 )
 

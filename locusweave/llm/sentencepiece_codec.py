@@ -4,8 +4,9 @@ Encoding keeps an agenda of adjacent symbol pairs whose concatenation is a piece
 then by place: the best pair is merged, its new neighbours enter the agenda, and stale entries are skipped. Symbols
 that are no piece at the end become byte pieces. No piece has the space mark after another character (checked when a
 vocabulary is loaded), so merges never cross the start of a run of marks and each such part is encoded alone and
-remembered; the same holds for line feeds. Each Arrow batch is checked against the sentencepiece library: the ids of
-every text must be those of the library, or the task fails. Decoding is the library's decode(ids).
+remembered; the same holds for line feeds. Each Arrow batch is checked against the sentencepiece library, or the task
+fails: every part that was not remembered is encoded by the library too, and so is one whole text, to check that the
+ids of a text are those of its parts. Decoding is the library's decode(ids).
 
 Defined cases: null counts as empty; an empty text has no ids and decodes to an empty text; decoding gives what the
 library gives (a text's own space marks become spaces). Rows are independent, so repeated ids, extra columns and
@@ -15,10 +16,13 @@ empty tables need no care; a text is encoded whole, whatever its length.
 from __future__ import annotations
 
 import hashlib
-import heapq
 import re
+from collections import Counter
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,8 +31,13 @@ from locusweave.llm.common import kept_by_worker, runs_on_executors
 
 runs_on_executors(__name__)
 MARK = "▁"
-#: Parts that a worker remembers, in each of two generations.
-REMEMBERED = 250_000
+#: Bits for a symbol and for a place in a part.
+SHIFT, PLACES = 22, 32
+#: Parts of up to so many characters are merged many at a time.
+SHORT = 24
+NOTHING = np.iinfo(np.int64).max
+#: Parts that a worker remembers.
+REMEMBERED = 400_000
 ROWS_AT_ONCE = 256
 
 
@@ -41,69 +50,162 @@ class Encoder:
         self.library = sentencepiece.SentencePieceProcessor(model_proto=model)
         n = self.library.get_piece_size()
         kinds = [self.library.is_control(i) or self.library.is_unknown(i) or self.library.is_byte(i) for i in range(n)]
-        self.pieces = {self.library.id_to_piece(i): (-self.library.get_score(i), i) for i in range(n) if not kinds[i]}
+        self.size, self.pieces = n, {self.library.id_to_piece(i): i for i in range(n) if not kinds[i]}
+        ranks = {s: k for k, s in enumerate(sorted({-self.library.get_score(i) for i in self.pieces.values()}))}
+        self.characters = {p: i for p, i in self.pieces.items() if len(p) == 1}
+        for c in sorted({c for p in self.pieces for c in p} - self.characters.keys()):
+            self.characters[c] = n + len(self.characters)
+        symbols = self.pieces | self.characters
+        self.merges = {
+            symbols[p[:k]] << SHIFT | symbols[p[k:]]: ranks[-self.library.get_score(i)] << SHIFT | i
+            for p, i in self.pieces.items()
+            for k in range(1, len(p))
+            if p[:k] in symbols and p[k:] in symbols
+        }
         self.bytes = [self.library.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         if any(MARK in p.lstrip(MARK) for p in self.pieces):
             raise ValueError("a piece has a space mark inside; texts of this vocabulary cannot be cut at marks")
         feeds = "" if any("\n" in p for p in self.pieces) else "\n"
         self.parts = re.compile(f"{MARK}+[^{MARK}{feeds}]*|[^{MARK}{feeds}]+" + ("|\n+" if feeds else ""))
-        self.remembered, self.new, self.old = remembered, {}, {}
+        self.remembered, self.known = remembered, {}
+        self.unchecked: list[str] = []
+        order = sorted(self.merges)
+        self.pair_keys = np.array(order, np.int64)
+        self.pair_made = np.array([self.merges[k] for k in order], np.int64)
+        self.by_code = np.full(0x110000, -1, np.int64)
+        for c, i in self.characters.items():
+            self.by_code[ord(c)] = i
+        scores = Counter(self.library.get_score(i) for p, i in self.pieces.items() if len(p) > 1)
+        self.tied = [p for p, i in self.pieces.items() if len(p) > 1 and scores[self.library.get_score(i)] > 1]
+        self.tied = [t for t in self.tied if not any(o != t and o in t for o in self.tied)]
+        if len(self.tied) > 20:
+            self.tied = [""]
 
     def part(self, text: str) -> tuple[int, ...]:
-        """Merge one part with the agenda."""
-        pieces = self.pieces
-        if (whole := pieces.get(text)) and len(text) == 1:
-            return (whole[1],)
-        symbols: list[str | None] = list(text)
-        n = len(symbols)
-        left, right = list(range(-1, n - 1)), [*range(1, n), -1]
+        """Merge one part with the agenda.
+
+        Symbols are numbers: a piece's id, a number behind the ids for a character that only larger pieces have, -1 for
+        any other character, -2 for a symbol merged into its left neighbour. An agenda entry is (rank, place).
+        """
+        merges, n = self.merges, len(text)
+        symbols = [self.characters.get(c, -1) for c in text]
+        symbols.append(-1)
+        left, right = list(range(-1, n)), list(range(1, n + 1))
         agenda = []
         for i in range(n - 1):
-            pair = symbols[i] + symbols[i + 1]
-            if pair in pieces:
-                agenda.append((pieces[pair][0], i, pair))
-        heapq.heapify(agenda)
+            if (made := merges.get(symbols[i] << SHIFT | symbols[i + 1])) is not None:
+                agenda.append((made >> SHIFT) << PLACES | i)
+        heapify(agenda)
         while agenda:
-            _, i, pair = heapq.heappop(agenda)
-            first = symbols[i]
+            entry = heappop(agenda)
+            i = entry & (1 << PLACES) - 1
             j = right[i]
-            if first is None or j < 0 or len(first) >= len(pair) or first + symbols[j] != pair:
-                continue
-            symbols[i], symbols[j] = pair, None
+            made = merges.get(symbols[i] << SHIFT | symbols[j])
+            if made is None or made >> SHIFT != entry >> PLACES:
+                continue  # one of the two was merged with another meanwhile
+            symbols[i], symbols[j] = made & (1 << SHIFT) - 1, -2
             k = right[i] = right[j]
-            if k >= 0:
-                left[k] = i
-                if (near := pieces.get(pair + symbols[k])) is not None:
-                    heapq.heappush(agenda, (near[0], i, pair + symbols[k]))
-            if (k := left[i]) >= 0 and (near := pieces.get(symbols[k] + pair)) is not None:
-                heapq.heappush(agenda, (near[0], k, symbols[k] + pair))
-        out = []
-        for s in symbols:
-            if s is not None:
-                if (found := pieces.get(s)) is not None:
-                    out.append(found[1])
-                else:
-                    out += [self.bytes[b] for b in s.encode()]
+            left[k] = i
+            if (made := merges.get(symbols[i] << SHIFT | symbols[k])) is not None:
+                heappush(agenda, (made >> SHIFT) << PLACES | i)
+            k = left[i]
+            if k >= 0 and (made := merges.get(symbols[k] << SHIFT | symbols[i])) is not None:
+                heappush(agenda, (made >> SHIFT) << PLACES | k)
+        symbols.pop()
+        if -1 not in symbols and max(symbols) < self.size:
+            return tuple([s for s in symbols if s >= 0])
+        out: list[int] = []
+        for c, s in zip(text, symbols):
+            if 0 <= s < self.size:
+                out.append(s)
+            elif s != -2:
+                out += [self.bytes[b] for b in c.encode()]
         return tuple(out)
 
+    def short_parts(self, parts: list[str]) -> list[tuple[int, ...] | None]:
+        """Merge many short parts together; None for a part that needs bytes or has pieces of equal score.
+
+        Each part is a row of symbols beside its agenda, the row of (rank, piece) of its adjacent pairs. Each round takes
+        the least entry of every row, the first of equal ones, merges it and renews the entries of its neighbours.
+        """
+        chars = np.frombuffer("".join(parts).encode("utf-32-le"), np.uint32)
+        lengths = np.array([len(p) for p in parts])
+        found = self.by_code[chars]
+        width = int(lengths.max())
+        symbols = np.full((len(parts), width + 1), -1, np.int64)
+        symbols[:, :width][np.arange(width) < lengths[:, None]] = found
+        plain = (symbols < self.size).all(1) & ((symbols[:, :width] >= 0).sum(1) == lengths)
+        agenda = self._made(symbols[:, :-1] << SHIFT | symbols[:, 1:])
+        out: list[tuple[int, ...] | None] = [None] * len(parts)
+        rows, cols = np.flatnonzero(plain), np.arange(width + 1)
+        symbols, agenda = symbols[rows], agenda[rows]
+        while len(rows):
+            at = agenda.argmin(1)
+            here = np.arange(len(rows))
+            best = agenda[here, at]
+            done = best == NOTHING
+            if done.any():
+                for r, line in zip(rows[done].tolist(), symbols[done].tolist()):
+                    out[r] = tuple(line[: line.index(-1)])
+                rows, symbols, agenda, at, best = (x[~done] for x in (rows, symbols, agenda, at, best))
+                here = here[: len(rows)]
+            if not len(rows):
+                break
+            moved = np.concatenate([symbols[:, 1:], np.full((len(rows), 1), -1)], 1)
+            symbols = np.where(cols <= at[:, None], symbols, moved)
+            symbols[here, at] = best & (1 << SHIFT) - 1
+            moved = np.concatenate([agenda[:, 1:], np.full((len(rows), 1), NOTHING)], 1)
+            agenda = np.where(cols[:-1] < at[:, None], agenda, moved)
+            agenda[here, at] = self._made(symbols[here, at] << SHIFT | symbols[here, at + 1])
+            inner = np.flatnonzero(at > 0)
+            agenda[inner, at[inner] - 1] = self._made(symbols[inner, at[inner] - 1] << SHIFT | symbols[inner, at[inner]])
+        return out
+
+    def _made(self, pairs: np.ndarray) -> np.ndarray:
+        """(rank, piece) that each pair makes, NOTHING if none."""
+        at = np.searchsorted(self.pair_keys, pairs).clip(0, len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == pairs, self.pair_made[at], NOTHING)
+
+    def encode_batch(self, texts: list[str]) -> list[list[int]]:
+        """The ids of each text."""
+        cut = [self.parts.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
+        known = self.known
+        new = [p for p in dict.fromkeys(chain.from_iterable(cut)) if p not in known]
+        by_length = sorted((p for p in new if len(p) <= SHORT and not any(t in p for t in self.tied)), key=len)
+        for a in range(0, len(by_length), 4096):
+            known.update((p, ids) for p, ids in zip(by_length[a : a + 4096], self.short_parts(by_length[a : a + 4096])) if ids is not None)
+        known.update((p, self.part(p)) for p in new if p not in known)
+        self.unchecked += new
+        return [list(chain.from_iterable(map(known.__getitem__, parts))) for parts in cut]
+
+    def forget(self) -> None:
+        """Start afresh when too many parts are remembered."""
+        if len(self.known) > self.remembered:
+            self.known.clear()
+
     def encode(self, text: str) -> list[int]:
-        if not text:
-            return []
-        ids: list[int] = []
-        new, old = self.new, self.old
-        for part in self.parts.findall(MARK + text.replace(" ", MARK)):
-            found = new.get(part)
-            if found is None:
-                found = old.get(part)
-                if found is None:
-                    found = self.part(part)
-                if len(part) < 64:
-                    new[part] = found
-                    if len(new) >= self.remembered:
-                        self.old = old = new
-                        self.new = new = {}
-            ids += found
-        return ids
+        return self.encode_batch([text])[0]
+
+    def check(self, text: str) -> None:
+        """Compare the parts encoded since the last check, and a whole text, with the library.
+
+        The library puts a space mark before a text: a part that starts with one goes without it, another part goes
+        behind a line feed, which merges with nothing.
+        """
+        same = self.library.encode(text) == self.encode(text)
+        parts = self.unchecked
+        marked = [p[0] == MARK for p in parts]
+        theirs = self.library.encode([p[1:] if m else "\n" + p for p, m in zip(parts, marked)], num_threads=1) if parts else []
+        feed = self.library.encode("\n")
+        for part, m, ids in zip(parts, marked, theirs):
+            if m and not part[1:]:
+                ids = self.library.encode("\n" + part)[len(feed) :]
+            same = same and list(self.known[part]) == (ids if m else ids[len(feed) :])
+            if not same:
+                raise ValueError(f"ids differ from the library's for {part[:60]!r}")
+        if not same:
+            raise ValueError(f"ids differ from the library's for the text that starts with {text[:60]!r}")
+        self.unchecked = []
 
 
 def model_bytes(path: str) -> bytes:
@@ -134,15 +236,14 @@ def _run(docs: DataFrame, model: bytes, digest: bool) -> DataFrame:
             for a in range(0, len(whole), ROWS_AT_ONCE):
                 batch = whole.slice(a, ROWS_AT_ONCE)
                 counts, ids_out, texts_out = [], [], []
-                for text in batch.column(1).to_pylist():
-                    text = text or ""
-                    ids = own.encode(text)
-                    if ids != own.library.encode(text):
-                        raise ValueError(f"ids differ from the library's for the text that starts with {text[:60]!r}")
+                texts = batch.column(1).to_pylist()
+                for ids in own.encode_batch(texts):
                     back = own.library.decode(ids) if ids else ""
                     counts.append(len(ids))
                     ids_out.append(sha(",".join([names[i] for i in ids])) if digest else ids)
                     texts_out.append(sha(back) if digest else back)
+                own.check(texts[0])
+                own.forget()
                 ids_type = pa.string() if digest else pa.list_(pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_out, ids_type), pa.array(texts_out, pa.string())],

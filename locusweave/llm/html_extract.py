@@ -180,6 +180,7 @@ LABELLED = (
     '<aside class="sidebar"><h3>About the author</h3><p>The author has drawn maps for thirty years and has lost his way in most of the towns of the country, which he says is the best way to learn how they are laid out.</p></aside><p>+A legend explains the signs of a map, and it should be read before anything else is believed about it.</p><div class="comments"><p>My father had a map with a legend as long as my arm, and I learned to read from it one winter when the snow lay so high that nobody could go out.</p></div><footer><p>Printed with care in the town where it was written, by people who are paid fairly for what they do and who own the press that they print it with.</p></footer>',
     '<div class="advertisement">Our folding maps of strong paper fit in each pocket, survive rain and coffee, and cost less than two cups of it, so order today and walk away with a free pencil.</div><p>+Scale is the other thing to look at first, because without it a brook and a river are the same blue line on the page.</p>',
     '<article><h1>+<a href=/p/1>Where the old road ends</a></h1><p>+It ends at the sea.</p><p>+<a href=2>A long walk</a></p></article><article><h1>+<a href=/p/2>What the tide brings</a></h1><p>+Mostly wood and shells.</p></article>',
+    '<p>+things found in the attic after the family had moved out and the house was sold to the town</p><p><a href=1>What the town did with the house and with all that was found in it</a></p><p>+a clock without hands, two letters that were never sent, and a map of an island that nobody knows</p>',
     '<div>Menu</div><article><p>+<a href=1>Linked</a></p><p>+It is said that the tower leans because the ground under it is soft on one side only.</p></article><div>Top</div>',
 )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusweave.llm import exact_dedup, html_extract, lm_score, minhash_dedup, ogg_media, secret_scan, sentencepiece_codec, source_mix, toxicity
+from locusweave.llm import exact_dedup, html_extract, license_scan, lm_score, minhash_dedup, ogg_media, secret_scan, sentencepiece_codec, source_mix, toxicity
 from locusweave.llm.common import read_table
 
 SQL_WORDS = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)"
@@ -29,6 +29,10 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.digests(read_table(spark, sf_dir, "documents"), sentencepiece_codec.model_bytes(tokenizer_path()))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read_table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.classes(read_table(spark, sf_dir, "documents")).drop("text_id")
 
@@ -117,6 +121,7 @@ QUERIES = {
     "op1_html_extract": op1_html_extract,
     "op2_ogg_media": op2_ogg_media,
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_license_scan": op4_license_scan,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_lm_score": op6_lm_score,
     "op7_minhash_dedup": op7_minhash_dedup,

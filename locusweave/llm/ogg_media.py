@@ -33,7 +33,8 @@ SAMPLES_PER_SECOND = 8000
 SOUND, NOTES = 0x534E4431, 0x4E4F5445
 CONTINUED, FIRST, LAST = 1, 2, 4
 #: magic, version, flags, granule position, serial number, page number, checksum, segments
-HEADER = struct.Struct("<4sBBqIIIB")
+HEADER = "<4sBBqIIIB"
+HEADER_BYTES = struct.calcsize(HEADER)
 ROWS_AT_ONCE = 128
 _TURNED = bytes(int(f"{b:08b}"[::-1], 2) for b in range(256))
 
@@ -54,7 +55,7 @@ def _pages(serial: int, packets: list[tuple[bytes, int]]) -> list[bytes]:
 
     def close(more: int) -> None:
         nonlocal ended, flags
-        head = HEADER.pack(b"OggS", 0, flags | more, ended, serial, len(out), 0, len(lacing)) + lacing
+        head = struct.pack(HEADER, b"OggS", 0, flags | more, ended, serial, len(out), 0, len(lacing)) + lacing
         page = head + body
         out.append(page[:22] + struct.pack("<I", page_checksum(page)) + page[26:])
         lacing.clear()
@@ -111,13 +112,13 @@ def read(data: bytes) -> dict[int, Stream]:
     streams: dict[int, Stream] = {}
     at = 0
     while at < len(data):
-        if len(data) - at < HEADER.size:
+        if len(data) - at < HEADER_BYTES:
             raise ValueError("cut short in a page header")
-        magic, version, flags, granule, serial, number, checksum, segments = HEADER.unpack_from(data, at)
+        magic, version, flags, granule, serial, number, checksum, segments = struct.unpack_from(HEADER, data, at)
         if magic != b"OggS" or version:
             raise ValueError(f"no page at byte {at}")
-        lacing = data[at + HEADER.size : at + HEADER.size + segments]
-        end = at + HEADER.size + segments + sum(lacing)
+        lacing = data[at + HEADER_BYTES : at + HEADER_BYTES + segments]
+        end = at + HEADER_BYTES + segments + sum(lacing)
         page = data[at:end]
         if page_checksum(page[:22] + bytes(4) + page[26:]) != checksum:
             raise ValueError(f"checksum of page {number} of stream {serial:08x} is wrong")
@@ -128,7 +129,7 @@ def read(data: bytes) -> dict[int, Stream]:
             raise ValueError(f"page {number} of stream {serial:08x} does not go on where the last one stopped")
         stream.pages += 1
         stream.ended = bool(flags & LAST)
-        place = HEADER.size + segments
+        place = HEADER_BYTES + segments
         size, done = 0, 0
         for value in lacing:
             size += value

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from locusweave.llm.common import saved
 
 
-def _print(edges: DataFrame):
-    """Number of edges and a sum of their hashes: equal for equal edge sets."""
-    part = F.xxhash64("a", "b").cast("decimal(38,0)")
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(part)).first())
+def _is_stars(edges: DataFrame) -> bool:
+    """Does every edge lead from a node with no other edge to one that leads nowhere?"""
+    if not edges.join(edges.select(F.col("b").alias("a")).distinct(), "a", "left_semi").isEmpty():
+        return False
+    return edges.groupBy("a").agg(F.count(F.lit(1)).alias("c")).where("c > 1").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -22,9 +23,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
     edges = saved(edges, "edges")
-    seen = None
-    while (now := _print(edges)) != seen:
-        seen = now
+    while not _is_stars(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()

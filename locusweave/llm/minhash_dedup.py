@@ -5,10 +5,10 @@ the first scatters the shingles, the second, shifted circularly by k places, giv
 the set. Bands of coordinates are hashed into buckets; documents that share a bucket are candidates, and a link needs
 the Jaccard similarity of the two full sets.
 
-Documents with equal sets are one node. Pairs of a bucket are not all made. First each small bucket's least node is
-compared with its other members. Then nodes that can have no link are taken out exactly: those with so many shingles
-that no other node in question has that no partner can be similar. In each bucket that still spans several
-components, the most central node is compared with the others; whoever is then outside the largest component of its
+Documents with equal sets are one node. Pairs of a bucket are not all made. Buckets of up to three nodes are compared
+pair by pair. In the others, nodes that can have no link are taken out exactly: those with so many shingles
+that no other node in question has that no partner can be similar. Then the most central node of each bucket is
+compared with the others; whoever is then outside the largest component of its
 family is compared with all of the family. So each pair that shares a bucket is compared, excluded or connected. With
 32 bands of 4, a pair of similarity 0.8 shares no bucket with a chance of 5e-8. Nodes are 64 bits of a digest of the
 sorted set, so two different sets are taken for one with a chance of 5e-20.
@@ -40,9 +40,11 @@ BANDS, ROWS = 32, 4
 #: Buckets of up to so many nodes are compared first.
 SMALL = 3
 #: Times that nodes without possible links are taken out.
-PEELS = 2
-#: Stragglers in one row.
-PACK = 16
+PEELS = 1
+#: Stragglers in one row, and parts into which a family's members are dealt to meet them.
+PACK, SLOTS = 16, 32
+#: Texts are looked up by a broadcast of their ids up to so many, else by a shuffle of the texts.
+BROADCAST_IDS = 1_000_000
 SLICE = 1 << 16
 ROWS_AT_ONCE = 256
 
@@ -133,7 +135,9 @@ def _full_sets(words: int):
 
 def _sets_of(ids: DataFrame, nodes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
     """ids(node) -> node, n, shingles: full sets, made again from the texts."""
-    wanted = nodes.join(ids, "node").select(F.col("first_id").alias("_id")).distinct()
+    wanted = saved(nodes.join(ids, "node").select(F.col("first_id").alias("_id")).distinct(), "near-wanted")
+    if wanted.count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
     rows = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     sets = rows.mapInArrow(_full_sets(words), "node long, shingles array<long>").join(ids, "node", "left_semi")
     return sets.dropDuplicates(["node"]).select("node", F.size("shingles").cast("long").alias("n"), "shingles")
@@ -152,30 +156,33 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(_similar(shared, F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
 
 
-def _open(cells: DataFrame, stars: DataFrame | None) -> DataFrame:
+def _open(cells: DataFrame, stars: DataFrame) -> DataFrame:
     """cells with the component of each node, without buckets whose members are all in one."""
-    cells = cells.drop("comp", "size")
-    if stars is None:
-        cells = cells.withColumn("comp", F.col("node"))
-    else:
-        of = stars.select(F.col("a").alias("node"), F.col("b").alias("comp"))
-        cells = cells.join(of, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    groups = cells.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    return saved(cells.join(groups.where("lo < hi").select("bucket", "size"), "bucket"), "near-cells")
+    of = stars.select(F.col("a").alias("node"), F.col("b").alias("comp"))
+    cells = cells.join(of, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    groups = cells.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    return saved(cells.join(groups.where("lo < hi").select("bucket"), "bucket"), "near-cells")
+
+
+def _compare_small(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of buckets with up to SMALL nodes, from all their pairs."""
+    few = cells.groupBy("bucket").agg(F.sort_array(F.collect_list(F.struct("node", "n"))).alias("x"))
+    one = few.select(F.explode(F.flatten(F.transform("x", lambda p: F.transform(F.filter("x", lambda q: q["node"] > p["node"]), lambda q: F.struct(p.alias("p"), q.alias("q")))))).alias("z"))
+    near = _similar(F.least("z.p.n", "z.q.n"), F.col("z.p.n"), F.col("z.q.n"), percent)
+    pairs = one.where(near).select(F.col("z.p.node").alias("a"), F.col("z.q.node").alias("b")).distinct()
+    return _linked(saved(pairs, "near-pairs"), sets, percent)
 
 
 def _compare_hubs(cells: DataFrame, hubs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between each bucket's hub and its members of other components. hubs(bucket, hub)."""
-    of = cells.select("bucket", F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("comp").alias("hub_comp"))
-    hubs = hubs.join(of, ["bucket", "hub"])
+    """Links between each bucket's hub and its other members. hubs(bucket, hub, hub_n)."""
     near = _similar(F.least("n", "hub_n"), F.col("n"), F.col("hub_n"), percent)
-    pairs = cells.join(hubs, "bucket").where((F.col("comp") != F.col("hub_comp")) & near)
+    pairs = cells.join(hubs, "bucket").where((F.col("node") != F.col("hub")) & near)
     pairs = pairs.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     return _linked(saved(pairs, "near-pairs"), sets, percent)
 
 
 def _without(cells: DataFrame, hubs: DataFrame) -> DataFrame:
-    return cells.join(hubs.withColumnRenamed("hub", "node"), ["bucket", "node"], "left_anti")
+    return cells.join(hubs.select("bucket", F.col("hub").alias("node")), ["bucket", "node"], "left_anti")
 
 
 def _peel(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -213,7 +220,9 @@ def _compare_stragglers(cells: DataFrame, sets: DataFrame, percent: int) -> Data
     few = few.withColumn("pack", F.floor((F.row_number().over(W.partitionBy("family").orderBy("node")) - 1) / PACK))
     few = few.join(sets.select("node", "shingles"), "node")
     packs = few.groupBy("family", "pack").agg(F.collect_list(F.struct("node", "comp", "n", "shingles")).alias("others"))
-    met = members.join(sets.select("node", "shingles"), "node").join(packs, "family")
+    packs = packs.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1))))
+    met = members.join(sets.select("node", "shingles"), "node").withColumn("slot", F.pmod(F.xxhash64("node"), F.lit(SLOTS)).cast("int"))
+    met = met.join(packs, ["family", "slot"])
 
     def shared(x):
         able = (x["comp"] != F.col("comp")) & _similar(F.least(x["n"], F.col("n")), x["n"], F.col("n"), percent)
@@ -223,26 +232,19 @@ def _compare_stragglers(cells: DataFrame, sets: DataFrame, percent: int) -> Data
     return met.select("node", F.explode(F.transform(links, lambda x: x["node"])).alias("b")).select(F.col("node").alias("a"), "b")
 
 
-def _links_of(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
-    """Stars (a, b) of the components of all similar pairs that share a bucket."""
-    stars = None
-
-    def add(found: DataFrame):
-        return components(found if stars is None else found.unionByName(stars))
-
-    cells = _open(cells, None)
-    hubs = cells.where(F.col("size") <= SMALL).groupBy("bucket").agg(F.min("node").alias("hub"))
-    stars = add(_compare_hubs(cells, hubs, sets, percent))
-    cells = _open(_without(cells, hubs), stars)
-    for _ in range(PEELS):
-        cells = _open(_peel(cells, sets, percent), stars)
+def _links_of(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Stars (a, b) of the components of all similar pairs that share a bucket. cells(bucket, node, n, size)."""
+    links = _compare_small(cells.where(F.col("size") <= SMALL), sets, percent)
+    cells = cells.where(F.col("size") > SMALL).drop("size")
     if cells.isEmpty():
-        return stars
-    central = F.min(F.struct((F.col("alone") / F.col("n")).alias("o"), F.col("node").alias("hub")))
-    hubs = saved(cells.groupBy("bucket").agg(central.alias("h")).select("bucket", "h.hub"), "near-hubs")
-    stars = add(_compare_hubs(cells, hubs, sets, percent))
+        return components(links)
+    for _ in range(PEELS):
+        cells = saved(_peel(cells, sets, percent), "near-cells")
+    central = F.min(F.struct((F.col("alone") / F.col("n")).alias("o"), F.col("node").alias("hub"), F.col("n").alias("hub_n")))
+    hubs = saved(cells.groupBy("bucket").agg(central.alias("h")).select("bucket", "h.hub", "h.hub_n"), "near-hubs")
+    stars = components(links.unionByName(_compare_hubs(cells, hubs, sets, percent)))
     cells = _open(_without(cells, hubs), stars)
-    return stars if cells.isEmpty() else add(_compare_stragglers(cells, sets, percent))
+    return stars if cells.isEmpty() else components(stars.unionByName(_compare_stragglers(cells, sets, percent)))
 
 
 def classes(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -259,7 +261,7 @@ def classes(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT,
     groups = cells.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("first"), members.alias("print"))
     # Of buckets with the same members one is enough.
     groups = groups.where("size > 1").groupBy("size", "first", "print").agg(F.min("bucket").alias("bucket"))
-    cells = saved(cells.join(groups.select("bucket"), "bucket"), "near-cells")
+    cells = saved(cells.join(groups.select("bucket", "size"), "bucket"), "near-cells")
     stars = None
     if not cells.isEmpty():
         sets = saved(_sets_of(cells.select("node").distinct(), nodes, docs, words), "near-sets")

@@ -38,7 +38,7 @@ VIEWS = {
     "fx_sites": """SELECT DISTINCT concat('chr', 1 + s_suppkey % 5) AS chrom, s_suppkey * 70 AS pos, concat('G', s_nationkey % 5) AS guide,
   CAST(s_suppkey % 9 = 0 AS INT) AS is_target FROM {supplier}""",
     "fx_contacts": """SELECT concat('c', o_custkey % 3) AS chrom, o_custkey % 40 AS i, o_orderkey % 40 AS j, count(*) AS n FROM {orders} GROUP BY 1, 2, 3""",
-    "fx_interactions": """SELECT o_custkey % 50 AS bait_id, o_orderkey % 200 AS other_id, concat('s', o_orderkey % 4) AS sample, count(*) AS n,
+    "fx_interactions": """SELECT o_custkey % 20 AS bait_id, o_orderkey % 40 AS other_id, concat('s', CAST(floor(o_custkey / 20) AS BIGINT) % 4) AS sample, count(*) AS n,
   round(sum(o_totalprice) / 100000.0, 4) AS score, -round(sum(o_totalprice) / 50000.0, 4) AS log_p FROM {orders} GROUP BY 1, 2, 3""",
 }
 

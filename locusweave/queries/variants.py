@@ -1 +1,289 @@
-"""Queries."""
+"""Queries of variant tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from locusweave.functions import variants as fn
+from locusweave.operators import variants as vr
+from locusweave.queries import query
+
+_ANN = """raw AS (SELECT v.*, unnest(string_split(csq, ',')) AS x, generate_subscripts(string_split(csq, ','), 1) - 1 AS ann FROM fx_variants v),
+    anns AS (SELECT *, nullif(split_part(x, '|', 1), '') AS allele, nullif(split_part(x, '|', 2), '') AS symbol, nullif(split_part(x, '|', 3), '') AS trx, nullif(split_part(x, '|', 4), '') AS consequence, coalesce(TRY_CAST(split_part(x, '|', 5) AS INT), 0) AS pick FROM raw)"""
+_PCT = "CASE WHEN ref_reads + alt_reads > 0 THEN round(100.0 * alt_reads / (ref_reads + alt_reads), 1) ELSE 0.0 END"
+
+
+@query("t01_explode_annotations", f"WITH {_ANN} SELECT id, ann, allele, symbol, trx, consequence, pick FROM anns")
+def _(g):
+    return vr.explode_annotations(g.variants).select("id", "ann", "allele", "symbol", "trx", "consequence", "pick")
+
+
+@query("t02_annotation_values", f"WITH {_ANN} SELECT id, string_agg(symbol, ',' ORDER BY ann) AS symbols FROM (SELECT id, symbol, min(ann) AS ann FROM anns GROUP BY 1, 2) GROUP BY 1")
+def _(g):
+    return g.variants.select("id", F.array_join(vr.annotation_values(F.col("csq"), 1), ",").alias("symbols"))
+
+
+@query("t08_abundance_pct", f"SELECT id, {_PCT} AS pct FROM fx_variants")
+def _(g):
+    return g.variants.select("id", fn.abundance_pct(F.col("ref_reads"), F.col("alt_reads")).alias("pct"))
+
+
+@query(
+    "t09_cell_fraction",
+    """WITH x AS (SELECT seg_id, maf * 200 AS m, CASE WHEN cn <> 2 THEN 2 * (sm - 1) * 100 / (cn - 2) END AS s FROM fx_segments),
+    v AS (SELECT seg_id, CASE WHEN s IS NULL THEN m WHEN abs(s - m) > 25 THEN s ELSE least(s, m) END AS v FROM x) SELECT seg_id, round(CASE WHEN v > 100 THEN 99.0 ELSE v END, 6) AS fraction FROM v""",
+)
+def _(g):
+    return g.segments.select("seg_id", F.round(fn.cell_fraction(F.col("cn"), F.lit(2), F.col("sm"), F.col("maf")), 6).alias("fraction"))
+
+
+@query("t10_one_letter_protein", "SELECT id, concat('p.', CASE pos % 3 WHEN 0 THEN 'V' WHEN 1 THEN 'G' ELSE 'K' END, pos, CASE WHEN pos % 2 = 0 THEN '=' ELSE '*' END) AS protein FROM fx_variants")
+def _(g):
+    three = F.when(F.col("pos") % 3 == 0, "Val").when(F.col("pos") % 3 == 1, "Gly").otherwise("Lys")
+    return g.variants.select("id", fn.one_letter_protein(F.concat(F.lit("p."), three, F.col("pos"), F.when(F.col("pos") % 2 == 0, "%3D").otherwise("Ter"))).alias("protein"))
+
+
+@query("t12_reverse_complement", "SELECT o_orderkey, reverse(translate(upper(o_orderpriority), 'ACGTUN', 'TGCAAN')) AS rc FROM orders")
+def _(g):
+    return g.table("orders").select("o_orderkey", fn.reverse_complement(F.upper("o_orderpriority")).alias("rc"))
+
+
+@query(
+    "t13_parse_region",
+    """WITH x AS (SELECT id, concat(chrom, ':', pos, CASE WHEN alt_reads = 3 THEN '' ELSE concat('-', pos + ref_reads - 5) END) AS r FROM fx_variants),
+    y AS (SELECT id, nullif(regexp_extract(r, '^(.+):(\\d+)-(\\d+)$', 1), '') AS chrom, TRY_CAST(nullif(regexp_extract(r, '^(.+):(\\d+)-(\\d+)$', 2), '') AS BIGINT) AS st, TRY_CAST(nullif(regexp_extract(r, '^(.+):(\\d+)-(\\d+)$', 3), '') AS BIGINT) AS en FROM x)
+    SELECT *, CASE WHEN st IS NULL OR en IS NULL THEN 'bad format' WHEN st > en THEN 'start after end' END AS problem FROM y""",
+)
+def _(g):
+    end = F.when(F.col("alt_reads") == 3, "").otherwise(F.concat(F.lit("-"), F.col("pos") + F.col("ref_reads") - 5))
+    region = F.concat("chrom", F.lit(":"), F.format_number("pos", 0), end)
+    return g.variants.select("id", fn.parse_region(region).alias("x")).select("id", "x.*")
+
+
+@query("t18_breakend_round_trip", "SELECT id, concat('N[', chrom, ':', pos, '[') AS alt, chrom, pos FROM fx_variants")
+def _(g):
+    alt = fn.format_breakend(F.col("chrom"), F.col("pos"), F.lit("["), F.lit(False), F.lit("N"))
+    return g.variants.select("id", alt.alias("alt")).withColumn("x", fn.parse_breakend(F.col("alt"))).select("id", "alt", "x.chrom", "x.pos")
+
+
+@query("t22_parse_target_info", "SELECT id, least(ref_reads, alt_reads) AS min_mismatches, 2 AS tools, 'NGG' AS pam FROM fx_variants")
+def _(g):
+    info = F.concat(F.lit("MISMATCHES="), "ref_reads", F.lit(","), "alt_reads", F.lit(";SRC=a,b;PAM=NGG"))
+    return g.variants.select("id", fn.parse_target_info(info).alias("x")).select("id", "x.*")
+
+
+@query(
+    "t23_merge_info_maps",
+    """WITH k AS (SELECT sample, string_agg(DISTINCT CAST(alt_reads AS VARCHAR), ',' ORDER BY CAST(alt_reads AS VARCHAR)) AS a, string_agg(DISTINCT svtype, ',' ORDER BY svtype) AS t FROM fx_variants GROUP BY 1)
+    SELECT sample, concat('AD=', a, ';PRECISE;SVTYPE=', t) AS info FROM k""",
+)
+def _(g):
+    rows = g.variants.select("sample", F.concat(F.lit("SVTYPE="), "svtype", F.lit(";PRECISE;AD="), "alt_reads").alias("info"))
+    return vr.merge_info_maps(rows, "sample", "info")
+
+
+@query("t27_truncate_alleles", "SELECT p_partkey, CASE WHEN length(p_name) > 20 THEN 'DEL' || length(p_name) ELSE p_name END AS allele FROM part")
+def _(g):
+    return g.table("part").select("p_partkey", fn.truncate_allele(F.col("p_name"), "DEL").alias("allele"))
+
+
+@query("t30_range_flag", "SELECT id, concat(ref_reads, CASE WHEN ref_reads < 5 OR ref_reads > 30 THEN ' (!)' ELSE '' END) AS flagged FROM fx_variants")
+def _(g):
+    return g.variants.select("id", fn.range_flag(F.col("ref_reads"), F.lit(5), F.lit(30)).alias("flagged"))
+
+
+@query("t04_effect_label", "SELECT symbol, CASE WHEN st % 3 = 0 THEN concat('exon', st % 7) WHEN st % 3 = 1 THEN concat('intron', st % 5) WHEN st % 4 > 0 THEN concat(st % 4, CASE WHEN strand > 0 THEN 'bp upstream' ELSE 'bp downstream' END) ELSE 'intragenic' END AS label FROM fx_genes")
+def _(g):
+    s = F.col("st")
+    exon = F.when(s % 3 == 0, F.concat((s % 7).cast("string"), F.lit("/9"))).otherwise("")
+    intron = F.when(s % 3 == 1, F.concat((s % 5).cast("string"), F.lit("/8"))).otherwise("")
+    return g.genes.select("symbol", fn.effect_label(exon, intron, s % 4, F.col("strand") > 0).alias("label"))
+
+
+@query(
+    "t03_known_gene_effects",
+    """SELECT v.id, g.symbol, CASE WHEN v.pos <= g.en AND g.st <= v.pos + v.svlen THEN 0 ELSE least(abs(v.pos - g.st), abs(v.pos - g.en), abs(v.pos + v.svlen - g.st), abs(v.pos + v.svlen - g.en)) END AS distance,
+    CASE WHEN v.pos <= g.st AND v.pos + v.svlen >= g.en AND svtype = 'DEL' THEN 'transcript_ablation' WHEN v.pos <= g.st AND v.pos + v.svlen >= g.en AND svtype = 'DUP' THEN 'transcript_amplification'
+      WHEN v.pos <= g.en AND g.st <= v.pos + v.svlen AND svtype = 'DEL' THEN 'feature_truncation' WHEN v.pos <= g.en AND g.st <= v.pos + v.svlen THEN 'feature_elongation'
+      WHEN (v.pos + v.svlen < g.st) = (g.strand > 0) THEN 'upstream_gene_variant' ELSE 'downstream_gene_variant' END AS consequence
+    FROM fx_variants v JOIN fx_genes g ON g.symbol = split_part(v.csq, '|', 2) AND g.chrom = v.chrom""",
+)
+def _(g):
+    v = g.variants.withColumn("symbol", F.get(F.split("csq", r"[|]"), F.lit(1)))
+    both = v.join(g.genes.select("symbol", "chrom", "st", "en", "strand"), ["symbol", "chrom"])
+    effect = fn.known_gene_effect(F.col("pos"), F.col("pos") + F.col("svlen"), F.col("st"), F.col("en"), F.col("strand"), F.col("svtype"))
+    return both.select("id", "symbol", effect.alias("x")).select("id", "symbol", "x.*")
+
+
+@query("t06_event_syntax", "SELECT id, concat(chrom, ':g.', pos, '_', pos + svlen, lower(svtype)) AS syntax FROM fx_variants WHERE svtype <> 'BND'")
+def _(g):
+    return g.variants.where("svtype <> 'BND'").select("id", fn.event_syntax(F.col("chrom"), F.col("pos").cast("long"), (F.col("pos") + F.col("svlen")).cast("long"), F.col("svtype")).alias("syntax"))
+
+
+_MATE = "m AS (SELECT a.*, b.chrom AS mate_chrom, b.pos AS mate_pos FROM fx_variants a JOIN fx_variants b ON a.mate_id = b.id AND a.id < b.id)"
+
+
+@query(
+    "t07_breakend_syntax",
+    f"""WITH {_MATE}, c AS (SELECT id, replace(chrom, 'chr', '') AS a, replace(mate_chrom, 'chr', '') AS b, pos, mate_pos FROM m)
+    SELECT id, CASE WHEN a = b THEN concat('inv(', a, ')(', least(pos, mate_pos), '_', greatest(pos, mate_pos), ')') WHEN CAST(a AS INT) > CAST(b AS INT) THEN concat('t(', b, ';', a, ')') ELSE concat('t(', a, ';', b, ')') END AS syntax FROM c""",
+)
+def _(g):
+    long = lambda c: F.col(c).cast("long")
+    return vr.mate_join(g.variants).select("id", fn.breakend_syntax(F.col("chrom"), long("pos"), F.col("mate_chrom"), long("mate_pos")).alias("syntax"))
+
+
+@query("j06_mate_join", f"WITH {_MATE} SELECT id, mate_id, mate_chrom, mate_pos FROM m")
+def _(g):
+    return vr.mate_join(g.variants).select("id", "mate_id", "mate_chrom", "mate_pos")
+
+
+_SOFT = f"""CASE WHEN filter = 'PASS' AND NOT (alt_reads < 2) AND NOT (ref_reads > 0 AND {_PCT} < 5) THEN 'PASS' ELSE concat_ws(';', nullif(filter, 'PASS'), CASE WHEN alt_reads < 2 THEN 'MinSvReads' END, CASE WHEN ref_reads > 0 AND {_PCT} < 5 THEN 'MinSvAbundance' END) END"""
+
+
+@query("d01_soft_filters", f"SELECT id, {_SOFT} AS filter FROM fx_variants")
+def _(g):
+    return vr.soft_filters(g.variants).select("id", "filter")
+
+
+_HARD = "alt_reads > 0 AND (svtype = 'BND' OR svlen BETWEEN 1000 AND 20000000)"
+
+
+@query("d02_hard_filters", f"SELECT id FROM fx_variants WHERE {_HARD}")
+def _(g):
+    return vr.hard_filters(g.variants).select("id")
+
+
+@query("d03_keep_with_mate", f"WITH p AS (SELECT id, mate_id FROM fx_variants WHERE {_HARD}) SELECT id FROM fx_variants WHERE id IN (SELECT id FROM p) OR id IN (SELECT mate_id FROM p)")
+def _(g):
+    return vr.keep_with_mate(g.variants, vr.hard_filters(g.variants)).select("id")
+
+
+@query(
+    "d04_small_variant_filter",
+    f"""SELECT id, {_PCT} AS vaf, CASE WHEN filter = 'PASS' AND alt_reads >= 6 AND {_PCT} >= 2 THEN 'PASS' ELSE concat_ws(';', nullif(filter, 'PASS'), CASE WHEN alt_reads < 6 THEN 'LowReads' END, CASE WHEN {_PCT} < 2 THEN 'MinVAF' END) END AS filter
+    FROM fx_variants WHERE alt_reads >= 3 AND {_PCT} >= 1 AND (filter = 'PASS' OR {_PCT} >= 2)""",
+)
+def _(g):
+    return vr.small_variant_filter(g.variants).select("id", "vaf", "filter")
+
+
+@query("d05_size_gate", "SELECT id, round(alt_reads / CAST(ref_reads + alt_reads AS DOUBLE), 4) AS af FROM fx_variants WHERE svtype <> 'BND' AND svlen <= 1000 AND alt_reads > 0")
+def _(g):
+    return vr.size_gate(g.variants).select("id", "af")
+
+
+@query(
+    "d06_reportable_variants",
+    f"""WITH {_ANN}, r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ann DESC) AS k FROM anns WHERE trx IN (SELECT trx FROM fx_genes WHERE strand = 1) AND list_has_any(string_split(consequence, '&'), ['missense_variant', 'intron_variant']))
+    SELECT id, symbol, trx, consequence FROM r WHERE k = 1""",
+)
+def _(g):
+    return vr.reportable_variants(g.variants, g.genes.where("strand = 1").select("trx"), ["missense_variant", "intron_variant"])
+
+
+@query("d11_somatic_indel_gate", f"SELECT id FROM fx_variants WHERE (filter = 'PASS' OR list_contains(string_split(filter, ';'), 'weak_evidence')) AND svtype IN ('DEL', 'INS', 'DUP') AND {_PCT} >= 5")
+def _(g):
+    return vr.somatic_indel_gate(g.variants, weak=True).select("id")
+
+
+@query("w01_keep_best", f"WITH {_ANN}, k AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY pick DESC, alt_reads DESC, id, ann) AS k FROM anns) SELECT symbol, id, ann FROM k WHERE k = 1")
+def _(g):
+    rows = vr.explode_annotations(g.variants)
+    return vr.keep_best(rows, ["symbol"], F.desc("pick"), F.desc("alt_reads"), F.col("id"), F.col("ann")).select("symbol", "id", "ann")
+
+
+_SIDES = f"""{_ANN}, l AS (SELECT a.id, g.symbol, g.strand FROM anns a JOIN fx_genes g USING (symbol) WHERE ann = 0), r AS (SELECT a.id, g.symbol, g.strand FROM anns a JOIN fx_genes g USING (symbol) WHERE ann = 1),
+    pairs AS (SELECT coalesce(l.id, r.id) AS id, coalesce(l.symbol, 'INTERGENIC') AS gene_a, coalesce(r.symbol, 'INTERGENIC') AS gene_b, l.strand * r.strand AS orientation FROM l FULL JOIN r ON l.id = r.id)"""
+
+
+def _pairs(g):
+    rows = vr.explode_annotations(g.variants).join(g.genes.select("symbol", "strand"), "symbol")
+    return vr.candidate_gene_pairs(rows.where("ann = 0"), rows.where("ann = 1"))
+
+
+@query("j07_candidate_gene_pairs", f"WITH {_SIDES} SELECT * FROM pairs")
+def _(g):
+    return _pairs(g)
+
+
+@query(
+    "j08_recurrent_lookup",
+    f"""WITH {_SIDES}, listed AS (SELECT symbol AS gene1, CASE WHEN st % 3 = 0 THEN '*' ELSE concat('GENE', st % 7) END AS gene2, CAST(st % 2 AS INT) AS require_strand, CASE WHEN st % 4 = 0 THEN '*' WHEN st % 4 = 1 THEN 'DEL' END AS type FROM fx_genes WHERE strand = 1),
+    rules AS (SELECT gene1, gene2, require_strand, coalesce(type, 'BND') AS type, true AS direct FROM listed UNION ALL SELECT gene2, gene1, require_strand, coalesce(type, 'BND'), false FROM listed),
+    hit AS (SELECT p.id, p.gene_a, p.gene_b, min(CASE WHEN r.gene2 = '*' THEN 1 ELSE 0 END) AS w FROM pairs p JOIN fx_variants v USING (id) JOIN rules r ON p.gene_a = r.gene1 AND r.gene1 <> '*' AND (r.gene2 = p.gene_b OR r.gene2 = '*')
+      AND (r.type = v.svtype OR (r.type = '*' AND r.direct)) AND (r.require_strand = 0 OR coalesce(p.orientation, -1) >= 0) GROUP BY 1, 2, 3)
+    SELECT p.id, p.gene_a, p.gene_b, CASE w WHEN 0 THEN 'exact' WHEN 1 THEN 'wildcard' END AS recurrent FROM pairs p LEFT JOIN hit h ON p.id = h.id AND p.gene_a = h.gene_a AND p.gene_b = h.gene_b""",
+)
+def _(g):
+    s = F.col("st")
+    listed = g.genes.where("strand = 1").select(
+        F.col("symbol").alias("gene1"), F.when(s % 3 == 0, "*").otherwise(F.concat(F.lit("GENE"), (s % 7).cast("string"))).alias("gene2"),
+        (s % 2).cast("int").alias("require_strand"), F.when(s % 4 == 0, "*").when(s % 4 == 1, "DEL").alias("type"),
+    )
+    pairs = _pairs(g).join(g.variants.select("id", "svtype"), "id")
+    return vr.recurrent_lookup(pairs, listed).select("id", "gene_a", "gene_b", "recurrent")
+
+
+@query(
+    "a26_merge_segments",
+    """WITH f AS (SELECT *, CASE WHEN st - max(en) OVER (PARTITION BY chrom, alt ORDER BY st, en ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) <= 5000 THEN 0 ELSE 1 END AS fresh FROM fx_segments),
+    c AS (SELECT *, sum(fresh) OVER (PARTITION BY chrom, alt ORDER BY st, en RANGE UNBOUNDED PRECEDING) AS cluster FROM f)
+    SELECT chrom, alt, min(st) AS st, max(en) AS en, CAST(floor(avg(cn)) AS BIGINT) AS cn, round(avg(sm) * count(*), 5) AS sm, count(*) AS n FROM c GROUP BY chrom, alt, cluster HAVING bool_or(filter = 'PASS') AND max(en) - min(st) >= 5000""",
+)
+def _(g):
+    return vr.merge_segments(g.segments, 5000, 5000).withColumn("sm", F.round(F.col("sm") * F.col("n"), 5))
+
+
+@query("a27_event_gene_summary", f"WITH {_ANN} SELECT id, count(DISTINCT symbol) AS n_genes, CASE WHEN count(DISTINCT symbol) > 1 THEN concat(count(DISTINCT symbol), ' genes') ELSE string_agg(DISTINCT symbol, ',' ORDER BY symbol) END AS genes FROM anns GROUP BY 1")
+def _(g):
+    return vr.event_gene_summary(g.variants, 1)
+
+
+@query("a28_event_category", "SELECT id, CASE WHEN svtype IN ('DEL', 'DUP') AND svlen >= 10000 THEN 'CNV' WHEN svtype = 'BND' AND alt_reads > 6 THEN 'RECURRENTSV' WHEN filter = 'PASS' THEN 'OTHERSV' END AS category FROM fx_variants")
+def _(g):
+    return vr.event_category(g.variants.withColumn("recurrent", F.when(F.col("alt_reads") > 6, "exact"))).select("id", "category")
+
+
+@query(
+    "a30_gene_status",
+    f"""WITH {_ANN}, e AS (SELECT symbol, unnest(string_split(consequence, '&')) AS effect FROM anns WHERE filter = 'PASS'), p AS (SELECT symbol, string_agg(DISTINCT effect, '; ' ORDER BY effect) AS status FROM e GROUP BY 1),
+    g AS (SELECT concat('GENE', s_suppkey * 2) AS symbol FROM supplier) SELECT g.symbol, coalesce(status, 'no mutations identified') AS status FROM g LEFT JOIN p USING (symbol)""",
+)
+def _(g):
+    genes = g.table("supplier").select(F.concat(F.lit("GENE"), (F.col("s_suppkey") * 2).cast("string")).alias("symbol"))
+    return vr.gene_status(g.variants, genes)
+
+
+@query("a19_truth_panel", "SELECT s.guide, v.chrom, v.pos, max(v.alt_reads) AS best, count(*) AS replicates, max(v.alt_reads) >= 6 AS is_edit FROM fx_variants v LEFT JOIN fx_sites s ON v.chrom = s.chrom AND v.pos = s.pos GROUP BY 1, 2, 3")
+def _(g):
+    rows = g.variants.join(g.sites.select("chrom", "pos", "guide"), ["chrom", "pos"], "left").withColumnRenamed("alt_reads", "value")
+    return vr.truth_panel(rows, 6)
+
+
+@query("a25_case_strings", f"WITH {_ANN} SELECT sample, count(*) AS n FROM anns WHERE filter = 'PASS' AND pick = 1 GROUP BY 1")
+def _(g):
+    return vr.case_strings(g.variants).select("sample", "n")
+
+
+@query("w05_rank_candidates", "SELECT id, alt_reads, row_number() OVER (ORDER BY svtype, alt_reads DESC, id) AS rank FROM fx_variants ORDER BY svtype, alt_reads DESC, id LIMIT 100")
+def _(g):
+    return vr.rank_candidates(g.variants, "svtype", "alt_reads", "id", 100).select("id", "alt_reads", "rank")
+
+
+@query("u02_symmetric_pairs", "SELECT symbol AS gene1, trx AS gene2, 'BND' AS type FROM fx_genes UNION ALL SELECT trx, symbol, 'BND' FROM fx_genes")
+def _(g):
+    listed = g.genes.select(F.col("symbol").alias("gene1"), F.col("trx").alias("gene2"), F.lit(0).alias("require_strand"), F.lit(None).cast("string").alias("type"))
+    return vr.symmetric_pairs(listed).select("gene1", "gene2", "type")
+
+
+@query("o01_natural_order", "SELECT symbol, row_number() OVER (ORDER BY CAST(replace(symbol, 'GENE', '') AS INT)) AS place FROM fx_genes")
+def _(g):
+    from pyspark.sql import Window as W
+
+    return g.genes.select("symbol", F.row_number().over(W.orderBy(fn.natural_key(F.col("symbol")))).alias("place"))
+
+
+@query("o03_chromosome_key", "SELECT symbol, CAST(replace(chrom, 'chr', '') AS INT) AS key FROM fx_genes")
+def _(g):
+    return g.genes.select("symbol", fn.chromosome_rank(F.col("chrom")).alias("key"))

@@ -1 +1 @@
-"""Queries."""
+"""Queries of sources, sinks and reports."""

@@ -229,10 +229,10 @@ def _(g):
     "a26_merge_segments",
     """WITH f AS (SELECT *, CASE WHEN st - max(en) OVER (PARTITION BY chrom, alt ORDER BY st, en ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) <= 5000 THEN 0 ELSE 1 END AS fresh FROM fx_segments),
     c AS (SELECT *, sum(fresh) OVER (PARTITION BY chrom, alt ORDER BY st, en RANGE UNBOUNDED PRECEDING) AS cluster FROM f)
-    SELECT chrom, alt, min(st) AS st, max(en) AS en, CAST(floor(avg(cn)) AS BIGINT) AS cn, round(avg(sm) * count(*), 5) AS sm, count(*) AS n FROM c GROUP BY chrom, alt, cluster HAVING bool_or(filter = 'PASS') AND max(en) - min(st) >= 5000""",
+    SELECT chrom, alt, min(st) AS st, max(en) AS en, CAST(floor(avg(cn)) AS BIGINT) AS cn, round(avg(sm) * count(*), 6) AS sm, count(*) AS n FROM c GROUP BY chrom, alt, cluster HAVING bool_or(filter = 'PASS') AND max(en) - min(st) >= 5000""",
 )
 def _(g):
-    return vr.merge_segments(g.segments, 5000, 5000).withColumn("sm", F.round(F.col("sm") * F.col("n"), 5))
+    return vr.merge_segments(g.segments, 5000, 5000).withColumn("sm", F.round(F.col("sm") * F.col("n"), 6))
 
 
 @query("a27_event_gene_summary", f"WITH {_ANN} SELECT id, count(DISTINCT symbol) AS n_genes, CASE WHEN count(DISTINCT symbol) > 1 THEN concat(count(DISTINCT symbol), ' genes') ELSE string_agg(DISTINCT symbol, ',' ORDER BY symbol) END AS genes FROM anns GROUP BY 1")

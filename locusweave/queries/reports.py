@@ -1 +1,138 @@
-"""Queries of sources, sinks and reports."""
+"""Queries of sources, sinks and reports: lines are made from the tables, then read or written."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from locusweave.functions import variants as fn
+from locusweave.queries import query
+from locusweave.sources import sinks, text
+
+
+def _vcf(g):
+    info = F.concat(F.lit("SVTYPE="), "svtype", F.lit(";PRECISE;END="), (F.col("pos") + F.col("svlen")).cast("string"))
+    return g.variants.select(F.concat_ws("\t", "chrom", F.col("pos").cast("string"), "id", F.lit("N"), F.concat(F.lit("<"), "svtype", F.lit(">")), F.lit("."), "filter", info, F.lit("PR:SR"), F.concat("ref_reads", F.lit(":"), "alt_reads")).alias("value"))
+
+
+@query("s01_read_variants", "SELECT chrom, pos, id, concat('<', svtype, '>') AS alt, filter, svtype, CAST(pos + svlen AS VARCHAR) AS last, CAST(alt_reads AS VARCHAR) AS sr FROM fx_variants")
+def _(g):
+    v = text.variants_of(_vcf(g)).withColumn("c", text.call_map(F.col("format"), F.get("calls", F.lit(0))))
+    return v.select("chrom", "pos", "id", F.get("alts", F.lit(0)).alias("alt"), F.array_join("filters", ";").alias("filter"), F.col("info")["SVTYPE"].alias("svtype"), F.col("info")["END"].alias("last"), F.col("c")["SR"].alias("sr"))
+
+
+@query("s02_header_fields", "SELECT n_nationkey, 'Allele,Consequence,' || n_name AS fields FROM nation")
+def _(g):
+    about = F.concat(F.lit('"Annotations. Format: Allele|Consequence|'), "n_name", F.lit('"'))
+    return g.table("nation").select("n_nationkey", F.array_join(fn.header_fields(about), ",").alias("fields"))
+
+
+@query("s03_target_variants", "SELECT chrom, pos - 1 AS start0, pos, CAST(svtype = 'DEL' AS INT) AS on_target FROM fx_variants")
+def _(g):
+    info = F.when(F.col("svtype") == "DEL", "TARGET;A=1").otherwise("A=1")
+    rows = g.variants.select(F.concat_ws("\t", "chrom", F.col("pos").cast("string"), "id", F.lit("N"), F.lit("."), F.lit("."), "filter", info).alias("value"))
+    return text.target_variants_of(rows)
+
+
+@query("s05_labelled_reads", "SELECT CAST(arm = 'edited' AS INT) AS label, chrom, ref_start + 5 AS pos, read_name, ref_start, mapq, cigar, '2' AS nm FROM fx_reads")
+def _(g):
+    r = g.reads
+    mark = F.when(F.col("arm") == "edited", "TP").otherwise("TN")
+    sam = F.concat_ws("\t", mark, "chrom", (F.col("ref_start") + 5).cast("string"), "read_name", F.lit("0"), "chrom", (F.col("ref_start") + 1).cast("string"), F.col("mapq").cast("string"), "cigar", F.lit("*"), F.lit("0"), F.lit("0"), F.lit("ACGT"), F.lit("IIII"), F.lit("NM:i:2"))
+    out = text.labelled_reads_of(r.select(sam.alias("value")))
+    return out.select("label", "chrom", "pos", "read_name", "ref_start", "mapq", "cigar", F.col("tags")["NM"].alias("nm"))
+
+
+@query("s06_target_bed", "SELECT DISTINCT chrom, st, en, symbol AS gene, 'gene' AS type, trx, CAST(strand AS VARCHAR) AS strand FROM fx_genes WHERE st % 2 = 0")
+def _(g):
+    info = F.concat_ws("|", F.when(F.col("st") % 2 == 0, "gene").otherwise("other"), F.lit("r"), "symbol", F.lit("id"), "trx", F.lit(""), F.lit(""), F.col("strand").cast("string"))
+    rows = g.genes.select(F.concat_ws("\t", "chrom", F.col("st").cast("string"), F.col("en").cast("string"), "symbol", info).alias("value"))
+    return text.targets_of(rows.unionByName(rows)).select("chrom", "st", "en", "gene", "type", "trx", "strand")
+
+
+@query("s07_bedgraph", "SELECT chrom, pos AS st, pos + 1 AS en, alt_reads / 2.0 AS v FROM fx_variants WHERE pos % 2 = 0")
+def _(g):
+    line = F.concat_ws("\t", "chrom", F.col("pos").cast("string"), (F.col("pos") + 1).cast("string"), F.when(F.col("pos") % 2 == 0, (F.col("alt_reads") / 2.0).cast("string")))
+    return text.bedgraph_of(g.variants.select(line.alias("value")))
+
+
+@query("s09_contacts", "SELECT chrom AS chr1, i AS mid1, chrom AS chr2, j AS mid2, CAST(n AS DOUBLE) AS n FROM fx_contacts")
+def _(g):
+    return text.contacts_of(g.contacts.select(F.concat_ws(" ", "chrom", F.col("i").cast("string"), "chrom", F.col("j").cast("string"), F.col("n").cast("string")).alias("value")))
+
+
+@query("s12_split_json", "SELECT chrom AS name, symbol AS cell FROM fx_genes")
+def _(g):
+    docs = sinks.split_json(g.genes, "chrom", ["symbol", "st"]).select(F.col("chrom").alias("name"), F.concat(F.lit('{"VARIANTS":'), "document", F.lit("}")).alias("value"))
+    return text.split_json_of(docs, "VARIANTS").where("column = 'symbol'").select("name", "cell")
+
+
+@query("s14_sections", "SELECT concat('s', s_suppkey) AS name, 'GENES' AS section, s_name AS text FROM supplier UNION ALL SELECT concat('s', s_suppkey), 'CNV', 'none' FROM supplier WHERE s_suppkey % 2 = 1")
+def _(g):
+    cnv = F.when(F.col("s_suppkey") % 2 == 1, "none").otherwise("None Detected")
+    report = F.concat(F.lit("head\n*** GENES ***\n"), "s_name", F.lit("\n\n*** CNV ***\n"), cnv, F.lit("\n"))
+    rows = g.table("supplier").select(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("name"), report.alias("value"))
+    return text.sections_of(rows).select("name", "section", "text")
+
+
+@query("s17_manifest", "SELECT CASE WHEN s_suppkey % 2 = 0 THEN concat('n', s_suppkey) ELSE concat('f', s_suppkey, '.tar') END AS name, concat('/a/f', s_suppkey, '.tar.gz') AS path FROM supplier")
+def _(g):
+    path = F.concat(F.lit("/a/f"), F.col("s_suppkey").cast("string"), F.lit(".tar.gz"))
+    line = F.when(F.col("s_suppkey") % 2 == 0, F.concat(F.lit("n"), F.col("s_suppkey").cast("string"), F.lit("\t"), path)).otherwise(path)
+    return text.manifest_of(g.table("supplier").select(line.alias("value")))
+
+
+@query("s18_candidates", "SELECT id, CAST(svtype = 'DEL' AS INT) AS truth, CASE WHEN pos % 2 = 0 THEN alt_reads / 4.0 END AS indel_fraction FROM fx_variants")
+def _(g):
+    rows = g.variants.select("id", F.when(F.col("svtype") == "DEL", "Edit").otherwise("no").alias("manual_review"), F.when(F.col("pos") % 2 == 0, (F.col("alt_reads") / 4.0).cast("string")).otherwise("NA").alias("indel_fraction"))
+    return text.candidates_of(rows).select("id", "truth", "indel_fraction")
+
+
+@query("s20_read_group_probe", "SELECT concat('f', o_custkey % 5) AS file, 'FC1' AS flowcell, '2' AS lane, 'ACGT' AS index, 50 AS length FROM orders GROUP BY 1")
+def _(g):
+    o = g.table("orders").select(F.concat(F.lit("f"), (F.col("o_custkey") % 5).cast("string")).alias("file"), "o_orderkey")
+    from pyspark.sql import Window as W
+
+    n = (F.row_number().over(W.partitionBy("file").orderBy("o_orderkey")) - 1).cast("long")
+    head = F.when(F.col("n") % 12 == 0, "@M:1:FC1:2:1:1:1 1:N:0:ANGT").otherwise("@M:1:FC1:2:1:1:1 1:N:0:ACGT")
+    value = F.when(F.col("n") % 4 == 0, head).when(F.col("n") % 4 == 1, F.repeat(F.lit("A"), F.when(F.col("n") % 20 == 1, 40).otherwise(50))).otherwise("+")
+    return text.read_group_probe_of(o.withColumn("n", n).withColumn("value", value))
+
+
+@query("s21_read_features", "SELECT vec_id, label FROM embeddings WHERE label IS NOT NULL")
+def _(g):
+    return text.read_features(g.spark, [f"{g.sf_dir}/embeddings.parquet"], ["vec_id", "label"])
+
+
+@query("s22_reference_bases", "SELECT p_partkey, substr(repeat(upper(p_name), 40), (p_partkey % 300) + 1, 7) AS bases FROM part WHERE p_partkey <= 200")
+def _(g):
+    parts = g.table("part").where("p_partkey <= 200")
+    contigs = parts.select(F.col("p_partkey").cast("string").alias("chrom"), F.repeat(F.upper("p_name"), F.lit(40)).alias("seq"))
+    sites = parts.select("p_partkey", F.col("p_partkey").cast("string").alias("chrom"), (F.col("p_partkey") % 300 + 3).cast("long").alias("pos"))
+    return text.bases_at(sites, text.reference_chunks(contigs, 64), 3, 3, 64).select("p_partkey", "bases")
+
+
+@query("k02_variant_lines", "SELECT concat_ws(chr(9), chrom, pos, concat_ws('_', chrom, pos, svtype, row_number() OVER (PARTITION BY chrom, pos, svtype ORDER BY id)), 'N', id, '.', filter, concat('LEN=', svlen, ';PRECISE;SVTYPE=', svtype)) AS value FROM fx_variants")
+def _(g):
+    info = F.create_map(F.lit("SVTYPE"), F.col("svtype"), F.lit("PRECISE"), F.lit(""), F.lit("LEN"), F.col("svlen").cast("string"))
+    return sinks.variant_lines(g.variants.select("chrom", "pos", F.lit("N").alias("ref"), F.col("id").alias("alt"), "filter", "svtype", info.alias("info")))
+
+
+@query("k03_split_json", """SELECT chrom, concat('{"columns":["symbol"],"data":[', string_agg(concat('["', symbol, '"]'), ',' ORDER BY symbol), ']}') AS document FROM fx_genes GROUP BY 1""")
+def _(g):
+    return sinks.split_json(g.genes, "chrom", ["symbol"])
+
+
+@query("k05_circos", "SELECT concat_ws(chr(9), replace(chrom, 'chr', 'hs'), st, en, concat('annotation=', symbol)) AS value FROM fx_genes")
+def _(g):
+    return sinks.circos_lines(g.genes.withColumnRenamed("symbol", "annotation"))
+
+
+@query("k06_interaction_track", "SELECT chr1 AS chrom, st1 AS st, en1 AS en, concat(chr2, ':', st2, '-', en2, ',', pair_id) AS target, '.' AS strand FROM fx_pairs")
+def _(g):
+    names = {"chr1": "bait_chrom", "st1": "bait_st", "en1": "bait_en", "chr2": "other_chrom", "st2": "other_st", "en2": "other_en"}
+    return sinks.interaction_track(g.pairs.select(*[F.col(a).alias(b) for a, b in names.items()], F.col("pair_id").alias("score")))
+
+
+@query("k08_sites_as_variants", "SELECT chrom, pos, concat('<', svtype, '>') AS alt, 'PASS' AS filter FROM fx_variants")
+def _(g):
+    return sinks.sites_as_variants(g.variants).select("chrom", "pos", "alt", "filter")

@@ -5,11 +5,14 @@ Words are maximal runs of anything but space and the control characters 9 to 13;
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import tempfile
 import types
 import uuid
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +27,15 @@ def runs_on_executors(module: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module])
 
 
+def give_back_memory() -> None:
+    """After a training on the driver: return freed memory to the system, where the C library can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def kept_by_worker(kind: str, key, make):
     """make(), remembered by this Python process for later tasks with the same key; one value of each kind."""
     held = sys.modules.setdefault("_locusweave_kept", types.ModuleType("_locusweave_kept")).__dict__

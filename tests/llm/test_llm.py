@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -294,14 +295,17 @@ def test_toxicity_on_held_out_rows(spark, odd):
 
 def test_secret_spans(spark, odd):
     rows = [
-        (1, 'é password = "abcdef1" x token:ab AKIA' + "A" * 16 + " z", "o1"), (2, "deadbeef" * 3 + " ghp_" + "a1" * 18, "o1"), (3, "SECRET='shared99'", "o1"), (4, "secret='shared99'", "o2"),
-        (5, "API_KEY=shared99", "o3"), (6, None, None), (7, "token=token:abcdefgh", "o4"), (8, "ghp_" + "b2" * 18, "o1"), (9, "ghp_" + "b2" * 18, "o2"), (10, "ghp_" + "b2" * 18, None), (10, "ghp_" + "b2" * 18, None),
+        (1, 'é password = "abcdef1" x token:ab AKIA' + "A" * 16 + " z", "o1"), (2, "deadbeef" * 3 + " ghp_" + "z1" * 18, "o1"), (3, "SECRET='shared99'", "o1"), (4, "secret='shared99'", "o2"),
+        (5, "API_KEY=shared99", "o3"), (6, None, None), (7, "token=token:abcdefgh", "o4"), (8, "ghp_" + "y2" * 18, "o1"), (9, "ghp_" + "y2" * 18, "o2"), (10, "ghp_" + "y2" * 18, None), (10, "ghp_" + "y2" * 18, None),
     ]
     df = spark.createDataFrame(rows, "doc_id long, text string, owner string")
     got = {r.doc_id: r for r in secret_scan.scan(df, F.col("owner"), F.col("owner")).collect()}
+    for i, text, _ in rows:
+        spans = [(m.start(), k, f"{name}:{m.start()}:{m.end()}") for k, (name, p, n) in enumerate(secret_scan.BASE) for m in re.finditer(p, text or "") if len(m[2] if k == 0 else m[0]) >= n]
+        assert got[i].base_sha256 == hashlib.sha256(",".join(x for *_, x in sorted(spans)).encode()).hexdigest()
     assert got[1].spans == "assign:2:21,access:34:54" and (got[1].n_assign, got[1].n_access, got[1].n_hex) == (1, 1, 0)
     assert got[2].spans == "hex:0:24,other:25:65" and got[2].n_live == 2
-    assert [got[k].n_example for k in (3, 4, 5)] == [1, 1, 1] and got[3].spans == "assign:0:17"
+    assert [got[k].n_example for k in (3, 4, 5)] == [1, 1, 1] and got[3].spans == "assign:0:16"
     assert got[6].spans == "" and got[6].base_sha256 == hashlib.sha256(b"").hexdigest()
     assert got[7].n_assign == 0 and got[8].spans == "" and got[8].n_example == 1
     assert secret_scan.scan(odd, F.col("source"), F.col("lang")).count() == odd.count()

@@ -38,6 +38,6 @@ def query(name: str, sql: str | None = None):
 
 
 def registered() -> tuple[dict, dict]:
-    from locusweave.queries import cohort, hic, intervals, models, reads, reports, variants  # noqa: F401
+    from locusweave.queries import annotation, cohort, hic, intervals, models, reads, reports, variants  # noqa: F401
 
     return dict(QUERIES), dict(SQL)

@@ -91,3 +91,14 @@ def complexity(ops: Column, size: Column) -> Column:
 def ins_del_ratio(inserted: Column, deleted: Column) -> Column:
     """Inserted over deleted bases, 10 without deletions but with insertions, 0 without either."""
     return F.when(deleted > 0, inserted / deleted).when(inserted > 0, F.lit(10.0)).otherwise(F.lit(0.0))
+
+
+def indel_evidence(cigar: Column, mismatch_tag: Column, sa: Column) -> Column:
+    """(inserted, deleted, clipped, mismatches, split_deleted) bases of a read.
+
+    Mismatches are the NM tag less the indel bases. split_deleted is the gap between this alignment's reference end and
+    a supplementary one that starts behind it on the same strand: sa is (ref_end, chrom_same, start).
+    """
+    ins, dele, clip = (cigar_total(cigar, op) for op in "IDS")
+    gap = F.when(sa["chrom_same"] & (sa["start"] > sa["ref_end"]), sa["start"] - sa["ref_end"]).otherwise(F.lit(0).cast("long"))
+    return F.struct(ins.alias("inserted"), dele.alias("deleted"), clip.alias("clipped"), F.greatest(F.coalesce(mismatch_tag, F.lit(0)) - ins - dele, F.lit(0)).alias("mismatches"), gap.alias("split_deleted"))

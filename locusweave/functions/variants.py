@@ -152,3 +152,29 @@ def natural_key(s: Column) -> Column:
 def filters_of(filter_: Column) -> Column:
     """Filter names as an array, empty for PASS."""
     return F.array_remove(F.split(filter_, ";"), "PASS")
+
+
+def fusion_syntax(gene_a: Column, strand_a: Column, chrom_a: Column, gene_b: Column, strand_b: Column, chrom_b: Column, orientation: Column) -> Column:
+    """gene::gene for pairs that can fuse (orientation 0 or more), gene//gene for others, strands in brackets.
+
+    The partner of the lower chromosome comes first.
+    """
+    side = lambda g, s: F.concat(g, F.when(s > 0, "(+)").otherwise("(-)"))
+    link = F.when(F.coalesce(orientation, F.lit(-1)) >= 0, "::").otherwise("//")
+    swap = F.coalesce(chromosome_rank(chrom_a) > chromosome_rank(chrom_b), F.lit(False))
+    one, two = side(gene_a, strand_a), side(gene_b, strand_b)
+    return F.when(swap, F.concat(two, link, one)).otherwise(F.concat(one, link, two))
+
+
+def coding_change(hgvsc: Column, hgvsp: Column, distance: Column, upstream: Column, first: Column, last: Column) -> Column:
+    """(coding, protein) of an annotation: what follows the colon of its HGVS names.
+
+    Without a coding name: the distance to the gene, else c.? for an event that an exon boundary cuts. Without a protein
+    name: p.(a_b)del from the first and last coding base, p.? if one is unknown.
+    """
+    after = lambda x: F.nullif(F.substring_index(x, ":", -1), F.lit(""))
+    side = F.concat(distance.cast("string"), F.when(upstream, "bp upstream").otherwise("bp downstream"))
+    coding = F.coalesce(after(hgvsc), F.when(distance > 0, side), F.lit("c.?"))
+    span = F.format_string("p.(%d_%d)del", F.ceil(first / 3), F.ceil(last / 3))
+    protein = F.coalesce(one_letter_protein(after(hgvsp)), F.when(first.isNotNull() & last.isNotNull(), span), F.lit("p.?"))
+    return F.struct(coding.alias("coding"), protein.alias("protein"))

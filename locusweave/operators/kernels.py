@@ -199,3 +199,40 @@ def fit_distance_curve(bins: DataFrame) -> DataFrame:
         return pd.DataFrame({"subset": [pdf["subset"].iloc[0]], "alpha": x[0], "beta": x[1], "gamma": x[2], "delta": x[3], "loss": loss(x)})
 
     return bins.groupBy("subset").applyInPandas(run, "subset long, alpha double, beta double, gamma double, delta double, loss double")
+
+
+def infix_distance(pattern: str, text: str) -> int:
+    """Least edit distance of the pattern to any part of the text."""
+    row = np.arange(len(pattern) + 1)
+    least = row[-1]
+    letters = np.frombuffer(pattern.encode(), np.uint8)
+    for c in text.encode():
+        diagonal = row[:-1] + (letters != c)
+        new = np.empty_like(row)
+        new[0] = 0
+        new[1:] = np.minimum(diagonal, row[1:] + 1)
+        steps = np.arange(len(row))
+        row = np.minimum.accumulate(new - steps) + steps  # insertions along the pattern
+        least = min(least, row[-1])
+    return int(least)
+
+
+def control_support(reads: DataFrame, contigs: DataFrame) -> DataFrame:
+    """Control reads that fit an event's alternate contig better than the reference.
+
+    reads(event, read_name, seq), contigs(event, alt_contig, ref_contig). An exact part of one contig alone decides in
+    SQL; only reads that are a part of neither are aligned, once per distinct pair. Gives event, support, reads.
+    """
+    met = reads.join(contigs, "event")
+    in_alt, in_ref = F.contains("alt_contig", "seq"), F.contains("ref_contig", "seq")
+    sure = met.where(in_alt | in_ref).select("event", (in_alt & ~in_ref).cast("int").alias("fits"))
+
+    @F.pandas_udf("int")
+    def nearer(seq: pd.Series, alt: pd.Series, ref: pd.Series) -> pd.Series:
+        return pd.Series([int(infix_distance(s, a) < infix_distance(s, r)) for s, a, r in zip(seq, alt, ref)], dtype="int32")
+
+    open_ = met.where(~(in_alt | in_ref))
+    pairs = open_.groupBy("event", "seq", "alt_contig", "ref_contig").agg(F.count(F.lit(1)).alias("k"))
+    aligned = pairs.select("event", "k", nearer("seq", "alt_contig", "ref_contig").alias("fits"))
+    both = sure.select("event", "fits", F.lit(1).cast("long").alias("k")).unionByName(aligned)
+    return both.groupBy("event").agg(F.sum(F.col("fits") * F.col("k")).alias("support"), F.sum("k").alias("reads"))

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from locusweave.functions import cigar as cg
+from locusweave.functions import variants as fn
 from locusweave.operators import annotation as an
+from locusweave.operators import kernels
 from locusweave.operators import variants as vr
 from locusweave.queries import query
 from locusweave.queries.variants import _ANN
@@ -130,3 +133,47 @@ def _(g):
     order = [F.when(F.col("metric") == "purchase", 0).when(F.col("metric") == "view", 1).otherwise(2), F.desc("value"), F.col("event_id")]
     top = g.metrics.orderBy(*order).limit(50)
     return top.select("metric", "value", F.row_number().over(W.orderBy(*order)).alias("place"))
+
+
+@query(
+    "t05_fusion_syntax",
+    """SELECT a.symbol AS a, b.symbol AS b, CASE WHEN a.chrom > b.chrom THEN concat(b.symbol, CASE WHEN b.strand > 0 THEN '(+)' ELSE '(-)' END, CASE WHEN a.strand * b.strand >= 0 THEN '::' ELSE '//' END, a.symbol, CASE WHEN a.strand > 0 THEN '(+)' ELSE '(-)' END)
+      ELSE concat(a.symbol, CASE WHEN a.strand > 0 THEN '(+)' ELSE '(-)' END, CASE WHEN a.strand * b.strand >= 0 THEN '::' ELSE '//' END, b.symbol, CASE WHEN b.strand > 0 THEN '(+)' ELSE '(-)' END) END AS syntax
+    FROM fx_genes a JOIN fx_genes b ON a.st // 70 + 1 = b.st // 70""",
+)
+def _(g):
+    a = g.genes.select(*[F.col(c).alias(f"{c}_a") for c in ("symbol", "strand", "chrom")], (F.floor(F.col("st") / 70) + 1).alias("k"))
+    b = g.genes.select(*[F.col(c).alias(f"{c}_b") for c in ("symbol", "strand", "chrom")], F.floor(F.col("st") / 70).alias("k"))
+    c = F.col
+    syntax = fn.fusion_syntax(c("symbol_a"), c("strand_a"), c("chrom_a"), c("symbol_b"), c("strand_b"), c("chrom_b"), c("strand_a") * c("strand_b"))
+    return a.join(b, "k").select(c("symbol_a").alias("a"), c("symbol_b").alias("b"), syntax.alias("syntax"))
+
+
+@query(
+    "t11_coding_change",
+    """SELECT id, CASE WHEN pos % 4 = 0 THEN concat('c.', pos, 'A>G') WHEN pos % 4 = 1 THEN concat(alt_reads + 1, 'bp upstream') ELSE 'c.?' END AS coding,
+    CASE WHEN pos % 4 = 0 THEN concat('p.G', pos, 'V') WHEN pos % 4 = 1 THEN 'p.?' ELSE concat('p.(', CAST(ceil(pos / 3.0) AS BIGINT), '_', CAST(ceil((pos + svlen) / 3.0) AS BIGINT), ')del') END AS protein FROM fx_variants""",
+)
+def _(g):
+    pos, k = F.col("pos"), F.col("pos") % 4
+    rows = g.variants.select(
+        "id", F.when(k == 0, F.concat(F.lit("ENST1:c."), pos.cast("string"), F.lit("A>G"))).alias("c"), F.when(k == 0, F.concat(F.lit("ENSP1:p.Gly"), pos.cast("string"), F.lit("Val"))).alias("p"),
+        F.when(k == 1, F.col("alt_reads") + 1).otherwise(0).alias("d"), F.when(k >= 2, pos.cast("long")).alias("first"), F.when(k >= 2, (pos + F.col("svlen")).cast("long")).alias("last"),
+    )
+    x = fn.coding_change(F.col("c"), F.col("p"), F.col("d"), F.lit(True), F.col("first"), F.col("last"))
+    return rows.select("id", x.alias("x")).select("id", "x.*")
+
+
+@query("t26_indel_evidence")
+def _(g):
+    sa = F.struct((F.col("ref_start") + 150).alias("ref_end"), (F.col("mapq") % 2 == 0).alias("chrom_same"), (F.col("ref_start") + 150 + F.col("mapq")).alias("start"))
+    return g.reads.select("read_name", cg.indel_evidence(F.col("cigar"), F.col("mapq") % 7, sa).alias("x")).select("read_name", "x.*")
+
+
+@query("a11_control_support")
+def _(g):
+    p = g.table("part")
+    seq = F.translate(F.upper("p_name"), "BDEFHIJKLMNOPQRSUVWXYZ ", "ACGTACGTACGTACGTACGTACG")
+    contigs = p.select((F.col("p_partkey") % 50).alias("event"), seq.alias("s")).groupBy("event").agg(F.min("s").alias("alt_contig"), F.max("s").alias("ref_contig"))
+    reads = p.select((F.col("p_partkey") % 50).alias("event"), F.col("p_partkey").cast("string").alias("read_name"), F.substring(seq, 1, 8).alias("seq"))
+    return kernels.control_support(reads, contigs)

@@ -120,3 +120,24 @@ def test_bases_beyond_the_ends_are_n(spark):
     sites = spark.createDataFrame([("c", 0), ("c", 4), ("c", 9), ("x", 1)], "chrom string, pos long")
     got = {(r.chrom, r.pos): r.bases for r in text.bases_at(sites, chunks, 2, 2, 4).collect()}
     assert got[("c", 4)] == "GTACG" and got[("c", 9)].startswith("TAC") and got[("x", 1)].strip("N") == ""
+
+
+def test_infix_distance():
+    assert [kernels.infix_distance(p, t) for p, t in (("abc", "xxabcxx"), ("abc", "xxacxx"), ("abc", ""), ("", "x"), ("abcd", "abxcd"))] == [0, 1, 3, 0, 1]
+
+
+def test_frameshift_peptide(spark):
+    from locusweave.operators import annotation as an
+
+    transcripts = spark.createDataFrame([("t", "ATGGCAGCAGCATAA", "GCATAG")], "trx string, cds string, utr string")
+    variants = spark.createDataFrame([(1, "t", 4, "G", "GC"), (2, "t", 4, "G", "A")], "id int, trx string, cds_pos int, ref string, alt string")
+    rows = an.frameshift_peptide(variants, transcripts).collect()
+    # ATG GCC AGC AGC ATA AGC ATA G: no stop before the end
+    assert [(r.id, r.peptide, r.length_change) for r in rows] == [(1, "ASSISI", 3)]
+    assert an.reference_peptide(variants, transcripts).first().peptide == "MAAA"
+
+
+def test_indel_evidence(spark):
+    df = spark.createDataFrame([("5S10M2I3D4M", 7, 20, True, 30), ("10M", None, 20, False, 90)], "c string, nm int, e long, same boolean, st long")
+    x = cg.indel_evidence(F.col("c"), F.col("nm"), F.struct(F.col("e").alias("ref_end"), F.col("same").alias("chrom_same"), F.col("st").alias("start")))
+    assert [tuple(r.x) for r in df.select(x.alias("x")).collect()] == [(2, 3, 5, 2, 10), (0, 0, 0, 0, 0)]

@@ -70,6 +70,15 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Tables of a few short columns go to all tasks up to so many rows, else they are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(keys: DataFrame) -> DataFrame:
+    """keys, a saved table of a few short columns, marked for a broadcast if it has at most BROADCAST_ROWS rows."""
+    return F.broadcast(keys) if keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else keys
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

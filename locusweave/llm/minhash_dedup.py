@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from locusweave.llm.common import runs_on_executors, saved
+from locusweave.llm.common import broadcast_if_small, runs_on_executors, saved
 from locusweave.llm.graph import components
 from locusweave.llm.words import mix64, shingle_sets
 
@@ -43,8 +43,6 @@ SMALL = 3
 PEELS = 1
 #: Stragglers in one row, and parts into which a family's members are dealt to meet them.
 PACK, SLOTS = 16, 32
-#: Texts, sets and buckets are looked up by a broadcast of up to so many rows of a few longs, else by a shuffle.
-BROADCAST_ROWS = 1_000_000
 SLICE = 1 << 16
 ROWS_AT_ONCE = 256
 
@@ -133,14 +131,9 @@ def _full_sets(words: int):
     return full
 
 
-def _if_small(keys: DataFrame) -> DataFrame:
-    """keys, a saved table of a few longs a row, marked for a broadcast if it has at most BROADCAST_ROWS rows."""
-    return F.broadcast(keys) if keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else keys
-
-
 def _sets_of(ids: DataFrame, nodes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
     """ids(node) -> node, n, shingles: full sets, made again from the texts."""
-    wanted = _if_small(saved(nodes.join(ids, "node").select(F.col("first_id").alias("_id")).distinct(), "near-wanted"))
+    wanted = broadcast_if_small(saved(nodes.join(ids, "node").select(F.col("first_id").alias("_id")).distinct(), "near-wanted"))
     rows = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     sets = rows.mapInArrow(_full_sets(words), "node long, shingles array<long>").join(ids, "node", "left_semi")
     return sets.dropDuplicates(["node"]).select("node", F.size("shingles").cast("long").alias("n"), "shingles")
@@ -154,8 +147,8 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those pairs (a, b) whose full sets are similar."""
     one = sets.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("s_a"))
     two = sets.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("s_b"))
-    first = _if_small(saved(pairs.select("a").distinct(), "near-first"))
-    both = two.join(_if_small(pairs), "b").join(one.join(first, "a", "left_semi"), "a")
+    first = broadcast_if_small(saved(pairs.select("a").distinct(), "near-first"))
+    both = two.join(broadcast_if_small(pairs), "b").join(one.join(first, "a", "left_semi"), "a")
     shared = F.size(F.array_intersect("s_a", "s_b")).cast("long")
     return both.where(_similar(shared, F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
 
@@ -180,7 +173,7 @@ def _compare_small(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame
 def _compare_hubs(cells: DataFrame, hubs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between each bucket's hub and its other members. hubs(bucket, hub, hub_n)."""
     near = _similar(F.least("n", "hub_n"), F.col("n"), F.col("hub_n"), percent)
-    pairs = cells.join(_if_small(hubs), "bucket").where((F.col("node") != F.col("hub")) & near)
+    pairs = cells.join(broadcast_if_small(hubs), "bucket").where((F.col("node") != F.col("hub")) & near)
     pairs = pairs.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     return _linked(saved(pairs, "near-pairs"), sets, percent)
 
@@ -195,7 +188,7 @@ def _peel(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     alone counts the shingles that no other node in question has. What a node shares with a partner is at most the
     rest of its set, and the partner is no smaller than the least set of its buckets.
     """
-    live = _if_small(saved(cells.select("node").distinct(), "near-live"))
+    live = broadcast_if_small(saved(cells.select("node").distinct(), "near-live"))
     seen = sets.join(live, "node", "left_semi").select("node", F.explode("shingles").alias("shingle"))
     once = seen.groupBy("shingle").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("node")).where("c = 1")
     alone = once.groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
@@ -214,7 +207,7 @@ def _compare_stragglers(cells: DataFrame, sets: DataFrame, percent: int) -> Data
     meet by a join on the family, so pairs are compared inside a row and only links become rows.
     """
     least = saved(cells.groupBy("bucket").agg(F.min("node").alias("b")), "near-least")
-    families = components(cells.join(_if_small(least), "bucket").select(F.col("node").alias("a"), "b"))
+    families = components(cells.join(broadcast_if_small(least), "bucket").select(F.col("node").alias("a"), "b"))
     members = cells.groupBy("node").agg(F.first("comp").alias("comp"), F.first("n").alias("n"))
     members = members.join(families.select(F.col("a").alias("node"), F.col("b").alias("family")), "node", "left")
     members = saved(members.withColumn("family", F.coalesce("family", "node")), "near-members")
@@ -266,7 +259,7 @@ def classes(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT,
     # Of buckets with the same members one is enough.
     groups = groups.where("size > 1").groupBy("size", "first", "print").agg(F.min("bucket").alias("bucket"))
     groups = saved(groups.select("bucket", "size"), "near-groups")
-    cells = saved(cells.join(_if_small(groups), "bucket"), "near-cells")
+    cells = saved(cells.join(broadcast_if_small(groups), "bucket"), "near-cells")
     stars = None
     if not cells.isEmpty():
         sets = saved(_sets_of(cells.select("node").distinct(), nodes, docs, words), "near-sets")
@@ -284,5 +277,6 @@ def classes(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT,
 
 def dedup(docs: DataFrame, **how) -> DataFrame:
     """The rows of docs whose doc_id is the least of their component, with all their columns."""
-    stay = saved(classes(docs, **how).where("kept").select(F.col("doc_id").alias("_id")).distinct(), "near-kept")
-    return docs.join(stay, docs["doc_id"].eqNullSafe(F.col("_id")), "left_semi")
+    found = saved(classes(docs, **how).groupBy("doc_id").agg(F.bool_or("kept").alias("kept")), "near-kept")
+    gone = saved(found.where("not kept").select(F.col("doc_id").alias("_id")), "near-gone")
+    return docs.join(broadcast_if_small(gone), docs["doc_id"].eqNullSafe(F.col("_id")), "left_anti")

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from locusweave.llm.common import saved, word_count
+from locusweave.llm.common import broadcast_if_small, saved, word_count
 
 WEIGHTS = (3, 1, 2)
 SHARE_PERCENT = 150
@@ -124,7 +124,7 @@ def mix_table(docs: DataFrame, weights=WEIGHTS, share_percent=SHARE_PERCENT, rep
 
 def mix(docs: DataFrame, **how) -> DataFrame:
     """The mixed documents: each row of docs as often as its copies say, with all its columns."""
-    one = mix_table(docs, **how).groupBy(F.col("doc_id").alias("_id")).agg(F.first("copies").alias("_n"))
-    both = docs.join(one, docs["doc_id"].eqNullSafe(F.col("_id")))
+    one = saved(mix_table(docs, **how).groupBy(F.col("doc_id").alias("_id")).agg(F.first("copies").alias("_n")), "mix-copies")
+    both = docs.join(broadcast_if_small(one), docs["doc_id"].eqNullSafe(F.col("_id")))
     again = F.explode(F.array_repeat(F.lit(1), F.col("_n").cast("int")))
     return both.select(*[docs[c] for c in docs.columns], again.alias("_copy")).drop("_copy")

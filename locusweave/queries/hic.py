@@ -14,19 +14,19 @@ _HIT = """h1 AS (SELECT p.pair_id, f.chrom, f.frag_id AS frag, f.is_bait, (f.st
       AND CAST(least(p.en2, f.en) - greatest(p.st2, f.st) AS DOUBLE) / (p.en2 - p.st2) >= 0.6),
     both_ends AS (SELECT a.frag AS bait_id, b.frag AS other_id, b.length, CASE WHEN a.chrom = b.chrom THEN CAST(floor(b.mid - a.mid + 0.5) AS BIGINT) END AS dist_sign FROM h1 a JOIN h2 b USING (pair_id) WHERE a.is_bait = 1
       UNION ALL SELECT a.frag, b.frag, b.length, CASE WHEN a.chrom = b.chrom THEN CAST(floor(b.mid - a.mid + 0.5) AS BIGINT) END FROM h2 a JOIN h1 b USING (pair_id) WHERE a.is_bait = 1),
-    chinput AS (SELECT bait_id, other_id, count(*) AS n, min(length) AS other_length, min(dist_sign) AS dist_sign FROM both_ends WHERE dist_sign IS NULL OR dist_sign <> 0 GROUP BY 1, 2)"""
+    pair_counts AS (SELECT bait_id, other_id, count(*) AS n, min(length) AS other_length, min(dist_sign) AS dist_sign FROM both_ends WHERE dist_sign IS NULL OR dist_sign <> 0 GROUP BY 1, 2)"""
 
 
 def _counts(g):
     return hic.count_fragment_pairs(g.pairs, g.frags)
 
 
-@query("a01_count_fragment_pairs", f"WITH {_HIT} SELECT * FROM chinput")
+@query("a01_count_fragment_pairs", f"WITH {_HIT} SELECT * FROM pair_counts")
 def _(g):
     return _counts(g)
 
 
-@query("a02_bait_to_bait", f"WITH {_HIT} SELECT bait_id, other_id, n FROM chinput WHERE other_id IN (SELECT frag_id FROM fx_frags WHERE is_bait = 1)")
+@query("a02_bait_to_bait", f"WITH {_HIT} SELECT bait_id, other_id, n FROM pair_counts WHERE other_id IN (SELECT frag_id FROM fx_frags WHERE is_bait = 1)")
 def _(g):
     return hic.bait_to_bait(_counts(g), g.frags).select("bait_id", "other_id", "n")
 
@@ -56,7 +56,7 @@ def _(g):
     return hic.export_design(hic.bin_counts_per_bait(g.frags, 20_000, 10, 600, 1600), "bait_id", 10)
 
 
-@query("j14_complete_grid", f"WITH {_HIT}, {_BAND} SELECT b.bait_id, b.other_id, coalesce(c.n, 0) AS n FROM band b LEFT JOIN chinput c ON b.bait_id = c.bait_id AND b.other_id = c.other_id")
+@query("j14_complete_grid", f"WITH {_HIT}, {_BAND} SELECT b.bait_id, b.other_id, coalesce(c.n, 0) AS n FROM band b LEFT JOIN pair_counts c ON b.bait_id = c.bait_id AND b.other_id = c.other_id")
 def _(g):
     grid = distance_band_join(g.frags, 200_000)
     return hic.complete_grid(_counts(g), grid, ("bait_id", "other_id")).select("bait_id", "other_id", "n")
@@ -64,7 +64,7 @@ def _(g):
 
 @query(
     "a04_bait_sparsity",
-    f"""WITH {_HIT}, {_BAND}, x AS (SELECT b.bait_id, CAST(floor(abs(b.distance) / 20000) AS BIGINT) AS bin, count(*) AS total, count(c.n) AS seen FROM band b LEFT JOIN chinput c ON b.bait_id = c.bait_id AND b.other_id = c.other_id GROUP BY 1, 2)
+    f"""WITH {_HIT}, {_BAND}, x AS (SELECT b.bait_id, CAST(floor(abs(b.distance) / 20000) AS BIGINT) AS bin, count(*) AS total, count(c.n) AS seen FROM band b LEFT JOIN pair_counts c ON b.bait_id = c.bait_id AND b.other_id = c.other_id GROUP BY 1, 2)
     SELECT *, total - seen AS missing, (total - seen) / CAST(total AS DOUBLE) AS missing_share FROM x""",
 )
 def _(g):
@@ -97,8 +97,8 @@ _BINS = " + ".join(f"CASE WHEN abs(dist_sign) >= {b} THEN 1 ELSE 0 END" for b in
 
 @query(
     "a06_observed_per_distance_bin",
-    f"""WITH {_HIT}, e AS (SELECT min(bait_id) AS lo, max(bait_id) AS hi FROM chinput)
-    SELECT CAST(least(floor((bait_id - lo) * 5 / (hi - lo + 1)), 4) + 1 AS BIGINT) AS subset, CASE WHEN dist_sign IS NOT NULL THEN {_BINS} END AS bin, count(*) AS pairs, CAST(sum(n) AS BIGINT) AS reads FROM chinput, e GROUP BY 1, 2""",
+    f"""WITH {_HIT}, e AS (SELECT min(bait_id) AS lo, max(bait_id) AS hi FROM pair_counts)
+    SELECT CAST(least(floor((bait_id - lo) * 5 / (hi - lo + 1)), 4) + 1 AS BIGINT) AS subset, CASE WHEN dist_sign IS NOT NULL THEN {_BINS} END AS bin, count(*) AS pairs, CAST(sum(n) AS BIGINT) AS reads FROM pair_counts, e GROUP BY 1, 2""",
 )
 def _(g):
     return hic.observed_per_distance_bin(_counts(g))
@@ -139,7 +139,7 @@ def _(g):
 @query(
     "j22_annotate_interactions",
     f"""WITH {_HIT} SELECT c.bait_id, c.other_id, b.chrom AS bait_chrom, b.annotation AS bait_name, o.chrom AS other_chrom, CASE WHEN o.is_bait = 1 THEN o.annotation ELSE '.' END AS other_name,
-    CASE WHEN b.chrom = o.chrom THEN CAST(ceil((o.st + o.en) / 2.0 - (b.st + b.en) / 2.0) AS BIGINT) END AS distance FROM chinput c JOIN fx_frags b ON c.bait_id = b.frag_id JOIN fx_frags o ON c.other_id = o.frag_id""",
+    CASE WHEN b.chrom = o.chrom THEN CAST(ceil((o.st + o.en) / 2.0 - (b.st + b.en) / 2.0) AS BIGINT) END AS distance FROM pair_counts c JOIN fx_frags b ON c.bait_id = b.frag_id JOIN fx_frags o ON c.other_id = o.frag_id""",
 )
 def _(g):
     return hic.annotate_interactions(_counts(g).select("bait_id", "other_id"), g.frags).select("bait_id", "other_id", "bait_chrom", "bait_name", "other_chrom", "other_name", "distance")
@@ -157,7 +157,7 @@ def _(g):
 
 @query(
     "l15_weight_by_distance",
-    f"WITH {_HIT} SELECT bait_id, other_id, round((1 / (1 + exp(0.5)) - 1 / (1 + exp(3.0))) / (1 + exp(-(8.0 - 0.8 * ln(CAST(abs(dist_sign) AS DOUBLE))))) + 1 / (1 + exp(3.0)), 9) AS weight FROM chinput WHERE dist_sign IS NOT NULL",
+    f"WITH {_HIT} SELECT bait_id, other_id, round((1 / (1 + exp(0.5)) - 1 / (1 + exp(3.0))) / (1 + exp(-(8.0 - 0.8 * ln(CAST(abs(dist_sign) AS DOUBLE))))) + 1 / (1 + exp(3.0)), 9) AS weight FROM pair_counts WHERE dist_sign IS NOT NULL",
 )
 def _(g):
     return _counts(g).where("dist_sign is not null").select("bait_id", "other_id", F.round(hic.weight_by_distance(F.col("dist_sign"), 8.0, -0.8, -3.0, -0.5), 9).alias("weight"))

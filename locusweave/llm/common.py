@@ -28,7 +28,7 @@ def runs_on_executors(module: str) -> None:
 
 
 def give_back_memory() -> None:
-    """After a training on the driver: return freed memory to the system, where the C library can."""
+    """After a training or a task: return freed memory to the system, where the C library can."""
     gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
@@ -87,3 +87,6 @@ def word_count(text: Column) -> Column:
     """Number of words as a long; 0 for null, empty and blank texts."""
     core = F.btrim(text, F.lit(WHITE))
     return F.when(core.isNull() | (core == ""), F.lit(0)).otherwise(F.size(F.split(core, WHITE_CLASS, -1))).cast("long")
+
+
+runs_on_executors(__name__)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from locusweave.llm.common import kept_by_worker, runs_on_executors
+from locusweave.llm.common import give_back_memory, kept_by_worker, runs_on_executors
 
 runs_on_executors(__name__)
 MARK = "▁"
@@ -249,5 +249,7 @@ def _run(docs: DataFrame, model: bytes, digest: bool) -> DataFrame:
                     [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_out, ids_type), pa.array(texts_out, pa.string())],
                     ["doc_id", "n_tokens", "ids_sha256" if digest else "ids", "decoded_sha256" if digest else "decoded"],
                 )
+        own.known.clear()  # an idle worker keeps the vocabulary, not the parts
+        give_back_memory()
 
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, f"doc_id {id_type}, n_tokens long, {kind}")

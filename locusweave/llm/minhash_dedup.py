@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from locusweave.llm.common import broadcast_if_small, runs_on_executors, saved
+from locusweave.llm.common import broadcast_if_small, give_back_memory, runs_on_executors, saved
 from locusweave.llm.graph import components
 from locusweave.llm.words import mix64, shingle_sets
 
@@ -114,6 +114,7 @@ def _sketches(words: int, bands: int, rows: int):
                     [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([_node(s) for s in sets], pa.int64()), lists],
                     ["doc_id", "n_shingles", "node", "buckets"],
                 )
+        give_back_memory()
 
     return sketch
 
@@ -127,6 +128,7 @@ def _full_sets(words: int):
                 flat = np.concatenate(sets).view(np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([pa.array([_node(s) for s in sets], pa.int64()), lists], ["node", "shingles"])
+        give_back_memory()
 
     return full
 

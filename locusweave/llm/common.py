@@ -79,6 +79,27 @@ def broadcast_if_small(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else keys
 
 
+def text_digest(text: Column) -> Column:
+    return F.sha2(F.coalesce(text, F.lit("")), 256)
+
+
+def rows_of_pairs(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """docs without the rows of pairs that are not kept, and with one row of each pair that is.
+
+    pairs(doc_id, text_sha256, kept), saved: pairs that lose rows; the rows of all others stay. Of the rows of a pair
+    the one with the least hash of all columns stays; tasks settle their own rows before any are moved.
+    """
+    keys = [F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")]
+    mine = docs["doc_id"].eqNullSafe(F.col("_id")) & (text_digest(docs["text"]) == F.col("_sha"))
+    again = pairs.where("kept").select(*keys)
+    out = docs.join(broadcast_if_small(pairs.select(*keys)), mine, "left_anti")
+    if again.isEmpty():
+        return out
+    twice = docs.join(broadcast_if_small(again), mine)
+    one = twice.groupBy("_id", "_sha").agg(F.min_by(F.struct(*[docs[c] for c in docs.columns]), F.xxhash64(*[docs[c] for c in docs.columns])).alias("_one"))
+    return out.unionByName(one.select("_one.*"))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -17,10 +17,9 @@ empty result. Other columns are ignored by `classes` and kept by `dedup`.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from locusweave.llm.common import broadcast_if_small, saved
+from locusweave.llm.common import rows_of_pairs, saved
 
 BLOCK_CHARS = 4096
 
@@ -102,15 +101,5 @@ def classes(docs: DataFrame, block_chars: int = BLOCK_CHARS, block_hash=_hash) -
 def dedup(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The rows of docs that stay, with all their columns."""
     found = saved(classes(docs, block_chars), "dedup-classes")
-    pairs = found.groupBy("doc_id", "text_sha256").agg(F.bool_or("kept").alias("kept"))
-    gone = saved(pairs.where("not kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")), "dedup-gone")
-    mine = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.sha2(F.coalesce(docs["text"], F.lit("")), 256) == F.col("_sha"))
-    out = docs.join(broadcast_if_small(gone), mine, "left_anti")
-    repeated = found.groupBy("doc_id", "text_sha256").count().where("count > 1").select(F.col("doc_id").alias("_id"))
-    if repeated.isEmpty():
-        return out
-    # Rows that repeat doc_id and text: the first in the order of a hash of all columns.
-    again = broadcast_if_small(saved(repeated.distinct(), "dedup-repeated"))
-    same = out["doc_id"].eqNullSafe(F.col("_id"))
-    twice = out.join(again, same, "left_semi").withColumn("_n", F.row_number().over(W.partitionBy("doc_id").orderBy(F.xxhash64(*out.columns))))
-    return out.join(again, same, "left_anti").unionByName(twice.where("_n = 1").drop("_n"))
+    pairs = found.groupBy("doc_id", "text_sha256").agg(F.bool_or("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    return rows_of_pairs(docs, saved(pairs.where("not kept or n > 1"), "dedup-pairs"))

@@ -173,6 +173,14 @@ def test_exact_classes(spark, odd, chars, hashed):
     assert exact_dedup.dedup(small, chars).count() == len(groups)
 
 
+def test_exact_dedup_keeps_other_texts_of_a_repeated_id(spark):
+    given = [(5, "A"), (5, "A"), (5, "B"), (None, "C"), (None, "C"), (None, "D"), (None, "E"), (7, "E"), (None, "F"), (None, "F"), (8, "F"), (6, None), (6, "")]
+    df = spark.createDataFrame([(i, t, "en", f"s{k}", k, "r") for k, (i, t) in enumerate(given)], DOCS)
+    got = exact_dedup.dedup(df)
+    assert got.columns == df.columns
+    assert sorted((str(r.doc_id), r.text or "") for r in got.collect()) == [("5", "A"), ("5", "B"), ("6", ""), ("7", "E"), ("8", "F"), ("None", "C"), ("None", "D")]
+
+
 # 6 language model
 
 

@@ -25,11 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from locusweave.llm.common import broadcast_if_small, give_back_memory, runs_on_executors, saved
+from locusweave.llm.common import broadcast_if_small, give_back_memory, runs_on_executors, rows_of_pairs, saved, text_digest
 from locusweave.llm.graph import components
 from locusweave.llm.words import mix64, shingle_sets
 
@@ -111,8 +111,8 @@ def _sketches(words: int, bands: int, rows: int):
                 lengths = np.array([bands if len(s) else 0 for s in sets])
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), pa.array(made.ravel()))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([_node(s) for s in sets], pa.int64()), lists],
-                    ["doc_id", "n_shingles", "node", "buckets"],
+                    [batch.column(0), *batch.columns[2:], pa.array([len(s) for s in sets], pa.int64()), pa.array([_node(s) for s in sets], pa.int64()), lists],
+                    ["doc_id", *batch.schema.names[2:], "n_shingles", "node", "buckets"],
                 )
         give_back_memory()
 
@@ -246,11 +246,12 @@ def _links_of(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return stars if cells.isEmpty() else components(stars.unionByName(_compare_stragglers(cells, sets, percent)))
 
 
-def classes(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """docs(doc_id, text) -> doc_id, n_shingles, component_id, kept; a row per document."""
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    kinds = f"doc_id {id_type}, n_shingles long, node long, buckets array<long>"
-    sketches = saved(docs.select("doc_id", "text").mapInArrow(_sketches(words, bands, rows), kinds), "near-sketches")
+def _labelled(docs: DataFrame, *more: Column, words: int = SHINGLE_WORDS, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
+    """Two tables: doc_id, more, n_shingles, node of each row, and node, comp, component_id of each set that is not empty."""
+    given = docs.select("doc_id", "text", *more)
+    carried = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in given.schema.fields if f.name != "text")
+    kinds = f"{carried}, n_shingles long, node long, buckets array<long>"
+    sketches = saved(given.mapInArrow(_sketches(words, bands, rows), kinds), "near-sketches")
     full = sketches.where("n_shingles > 0")
     # Equal sets have equal buckets.
     nodes = full.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.max("n_shingles").alias("n"), F.first("buckets").alias("buckets"))
@@ -268,17 +269,32 @@ def classes(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT,
         stars = _links_of(cells, sets, percent)
     of = nodes.select("node", "first_id")
     if stars is None:
-        labels = of.withColumnRenamed("first_id", "component_id")
+        labels = of.select("node", F.col("node").alias("comp"), F.col("first_id").alias("component_id"))
     else:
         of = of.join(stars.select(F.col("a").alias("node"), F.col("b").alias("comp")), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        labels = of.join(of.groupBy("comp").agg(F.min("first_id").alias("component_id")), "comp").select("node", "component_id")
-    out = sketches.select("doc_id", "n_shingles", "node").join(saved(labels, "near-labels"), "node", "left")
+        labels = of.join(of.groupBy("comp").agg(F.min("first_id").alias("component_id")), "comp").select("node", "comp", "component_id")
+    return sketches.drop("buckets"), saved(labels, "near-labels")
+
+
+def classes(docs: DataFrame, **how) -> DataFrame:
+    """docs(doc_id, text) -> doc_id, n_shingles, component_id, kept; a row per document."""
+    sketches, labels = _labelled(docs, **how)
+    out = sketches.join(labels.drop("comp"), "node", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def dedup(docs: DataFrame, **how) -> DataFrame:
-    """The rows of docs whose doc_id is the least of their component, with all their columns."""
-    found = saved(classes(docs, **how).groupBy("doc_id").agg(F.bool_or("kept").alias("kept")), "near-kept")
-    gone = saved(found.where("not kept").select(F.col("doc_id").alias("_id")), "near-gone")
-    return docs.join(broadcast_if_small(gone), docs["doc_id"].eqNullSafe(F.col("_id")), "left_anti")
+    """One row of each component, with all its columns, and all rows without shingles.
+
+    It is a row of the least doc_id (null ids last), among its texts of the least digest.
+    """
+    sketches, labels = _labelled(docs, text_digest(F.col("text")).alias("text_sha256"), **how)
+    pairs = sketches.where("n_shingles > 0").groupBy("doc_id", "text_sha256").agg(F.first("node").alias("node"), F.count(F.lit(1)).alias("n"))
+    pairs = saved(pairs.join(labels.select("node", "comp"), "node"), "near-rows")
+    least = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_sha256")
+    best = pairs.groupBy("comp").agg(F.min(least).alias("best"), F.sum("n").alias("rows")).where("rows > 1")
+    best = saved(best.select("comp", F.col("best.doc_id").alias("_id"), F.col("best.text_sha256").alias("_sha")), "near-best")
+    kept = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_sha256") == F.col("_sha"))
+    pairs = pairs.join(broadcast_if_small(best), "comp").select("doc_id", "text_sha256", kept.alias("kept"), "n")
+    return rows_of_pairs(docs, saved(pairs.where("not kept or n > 1"), "near-pairs-gone"))

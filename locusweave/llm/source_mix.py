@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from locusweave.llm.common import broadcast_if_small, saved, word_count
+from locusweave.llm.common import saved, word_count
 
 WEIGHTS = (3, 1, 2)
 SHARE_PERCENT = 150
@@ -101,20 +101,24 @@ def _join_sources(rows: DataFrame, small: DataFrame, on) -> DataFrame:
     return rows.join(F.broadcast(small) if few else small, on)
 
 
-def mix_table(docs: DataFrame, weights=WEIGHTS, share_percent=SHARE_PERCENT, repeats=MOST_REPEATS) -> DataFrame:
-    """docs(doc_id, text, source) -> doc_id, size, source_size, target, copies, taken; a row per document."""
+def _hash(doc_id):
+    return F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.lit(""))), 1, max(DIGITS))
+
+
+def _cuts(docs: DataFrame, weights: tuple, share_percent: int, repeats: int) -> tuple[DataFrame, DataFrame]:
+    """sizes(doc_id, source, size, hash), a row per document, and the thresholds by source, here named _s."""
     sizes = saved(
-        docs.select(
-            "doc_id",
-            "source",
-            word_count(F.col("text")).alias("size"),
-            F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, max(DIGITS)).alias("hash"),
-        ),
+        docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), _hash(F.col("doc_id")).alias("hash")),
         "mix-sizes",
     )
     sources = saved(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), "mix-sources")
     cuts = _thresholds(sizes, targets(sources, weights, share_percent, repeats))
-    cuts = saved(cuts.withColumnRenamed("source", "_s"), "mix-cuts")
+    return sizes, saved(cuts.withColumnRenamed("source", "_s"), "mix-cuts")
+
+
+def mix_table(docs: DataFrame, weights=WEIGHTS, share_percent=SHARE_PERCENT, repeats=MOST_REPEATS) -> DataFrame:
+    """docs(doc_id, text, source) -> doc_id, size, source_size, target, copies, taken; a row per document."""
+    sizes, cuts = _cuts(docs, weights, share_percent, repeats)
     out = _join_sources(sizes, cuts, F.col("source").eqNullSafe(F.col("_s")))
     copies = F.col("whole") + (F.col("hash") < F.col("cut")).cast("long")
     return out.select(
@@ -122,9 +126,11 @@ def mix_table(docs: DataFrame, weights=WEIGHTS, share_percent=SHARE_PERCENT, rep
     )
 
 
-def mix(docs: DataFrame, **how) -> DataFrame:
-    """The mixed documents: each row of docs as often as its copies say, with all its columns."""
-    one = saved(mix_table(docs, **how).groupBy(F.col("doc_id").alias("_id")).agg(F.first("copies").alias("_n")), "mix-copies")
-    both = docs.join(broadcast_if_small(one), docs["doc_id"].eqNullSafe(F.col("_id")))
-    again = F.explode(F.array_repeat(F.lit(1), F.col("_n").cast("int")))
+def mix(docs: DataFrame, weights=WEIGHTS, share_percent=SHARE_PERCENT, repeats=MOST_REPEATS) -> DataFrame:
+    """The mixed documents: each row of docs as often as its own id and source say, with all its columns."""
+    _, cuts = _cuts(docs, weights, share_percent, repeats)
+    cuts = cuts.select("_s", F.col("whole").alias("_whole"), F.col("cut").alias("_cut"))
+    both = _join_sources(docs, cuts, docs["source"].eqNullSafe(F.col("_s")))
+    copies = F.col("_whole") + (_hash(docs["doc_id"]) < F.col("_cut")).cast("long")
+    again = F.explode(F.array_repeat(F.lit(1), copies.cast("int")))
     return both.select(*[docs[c] for c in docs.columns], again.alias("_copy")).drop("_copy")

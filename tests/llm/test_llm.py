@@ -345,9 +345,41 @@ def test_mix_is_near_its_targets_and_agrees_with_itself(spark, odd):
     assert source_mix.mix_table(odd).count() == odd.count()
 
 
+def test_mix_takes_copies_by_row_where_ids_repeat(spark):
+    given = [(k % 40 if k % 4 else None, "w " * (1 + k % 9) + f"t{k}", f"s{k % 3}") for k in range(240)]
+    df = spark.createDataFrame([(i, t, "en", s, 0, "") for i, t, s in given], DOCS)
+    table = source_mix.mix_table(df).collect()
+    out = Counter(r.text for r in source_mix.mix(df).select("text").collect())
+    assert sum(r.copies for r in table) == sum(out.values())
+    assert sum(r.taken for r in table) == sum(len(t.split()) * n for t, n in out.items())
+    by_pair = defaultdict(set)
+    for i, t, s in given:
+        by_pair[i, s].add(out[t])
+    assert all(len(n) == 1 for n in by_pair.values()) and len({n for (i, _), v in by_pair.items() if i is None for n in v}) > 1
+
+
 # pipeline
 
 
+def test_stages_settle_rows_whose_ids_repeat(spark):
+    from unittest import mock
+
+    rng = random.Random(11)
+    near = [f"n{j}" for j in range(60)]
+    alone = [" ".join(f"a{k}x{j}" for j in range(30)) for k in range(4)]
+    given = [(None, " ".join(near)), (None, " ".join([*near, "tail"])), (None, alone[0]), (None, alone[1]), (3, " ".join(["head", *near])), (3, " ".join(["head", *near]) + "\n"), (3, alone[2]), (3, ""), (None, None)]
+    rng.shuffle(given)
+    df = spark.createDataFrame([(i, t, "en", "s", k, "") for k, (i, t) in enumerate(given)], DOCS)
+    out = [(r.doc_id, r.text) for r in minhash_dedup.dedup(df, words=5).collect()]
+    linked = [x for x in out if "n5" in (x[1] or "")]
+    assert len(linked) == 1 and linked[0][0] == 3
+    assert sorted(str(x) for x in out if x not in linked) == sorted(map(str, [(None, alone[0]), (None, alone[1]), (3, alone[2]), (3, ""), (None, None)]))
+    toxic = spark.createDataFrame([(None, "bad"), (None, "good"), (1, "fine"), (1, "bad"), (2, None)], "doc_id long, text string")
+    scores = lambda docs, labels, *more: docs.select("doc_id", *more, F.coalesce((F.col("text") == "bad").cast("double"), F.lit(0.0)).alias("score"))
+    with mock.patch.object(toxicity, "_scored", scores):
+        assert sorted(str(r.text) for r in toxicity.reject(toxic, None).collect()) == ["None", "fine", "good"]
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 

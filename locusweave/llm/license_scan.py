@@ -1,14 +1,17 @@
 """Licence scan by a trained paragraph classifier (DataFrame and Spark ML operations only).
 
-Paragraphs are lines. Each has its distinct words and word pairs; a multinomial logistic regression with an elastic
+Paragraphs are lines, and runs of 2 to WRAP lines without a blank one, so that a wrapped statement is seen whole. Each has its distinct words and word pairs; a multinomial logistic regression with an elastic
 net, fitted on the labelled table below, gives the probability of each licence family and of no licence. Statements
 of families that the model does not know are told by a calibrated threshold on the best family's probability: the
 middle between the least of the known statements' and the greatest of the unknown ones' in the labelled table. A
 predicted family is confirmed if enough of one of its statements' words and pairs stands in the paragraph; one that
 is not confirmed counts as unknown.
 
-Only paragraphs with an anchor word, one that stands in licence statements of the table and nowhere else in it, can
-be statements; the others are in no class by definition, which spares scoring most of a corpus.
+A statement of a known family needs no particular word: paragraphs are left unscored only if they lack so many of each
+statement's words and pairs that none could be confirmed (see `hits`). A statement of an unknown family is a line with
+an anchor word, one that stands in licence statements of the table and nowhere else in it; without that the classifier,
+which has seen few sentences, would call lines of common words. A run of lines counts only if it is confirmed and
+overlaps neither a confirmed line nor a shorter confirmed run; it stands at its first line, for the unknown lines in it.
 
 Defined cases: null and blank texts have no paragraphs; rows are found again by a number of their own, so repeated
 ids keep their own results; an empty table gives an empty result; extra columns are ignored.
@@ -24,7 +27,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusweave.llm.common import saved
+from locusweave.llm.common import WHITE, saved
 
 NONE, UNKNOWN = "none", "unknown"
 #: The labelled table (fixed values): short statements by family, of unknown families, and other sentences.
@@ -117,6 +120,8 @@ FAMILIES = [f for f in LABELLED if f not in (NONE, UNKNOWN)]
 CLASSES = [NONE, *FAMILIES]
 #: Least share of a statement's words and pairs that must stand in a paragraph.
 CONFIRM = 0.6
+#: Most lines over which a wrapped statement is looked for.
+WRAP = 8
 REGULARISATION, L1_SHARE = 0.003, 0.3
 
 
@@ -152,17 +157,68 @@ class Model:
         words = table.select("class", F.explode("grams").alias("gram")).where("gram not like '% %' and length(gram) > 1")
         words = words.groupBy("gram").agg(F.max(F.col("class") == NONE).alias("plain")).where("not plain")
         self.anchors = sorted(r[0] for r in words.select("gram").collect())
+        self.hits = sorted({g for r in table.where(F.col("class").isin(FAMILIES)).select("grams").collect() for g in hits(r[0])})
+
+
+def hits(grams: list[str]) -> list[str]:
+    """So many of a statement's grams, the longest first, that whoever has CONFIRM of all has one of these."""
+    needed = next(c for c in range(len(grams) + 1) if c / len(grams) >= CONFIRM)
+    return sorted(grams, key=lambda g: (-len(g), g))[: len(grams) - needed + 1]
+
+
+def _any_of(grams: list[list[str]]) -> str:
+    """A pattern that finds the starts of these, branched by character; between words may be anything but word characters.
+
+    A word begins after no letter, but it may follow a digit, as in 1.2a.
+    """
+    if [] in grams:
+        return ""
+    after = {}
+    for first, *rest in grams:
+        after.setdefault(first, []).append(rest)
+    return "(?:" + "|".join(("[^a-z0-9]*" if c == " " else re.escape(c)) + _any_of(rest) for c, rest in sorted(after.items())) + ")"
+
+
+def _units(docs: DataFrame, model: Model) -> DataFrame:
+    """row, doc_id, line, n, paragraph, anchored: lines and runs of n lines that could be statements."""
+    anchor = r"(?i)(?<![A-Za-z0-9])(?:" + "|".join(map(re.escape, model.anchors)) + r")(?![A-Za-z0-9])"
+    near = r"(?<![a-z])" + _any_of([list(g) for g in model.hits])
+    hit = lambda c: F.lower(c).rlike(near)
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    rows = rows.withColumn("anchored", F.col("text").rlike(anchor)).withColumn("hit", hit(F.col("text"))).where("anchored or hit")
+    ahead = F.transform("all", lambda _, i: F.slice("all", i + 1, F.when(F.col("hit"), F.lit(WRAP)).otherwise(F.lit(1))))
+    lines = rows.select("row", "doc_id", "hit", F.split("text", "\n").alias("all")).select("row", "doc_id", F.posexplode(ahead).alias("line", "run"))
+    lines = lines.withColumn("wrapped", (F.size("run") > 1) & hit(F.array_join("run", "\n")))
+    blank = F.array_position(F.transform("run", lambda x: F.btrim(x, F.lit(WHITE)) == ""), True).cast("int")
+    most = F.when(~F.col("wrapped"), 1).when(blank > 1, blank - 1).when(blank == 1, 1).otherwise(F.size("run"))
+    lines = lines.select("row", "doc_id", "line", "run", F.explode(F.sequence(F.lit(1), most)).alias("n"))
+    units = lines.select("row", "doc_id", "line", "n", F.array_join(F.slice("run", F.lit(1), F.col("n")), "\n").alias("paragraph"))
+    units = units.withColumn("anchored", (F.col("n") == 1) & F.col("paragraph").rlike(anchor))
+    return units.where(F.col("anchored") | hit(F.col("paragraph")))
+
+
+def _settled(found: DataFrame) -> DataFrame:
+    """Which units stay: confirmed ones in order of length, probability and place, but for those that overlap one before."""
+    mark = F.struct("n", (-F.col("probability")).alias("less"), "line")
+    sure = found.where("confirmed").groupBy("row").agg(F.array_sort(F.collect_list(mark)).alias("marks"))
+    none = F.filter("marks", lambda m: F.lit(False))
+    meet = lambda x, m: (x["line"] < m["line"] + m["n"]) & (m["line"] < x["line"] + x["n"])
+    single = F.filter("marks", lambda m: m["n"] == 1)
+    runs = F.filter("marks", lambda m: (m["n"] > 1) & ~F.exists(single, lambda x: meet(x, m)))
+    runs = F.aggregate(runs, none, lambda kept, m: F.when(F.exists(kept, lambda x: meet(x, m)), kept).otherwise(F.array_append(kept, m)))
+    out = found.join(sure.select("row", runs.alias("runs")), "row", "left")
+    runs = F.coalesce("runs", F.array().cast(out.schema["runs"].dataType))
+    inside = F.exists(runs, lambda m: (m["line"] <= F.col("line")) & (F.col("line") < m["line"] + m["n"]))
+    same = F.exists(runs, lambda m: (m["line"] == F.col("line")) & (m["n"] == F.col("n")))
+    return out.where(F.when(F.col("n") > 1, same).otherwise(~inside)).drop("runs")
 
 
 def statements(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """docs(doc_id, text) -> row, doc_id, line, paragraph, family, probability, confirmed; a row per licence statement."""
+    """docs(doc_id, text) -> row, doc_id, line, n, paragraph, family, probability, confirmed; a row per licence statement."""
     model = model or Model(docs.sparkSession)
-    anchor = r"(?i)(?<![A-Za-z0-9])(?:" + "|".join(map(re.escape, model.anchors)) + r")(?![A-Za-z0-9])"
-    lines = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").where(F.col("text").rlike(anchor))
-    lines = lines.select("row", "doc_id", F.posexplode(F.split("text", "\n")).alias("line", "paragraph"))
-    lines = saved(lines.where(F.col("paragraph").rlike(anchor)), "licence-lines")
-    grams = lines.select("row", "line", F.explode(_grams(F.col("paragraph"))).alias("gram"))
-    sums = grams.join(F.broadcast(model.weights), "gram").groupBy("row", "line").agg(*[F.sum(f"w{k}").alias(f"w{k}") for k in range(len(CLASSES))])
+    lines = saved(_units(docs, model), "licence-lines")
+    grams = lines.select("row", "line", "n", F.explode(_grams(F.col("paragraph"))).alias("gram"))
+    sums = grams.join(F.broadcast(model.weights), "gram").groupBy("row", "line", "n").agg(*[F.sum(f"w{k}").alias(f"w{k}") for k in range(len(CLASSES))])
     logits = F.array(*[F.col(f"w{k}") + b for k, b in enumerate(model.intercepts)])
     raised = F.transform(F.col("z"), lambda z: F.exp(z - F.array_max("z")))
     total = F.aggregate("e", F.lit(0.0), lambda a, x: a + x)
@@ -171,13 +227,15 @@ def statements(docs: DataFrame, model: Model | None = None) -> DataFrame:
     names = F.array(*map(F.lit, FAMILIES))
     scored = scored.withColumn("probability", top).where(F.element_at("p", 1) < 0.5)
     scored = scored.withColumn("guess", F.element_at(names, F.array_position(F.slice("p", 2, len(FAMILIES)), F.col("probability")).cast("int")))
-    scored = scored.select("row", "line", "guess", "probability")
-    held = grams.join(F.broadcast(model.statements), "gram").groupBy("row", "line", "of", "id").agg((F.count(F.lit(1)) / F.first("length")).alias("share"))
-    held = held.groupBy("row", "line", "of").agg(F.max("share").alias("share")).withColumnRenamed("of", "guess")
-    scored = scored.join(held, ["row", "line", "guess"], "left")
+    scored = scored.select("row", "line", "n", "guess", "probability")
+    held = grams.join(F.broadcast(model.statements), "gram").groupBy("row", "line", "n", "of", "id").agg((F.count(F.lit(1)) / F.first("length")).alias("share"))
+    held = held.groupBy("row", "line", "n", "of").agg(F.max("share").alias("share")).withColumnRenamed("of", "guess")
+    scored = scored.join(held, ["row", "line", "n", "guess"], "left")
     sure = (F.col("probability") >= model.least) & (F.coalesce("share", F.lit(0.0)) >= CONFIRM)
     scored = scored.withColumn("confirmed", sure).withColumn("family", F.when(sure, F.col("guess")).otherwise(UNKNOWN))
-    return lines.join(scored.select("row", "line", "family", "probability", "confirmed"), ["row", "line"])
+    found = lines.join(scored.select("row", "line", "n", "family", "probability", "confirmed"), ["row", "line", "n"])
+    found = saved(found.where("confirmed or anchored").drop("anchored"), "licence-found")
+    return _settled(found)
 
 
 def scan(docs: DataFrame) -> DataFrame:

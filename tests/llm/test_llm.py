@@ -153,6 +153,20 @@ def test_licences(spark, odd):
     assert license_scan.scan(odd).count() == odd.count()
 
 
+def test_labelled_statements_are_found_whole_and_wrapped(spark):
+    import textwrap
+
+    given = [(f, t, w) for f in license_scan.FAMILIES for t in license_scan.LABELLED[f] for w in (None, 40)]
+    wrapped = lambda t, w: t if w is None else "\n".join(textwrap.wrap(t, w))
+    rows = [(k, "He went home.\n\n" + wrapped(t, w) + "\n\nThe end.") for k, (_, t, w) in enumerate(given)] + [(1000, "\n".join(license_scan.LABELLED[license_scan.NONE]))]
+    got = {r.doc_id: r for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1000].n_statements == 0
+    for k, (family, t, w) in enumerate(given):
+        assert family in got[k].families.split(","), (t, w, got[k])
+        if w is None:
+            assert got[k].lines == f"2:{family}"
+
+
 # 5 exact
 
 

@@ -63,7 +63,7 @@ def labelled_reads_of(rows: DataFrame) -> DataFrame:
     p = _parts()
     label = F.when(F.get(p, F.lit(0)).isin("TP", "1"), 1).when(F.get(p, F.lit(0)).isin("TN", "0"), 0)
     at = lambda k: F.get(p, F.lit(k))
-    tags = F.map_from_entries(F.transform(F.filter(F.slice(p, 15, 1000), lambda t: t.rlike("^..:.:")), lambda t: F.struct(F.substring(t, 1, 2), F.substring(t, 6, 10_000))))
+    tags = F.map_from_entries(F.transform(F.filter(F.slice(p, F.lit(15), F.greatest(F.size(p) - 14, F.lit(0))), lambda t: t.rlike("^..:.:")), lambda t: F.struct(F.substring(t, 1, 2), F.substring(t, F.lit(6), F.length(t)))))
     out = rows.where((F.size(p) >= 14) & at(2).try_cast("long").isNotNull() & label.isNotNull())
     return out.select(
         label.alias("label"), at(1).alias("chrom"), at(2).cast("long").alias("pos"), at(3).alias("read_name"), at(4).try_cast("int").alias("flag"), (at(6).try_cast("long") - 1).alias("ref_start"),

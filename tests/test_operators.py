@@ -141,3 +141,11 @@ def test_indel_evidence(spark):
     df = spark.createDataFrame([("5S10M2I3D4M", 7, 20, True, 30), ("10M", None, 20, False, 90)], "c string, nm int, e long, same boolean, st long")
     x = cg.indel_evidence(F.col("c"), F.col("nm"), F.struct(F.col("e").alias("ref_end"), F.col("same").alias("chrom_same"), F.col("st").alias("start")))
     assert [tuple(r.x) for r in df.select(x.alias("x")).collect()] == [(2, 3, 5, 2, 10), (0, 0, 0, 0, 0)]
+
+
+def test_labelled_reads_keep_long_and_many_tags(spark):
+    record = ["TP", "chr1", "100", "r1", "0", "chr1", "90", "60", "10M", "*", "0", "0", "ACGT", "IIII"]
+    tags = [f"{a}{b}:Z:v" for a in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"][:1200]
+    rows = spark.createDataFrame([("\t".join([*record, *tags, "9Z:Z:" + "m" * 50_000]),), ("\t".join(record),)], "value string")
+    got = sorted((r.tags for r in text.labelled_reads_of(rows).collect()), key=len)
+    assert got[0] == {} and len(got[1]) == 1201 and got[1]["9Z"] == "m" * 50_000

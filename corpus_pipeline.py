@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from locusweave.llm import exact_dedup, minhash_dedup, sentencepiece_codec, source_mix, toxicity
-from locusweave.llm.common import read_table, saved
+from locusweave.llm.common import drop_tables, read_table, saved, written
 from locusweave.llm.queries import tokenizer_path
 
 
@@ -52,6 +52,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
+    before = len(written)
     for name, stage in STAGES[:-1]:
         docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        drop_tables(spark, written[before:-1])  # what this stage needed, and what the one before returned
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from locusweave.llm.common import broadcast_if_small, give_back_memory, runs_on_executors, rows_of_pairs, saved, text_digest
+from locusweave.llm.common import broadcast_if_small, give_back_memory, runs_on_executors, rows_of_pairs, saved, small_batches, text_digest, unused
 from locusweave.llm.graph import components
 from locusweave.llm.words import mix64, shingle_sets
 
@@ -137,7 +137,7 @@ def _sets_of(ids: DataFrame, nodes: DataFrame, docs: DataFrame, words: int) -> D
     """ids(node) -> node, n, shingles: full sets, made again from the texts."""
     wanted = broadcast_if_small(saved(nodes.join(ids, "node").select(F.col("first_id").alias("_id")).distinct(), "near-wanted"))
     rows = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    sets = rows.mapInArrow(_full_sets(words), "node long, shingles array<long>").join(ids, "node", "left_semi")
+    sets = small_batches(rows).mapInArrow(_full_sets(words), "node long, shingles array<long>").join(ids, "node", "left_semi")
     return sets.dropDuplicates(["node"]).select("node", F.size("shingles").cast("long").alias("n"), "shingles")
 
 
@@ -251,7 +251,7 @@ def _labelled(docs: DataFrame, *more: Column, words: int = SHINGLE_WORDS, percen
     given = docs.select("doc_id", "text", *more)
     carried = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in given.schema.fields if f.name != "text")
     kinds = f"{carried}, n_shingles long, node long, buckets array<long>"
-    sketches = saved(given.mapInArrow(_sketches(words, bands, rows), kinds), "near-sketches")
+    sketches = saved(small_batches(given).mapInArrow(_sketches(words, bands, rows), kinds), "near-sketches")
     full = sketches.where("n_shingles > 0")
     # Equal sets have equal buckets.
     nodes = full.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.max("n_shingles").alias("n"), F.first("buckets").alias("buckets"))

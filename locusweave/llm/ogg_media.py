@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from locusweave.llm.common import runs_on_executors
+from locusweave.llm.common import runs_on_executors, small_batches
 
 runs_on_executors(__name__)
 FRAME = 576
@@ -217,4 +217,4 @@ def _run(docs: DataFrame, digest: bool) -> DataFrame:
                 columns = [pa.array([r[k] for r in rows], types[t]) for k, (_, t) in enumerate(fields)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", *[n for n, _ in fields]])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, {kinds}")
+    return small_batches(docs).select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, {kinds}")

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from locusweave.llm.common import give_back_memory, kept_by_worker, runs_on_executors
+from locusweave.llm.common import give_back_memory, kept_by_worker, runs_on_executors, small_batches
 
 runs_on_executors(__name__)
 MARK = "▁"
@@ -36,8 +37,9 @@ SHIFT, PLACES = 22, 32
 #: Parts of up to so many characters are merged many at a time.
 SHORT = 24
 NOTHING = np.iinfo(np.int64).max
-#: Parts that a worker remembers.
-REMEMBERED = 400_000
+#: Bytes that the parts which a worker remembers may take, and what one takes besides its characters and ids.
+REMEMBERED = 48 << 20
+PART_BYTES = 200
 ROWS_AT_ONCE = 256
 
 
@@ -67,7 +69,10 @@ class Encoder:
             raise ValueError("a piece has a space mark inside; texts of this vocabulary cannot be cut at marks")
         feeds = "" if any("\n" in p for p in self.pieces) else "\n"
         self.parts = re.compile(f"{MARK}+[^{MARK}{feeds}]*|[^{MARK}{feeds}]+" + ("|\n+" if feeds else ""))
-        self.remembered, self.known = remembered, {}
+        self.remembered, self.known, self.held = remembered, {}, 0
+        # Ids are kept as packed numbers.
+        self.code = "H" if n <= 1 << 16 else "I"
+        self.packed = np.dtype(self.code)
         self.unchecked: list[str] = []
         order = sorted(self.merges)
         self.pair_keys = np.array(order, np.int64)
@@ -122,8 +127,11 @@ class Encoder:
                 out += [self.bytes[b] for b in c.encode()]
         return tuple(out)
 
-    def short_parts(self, parts: list[str]) -> list[tuple[int, ...] | None]:
-        """Merge many short parts together; None for a part that needs bytes or has pieces of equal score.
+    def pack(self, ids) -> bytes:
+        return array(self.code, ids).tobytes()
+
+    def short_parts(self, parts: list[str]) -> list[bytes | None]:
+        """Merge many short parts together; packed ids, or None for a part that needs bytes or has pieces of equal score.
 
         Each part is a row of symbols beside its agenda, the row of (rank, piece) of its adjacent pairs. Each round takes
         the least entry of every row, the first of equal ones, merges it and renews the entries of its neighbours.
@@ -136,7 +144,7 @@ class Encoder:
         symbols[:, :width][np.arange(width) < lengths[:, None]] = found
         plain = (symbols < self.size).all(1) & ((symbols[:, :width] >= 0).sum(1) == lengths)
         agenda = self._made(symbols[:, :-1] << SHIFT | symbols[:, 1:])
-        out: list[tuple[int, ...] | None] = [None] * len(parts)
+        out: list[bytes | None] = [None] * len(parts)
         rows, cols = np.flatnonzero(plain), np.arange(width + 1)
         symbols, agenda = symbols[rows], agenda[rows]
         while len(rows):
@@ -145,8 +153,11 @@ class Encoder:
             best = agenda[here, at]
             done = best == NOTHING
             if done.any():
-                for r, line in zip(rows[done].tolist(), symbols[done].tolist()):
-                    out[r] = tuple(line[: line.index(-1)])
+                ready = symbols[done]
+                ends = (ready >= 0).sum(1) * self.packed.itemsize
+                flat, wide = ready.astype(self.packed).tobytes(), ready.shape[1] * self.packed.itemsize
+                for k, (r, end) in enumerate(zip(rows[done].tolist(), ends.tolist())):
+                    out[r] = flat[k * wide : k * wide + end]
                 rows, symbols, agenda, at, best = (x[~done] for x in (rows, symbols, agenda, at, best))
                 here = here[: len(rows)]
             if not len(rows):
@@ -166,7 +177,7 @@ class Encoder:
         at = np.searchsorted(self.pair_keys, pairs).clip(0, len(self.pair_keys) - 1)
         return np.where(self.pair_keys[at] == pairs, self.pair_made[at], NOTHING)
 
-    def encode_batch(self, texts: list[str]) -> list[list[int]]:
+    def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
         cut = [self.parts.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
         known = self.known
@@ -174,17 +185,18 @@ class Encoder:
         by_length = sorted((p for p in new if len(p) <= SHORT and not any(t in p for t in self.tied)), key=len)
         for a in range(0, len(by_length), 4096):
             known.update((p, ids) for p, ids in zip(by_length[a : a + 4096], self.short_parts(by_length[a : a + 4096])) if ids is not None)
-        known.update((p, self.part(p)) for p in new if p not in known)
+        known.update((p, self.pack(self.part(p))) for p in new if p not in known)
+        self.held += sum(PART_BYTES + 2 * len(p) + len(known[p]) for p in new)
         self.unchecked += new
-        return [list(chain.from_iterable(map(known.__getitem__, parts))) for parts in cut]
+        return [np.frombuffer(b"".join(map(known.__getitem__, parts)), self.packed) for parts in cut]
 
-    def forget(self) -> None:
-        """Start afresh when too many parts are remembered."""
-        if len(self.known) > self.remembered:
-            self.known.clear()
+    def forget(self, most: int | None = None) -> None:
+        """Start afresh when the remembered parts take too many bytes."""
+        if self.held > (self.remembered if most is None else most):
+            self.known, self.held = {}, 0
 
     def encode(self, text: str) -> list[int]:
-        return self.encode_batch([text])[0]
+        return self.encode_batch([text])[0].tolist()
 
     def check(self, text: str) -> None:
         """Compare the parts encoded since the last check, and a whole text, with the library.
@@ -200,7 +212,7 @@ class Encoder:
         for part, m, ids in zip(parts, marked, theirs):
             if m and not part[1:]:
                 ids = self.library.encode("\n" + part)[len(feed) :]
-            same = same and list(self.known[part]) == (ids if m else ids[len(feed) :])
+            same = same and self.known[part] == self.pack(ids if m else ids[len(feed) :])
             if not same:
                 raise ValueError(f"ids differ from the library's for {part[:60]!r}")
         if not same:
@@ -237,7 +249,8 @@ def _run(docs: DataFrame, model: bytes, digest: bool) -> DataFrame:
                 batch = whole.slice(a, ROWS_AT_ONCE)
                 counts, ids_out, texts_out = [], [], []
                 texts = batch.column(1).to_pylist()
-                for ids in own.encode_batch(texts):
+                for packed in own.encode_batch(texts):
+                    ids = packed.tolist()
                     back = own.library.decode(ids) if ids else ""
                     counts.append(len(ids))
                     ids_out.append(sha(",".join([names[i] for i in ids])) if digest else ids)
@@ -249,7 +262,7 @@ def _run(docs: DataFrame, model: bytes, digest: bool) -> DataFrame:
                     [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_out, ids_type), pa.array(texts_out, pa.string())],
                     ["doc_id", "n_tokens", "ids_sha256" if digest else "ids", "decoded_sha256" if digest else "decoded"],
                 )
-        own.known.clear()  # an idle worker keeps the vocabulary, not the parts
+        own.forget(0)  # an idle worker keeps the vocabulary, not the parts
         give_back_memory()
 
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, f"doc_id {id_type}, n_tokens long, {kind}")
+    return small_batches(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, f"doc_id {id_type}, n_tokens long, {kind}")

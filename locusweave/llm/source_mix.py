@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from locusweave.llm.common import saved, word_count
+from locusweave.llm.common import saved, unused, word_count
 
 WEIGHTS = (3, 1, 2)
 SHARE_PERCENT = 150
@@ -129,8 +129,9 @@ def mix_table(docs: DataFrame, weights=WEIGHTS, share_percent=SHARE_PERCENT, rep
 def mix(docs: DataFrame, weights=WEIGHTS, share_percent=SHARE_PERCENT, repeats=MOST_REPEATS) -> DataFrame:
     """The mixed documents: each row of docs as often as its own id and source say, with all its columns."""
     _, cuts = _cuts(docs, weights, share_percent, repeats)
-    cuts = cuts.select("_s", F.col("whole").alias("_whole"), F.col("cut").alias("_cut"))
-    both = _join_sources(docs, cuts, docs["source"].eqNullSafe(F.col("_s")))
-    copies = F.col("_whole") + (_hash(docs["doc_id"]) < F.col("_cut")).cast("long")
+    of, all_of_it, upto, copy = unused(docs, "of", "all_of_it", "upto", "copy")
+    cuts = cuts.select(F.col("_s").alias(of), F.col("whole").alias(all_of_it), F.col("cut").alias(upto))
+    both = _join_sources(docs, cuts, docs["source"].eqNullSafe(F.col(of)))
+    copies = F.col(all_of_it) + (_hash(docs["doc_id"]) < F.col(upto)).cast("long")
     again = F.explode(F.array_repeat(F.lit(1), copies.cast("int")))
-    return both.select(*[docs[c] for c in docs.columns], again.alias("_copy")).drop("_copy")
+    return both.select(*[docs[c] for c in docs.columns], again.alias(copy)).drop(copy)

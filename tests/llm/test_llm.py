@@ -126,7 +126,7 @@ def test_encoder_equals_library():
     texts = [t or "" for t in ODD] + ["".join(rng.choice("abcdeth \t\n▁éßñ日🎉\x00AB.,  12") for _ in range(rng.randrange(60))) for _ in range(2000)]
     for a in range(0, len(texts), 100):
         part = texts[a : a + 100]
-        assert own.encode_batch(part) == own.library.encode(part)
+        assert [ids.tolist() for ids in own.encode_batch(part)] == own.library.encode(part)
         own.check(part[0])
         own.forget()
 
@@ -389,11 +389,23 @@ def test_stages_settle_rows_whose_ids_repeat(spark):
     assert len(linked) == 1 and linked[0][0] == 3
     assert sorted(str(x) for x in out if x not in linked) == sorted(map(str, [(None, alone[0]), (None, alone[1]), (3, alone[2]), (3, ""), (None, None)]))
     toxic = spark.createDataFrame([(None, "bad"), (None, "good"), (1, "fine"), (1, "bad"), (2, None)], "doc_id long, text string")
-    scores = lambda docs, labels, *more: docs.select("doc_id", *more, F.coalesce((F.col("text") == "bad").cast("double"), F.lit(0.0)).alias("score"))
+    scores = lambda docs, labels, *more: (docs.select("doc_id", *more, F.coalesce((F.col("text") == "bad").cast("double"), F.lit(0.0)).alias("score")), mock.Mock())
     with mock.patch.object(toxicity, "_scored", scores):
         assert sorted(str(r.text) for r in toxicity.reject(toxic, None).collect()) == ["None", "fine", "good"]
 
 
+def test_stages_keep_columns_of_any_name(spark):
+    names = ["doc_id", "text", "lang", "source", "_id", "_sha", "_copy", "_n", "key", "sha", "whole", "of", "upto", "copy", "Node", "kept", "text_sha256", "all_of_it"]
+    rows = [(k % 7 if k % 5 else None, f"word{k % 11} " * 12 + "x y z w v", "en", f"s{k % 2}", *range(k, k + 14)) for k in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, " + ", ".join(f"{n} int" for n in names[4:]))
+    labels = spark.createDataFrame([(k, 1, k % 2) for k in range(7)], "doc_id long, quality int, toxic int")
+    given = {tuple(r) for r in df.collect()}
+    for stage in (exact_dedup.dedup, minhash_dedup.dedup, source_mix.mix, lambda d: toxicity.reject(d, labels)):
+        out = stage(df)
+        assert out.columns == names and {tuple(r) for r in out.collect()} <= given
+    assert exact_dedup.dedup(df).count() == 11
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 

@@ -2,8 +2,9 @@
 
 A text is cut into blocks of a fixed number of characters. The distinct blocks are sorted into integer names: equal
 blocks get one name, different blocks different names. Adjacent names of a text are then paired, the distinct pairs
-are sorted into new names, and so on, so that after log2(blocks) rounds each text has one integer, its identity. Two
-rows share an identity exactly if their texts are equal.
+are sorted into new names, and so on, so that after log2(blocks) rounds each text has one integer; with the number of its
+rounds in the low bits it is the text's identity. A text leaves the rounds when it has one name, so each round works on
+the longer half only. Two rows share an identity exactly if their texts are equal.
 
 Texts move once, as distinct blocks; after that only integers do. Blocks travel by their 64-bit hash, and the distinct
 blocks of each hash are gathered with it (one, but for collisions). A hash that two different blocks share is settled
@@ -19,9 +20,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from locusweave.llm.common import rows_of_pairs, saved
+from locusweave.llm.common import join_hot, rows_of_pairs, saved
 
 BLOCK_CHARS = 4096
+#: More than the number of rounds.
+ROUNDS = 64
 
 
 def _blocks(text, chars: int):
@@ -76,24 +79,35 @@ def classes(docs: DataFrame, block_chars: int = BLOCK_CHARS, block_hash=_hash) -
         "dedup-heads",
     )
     cells = heads.select("row", F.posexplode("hashes").alias("at", "hash"))
+    lengths = heads.where(F.size("hashes") > 1).select("row", F.size("hashes").alias("left_over"))
+    most = lengths.agg(F.max("left_over")).first()[0] or 1
     names = saved(_block_names(docs, heads, cells, block_chars, block_hash), "dedup-names0")
-    most = heads.agg(F.max(F.size("hashes"))).first()[0] or 1
+    if most == 1:
+        ended, live = [names.select("row", (F.col("name") * ROUNDS).alias("text_id"))], None
+    else:
+        names = saved(names.join(lengths, "row", "left"), "dedup-lengths")
+        ended = [names.where("left_over is null").select("row", (F.col("name") * ROUNDS).alias("text_id"))]
+        live = names.where("left_over is not null")
     rounds = 0
     while most > 1:
         rounds += 1
-        slot = (F.col("at") % 2 == 0)
-        pairs = names.groupBy("row", F.floor(F.col("at") / 2).cast("int").alias("at")).agg(
+        slot = F.col("at") % 2 == 0
+        fewer = F.floor((F.col("left_over") + 1) / 2).cast("int").alias("left_over")
+        pairs = live.groupBy("row", F.floor(F.col("at") / 2).cast("int").alias("at"), fewer).agg(
             F.max(F.when(slot, F.col("name"))).alias("left"), F.coalesce(F.max(F.when(~slot, F.col("name"))), F.lit(-1)).alias("right")
         )
         made = _named(pairs.select("left", "right").distinct(), "left", "right")
-        names = saved(pairs.join(made, ["left", "right"]).select("row", "at", "name"), f"dedup-names{rounds}")
+        names = saved(pairs.join(made, ["left", "right"]).select("row", "at", "left_over", "name"), f"dedup-names{rounds}")
+        ended.append(names.where("left_over = 1").select("row", (F.col("name") * ROUNDS + rounds).alias("text_id")))
+        live = names.where("left_over > 1")
         most = (most + 1) // 2
-    rows = saved(
-        heads.select("row", "doc_id", "text_sha256").join(names.select("row", F.col("name").alias("text_id")), "row"), "dedup-ids"
-    )
+    ids = ended[0]
+    for more in ended[1:]:
+        ids = ids.unionByName(more)
+    rows = saved(heads.select("row", "doc_id", "text_sha256").join(ids, "row"), "dedup-ids")
     best = F.max(F.struct("doc_id", -F.col("row")))
-    groups = rows.groupBy("text_id").agg(F.count(F.lit(1)).alias("group_size"), best.alias("best"))
-    out = rows.join(groups, "text_id")
+    groups = saved(rows.groupBy("text_id").agg(F.count(F.lit(1)).alias("group_size"), best.alias("best")), "dedup-groups")
+    out = join_hot(rows, groups, "text_id", "group_size")
     kept = F.col("row") == -F.col("best.col2")
     return out.select("doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", kept.alias("kept"), "text_sha256", "text_id")
 

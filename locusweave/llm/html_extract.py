@@ -2,20 +2,27 @@
 
 A page is read into flat blocks: runs of text between block-level tags. Each block has its number of words, its link
 density, the same of its two neighbours, and marks for its place: inside furniture (menus, headers, footers,
-sidebars, notices, adverts, forms, reader comments, told from tags, roles and class names), inside an article,
-heading, end of sentence. A decision tree over these features, grown on a small labelled table of pages below, keeps
-or drops each block. Kept blocks are joined in page order.
+sidebars, notices, adverts, forms, reader comments, told from tags, roles and class names of any element), inside an
+article, heading, end of sentence. A decision tree over these features, grown on the labelled table below, keeps or
+drops each block. Kept blocks are joined in page order. Where marks tell nothing, words and link densities of a block
+and of its neighbours decide.
+
+A class name of several words is told by its last word that is not a mere box (`share-price-article` is an article,
+`sidebar-content` a sidebar); a name that says what there is not, or what the page has beside (`no-sidebar`,
+`has-sidebar`), tells nothing.
 
 Defined cases: null or empty html gives an empty text; scripts, styles, comments and unfinished tags are markup and
 give none; unknown or missing end tags end at the end of what encloses them; character references are decoded after
 markup is taken out; white space in a block becomes one space. Rows are independent, so repeated ids, extra columns
-and empty tables need no care; a page is read whole, whatever its length.
+and empty tables need no care; a page is read whole, whatever its length, in time that grows with it.
 """
 
 from __future__ import annotations
 
 import html
+import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from locusweave.llm.common import runs_on_executors
+from locusweave.llm.common import runs_on_executors, small_batches
 
 runs_on_executors(__name__)
 #: Element names and class words.
@@ -33,17 +40,31 @@ BLOCKS = set(
     "select summary table tbody td tfoot th thead title tr ul".split()
 )
 CONTAINERS = set("article aside blockquote button details dialog div dl fieldset figure footer form header main menu nav noscript ol section select table ul".split())
+VOID = set("area base br col embed frame hr img input link meta param source track wbr".split())
+#: Block elements that the start of another block, or of one of these, ends.
+ENDED_BY = {
+    **dict.fromkeys("p h1 h2 h3 h4 h5 h6 address caption summary figcaption legend pre center body head html option optgroup".split(), None),
+    "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "tr": {"tr", "tbody", "tfoot"}, "thead": {"tbody", "tfoot"}, "tbody": {"tbody", "tfoot"},
+}
 SILENT = ("script", "style", "title", "textarea", "template", "iframe", "svg", "object", "noframes")
 FURNITURE_TAGS = set("nav header footer aside form button select dialog menu noscript fieldset".split())
-FURNITURE_WORDS = set(
-    "ad ads adv advert adverts advertisement advertising sponsor sponsored banner promo promotion cookie cookies consent notice notices "
-    "alert popup modal overlay nav navbar navigation navigational menu menubar breadcrumb breadcrumbs sidebar side aside widget widgets "
-    "footer header masthead topbar comment comments commentlist respond reply replies discussion share sharing social related "
-    "recommended newsletter subscribe signup login search toolbar pagination pager copyright legal disclaimer complementary "
-    "contentinfo form tags".split()
+#: Words that mark furniture wherever they stand in a name, and words that do so as its last word only.
+FURNITURE_ANYWHERE = set(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent popup modal overlay nav navbar navigation menubar breadcrumb breadcrumbs "
+    "sidebar comments commentlist related recommended newsletter pagination pager masthead topbar".split()
+)
+FURNITURE_LAST = FURNITURE_ANYWHERE | set(
+    "banner notice notices alert navigational menu side aside widget widgets footer header comment respond reply replies discussion share sharing social subscribe signup login search toolbar "
+    "copyright legal disclaimer complementary contentinfo form tags dialog alertdialog".split()
 )
 ARTICLE_TAGS = {"article", "main"}
 ARTICLE_WORDS = set("article post entry story content main maincontent body text".split())
+#: Words of names that tell only of a box, and words of names that tell of the page and not of the element.
+BOXES = set(
+    "container wrapper wrap inner outer box block area section list item items link links row col column holder group panel unit slot top bottom left right region module component bar buttons button icons icon "
+    "content body text main page site global primary secondary".split()
+)
+ABOUT_PAGE = set("no not non has have with without is hide hidden show js".split())
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 ROWS_AT_ONCE = 512
 
@@ -66,23 +87,90 @@ class Block:
     heading: bool
 
 
+def _kind(name: str) -> tuple[bool, bool]:
+    """Does a class name, id or role mean furniture, or an article?"""
+    words = [w.lower() for w in _WORD.findall(name.split("--")[0])]
+    if not words or ABOUT_PAGE & set(words[:-1]):
+        return False, False
+    last = [w for w in words if w not in BOXES and not w.isdigit()] or words[-1:]
+    article = last[-1] in ARTICLE_WORDS
+    furniture = last[-1] in FURNITURE_LAST or (not article and bool(FURNITURE_ANYWHERE & set(words)))
+    if last[-1] in ("header", "tags") and ARTICLE_WORDS & set(words):
+        furniture = False  # an article's own
+    return furniture, article
+
+
 def _place(tag: str, attributes: str, inside_article: bool) -> tuple[bool, bool]:
     """Does this element start furniture, or an article?"""
-    names = {w.lower() for m in _NAMES.finditer(attributes) for w in _WORD.findall(m[1] or m[2] or m[3] or "")} if attributes else set()
-    article = tag in ARTICLE_TAGS or bool(names & ARTICLE_WORDS)
-    signs = names & FURNITURE_WORDS
-    if inside_article or article:
-        signs -= {"header", "tags"}
-    furniture = bool(signs) or bool(attributes and _HIDDEN.search(attributes))
+    if tag in ("html", "body"):
+        return False, False
+    furniture, article, names = False, tag in ARTICLE_TAGS, []
+    if attributes:
+        names = [n for m in _NAMES.finditer(attributes) for n in (m[1] or m[2] or m[3] or "").split()]
+        furniture = bool(_HIDDEN.search(attributes))
+    kinds = [_kind(n) for n in names]
+    article = article or any(a for _, a in kinds)
+    for name, (f, _) in zip(names, kinds):
+        if f and not ((inside_article or article) and name.lower() in ("header", "tags")):
+            furniture = True
     if tag in FURNITURE_TAGS and not (tag == "header" and inside_article):
         furniture = True
     return furniture, article
 
 
+class _Open:
+    """The open elements that matter, with the marks of all that encloses them."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, bool, bool]] = []
+        self.count: Counter = Counter()
+        self.inside: list[Counter] = [Counter()]  # elements opened since each open container
+
+    def marks(self) -> tuple[bool, bool]:
+        return self.stack[-1][1:] if self.stack else (False, False)
+
+    def push(self, tag: str, furniture: bool, article: bool) -> None:
+        f, a = self.marks()
+        self.stack.append((tag, f or furniture, a or article))
+        self.count[tag] += 1
+        if tag in CONTAINERS:
+            self.inside.append(Counter())
+        else:
+            self.inside[-1][tag] += 1
+
+    def pop(self) -> str:
+        tag = self.stack.pop()[0]
+        self.count[tag] -= 1
+        if tag in CONTAINERS:
+            self.inside.pop()
+        else:
+            self.inside[-1][tag] -= 1
+        return tag
+
+    def start(self, tag: str) -> None:
+        """End what the start of this block ends: marked text elements, and blocks that hold no such block."""
+        while self.stack:
+            top = self.stack[-1][0]
+            ended = ENDED_BY.get(top, ())
+            if top in CONTAINERS or top == "a" or (top in BLOCKS and ended is not None and tag not in ended):
+                return
+            self.pop()
+
+    def end(self, tag: str) -> None:
+        if self.count[tag]:
+            while self.pop() != tag:
+                pass
+
+    def end_inline(self, tag: str) -> None:
+        """End a text element, unless a container has been opened in it since."""
+        if self.inside[-1][tag]:
+            self.end(tag)
+
+
 def blocks(page: str) -> list[Block]:
     """The flat text blocks of a page in order."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # container, furniture, article: with what encloses it
+    opened = _Open()
     parts: list[tuple[str, bool]] = []
     link, heading = False, False
     at, n = 0, len(page)
@@ -92,8 +180,7 @@ def blocks(page: str) -> list[Block]:
             text = " ".join(html.unescape("".join(t for t, _ in parts)).split())
             if text:
                 linked = sum(len(html.unescape(t).split()) for t, a in parts if a)
-                _, furniture, article = stack[-1] if stack else ("", False, False)
-                out.append(Block(text, len(text.split()), linked, furniture, article, heading))
+                out.append(Block(text, len(text.split()), linked, *opened.marks(), heading))
             parts.clear()
 
     while at < n:
@@ -122,7 +209,7 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag == "a":
             link = not ending
-        elif tag == "br":
+        if tag == "br":
             parts.append((" ", link))
         elif tag in BLOCKS:
             close()
@@ -131,14 +218,25 @@ def blocks(page: str) -> list[Block]:
                 heading = not ending
             elif not ending:
                 heading = False
-            if tag in CONTAINERS:
-                if not ending:
-                    _, furniture, article = stack[-1] if stack else ("", False, False)
-                    f, a = _place(tag, attributes, article)
-                    stack.append((tag, furniture or f, article or a))
-                elif any(t == tag for t, _, _ in stack):
-                    while stack.pop()[0] != tag:
-                        pass
+            if ending:
+                opened.end(tag)
+            elif tag not in VOID:
+                opened.start(tag)
+                f, a = _place(tag, attributes, opened.marks()[1])
+                if tag in CONTAINERS or f or a:
+                    opened.push(tag, f, a)
+        elif tag in VOID:
+            pass
+        elif ending:
+            if opened.count[tag]:
+                close()
+                opened.end_inline(tag)
+        else:
+            # A text element of its own kind, as an advert in a span, is a block of its own.
+            f, a = _place(tag, attributes, opened.marks()[1]) if attributes else (False, False)
+            if f or opened.count[tag]:
+                close()
+                opened.push(tag, f, False)
     close()
     return out
 
@@ -156,8 +254,8 @@ def features(found: list[Block]) -> np.ndarray:
     return np.column_stack([words, density, before(words), before(density), after(words), after(density), np.array(marks, float)])
 
 
-#: The labelled table: pages whose main blocks start with "+".
-LABELLED = (
+#: The labelled table: pages whose main blocks start with "+". First those that are told in full.
+PAGES = (
     '<nav><ul><li><a href=/>Home</a><li><a href=/n>News from the city</a></ul></nav><article><h1>+River rises</h1><p>+The river rose again during the night and the lower streets were closed to all traffic.</p><p>+Rain is expected.</p><p>+No.</p></article><footer>All rights reserved by the paper, 2020.</footer>',
     '<div class="ad">Buy the best boots in town today and pay half the price.</div><article><p>+Short one</p><p>+She walked along the wall until the light was gone, then turned back to the gate.</p><ul><li>+first point of three</li><li>+second</li></ul></article><div id=footer>Contact us or read our terms.</div>',
     '<header>The Daily Page, your home for news and opinion since 1901.</header><div id="content"><h2>+On bread</h2><p>+Flour, water, salt and time are all that a good loaf needs, and time is the one most often missing.</p><p>+Try <a href=x>this recipe</a> first.</p></div><div class="sidebar"><p>Popular: ten loaves that you can bake this weekend without any trouble at all.</p></div>',
@@ -185,6 +283,61 @@ LABELLED = (
 )
 
 
+#: Parts of the other pages: links, blocks that are neither linked nor main text, sentences and short main blocks.
+LINKS = (
+    "Home", "About us", "All stories", "Log in or sign up", "Weather and traffic", "What the town did with the house", "Ten ways to make your garden ready for the winter", "Read the report of the council about the bridge",
+    "Why the price of bread went up again this spring", "How to mend a clock that nobody else wants to look at any more", "Our readers' favourite walks along the coast, with maps, inns and the times of the last bus home",
+    "See all twelve of our folding maps and choose the one that fits your pocket, your walk and your purse, before they are gone",
+)
+ASIDES = ("Menu", "Imprint", "Share", "Top", "Popular now", "Follow us", "Page 1 of 9", "More from this site", "Powered by pages", "Text size")
+SENTENCES = (
+    "The council has agreed to plant two hundred trees along the main road before the end of spring.", "It took them most of the day, since the bridge was down and the ferry had stopped for the winter months.",
+    "The garden needs less work in autumn than most people think, and what it needs is soon done, if one begins early enough and does not mind the rain.", "Flour, water, salt and time are all that a good loaf needs.",
+    "She walked along the wall until the light was gone, then turned back to the gate, where the others were still waiting for her with the lamp.", "By evening the village was in sight, and somebody had lit the lamps along the road for them.",
+    "Nobody knew for how long the house had stood there by the lake, with its door open to the wind and its clock still going.", "A legend explains the signs of a map, and it should be read before anything else is believed about it.",
+)
+SHORT = ("No.", "They sang.", "It was late", "Two words", "She did not answer.", "And then, nothing.", "The second day", "Rain is expected.")
+
+
+def _made_pages() -> list[str]:
+    """Pages in which words and link densities of a block and its neighbours tell what it is, with and without an article's mark."""
+    link = lambda k: f"<a href=/{k}>{LINKS[k % len(LINKS)]}</a>"
+    rng, out = random.Random(4), []
+    for k in range(36):
+        text, short, aside = (lambda _, x=x: rng.choice(x) for x in (SENTENCES, SHORT, ASIDES))
+        tag = ("p", "div", "li")[k % 3]
+        block = lambda t: f"<{tag}>{t}</{tag}>"  # noqa: B023, E731
+        partly = f"{text(3)[:-1]}, as {link(k)} says, and it will stay so for a long time to come."
+        menu = [block(link(k + j)) for j in range(2 + k % 4)]
+        body = [block("+" + text(0)), block("+" + short(0)), block("+" + text(1)), block(f"<a href=/>{rng.choice(LINKS[4:])}{'.' * (k % 3 > 0)}</a>"), block("+" + text(2)), block("+" + partly), block("+" + short(1)), block("+" + short(2)), block("+" + text(4)[:-1]), block("+" + text(6))]
+        end = [block(link(k + 6)), block(aside(0)), block(f"{link(k + 7)} {link(k + 8)}"), block(aside(1)), block(link(k + 9))]
+        if k % 2:
+            out.append("".join([*menu, f"<h2>+{short(5)}</h2>", *body, *end]))
+        else:
+            out.append("".join([*menu, block(aside(2)), block(link(k + 1)), *body, *end]))
+        # In an article a long link between two texts is an advert; a list of links, or a short one, is the author's.
+        promo = block(f"<a href=/>{rng.choice(LINKS[7:])}{'.' * (k % 3 > 0)}</a>")
+        own = [block("+" + link(rng.randrange(12))) for _ in range(4)]
+        said = lambda: block("+" + rng.choice((text(0), short(0), text(0)[:-1])))  # noqa: B023, E731
+        inner = [said() for _ in range(8)]
+        inner[6:6] = [f"<ol>{''.join(own)}</ol>"] * (k % 3 != 0)
+        inner[4:4] = [block("+" + link(k % 4))]
+        inner[2:2] = [promo]
+        out.append(f"<article><h1>+{(short(3), text(1)[:-1])[k % 2]}</h1>{''.join(inner[k % 3:])}</article>")
+        # Furniture of any length around an article, and in it.
+        ad, share, side, foot = (f"<div class={c}>" for c in ("ad", "share-box", "sidebar", "site-footer"))
+        around = f"<nav><ul><li>{link(k)}<li>{link(k + 3)}<li>{aside(3)}</ul></nav>{ad}{(text(1), short(6))[k % 2]}</div>"
+        within = f"{share}{(aside(4), short(7), text(2), link(k + 2))[k % 4]}</div><aside>{(text(3), aside(5), short(2))[k % 3]}</aside>"
+        after = f"<div class=comments><p>{text(4)}</p><p>{short(1)}</p></div>{side}<p>{link(k + 4)}</p><p>{text(5)}</p></div>{foot}{(text(6), aside(6))[k % 2]}</div><footer>{(text(7), short(3))[k % 2]}</footer>"
+        told = [f"<h1>+{(short(0), text(0)[:-1])[k % 2]}</h1>", *(f"<p>+{x}</p>" for x in (text(0), text(1), short(1), text(2), partly, text(4), short(4)))]
+        told[3 + k % 4 : 3 + k % 4] = [within]
+        out.append(around + f"<article>{''.join(told)}</article>" + after)
+    return out
+
+
+LABELLED = (*PAGES, *_made_pages())
+
+
 @dataclass
 class Tree:
     feature: list[int]
@@ -203,7 +356,7 @@ class Tree:
         return out
 
 
-def grow(x: np.ndarray, y: np.ndarray, depth: int = 5, least: int = 2) -> Tree:
+def grow(x: np.ndarray, y: np.ndarray, depth: int = 8, least: int = 2) -> Tree:
     """A classification tree by Gini impurity; of equal splits the first feature and the lowest cut."""
     tree = Tree([], [], [], [], [])
 
@@ -268,4 +421,4 @@ def extract(pages: DataFrame) -> DataFrame:
                 columns = [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "text", "n_chars"])
 
-    return pages.select("page_id", "url", "html").mapInArrow(run, f"{types}, text string, n_chars long")
+    return small_batches(pages).select("page_id", "url", "html").mapInArrow(run, f"{types}, text string, n_chars long")

@@ -1,15 +1,18 @@
 """Language-model scores: a log-bilinear model trained in numpy with noise-contrastive estimation.
 
 Symbols are the most frequent words of the training texts and, for all other words, classes by their last two bytes.
-Two preceding symbols predict the next: their vectors go through one matrix each, the sum is multiplied with the
-output vectors, and a bias is added. Training contrasts each symbol with noise drawn from symbol frequencies, so it
-needs no normaliser; the normalisers of all contexts are then made once by batched matrix products, and every score
-is a normalised log-probability. A word of a class has the class's probability times its smoothed share of the class.
+Two preceding symbols predict the next: each place has its own vectors, their sum is multiplied with the output vectors,
+and a bias is added. Training contrasts each symbol with noise drawn from symbol frequencies, so it needs no normaliser;
+the normalisers of all contexts are then made once by batched matrix products, and every score is a normalised
+log-probability. A word of a class has the class's probability times its smoothed share of the class.
+
+All training texts, whole, teach the model. In each of ROUNDS rounds every task starts from the same parameters, goes
+once through its own texts, and returns its parameters; these are averaged by tokens, in SLOTS tasks and then on the
+driver, which sees SLOTS rows whatever the corpus. A lost task goes through its texts again with the same draws.
 
 Counts cover all training texts: word hashes are counted per batch, summed by a shuffle and kept as a table. The
 words with the highest counts (at most DICTIONARY) go to all tasks; the hashes of other words are joined to the
-table, once for each text and word. The network itself is fitted on a bounded sample (about SAMPLE_ROWS training
-texts of up to SAMPLE_CHARS characters, drawn by the hash of their ids). Words are known by 64-bit hashes.
+table, once for each text and word. Words are known by 64-bit hashes.
 
 Defined cases: null and blank texts are one end token; a null doc_id is held out; rows that repeat are scored each;
 with no training text every word is unknown and scores follow from the smoothing alone. Extra columns are ignored.
@@ -17,28 +20,27 @@ with no training text every word is unknown and scores follow from the smoothing
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from locusweave.llm import words as words_module
-from locusweave.llm.common import give_back_memory, runs_on_executors, saved
+from locusweave.llm.common import give_back_memory, runs_on_executors, saved, small_batches
 from locusweave.llm.words import mix64, pieces
 
 runs_on_executors(__name__)
 FREQUENT, CLASSES = 768, 256
 DICTIONARY = 1 << 17
 WIDTH = 32
-NOISE = 128
-SAMPLE_ROWS, SAMPLE_CHARS = 2_000, 20_000
-EPOCHS, BATCH = 3, 2048
+NOISE, BATCH, RATE = 128, 1024, 0.1
+ROUNDS, SLOTS = 2, 32
 SMOOTHING = 0.1
-ROWS_AT_ONCE = 1024
+ROWS_AT_ONCE = 256
 END = np.uint64(0x51ED270B0A1F39C5)
 
 
@@ -69,17 +71,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Network:
-    inputs: np.ndarray  # (symbols + 1) x width; the last row stands for places before the text
-    mixers: list[np.ndarray]  # width x width, for the last and the last but one symbol
+    before: list[np.ndarray]  # (symbols + 1) x width, for the last and the last but one symbol; the last row stands for places before the text
     outputs: np.ndarray  # symbols x width
     bias: np.ndarray
 
-    def __post_init__(self):
-        self.before = [self.inputs @ m for m in self.mixers]
-
     def normalisers(self, rows: int = 4096) -> np.ndarray:
         """Log of the sum over all symbols, for each pair of context symbols."""
-        n = len(self.inputs)
+        n = len(self.before[0])
         out = np.zeros(n * n, np.float32)
         for a in range(0, n * n, rows):
             pair = np.arange(a, min(a + rows, n * n))
@@ -104,41 +102,53 @@ def _summed(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(cells, values.ravel(), n * WIDTH).reshape(n, WIDTH).astype(np.float32)
 
 
-def train(symbols: np.ndarray, ends: np.ndarray, n: int, epochs: int = EPOCHS, seed: int = 3) -> Network:
-    """Fit by noise-contrastive estimation; each batch of places shares its noise symbols."""
-    rng = np.random.default_rng(seed)
-    noise = (np.bincount(symbols, minlength=n) + 0.5).astype(np.float64)
-    noise /= noise.sum()
-    log_noise = np.log(noise).astype(np.float32)
-    inputs = rng.normal(0, 0.1, (n + 1, WIDTH)).astype(np.float32)
-    mixers = [np.eye(WIDTH, dtype=np.float32), 0.5 * np.eye(WIDTH, dtype=np.float32)]
-    outputs = rng.normal(0, 0.1, (n, WIDTH)).astype(np.float32)
-    bias = log_noise.copy()
-    params = [inputs, *mixers, outputs, bias]
-    squares = [np.full_like(p, 1e-6) for p in params]
-    one, two = contexts(symbols, ends, n)
-    noise_cdf = np.cumsum(noise)
-    for epoch in range(epochs):
-        rate = 0.1 / (1 + epoch)
-        for rows in np.array_split(rng.permutation(len(symbols)), max(1, len(symbols) // BATCH)):
+class Trainer:
+    """Parameters, with the sums of their squared gradients, and the noise distribution over n symbols."""
+
+    def __init__(self, noise: np.ndarray, state: np.ndarray | None = None, seed: int = 3):
+        n = len(noise)
+        self.n, self.log_noise, self.sums = n, np.log(noise).astype(np.float32), np.cumsum(noise)
+        shapes = [(n + 1, WIDTH), (n + 1, WIDTH), (n, WIDTH), (n,)]
+        if state is None:
+            rng = np.random.default_rng(seed)
+            parts = [rng.normal(0, 0.1, shapes[0]), rng.normal(0, 0.05, shapes[1]), rng.normal(0, 0.1, shapes[2]), self.log_noise, *[np.full(s, 1e-6) for s in shapes]]
+            state = np.concatenate([x.ravel() for x in parts]).astype(np.float32)
+        self.state, at = state.copy(), 0
+        parts = []
+        for shape in shapes * 2:
+            parts.append(self.state[at : at + int(np.prod(shape))].reshape(shape))  # views
+            at += int(np.prod(shape))
+        self.params, self.squares = parts[: len(shapes)], parts[len(shapes) :]
+        self.room = [np.empty_like(p) for p in self.params]
+
+    def network(self) -> Network:
+        one, two, outputs, bias = self.params
+        return Network([one, two], outputs, bias)
+
+    def learn(self, symbols: np.ndarray, ends: np.ndarray, rate: float, rng: np.random.Generator) -> None:
+        """Go once through texts by noise-contrastive estimation; the places of a batch share their noise symbols."""
+        n, (first, second, outputs, bias) = self.n, self.params
+        one, two = contexts(symbols, ends, n)
+        shift = np.float32(np.log(NOISE)) + self.log_noise
+        for rows in np.array_split(rng.permutation(len(symbols)), max(1, round(len(symbols) / BATCH))):
             a, b, w = one[rows], two[rows], symbols[rows]
-            q = inputs[a] @ mixers[0] + inputs[b] @ mixers[1]
-            drawn = np.searchsorted(noise_cdf, rng.random(NOISE)).clip(0, n - 1)
-            shift = np.log(NOISE) + log_noise
-            true = (q * outputs[w]).sum(1) + bias[w] - shift[w]
-            fake = q @ outputs[drawn].T + bias[drawn] - shift[drawn]
-            d_true = (1 / (1 + np.exp(-np.clip(true, -30, 30))) - 1) / len(rows)
-            d_fake = 1 / (1 + np.exp(-np.clip(fake, -30, 30))) / len(rows)
-            g_out = _summed(np.concatenate([w, drawn]), np.concatenate([d_true[:, None] * q, d_fake.T @ q]), n)
+            drawn = np.searchsorted(self.sums, rng.random(NOISE)).clip(0, n - 1)
+            q, right, wrong, off, share = first[a] + second[b], outputs[w], outputs[drawn], bias - shift, np.float32(1 / len(rows))
+            d_true = -share / (1 + np.exp(np.clip(np.einsum("ij,ij->i", q, right) + off[w], -30, 30)))
+            d_fake = share / (1 + np.exp(-np.clip(q @ wrong.T + off[drawn], -30, 30)))
             g_bias = np.bincount(w, d_true, n).astype(np.float32)
             np.add.at(g_bias, drawn, d_fake.sum(0))
-            dq = d_true[:, None] * outputs[w] + d_fake @ outputs[drawn]
-            g_in = _summed(np.concatenate([a, b]), np.concatenate([dq @ mixers[0].T, dq @ mixers[1].T]), n + 1)
-            grads = [g_in, inputs[a].T @ dq, inputs[b].T @ dq, g_out, g_bias]
-            for p, g, s in zip(params, grads, squares):
-                s += g * g
-                p -= rate * g / np.sqrt(s)
-    return Network(inputs, mixers, outputs, bias)
+            g_out = _summed(w, d_true[:, None] * q, n)
+            np.add.at(g_out, drawn, d_fake.T @ q)
+            dq = d_fake @ wrong + d_true[:, None] * right
+            grads = [_summed(a, dq, n + 1), _summed(b, dq, n + 1), g_out, g_bias]
+            for p, g, s, t in zip(self.params, grads, self.squares, self.room):
+                np.multiply(g, g, out=t)
+                s += t
+                np.sqrt(s, out=t)
+                g *= np.float32(rate)
+                g /= t
+                p -= g
 
 
 @dataclass
@@ -171,7 +181,7 @@ class Scorer:
         one, two = contexts(symbols, ends, FREQUENT + CLASSES)
         net = self.network
         logp = np.einsum("ij,ij->i", net.before[0][one] + net.before[1][two], net.outputs[symbols]) + net.bias[symbols]
-        logp = (logp - self.norm[one * len(net.inputs) + two]).astype(np.float64) / np.log(10)
+        logp = (logp - self.norm[one * len(net.before[0]) + two]).astype(np.float64) / np.log(10)
         listed = at >= 0
         share = np.zeros(len(hashes))
         share[listed] = np.log10(self.counts[at[listed]] + SMOOTHING)
@@ -190,17 +200,8 @@ class Scorer:
         return np.diff(ends), sums(listed.astype(np.int64)), sums(share) - np.diff(ends) * self.total_log, sums(model), r_hash[starts], times, rare_ends
 
 
-def _symbols_of_sample(docs: DataFrame, scorer: Scorer, rows: int, chars: int) -> tuple[np.ndarray, np.ndarray]:
-    share = min(1.0, rows / max(1, docs.count()))
-    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))
-    short = docs.where(~F.col("held_out") & (F.length("text") <= chars) & drawn).select("doc_id", "text").limit(2 * rows)
-    texts = [t for _, t in sorted((zlib.crc32(str(i).encode()), t) for i, t in short.collect())]
-    hashes, classes, ends = tokens(pa.array(texts, pa.string()))
-    return scorer.symbols(scorer.lookup(hashes), classes), ends
-
-
-def _scorer(counts: DataFrame) -> tuple[Scorer, int, int]:
-    """The dictionary and the class sizes; also the number of training tokens and the least count of the dictionary."""
+def _scorer(counts: DataFrame) -> tuple[Scorer, np.ndarray, int, int]:
+    """The dictionary and the class sizes; also the noise, the number of training tokens and the least count of the dictionary."""
     step = F.floor(F.log2(F.col("n").cast("double")) * 8)
     steps = sorted(((r[0], r[1]) for r in counts.groupBy(step.alias("step")).count().collect()), reverse=True)
     room, least = DICTIONARY, None
@@ -222,25 +223,66 @@ def _scorer(counts: DataFrame) -> tuple[Scorer, int, int]:
     np.subtract.at(sizes[0], of[best], n[best])
     np.subtract.at(sizes[1], of[best], 1)
     class_log = np.log10(sizes[0] + SMOOTHING * (sizes[1] + 1))
-    return Scorer(words, n, symbol, class_log, float(np.log10(total + SMOOTHING * (kinds + 1)))), int(total), least
-
-
-def score(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_chars: int = SAMPLE_CHARS) -> DataFrame:
+    noise = np.concatenate([np.bincount(np.arange(len(best)), n[best], FREQUENT), sizes[0]]) + 0.5
+    return Scorer(words, n, symbol, class_log, float(np.log10(total + SMOOTHING * (kinds + 1)))), noise / noise.sum(), int(total), least
+
+
+def _fit(docs: DataFrame, scorer: Scorer, noise: np.ndarray) -> Network:
+    """The network, taught by all texts of docs(text) in ROUNDS rounds of averaged parameters."""
+    context = docs.sparkSession.sparkContext
+    frequent = np.flatnonzero(scorer.symbol >= 0)
+    symbols_of = vars(scorer) | {"words": scorer.words[frequent], "symbol": scorer.symbol[frequent], "counts": scorer.counts[frequent]}
+    state = Trainer(noise).state
+    for turn in range(ROUNDS):
+        shared = context.broadcast((symbols_of, noise, state))
+
+        def learn(batches: Iterator[pa.RecordBatch], shared=shared, turn=turn) -> Iterator[pa.RecordBatch]:
+            words, noise, state = shared.value
+            known, own, part, seen = Scorer(**words), Trainer(noise, state), TaskContext.get().partitionId(), 0
+            rng = np.random.default_rng((turn, part))
+            for whole in batches:
+                for a in range(0, len(whole), ROWS_AT_ONCE):
+                    hashes, classes, ends = tokens(whole.column(0).slice(a, ROWS_AT_ONCE))
+                    own.learn(known.symbols(known.lookup(hashes), classes), ends, RATE / (1 + turn), rng)
+                    seen += len(hashes)
+            if seen:
+                yield pa.RecordBatch.from_arrays([pa.array([part % SLOTS]), pa.array([seen]), pa.array([own.state.tobytes()])], ["slot", "seen", "state"])
+            give_back_memory()
+
+        def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            seen, total = 0, None
+            for batch in batches:
+                for n, state in zip(batch.column(1).to_pylist(), batch.column(2)):
+                    more = np.frombuffer(state.as_buffer(), np.float32) * np.float64(n)
+                    seen, total = seen + n, more if total is None else total + more
+            if seen:
+                yield pa.RecordBatch.from_arrays([pa.array([0]), pa.array([seen]), pa.array([(total / seen).astype(np.float32).tobytes()])], ["slot", "seen", "state"])
+
+        kinds = "slot long, seen long, state binary"
+        learnt = docs.mapInArrow(learn, kinds).repartition(SLOTS, "slot").mapInArrow(add_up, kinds).collect()
+        shared.destroy()
+        if learnt:
+            total = sum(r["seen"] for r in learnt)
+            state = sum(np.frombuffer(r["state"], np.float32) * np.float64(r["seen"] / total) for r in learnt).astype(np.float32)
+    return Trainer(noise, state).network()
+
+
+def score(docs: DataFrame) -> DataFrame:
     """docs(doc_id, text) -> doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score; a row per document."""
     spark = docs.sparkSession
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 10 == 0
-    docs = docs.select("doc_id", "text", held_out.alias("held_out"))
-    counted = docs.where(~F.col("held_out")).select("text").mapInArrow(_count, "word long, class long, n long")
+    docs = small_batches(docs).select("doc_id", "text", held_out.alias("held_out"))
+    texts = docs.where(~F.col("held_out")).select("text")
+    counted = texts.mapInArrow(_count, "word long, class long, n long")
     counts = saved(counted.groupBy("word").agg(F.min("class").alias("class"), F.sum("n").alias("n")), "lm-counts")
-    scorer, total, least = _scorer(counts)
-    symbols, ends = _symbols_of_sample(docs, scorer, sample_rows, sample_chars)
-    words_module._powers.clear()
-    scorer.network = train(symbols, ends, FREQUENT + CLASSES)
+    scorer, noise, total, least = _scorer(counts)
+    scorer.network = _fit(texts, scorer, noise)
     scorer.norm = scorer.network.normalisers()
-    del symbols, ends
+    words_module._powers.clear()
     give_back_memory()
     # Plain arrays, so that a broadcast needs no class of this package.
-    shared = spark.sparkContext.broadcast((vars(scorer) | {"network": None}, [scorer.network.inputs, scorer.network.mixers, scorer.network.outputs, scorer.network.bias]))
+    net = scorer.network
+    shared = spark.sparkContext.broadcast((vars(scorer) | {"network": None}, [net.before, net.outputs, net.bias]))
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,6 +302,7 @@ def score(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_chars: int = S
     kinds = f"doc_id {id_type}, held_out boolean, n_tokens long, listed long, base double, model double, rare array<long>, times array<long>"
     scored = docs.mapInArrow(run, kinds).withColumn("row", F.monotonically_increasing_id())
     scored = saved(scored, "lm-scored")
+    shared.destroy()
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.times").alias("times"))
     step = F.floor(F.log2(F.col("n").cast("double")) * 8)
     tail = counts.where(step < least) if least is not None else counts

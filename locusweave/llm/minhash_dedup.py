@@ -10,8 +10,8 @@ pair by pair. In the others, nodes that can have no link are taken out exactly:
 that no other node in question has that no partner can be similar. Then the most central node of each bucket is
 compared with the others; whoever is then outside the largest component of its
 family is compared with all of the family. So each pair that shares a bucket is compared, excluded or connected. With
-32 bands of 4, a pair of similarity 0.8 shares no bucket with a chance of 5e-8. Nodes are 64 bits of a digest of the
-sorted set, so two different sets are taken for one with a chance of 5e-20.
+32 bands of 4, a pair of similarity 0.8 shares no bucket with a chance of 5e-8. Sets are told apart by 128 bits of a digest of
+their sorted hashes; nodes are numbers given to the distinct digests.
 
 Defined cases: null, empty and blank texts have empty sets and are linked with nothing, not even one another; a text
 with fewer words than a shingle is one shingle; component_id is the least doc_id of the component, null ids last;
@@ -26,10 +26,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from locusweave.llm.common import broadcast_if_small, give_back_memory, runs_on_executors, rows_of_pairs, saved, small_batches, text_digest, unused
+from locusweave.llm.common import broadcast_if_small, give_back_memory, join_hot, runs_on_executors, rows_of_pairs, saved, small_batches, text_digest
 from locusweave.llm.graph import components
 from locusweave.llm.words import mix64, shingle_sets
 
@@ -41,8 +40,8 @@ BANDS, ROWS = 32, 4
 SMALL = 3
 #: Times that nodes without possible links are taken out.
 PEELS = 1
-#: Stragglers in one row, and parts into which a family's members are dealt to meet them.
-PACK, SLOTS = 16, 32
+#: Shingles of the stragglers in one row, members of a family that meet them in one task, and rows of stragglers there.
+PACK, MEMBERS, PACKS = 1 << 15, 512, 16
 SLICE = 1 << 16
 ROWS_AT_ONCE = 256
 
@@ -95,9 +94,9 @@ def _buckets(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return out.view(np.int64)
 
 
-def _node(s: np.ndarray) -> int:
-    """A number for a set, from a digest of all of it; 0 for the empty set."""
-    return int.from_bytes(hashlib.sha256(s.tobytes()).digest()[:8], "little", signed=True) if len(s) else 0
+def _digest(s: np.ndarray) -> bytes | None:
+    """128 bits for a set, from a digest of all of it; null for the empty set."""
+    return hashlib.sha256(s.tobytes()).digest()[:16] if len(s) else None
 
 
 def _sketches(words: int, bands: int, rows: int):
@@ -111,8 +110,8 @@ def _sketches(words: int, bands: int, rows: int):
                 lengths = np.array([bands if len(s) else 0 for s in sets])
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), pa.array(made.ravel()))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), *batch.columns[2:], pa.array([len(s) for s in sets], pa.int64()), pa.array([_node(s) for s in sets], pa.int64()), lists],
-                    ["doc_id", *batch.schema.names[2:], "n_shingles", "node", "buckets"],
+                    [batch.column(0), *batch.columns[2:], pa.array([len(s) for s in sets], pa.int64()), pa.array([_digest(s) for s in sets], pa.binary()), lists],
+                    ["doc_id", *batch.schema.names[2:], "n_shingles", "digest", "buckets"],
                 )
         give_back_memory()
 
@@ -127,7 +126,7 @@ def _full_sets(words: int):
                 ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
                 flat = np.concatenate(sets).view(np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([pa.array([_node(s) for s in sets], pa.int64()), lists], ["node", "shingles"])
+                yield pa.RecordBatch.from_arrays([pa.array([_digest(s) for s in sets], pa.binary()), lists], ["digest", "shingles"])
         give_back_memory()
 
     return full
@@ -135,9 +134,10 @@ def _full_sets(words: int):
 
 def _sets_of(ids: DataFrame, nodes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
     """ids(node) -> node, n, shingles: full sets, made again from the texts."""
-    wanted = broadcast_if_small(saved(nodes.join(ids, "node").select(F.col("first_id").alias("_id")).distinct(), "near-wanted"))
+    known = saved(nodes.join(ids, "node").select("node", "digest", F.col("first_id").alias("_id")), "near-wanted")
+    wanted = broadcast_if_small(known.select("_id").distinct())
     rows = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    sets = small_batches(rows).mapInArrow(_full_sets(words), "node long, shingles array<long>").join(ids, "node", "left_semi")
+    sets = small_batches(rows).mapInArrow(_full_sets(words), "digest binary, shingles array<long>").join(broadcast_if_small(known.select("node", "digest")), "digest")
     return sets.dropDuplicates(["node"]).select("node", F.size("shingles").cast("long").alias("n"), "shingles")
 
 
@@ -215,13 +215,18 @@ def _compare_stragglers(cells: DataFrame, sets: DataFrame, percent: int) -> Data
     members = saved(members.withColumn("family", F.coalesce("family", "node")), "near-members")
     sizes = members.groupBy("family", "comp").agg(F.count(F.lit(1)).alias("c"))
     main = sizes.groupBy("family").agg(F.max(F.struct("c", "comp")).alias("m")).select("family", F.col("m.comp").alias("main"))
-    few = members.join(main, "family").where("comp <> main")
-    few = few.withColumn("pack", F.floor((F.row_number().over(W.partitionBy("family").orderBy("node")) - 1) / PACK))
-    few = few.join(sets.select("node", "shingles"), "node")
-    packs = few.groupBy("family", "pack").agg(F.collect_list(F.struct("node", "comp", "n", "shingles")).alias("others"))
-    packs = packs.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1))))
-    met = members.join(sets.select("node", "shingles"), "node").withColumn("slot", F.pmod(F.xxhash64("node"), F.lit(SLOTS)).cast("int"))
-    met = met.join(packs, ["family", "slot"])
+    few = members.join(main, "family").where("comp <> main").drop("main")
+    part = lambda n: F.pmod(F.xxhash64("node"), n)
+    dealt = few.groupBy("family").agg(F.ceil(F.sum("n") / PACK).alias("packs"))
+    dealt = dealt.join(sizes.groupBy("family").agg(F.ceil(F.sum("c") / MEMBERS).alias("slots")), "family").withColumn("turns", F.ceil(F.col("packs") / PACKS))
+    dealt = broadcast_if_small(saved(dealt, "near-dealt"))
+    few = few.join(dealt, "family").withColumn("pack", part(F.col("packs"))).join(sets.select("node", "shingles"), "node")
+    packs = few.groupBy("family", "pack").agg(F.collect_list(F.struct("node", "comp", "n", "shingles")).alias("others"), F.first("slots").alias("slots"), F.first("turns").alias("turns"))
+    packs = packs.withColumn("turn", F.pmod("pack", "turns")).withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1))).drop("slots", "turns", "pack")
+    # Each pack meets each part of the members once, in the turn to which the pack belongs.
+    met = members.join(dealt, "family").withColumn("slot", part(F.col("slots"))).withColumn("turn", F.explode(F.sequence(F.lit(0).cast("long"), F.col("turns") - 1)))
+    met = met.select("family", "slot", "turn", "node", "comp", "n").join(sets.select("node", "shingles"), "node")
+    met = met.join(packs, ["family", "slot", "turn"])
 
     def shared(x):
         able = (x["comp"] != F.col("comp")) & _similar(F.least(x["n"], F.col("n")), x["n"], F.col("n"), percent)
@@ -247,15 +252,15 @@ def _links_of(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _labelled(docs: DataFrame, *more: Column, words: int = SHINGLE_WORDS, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
-    """Two tables: doc_id, more, n_shingles, node of each row, and node, comp, component_id of each set that is not empty."""
+    """Two tables: doc_id, more, n_shingles, digest of each row, and digest, rows, comp, component_id of each set that is not empty."""
     given = docs.select("doc_id", "text", *more)
     carried = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in given.schema.fields if f.name != "text")
-    kinds = f"{carried}, n_shingles long, node long, buckets array<long>"
+    kinds = f"{carried}, n_shingles long, digest binary, buckets array<long>"
     sketches = saved(small_batches(given).mapInArrow(_sketches(words, bands, rows), kinds), "near-sketches")
     full = sketches.where("n_shingles > 0")
     # Equal sets have equal buckets.
-    nodes = full.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.max("n_shingles").alias("n"), F.first("buckets").alias("buckets"))
-    nodes = saved(nodes, "near-nodes")
+    nodes = full.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.max("n_shingles").alias("n"), F.first("buckets").alias("buckets"), F.count(F.lit(1)).alias("rows"))
+    nodes = saved(nodes.withColumn("node", F.monotonically_increasing_id()), "near-nodes")
     cells = nodes.select("node", "n", F.explode("buckets").alias("bucket"))
     members = F.sum(F.xxhash64("node").cast("decimal(38,0)"))
     groups = cells.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("first"), members.alias("print"))
@@ -267,21 +272,21 @@ def _labelled(docs: DataFrame, *more: Column, words: int = SHINGLE_WORDS, percen
     if not cells.isEmpty():
         sets = saved(_sets_of(cells.select("node").distinct(), nodes, docs, words), "near-sets")
         stars = _links_of(cells, sets, percent)
-    of = nodes.select("node", "first_id")
+    of = nodes.select("node", "digest", "rows", "first_id")
     if stars is None:
-        labels = of.select("node", F.col("node").alias("comp"), F.col("first_id").alias("component_id"))
+        labels = of.select("digest", "rows", F.col("node").alias("comp"), F.col("first_id").alias("component_id"))
     else:
         of = of.join(stars.select(F.col("a").alias("node"), F.col("b").alias("comp")), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        labels = of.join(of.groupBy("comp").agg(F.min("first_id").alias("component_id")), "comp").select("node", "comp", "component_id")
+        labels = of.join(of.groupBy("comp").agg(F.min("first_id").alias("component_id")), "comp").select("digest", "rows", "comp", "component_id")
     return sketches.drop("buckets"), saved(labels, "near-labels")
 
 
 def classes(docs: DataFrame, **how) -> DataFrame:
     """docs(doc_id, text) -> doc_id, n_shingles, component_id, kept; a row per document."""
     sketches, labels = _labelled(docs, **how)
-    out = sketches.join(labels.drop("comp"), "node", "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    found = join_hot(sketches.where("n_shingles > 0"), labels, "digest", "rows").select("doc_id", "n_shingles", "component_id")
+    out = found.unionByName(sketches.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def dedup(docs: DataFrame, **how) -> DataFrame:
@@ -290,8 +295,8 @@ def dedup(docs: DataFrame, **how) -> DataFrame:
     It is a row of the least doc_id (null ids last), among its texts of the least digest.
     """
     sketches, labels = _labelled(docs, text_digest(F.col("text")).alias("text_sha256"), **how)
-    pairs = sketches.where("n_shingles > 0").groupBy("doc_id", "text_sha256").agg(F.first("node").alias("node"), F.count(F.lit(1)).alias("n"))
-    pairs = saved(pairs.join(labels.select("node", "comp"), "node"), "near-rows")
+    pairs = sketches.where("n_shingles > 0").groupBy("doc_id", "text_sha256").agg(F.first("digest").alias("digest"), F.count(F.lit(1)).alias("n"))
+    pairs = saved(join_hot(pairs, labels.select("digest", "rows", "comp"), "digest", "rows").drop("rows"), "near-rows")
     least = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_sha256")
     best = pairs.groupBy("comp").agg(F.min(least).alias("best"), F.sum("n").alias("rows")).where("rows > 1")
     best = saved(best.select("comp", F.col("best.doc_id").alias("_id"), F.col("best.text_sha256").alias("_sha")), "near-best")

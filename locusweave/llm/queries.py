@@ -68,21 +68,26 @@ def _matches(kind: str, rank: int, pattern: str) -> str:
 
 
 _KINDS = [*((k, p) for k, p, _ in secret_scan.BASE), ("other", secret_scan.OTHER)]
+_LIVE = f"""length(secret) >= {secret_scan.LIVE_LENGTH} AND regexp_matches(secret, '[A-Za-z]') AND regexp_matches(secret, '[0-9]')
+    AND len(list_distinct(string_split(secret, ''))) >= {secret_scan.LIVE_CHARACTERS} AND NOT regexp_matches(secret, '{secret_scan.PLACEHOLDER}')"""
 OP9_SQL = f"""
-WITH texts AS (SELECT row_number() OVER (ORDER BY doc_id) AS rid, doc_id, coalesce(text, '') AS t, coalesce(source, '') AS owner FROM documents),
+WITH texts AS (SELECT row_number() OVER (ORDER BY doc_id) AS rid, doc_id, coalesce(text, '') AS t, coalesce(source, '') AS owner,
+    coalesce(source, '') || '/' || coalesce(lang, '') AS repository FROM documents),
 found AS ({" UNION ALL ".join(_matches(k, r, p) for r, (k, p) in enumerate(_KINDS))}),
 placed AS (SELECT rid, kind, rank, CASE WHEN rank = 0 THEN regexp_extract(val, '{secret_scan.ASSIGN.replace("'", "''")}', 2) ELSE val END AS secret,
     CAST(sum(length(gap)) OVER w + sum(length(val)) OVER w - length(val) AS BIGINT) AS a, length(val) AS n FROM found
     WINDOW w AS (PARTITION BY rid, kind ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
-good AS (SELECT p.*, t.owner, kind || ':' || a || ':' || (a + n) AS span FROM placed p JOIN texts t USING (rid)
+good AS (SELECT p.*, t.owner, t.repository, kind || ':' || a || ':' || (a + n) AS span FROM placed p JOIN texts t USING (rid)
     WHERE length(secret) >= CASE rank WHEN 0 THEN 6 WHEN 1 THEN 20 WHEN 2 THEN 24 ELSE 1 END),
-copied AS (SELECT secret FROM good GROUP BY secret HAVING count(DISTINCT owner) >= {secret_scan.EXAMPLE_OWNERS}),
-judged AS (SELECT g.*, g.secret IN (SELECT secret FROM copied) AS example FROM good g),
+holders AS (SELECT secret, count(DISTINCT owner) AS o, count(DISTINCT repository) AS r FROM good GROUP BY secret),
+judged AS (SELECT g.*, h.o || '/' || h.r AS held, h.o >= {secret_scan.EXAMPLE_OWNERS} OR h.r >= {secret_scan.EXAMPLE_REPOSITORIES} AS example,
+    h.o = 1 AND h.r < {secret_scan.EXAMPLE_REPOSITORIES} AND {_LIVE.replace("secret", "g.secret")} AS live FROM good g JOIN holders h ON g.secret = h.secret),
 per AS (SELECT rid, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access, count(*) FILTER (rank = 2) AS n_hex,
     string_agg(span, ',' ORDER BY a, rank) FILTER (rank < 3) AS base, string_agg(span, ',' ORDER BY a, rank) FILTER (rank < 3 OR NOT example) AS spans,
-    count(*) FILTER (NOT example) AS n_live, count(*) FILTER (example) AS n_example FROM judged GROUP BY rid)
+    string_agg(held, ',' ORDER BY a, rank) FILTER (rank < 3 OR NOT example) AS held,
+    count(*) FILTER (live) AS n_live, count(*) FILTER (example) AS n_example FROM judged GROUP BY rid)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
-  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(held, '') AS holders, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
 FROM texts LEFT JOIN per USING (rid)
 """
 

@@ -14,10 +14,15 @@ def parse_cigar(cigar: Column) -> Column:
     return F.zip_with(ops, lens, lambda o, n: F.struct(o.alias("op"), n.cast("long").alias("len")))
 
 
+def bases(parsed: Column, ops: str) -> Column:
+    """Bases of the given operations together, of a parsed CIGAR."""
+    mine = F.filter(parsed, lambda x: x["op"].isin(*ops))
+    return F.aggregate(mine, F.lit(0).cast("long"), lambda a, x: a + x["len"])
+
+
 def cigar_total(cigar: Column, ops: str) -> Column:
     """Bases of the given operations together."""
-    mine = F.filter(parse_cigar(cigar), lambda x: x["op"].isin(*ops))
-    return F.aggregate(mine, F.lit(0).cast("long"), lambda a, x: a + x["len"])
+    return bases(parse_cigar(cigar), ops)
 
 
 def matched(cigar: Column, fold: bool = True) -> Column:
@@ -37,7 +42,11 @@ def events(cigar: Column, start: Column) -> Column:
 
     Skipped bases (N) advance the position as deletions do.
     """
-    parsed = parse_cigar(cigar)
+    return parsed_events(parse_cigar(cigar), start)
+
+
+def parsed_events(parsed: Column, start: Column) -> Column:
+    """`events` of a parsed CIGAR."""
     begin = F.struct(start.cast("long").alias("pos"), F.array().cast("array<struct<pos:bigint,op:string,len:bigint>>").alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
@@ -51,7 +60,12 @@ def events(cigar: Column, start: Column) -> Column:
 
 def largest_indel(cigar: Column, start: Column, around: Column, window: int) -> Column:
     """The longest insertion or deletion within `window` of a position, the first of equal ones; null if none."""
-    near = F.filter(events(cigar, start), lambda e: e["op"].isin("I", "D") & (F.abs(e["pos"] - around) <= window))
+    return largest_of(events(cigar, start), around, window)
+
+
+def largest_of(found: Column, around: Column, window: int) -> Column:
+    """`largest_indel` of events."""
+    near = F.filter(found, lambda e: e["op"].isin("I", "D") & (F.abs(e["pos"] - around) <= window))
     best = F.array_max(F.transform(near, lambda e: F.struct(e["len"].alias("len"), (-e["pos"]).alias("neg"), e["op"].alias("op"))))
     return F.when(best.isNotNull(), F.struct((-best["neg"]).alias("pos"), best["op"].alias("op"), best["len"].alias("len")))
 
@@ -74,7 +88,12 @@ def aligned_overlap(one: Column, start_one: Column, two: Column, start_two: Colu
 
 def softclip_distance(cigar: Column, start: Column, targets: Column, none: int = 999) -> Column:
     """Least distance from a soft-clip junction to one of the target positions; `none` if there is no such pair."""
-    clips = F.filter(events(cigar, start), lambda e: e["op"] == "S")
+    return clip_distance_of(events(cigar, start), targets, none)
+
+
+def clip_distance_of(found: Column, targets: Column, none: int = 999) -> Column:
+    """`softclip_distance` of events."""
+    clips = F.filter(found, lambda e: e["op"] == "S")
     gaps = F.flatten(F.transform(clips, lambda e: F.transform(targets, lambda t: F.abs(e["pos"] - t))))
     return F.coalesce(F.array_min(gaps), F.lit(none).cast("long"))
 

@@ -93,13 +93,20 @@ def resolve_symbolic(svtype: Column, bases: Column) -> Column:
 
 
 def event_gate(df: DataFrame, near: int = 25, mapq: int = 40) -> DataFrame:
-    """Breakend evidence near a target: either end within `near`, reads of mapq or more, mates of mapq or near too.
+    """Evidence of split reads that stays.
 
-    df(d1, d2, mapq, mate_mapq, svtype); a null distance is far.
+    df(svtype, d1, d2, mapq, mate_mapq, pos, pos2, read_start, mate_start, template, proper): d1 and d2 are the distances
+    of the ends to the closest target, a null is far. A deletion, duplication or insertion needs a near end and, in a
+    proper pair, both ends inside the pair. A breakend needs a read of mapq or more, and a supplementary alignment of
+    mapq or more or a near end.
     """
     close = lambda c: F.coalesce(F.col(c) <= near, F.lit(False))
-    sure = (F.col("mapq") >= mapq) & ((F.col("mate_mapq") >= mapq) | (close("d1") & close("d2")))
-    return df.where((close("d1") | close("d2")) & ((F.col("svtype") != "BND") | sure))
+    any_near = close("d1") | close("d2")
+    first = F.least("read_start", "mate_start")
+    outside = F.col("proper") & ((F.least("pos", "pos2") < first) | (F.greatest("pos", "pos2") > first + F.col("template")))
+    collinear = any_near & ~F.coalesce(outside, F.lit(False))
+    breakend = (F.col("mapq") >= mapq) & ((F.col("mate_mapq") >= mapq) | any_near)
+    return df.where(F.when(F.col("svtype") == "BND", breakend).otherwise(collinear))
 
 
 def edit_event_filters(df: DataFrame, least: int = 1, control: int = 0, near: int = 25) -> DataFrame:

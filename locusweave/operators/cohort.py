@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from locusweave.functions.variants import natural_key
+
 
 def normalize_metric_labels(df: DataFrame) -> DataFrame:
     """df(category, metric, value, percent) -> metric `category: metric`, value; percent adds a row with (%).
@@ -40,31 +42,46 @@ def gene_coverage_rollup(df: DataFrame) -> DataFrame:
 
 
 def coverage_curve(df: DataFrame, depths: list[int]) -> DataFrame:
-    """df(depth, n) -> share of bases deeper than each listed depth, in percent."""
+    """df(depth, n) -> share of bases deeper than each listed depth, in percent; the last row, which is open-ended, gives none."""
     order = W.orderBy("depth")
     share = 100 - 100 * F.sum("n").over(order) / F.sum("n").over(W.partitionBy())
-    out = df.withColumn("share", share).withColumn("depth", F.col("depth") + 1)
+    out = df.withColumn("share", share).withColumn("last", F.max("depth").over(W.partitionBy()) == F.col("depth")).where("not last").withColumn("depth", F.col("depth") + 1)
     return out.where(F.col("depth").isin(depths)).select("depth", "share", F.concat(F.lit(">="), F.col("depth").cast("string"), F.lit("x")).alias("label"))
 
 
-def derived_qc(df: DataFrame, by: str, needed: list[str]) -> DataFrame:
-    """Metrics of a case in columns, with the first over the sum of all as a percentage."""
-    wide = df.groupBy(by).pivot("metric", needed).agg(F.avg("value"))
-    total = sum((F.coalesce(F.col(f"`{m}`"), F.lit(0.0)) for m in needed[1:]), F.coalesce(F.col(f"`{needed[0]}`"), F.lit(0.0)))
-    return wide.withColumn("first_pct", F.round(100 * F.coalesce(F.col(f"`{needed[0]}`"), F.lit(0.0)) / total, 2))
+def derived_qc(df: DataFrame, by: str, names: dict[str, str], normal: int = 46) -> DataFrame:
+    """df(by, metric, value) -> by, chromosome_number, consensus_pct, duplicate_pct, on_target_pct; a row per case.
+
+    names gives the metric of each of ploidy, consensus_pairs, reads, on_target and mapped. The chromosome number is
+    23 times the ploidy, rounded; within 2 of `normal` it counts as `normal` at least. Two reads of a consensus pair
+    count against all reads, on-target reads against mapped ones. Missing metrics and counts of 0 give nulls.
+    """
+    wide = df.groupBy(by).pivot("metric", list(names.values())).agg(F.max("value"))
+    value = lambda k: F.col(f"`{names[k]}`")
+    pct = lambda part, whole: F.round(part / F.nullif(whole, F.lit(0.0)) * 100, 1)
+    number = F.round(value("ploidy") * 23, 0).cast("int")
+    consensus = pct(value("consensus_pairs") * 2, value("reads"))
+    return wide.select(
+        by, F.when(F.abs(number - normal) > 2, number).otherwise(F.greatest(F.lit(normal), number)).alias("chromosome_number"),
+        consensus.alias("consensus_pct"), F.round(100 - consensus, 1).alias("duplicate_pct"), pct(value("on_target"), value("mapped")).alias("on_target_pct"),
+    )
 
 
-def genotype_string(df: DataFrame, share: float = 0.4) -> DataFrame:
-    """df(sample, site, allele, n) -> per sample `site:genotype` joined with a pipe.
+def genotype_string(loci: DataFrame, share: float = 0.4) -> DataFrame:
+    """loci(sample, chrom, snp1, snp2, total_reads, haplotype_counts) -> per sample `chrom,pos,gt` joined with pipes.
 
-    Alleles above `share` of a site's reads, sorted; a single one is doubled.
+    haplotype_counts reads AC:10;GT:3; with one letter for each of the two sites. Haplotypes above `share` of the reads
+    give each site its distinct alleles, sorted; a single one is doubled. Sites stand in natural order; haplotypes
+    without a count are left out.
     """
-    whole = df.groupBy("sample", "site").agg(F.sum("n").alias("total"))
-    kept = df.join(whole, ["sample", "site"]).where(F.col("n") > share * F.col("total"))
-    alleles = kept.groupBy("sample", "site").agg(F.array_sort(F.collect_set("allele")).alias("a"))
-    pair = F.when(F.size("a") == 1, F.concat(F.get("a", F.lit(0)), F.get("a", F.lit(0)))).otherwise(F.array_join("a", ""))
-    sites = alleles.select("sample", F.concat_ws(":", F.lpad(F.col("site").cast("string"), 8, "0"), pair).alias("x"))
-    return sites.groupBy("sample").agg(F.array_join(F.array_sort(F.collect_list("x")), "|").alias("genotype"))
+    parts = loci.withColumn("x", F.explode(F.split(F.btrim("haplotype_counts", F.lit(";")), ";")))
+    hap = parts.withColumn("hap", F.substring_index("x", ":", 1)).withColumn("n", F.get(F.split("x", ":"), F.lit(1)).try_cast("long"))
+    hap = hap.where(F.col("n") / F.col("total_reads") > share)
+    site = lambda pos, k: hap.select("sample", "chrom", F.col(pos).cast("long").alias("pos"), F.substring("hap", k, 1).alias("allele"))
+    sites = site("snp1", 1).unionByName(site("snp2", 2)).groupBy("sample", "chrom", "pos").agg(F.array_sort(F.collect_set("allele")).alias("a"))
+    gt = F.array_join(F.when(F.size("a") == 2, F.col("a")).otherwise(F.concat("a", "a")), "")
+    item = F.struct(natural_key(F.col("chrom")).alias("k"), "pos", F.concat_ws(",", "chrom", F.col("pos").cast("string"), gt).alias("t"))
+    return sites.groupBy("sample").agg(F.array_join(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["t"]), "|").alias("genotype"))
 
 
 def recall_by_bin(df: DataFrame, edges: list[float]) -> DataFrame:
@@ -112,8 +129,9 @@ def spans_to_next(df: DataFrame, by: str, date: str) -> DataFrame:
 
 def fill_upward(df: DataFrame, by: str, order: str, value: str) -> DataFrame:
     """Nulls take the next value below them in the group's order."""
-    w = W.partitionBy(by).orderBy(order).rowsBetween(0, W.unboundedFollowing)
-    return df.withColumn(value, F.first(value, True).over(w))
+    # Last in the opposite order, which needs one pass.
+    w = W.partitionBy(by).orderBy(F.desc(order)).rowsBetween(W.unboundedPreceding, 0)
+    return df.withColumn(value, F.last(value, True).over(w))
 
 
 def slice_with_ties(df: DataFrame, by: str, order: str, tag: str) -> DataFrame:

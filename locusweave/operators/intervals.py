@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from locusweave.plans.size import broadcast_if_small
+
 BIN = 1000
 
 
@@ -23,13 +25,15 @@ def _renamed(b: DataFrame, keep: tuple[str, ...] = ("chrom",)) -> DataFrame:
     return b.select(*[F.col(c).alias(c if c in keep else f"{c}_b") for c in b.columns])
 
 
-def overlap_join(a: DataFrame, b: DataFrame, slack: int = 0, width: int = BIN, how: str = "inner") -> DataFrame:
+def overlap_join(a: DataFrame, b: DataFrame, slack: int = 0, width: int = BIN, how: str = "inner", few: bool = False) -> DataFrame:
     """Rows of a(chrom, st, en, ...) with rows of b that overlap, or lie within slack; b's columns end in _b.
 
     Rows with a null chrom, st or en meet nothing; how="left" keeps them, and others without a partner, with nulls.
+    few: b is expected to be small beside a; its binned rows go to all tasks if their size allows, so that a stays put.
     """
     wide = b.withColumn("_lo", F.col("st") - slack).withColumn("_hi", F.col("en") + slack)
     right = _renamed(wide).withColumn("_bin", F.explode(_bins(F.col("_lo_b"), F.col("_hi_b"), width)))
+    right = broadcast_if_small(right) if few else right
     left = a.withColumn("_bin", F.explode(_bins(F.col("st"), F.col("en"), width)))
     meet = (F.col("st") < F.col("_hi_b")) & (F.col("_lo_b") < F.col("en"))
     first = F.col("_bin") == F.greatest(F.floor(F.col("st") / width), F.floor(F.col("_lo_b") / width))
@@ -85,12 +89,15 @@ def min_distance(a: DataFrame, sites: DataFrame, chunk: int = 100_000) -> DataFr
     order = W.partitionBy("chrom").orderBy("_chunk")
     around = used.join(ends, ["chrom", "_chunk"], "left")
     around = around.withColumn("_before", F.last("_hi", True).over(order.rowsBetween(W.unboundedPreceding, -1)))
-    around = around.withColumn("_after", F.first("_lo", True).over(order.rowsBetween(1, W.unboundedFollowing)))
+    # The next of a column is its last in the opposite order, which needs one pass.
+    back = W.partitionBy("chrom").orderBy(F.desc("_chunk"))
+    around = around.withColumn("_after", F.last("_lo", True).over(back.rowsBetween(W.unboundedPreceding, -1)))
     rows = a.withColumn("_site", F.lit(None).cast("long")).unionByName(marks.withColumn("_site", F.col("pos")), allowMissingColumns=True)
     rows = rows.withColumn("_chunk", F.floor(F.col("pos") / chunk)).withColumn("_is", F.col("_site").isNotNull())
     inside = W.partitionBy("chrom", "_chunk").orderBy("pos")
     rows = rows.withColumn("_l", F.last("_site", True).over(inside.rangeBetween(W.unboundedPreceding, 0)))
-    rows = rows.withColumn("_r", F.first("_site", True).over(inside.rangeBetween(0, W.unboundedFollowing)))
+    outside = W.partitionBy("chrom", "_chunk").orderBy(F.desc("pos"))
+    rows = rows.withColumn("_r", F.last("_site", True).over(outside.rangeBetween(W.unboundedPreceding, 0)))
     rows = rows.where(~F.col("_is")).join(around.select("chrom", "_chunk", "_before", "_after"), ["chrom", "_chunk"], "left")
     left, right = F.coalesce("_l", "_before"), F.coalesce("_r", "_after")
     return rows.select(*a.columns, F.least(F.col("pos") - left, right - F.col("pos")).alias("distance"))

@@ -12,13 +12,23 @@ from pyspark.sql import functions as F
 
 from locusweave.functions import cigar as cg
 from locusweave.operators.intervals import overlap_join
+from locusweave.plans.size import broadcast_if_small
 
 LOCUS = ("chrom", "pos")
 
 
-def usable_reads(reads: DataFrame, least_mapq: int = 20) -> DataFrame:
-    """Reads that are no duplicates and map well enough."""
-    return reads.where((F.col("is_dup") == 0) & (F.col("mapq") >= least_mapq))
+def primary_reads(reads: DataFrame) -> DataFrame:
+    """Mapped primary reads that are no duplicates, by flag bits where there is a `flag`, and by is_dup."""
+    out = reads.where("is_dup = 0")
+    return out.where(proper_flags(F.col("flag"))) if "flag" in reads.columns else out
+
+
+def usable_reads(reads: DataFrame, least_mapq: int = 20, most_mismatches: int = 4) -> DataFrame:
+    """Primary reads that map well enough; with a column nm (edit distance), of few mismatches besides their indels."""
+    out = primary_reads(reads).where(F.col("mapq") >= least_mapq)
+    if "nm" not in reads.columns:
+        return out
+    return out.where(F.coalesce("nm", F.lit(0)) - cg.cigar_total(F.col("cigar"), "ID") <= most_mismatches)
 
 
 def proper_flags(flag: Column) -> Column:
@@ -26,20 +36,35 @@ def proper_flags(flag: Column) -> Column:
     return flag.bitwiseAND(0x4 | 0x100 | 0x200 | 0x400 | 0x800) == 0
 
 
-def reads_at_loci(reads: DataFrame, loci: DataFrame, pad: int) -> DataFrame:
-    """Reads whose reference span comes within pad of a locus: all columns of reads with pos."""
-    spans = reads.withColumn("st", F.col("ref_start")).withColumn("en", F.col("ref_start") + cg.cigar_total(F.col("cigar"), "MDN=X"))
-    marks = loci.select("chrom", F.col("pos").alias("st"), (F.col("pos") + 1).alias("en")).distinct()
-    return overlap_join(spans, marks, pad).withColumnRenamed("st_b", "pos").drop("st", "en", "en_b")
+def facing_pairs(flag: Column, start: Column, mate_start: Column) -> Column:
+    """Is a paired read on the other strand than its mate, and do the two face one another?"""
+    back, mate_back = (flag.bitwiseAND(b) > 0 for b in (0x10, 0x20))
+    return (flag.bitwiseAND(0x1) > 0) & (back != mate_back) & F.when(back, start >= mate_start).otherwise(start <= mate_start)
+
+
+def reads_at_loci(reads: DataFrame, loci: DataFrame, pad: int, length: int = 1) -> DataFrame:
+    """Reads whose reference span comes within pad of a locus of `length` bases: all columns of reads, ops and pos.
+
+    ops is the parsed CIGAR, parsed once for each read. Loci go to the reads where their size allows, so that reads
+    with their CIGARs are not dealt out.
+    """
+    spans = reads.withColumn("ops", cg.parse_cigar(F.col("cigar")))
+    spans = spans.withColumn("st", F.col("ref_start")).withColumn("en", F.col("ref_start") + cg.bases(F.col("ops"), "MDN=X"))
+    marks = loci.select("chrom", F.col("pos").alias("st"), (F.col("pos") + length).alias("en")).distinct()
+    return overlap_join(spans, marks, pad, few=True).withColumnRenamed("st_b", "pos").drop("st", "en", "en_b")
 
 
 def _indel() -> Column:
-    return cg.cigar_total(F.col("cigar"), "ID") > 0
+    return F.exists("ops", lambda x: x["op"].isin("I", "D"))
+
+
+def _largest(window: int) -> Column:
+    return cg.largest_of(cg.parsed_events(F.col("ops"), F.col("ref_start")), F.col("pos"), window)
 
 
-def site_labels(reads: DataFrame, loci: DataFrame, pad: int = 50, high: float = 0.05, low: float = 0.01) -> DataFrame:
-    """Indel share by arm at each locus, and a label: 1 edited, 0 clean, -1 unclear."""
-    met = reads_at_loci(reads, loci, pad).groupBy(*LOCUS).agg(
+def site_labels(reads: DataFrame, loci: DataFrame, pad: int = 150, high: float = 0.05, low: float = 0.01, least_mapq: int = 1) -> DataFrame:
+    """Indel share by arm of the primary reads of least_mapq or more at each locus, and a label: 1 edited, 0 clean, -1 unclear."""
+    met = reads_at_loci(usable_reads(reads, least_mapq), loci, pad, 0).groupBy(*LOCUS).agg(
         F.avg(F.when(F.col("arm") == "edited", _indel().cast("int"))).alias("edited"),
         F.avg(F.when(F.col("arm") == "control", _indel().cast("int"))).alias("control"),
     )
@@ -49,27 +74,26 @@ def site_labels(reads: DataFrame, loci: DataFrame, pad: int = 50, high: float =
 
 
 def control_fractions(reads: DataFrame, loci: DataFrame, pad: int = 50) -> DataFrame:
-    """Share of control reads near each locus with a deletion, an insertion, a clip."""
-    met = reads_at_loci(reads.where("arm = 'control'"), loci, pad)
-    share = lambda op: F.avg((cg.cigar_total(F.col("cigar"), op) > 0).cast("int"))
+    """Share of primary control reads near each locus with a deletion, an insertion, a clip."""
+    met = reads_at_loci(primary_reads(reads.where("arm = 'control'")), loci, pad)
+    share = lambda op: F.avg((cg.bases(F.col("ops"), op) > 0).cast("int"))
     return met.groupBy(*LOCUS).agg(F.count(F.lit(1)).alias("reads"), share("D").alias("del_share"), share("I").alias("ins_share"), share("S").alias("clip_share"))
 
 
 def control_overlap(reads: DataFrame, loci: DataFrame, pad: int = 50) -> DataFrame:
-    """For each locus, does a control read near it carry an insertion, a deletion?"""
-    met = reads_at_loci(reads.where("arm = 'control'"), loci, pad)
-    has = lambda op: F.bool_or(cg.cigar_total(F.col("cigar"), op) > 0)
+    """For each locus, does a primary control read near it carry an insertion, a deletion?"""
+    met = reads_at_loci(primary_reads(reads.where("arm = 'control'")), loci, pad)
+    has = lambda op: F.bool_or(cg.bases(F.col("ops"), op) > 0)
     return met.groupBy(*LOCUS).agg(has("I").alias("control_ins"), has("D").alias("control_del"))
 
 
 def allele_counts(reads: DataFrame, loci: DataFrame, pad: int = 25) -> DataFrame:
-    """Reads per locus and allele (op:len@pos, or REF), with one event for each read name.
+    """Usable reads per locus and allele (op:len@pos, or REF), with one event for each read name.
 
     A read name that occurs more than once counts by its indel before its plain alignment, then by the lowest start.
     """
-    met = reads_at_loci(reads, loci, pad)
-    best = cg.largest_indel(F.col("cigar"), F.col("ref_start"), F.col("pos"), pad)
-    allele = F.when(best.isNull(), F.lit("REF")).otherwise(F.concat(best["op"], F.lit(":"), best["len"].cast("string"), F.lit("@"), best["pos"].cast("string")))
+    met = reads_at_loci(usable_reads(reads), loci, pad).withColumn("e", _largest(pad))
+    allele = F.when(F.col("e").isNull(), F.lit("REF")).otherwise(F.concat("e.op", F.lit(":"), F.col("e.len").cast("string"), F.lit("@"), F.col("e.pos").cast("string")))
     met = met.select(*LOCUS, "read_name", "ref_start", allele.alias("allele"))
     first = F.min(F.struct((F.col("allele") == "REF").alias("plain"), "ref_start", "allele"))
     one = met.groupBy(*LOCUS, "read_name").agg(first.alias("f"))
@@ -77,8 +101,8 @@ def allele_counts(reads: DataFrame, loci: DataFrame, pad: int = 25) -> DataFrame
 
 
 def locus_edit_summary(reads: DataFrame, loci: DataFrame, pad: int = 50) -> DataFrame:
-    """Total and indel reads by arm with shares to four places, and the distinct indels joined by semicolons."""
-    met = reads_at_loci(reads, loci, pad)
+    """Total and indel usable reads by arm with shares to four places, and the distinct indels joined by semicolons."""
+    met = reads_at_loci(usable_reads(reads), loci, pad)
     edited = F.col("arm") == "edited"
     kinds = F.concat_ws(";", F.array_sort(F.collect_set(F.when(_indel() & edited, F.regexp_replace("cigar", r"\d+M", "")))))
     out = met.groupBy(*LOCUS).agg(
@@ -92,9 +116,10 @@ def locus_edit_summary(reads: DataFrame, loci: DataFrame, pad: int = 50) -> Data
 def pileup_shape(reads: DataFrame, loci: DataFrame, pad: int = 200, window: int = 25, near: int = 2, least: int = 8) -> DataFrame:
     """How the indels of a locus are spread: spanning reads, indel share, modal place and length, concentration, MAPQ.
 
-    Each read gives its largest indel within `window`. Of equally common values the lowest is the mode.
+    Each primary read gives its largest indel within `window`. Of equally common values the lowest is the mode. Loci
+    with fewer than `least` spanning reads are left out.
     """
-    met = reads_at_loci(reads, loci, 0).withColumn("e", cg.largest_indel(F.col("cigar"), F.col("ref_start"), F.col("pos"), window))
+    met = reads_at_loci(primary_reads(reads), loci, 0).withColumn("e", _largest(window))
     met = met.select(*LOCUS, "mapq", F.col("e.pos").alias("at"), F.col("e.len").alias("len"))
     shape = met.groupBy(*LOCUS).agg(
         F.count(F.lit(1)).alias("spanning"), F.count("at").alias("indels"), F.median("mapq").alias("median_mapq"),
@@ -109,13 +134,14 @@ def pileup_shape(reads: DataFrame, loci: DataFrame, pad: int = 200, window: int
     )
 
 
-def panel_of_normals(reads: DataFrame, candidates: DataFrame, least: int = 4, reach: int = 25, hit: float = 0.03, pooled: float = 0.02) -> DataFrame:
-    """Indels near each candidate (chrom, pos, sample) in the control reads of other samples.
+def panel_of_normals(reads: DataFrame, candidates: DataFrame, least: int = 4, reach: int = 26, near: int = 3, hit: float = 0.03, pooled: float = 0.02) -> DataFrame:
+    """Indels near each candidate (chrom, pos, sample) in the primary control reads of other samples.
 
-    Gives normals, hits, pooled and worst share, and demote: any hit, or a pooled share of `pooled` or more.
+    A read supports the candidate if its largest indel within `reach` lies within `near` of it. Gives normals with
+    `least` reads or more, hits, pooled and worst share, and demote: any hit, or a pooled share of `pooled` or more.
     """
-    normals = reads_at_loci(reads.where("arm = 'control'"), candidates, 0).withColumnRenamed("sample", "normal")
-    seen = cg.largest_indel(F.col("cigar"), F.col("ref_start"), F.col("pos"), reach).isNotNull().cast("int")
+    normals = reads_at_loci(primary_reads(reads.where("arm = 'control'")), candidates, 0).withColumnRenamed("sample", "normal")
+    seen = F.coalesce((F.abs(_largest(reach)["pos"] - F.col("pos")) <= near).cast("int"), F.lit(0))
     normals = normals.groupBy(*LOCUS, "normal").agg(F.count(F.lit(1)).alias("n"), F.sum(seen).alias("k")).where(F.col("n") >= least)
     met = candidates.select(*LOCUS, "sample").distinct().join(normals, list(LOCUS)).where(F.col("normal") != F.col("sample"))
     share = F.col("k") / F.col("n")
@@ -125,19 +151,22 @@ def panel_of_normals(reads: DataFrame, candidates: DataFrame, least: int = 4, re
     return out.withColumn("demote", (F.col("hits") > 0) | (F.col("pooled_share") >= pooled))
 
 
-def verdicts(shape: DataFrame, control: DataFrame) -> DataFrame:
-    """A verdict for each locus from its pileup shape and its matched control's indel share.
+def verdicts(shape: DataFrame, control: DataFrame, scores: DataFrame, least: int = 8, ratio: float = 3.0, most_control: float = 0.03) -> DataFrame:
+    """A verdict for each locus from its pileup shape, its matched control's indel share and the model's score.
 
-    The first rule that holds decides: few reads, low MAPQ, control with indels, edited under three times the control,
-    high share with concentration, some share, else no call.
+    shape(..., indel_share, concentration, median_mapq, spanning), control(..., indel_share), scores(..., score), keyed by
+    locus. The first rule that holds decides: few reads; low MAPQ with indels; an indel share in the control of
+    `most_control` or more, or of which the edited share is less than `ratio` times; a score of 0.60 with half of the
+    indels in one place; a score of 0.25; else an artifact by its shape. A locus without a control is not held against it.
     """
-    own, other = F.col("indel_share"), F.coalesce("control_share", F.lit(0.0))
+    own, other, score = F.col("indel_share"), F.col("control_share"), F.coalesce("score", F.lit(0.0))
     ladder = (
-        F.when(F.col("spanning") < 20, "LOW_COVERAGE").when(F.col("median_mapq") < 20, "LOW_MAPQ").when(other >= 0.03, "GERMLINE_OR_NOISE")
-        .when((other > 0) & (own < 3 * other), "NOT_ABOVE_CONTROL").when((own >= 0.60) & (F.col("concentration") >= 0.5), "LIKELY_EDIT")
-        .when(own >= 0.25, "REVIEW").otherwise("NO_EDIT")
+        F.when(F.col("spanning") < least, "INSUFFICIENT COVERAGE").when((F.col("median_mapq") < 20) & (own > 0), "ARTIFACT (low-MAPQ repeat)")
+        .when((other >= most_control) | (own < ratio * other), "GERMLINE/ARTIFACT (in normal)")
+        .when((score >= 0.60) & (F.coalesce("concentration", F.lit(0.0)) >= 0.5), "LIKELY EDIT").when(score >= 0.25, "POSSIBLE - review").otherwise("ARTIFACT (shape)")
     )
-    return shape.join(control.select(*LOCUS, F.col("indel_share").alias("control_share")), list(LOCUS), "left").withColumn("verdict", ladder)
+    met = shape.join(control.select(*LOCUS, F.col("indel_share").alias("control_share")), list(LOCUS), "left").join(scores.select(*LOCUS, "score"), list(LOCUS), "left")
+    return met.withColumn("verdict", ladder)
 
 
 def recurrence_tiers(sites: DataFrame, artifact: int = 3) -> DataFrame:
@@ -151,22 +180,27 @@ def recurrence_tiers(sites: DataFrame, artifact: int = 3) -> DataFrame:
 
 
 def read_features(reads: DataFrame, loci: DataFrame, pad: int = 50) -> DataFrame:
-    """One row per read and locus: bases by operation, size class, complexity, ratio, clip distance, control marks."""
-    met = reads_at_loci(reads.where("arm = 'edited'"), loci, pad)
-    c = F.col("cigar")
-    ins, dele, clip = (cg.cigar_total(c, op) for op in "IDS")
-    out = met.select(
-        *LOCUS, "read_name", "ref_start", "mapq", "cigar", ins.alias("ins_bases"), dele.alias("del_bases"), clip.alias("clip_bases"), cg.matched(c).alias("match_bases"),
-        cg.size_class(ins + dele).alias("size_class"), cg.complexity(F.size(cg.parse_cigar(c)), ins + dele).alias("complexity"),
-        cg.ins_del_ratio(ins, dele).alias("ins_del_ratio"), cg.softclip_distance(c, F.col("ref_start"), F.array(F.col("pos"))).alias("clip_distance"),
+    """One row per primary read and locus: bases by operation, size class, complexity, ratio, clip distance, control marks.
+
+    Reads of both arms meet the loci once; the control's marks are gathered by locus.
+    """
+    met = reads_at_loci(primary_reads(reads), loci, pad)
+    ins, dele, clip = (cg.bases(F.col("ops"), op) for op in "IDS")
+    met = met.withColumn("ins_bases", ins).withColumn("del_bases", dele).withColumn("clip_bases", clip)
+    size = F.col("ins_bases") + F.col("del_bases")
+    marks = met.where("arm = 'control'").groupBy(*LOCUS).agg(F.bool_or(F.col("ins_bases") > 0).alias("control_ins"), F.bool_or(F.col("del_bases") > 0).alias("control_del"))
+    out = met.where("arm = 'edited'").select(
+        *LOCUS, "read_name", "ref_start", "mapq", "cigar", "ins_bases", "del_bases", "clip_bases", cg.bases(F.col("ops"), "M=X").alias("match_bases"),
+        cg.size_class(size).alias("size_class"), cg.complexity(F.size("ops"), size).alias("complexity"), cg.ins_del_ratio(F.col("ins_bases"), F.col("del_bases")).alias("ins_del_ratio"),
+        cg.clip_distance_of(cg.parsed_events(F.col("ops"), F.col("ref_start")), F.array(F.col("pos"))).alias("clip_distance"),
     )
-    return out.join(control_overlap(reads, loci, pad), list(LOCUS), "left").na.fill(False, ["control_ins", "control_del"])
+    return out.join(broadcast_if_small(marks), list(LOCUS), "left").na.fill(False, ["control_ins", "control_del"])
 
 
 def downsample_depth(reads: DataFrame, loci: DataFrame, target: int) -> DataFrame:
     """Reads of each locus, each kept with the chance target / depth by a hash of its name, so reruns agree."""
     met = reads_at_loci(reads, loci, 0)
-    depth = met.groupBy(*LOCUS).agg(F.count(F.lit(1)).alias("depth"))
+    depth = broadcast_if_small(met.groupBy(*LOCUS).agg(F.count(F.lit(1)).alias("depth")))
     uniform = F.conv(F.substring(F.md5(F.col("read_name")), 1, 8), 16, 10).cast("long") / F.lit(2.0**32)
     return met.join(depth, list(LOCUS)).where(uniform < F.lit(float(target)) / F.col("depth"))
 

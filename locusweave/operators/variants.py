@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from locusweave.functions import variants as fn
 from locusweave.operators.intervals import cluster_intervals
+from locusweave.plans.size import broadcast_if_small
 
 FIELDS = ("allele", "symbol", "trx", "consequence", "pick")
 
@@ -103,16 +104,20 @@ def symmetric_pairs(listed: DataFrame) -> DataFrame:
 def recurrent_lookup(pairs: DataFrame, listed: DataFrame) -> DataFrame:
     """pairs(id, gene_a, gene_b, svtype, orientation) with `recurrent`: exact, wildcard or null.
 
-    A listed partner * stands for any gene, a listed type * for any type in the direct order only; a strand requirement
-    needs an orientation of 0 or more. The join is on one gene, so the wildcards need no cross join.
+    A rule of the listed pairs, taken in both orders, fits if its first gene is either gene of the event and its second
+    is the other or *. A type * fits any type where the rule's first gene stands on the left. A strand requirement needs
+    orientation 1. The joins are on the rule's first gene, so wildcards need no cross join.
     """
-    rules = symmetric_pairs(listed)
-    by_a = rules.where("gene1 <> '*'").select(F.col("gene1").alias("gene_a"), F.col("gene2").alias("partner"), "require_strand", "type", "direct")
-    fits = (F.col("partner") == F.col("gene_b")) | (F.col("partner") == "*")
-    typed = (F.col("type") == F.col("svtype")) | ((F.col("type") == "*") & F.col("direct"))
-    strand = (F.col("require_strand") == 0) | (F.coalesce("orientation", F.lit(-1)) >= 0)
-    met = pairs.join(by_a, "gene_a").where(fits & typed & strand)
-    best = met.groupBy("id", "gene_a", "gene_b").agg(F.min(F.when(F.col("partner") == "*", 1).otherwise(0)).alias("_w"))
+    rules = symmetric_pairs(listed).where("gene1 <> '*'").select("gene1", F.col("gene2").alias("partner"), "require_strand", "type").distinct()
+    rules = broadcast_if_small(rules)
+    strand = (F.col("require_strand") == 0) | ((F.col("require_strand") == 1) & F.coalesce(F.col("orientation") == 1, F.lit(False)))
+
+    def fit(near: str, far: str, any_type: bool) -> DataFrame:
+        typed = (F.col("type") == F.col("svtype")) | (F.lit(any_type) & (F.col("type") == "*"))
+        met = pairs.join(rules, F.col(near) == F.col("gene1")).where(F.col("partner").isin(F.col(far), F.lit("*")) & typed & strand)
+        return met.select("id", "gene_a", "gene_b", (F.col("partner") == "*").cast("int").alias("_w"))
+
+    best = fit("gene_a", "gene_b", True).unionByName(fit("gene_b", "gene_a", False)).groupBy("id", "gene_a", "gene_b").agg(F.min("_w").alias("_w"))
     out = pairs.join(best, ["id", "gene_a", "gene_b"], "left")
     return out.withColumn("recurrent", F.when(F.col("_w") == 0, "exact").when(F.col("_w") == 1, "wildcard")).drop("_w")
 
@@ -154,10 +159,10 @@ def gene_status(df: DataFrame, genes: DataFrame) -> DataFrame:
 
 
 def merge_info_maps(df: DataFrame, by: str, info: str) -> DataFrame:
-    """Union of the keys of all info strings of a group: values joined by commas in order, keys sorted, flags bare."""
+    """Union of the keys of all info strings of a group: all values, repeats too, sorted and joined by commas, keys sorted, flags bare."""
     pairs = df.select(by, F.explode(F.split(info, ";")).alias("_p"))
     key, value = F.substring_index("_p", "=", 1), F.when(F.col("_p").contains("="), F.regexp_replace("_p", "^[^=]*=", ""))
-    each = pairs.groupBy(by, key.alias("_k")).agg(F.array_join(F.array_sort(F.collect_set(value)), ",").alias("_v"))
+    each = pairs.groupBy(by, key.alias("_k")).agg(F.array_join(F.array_sort(F.collect_list(value)), ",").alias("_v"))
     item = F.when(F.col("_v") == "", F.col("_k")).otherwise(F.concat("_k", F.lit("="), "_v"))
     return each.groupBy(by).agg(F.array_join(F.array_sort(F.collect_list(item)), ";").alias(info))
 
@@ -174,8 +179,8 @@ def somatic_indel_gate(df: DataFrame, least: float = 5.0, weak: bool = False) ->
 
 
 def false_positive_sites(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Sites to keep, and off-target sites with indel reads but none in the control, for a log."""
-    odd = (F.col("is_target") == 0) & (F.col("indel") > 0) & (F.col("control_indel") == 0)
+    """Sites to keep, and, for a log, off-target sites with indel reads of which the model predicts none (predicted = 0)."""
+    odd = F.coalesce((F.col("is_target") == 0) & (F.col("indel") > 0) & (F.col("predicted") == 0), F.lit(False))
     return df.where(~odd), df.where(odd)
 
 
@@ -192,10 +197,23 @@ def truth_panel(df: DataFrame, least: float) -> DataFrame:
     return out.withColumn("is_edit", F.coalesce(F.col("best") >= least, F.lit(False)))
 
 
-def rank_candidates(df: DataFrame, tier: str, score: str, tie: str, most: int | None = None) -> DataFrame:
-    """Rows by tier, score from high to low with nulls last, and tie, with their rank; with `most`, only so many."""
-    out = df.orderBy(F.col(tier), F.col(score).desc_nulls_last(), F.col(tie))
+def rank_candidates(df: DataFrame, tier: str, score: str, tie: str, most: int | None = None, parts: int = 64) -> DataFrame:
+    """Rows by tier, score (a number) from high to low with nulls last, and tie, with their rank from 1; with `most`, only so many.
+
+    All rows are ranked without being gathered: tiers are cut at quantiles of the score, each piece is numbered on its
+    own, and the rank adds the rows of the pieces before it.
+    """
+    order = [F.col(tier).asc(), F.col(score).desc_nulls_last(), F.col(tie).asc()]
     if most is not None:
-        out = out.limit(most)
-        return out.withColumn("rank", F.row_number().over(W.orderBy(F.col(tier), F.col(score).desc_nulls_last(), F.col(tie))))
-    return out
+        return df.orderBy(*order).limit(most).withColumn("rank", F.row_number().over(W.orderBy(*order)))
+    bounds = df.agg(F.percentile_approx(score, [k / parts for k in range(1, parts)])).first()[0] or []
+    higher = F.filter(F.array(*map(F.lit, sorted(set(bounds)))), lambda b: b >= F.col(score)) if bounds else F.array()
+    piece = F.when(F.col(score).isNull(), F.lit(parts)).otherwise(F.size(higher))
+    cut = df.withColumn("_piece", piece)
+    sizes = cut.groupBy(F.col(tier).alias("_tier"), "_piece").agg(F.count(F.lit(1)).alias("_n"))
+    # One row for each piece.
+    before = sizes.withColumn("_before", F.sum("_n").over(W.orderBy("_tier", "_piece").rowsBetween(W.unboundedPreceding, 0)) - F.col("_n"))
+    same = F.col(tier).eqNullSafe(F.col("_tier")) & (F.col("_piece") == F.col("_p"))
+    out = cut.join(F.broadcast(before.select("_tier", F.col("_piece").alias("_p"), "_before")), same)
+    place = F.row_number().over(W.partitionBy(tier, "_piece").orderBy(*order[1:]))
+    return out.withColumn("rank", F.col("_before") + place).drop("_piece", "_tier", "_p", "_before")

@@ -30,7 +30,15 @@ def _(g):
     return an.frameshift_peptide(shifted, _transcripts(g))
 
 
-@query("t42_reference_peptide")
+#: The code as one string, a letter at the place of its codon's number in base 4 (T, C, A, G).
+_CODON = f"substr('{an._AMINO}', CAST(16 * (strpos('TCAG', substr(cds, k, 1)) - 1) + 4 * (strpos('TCAG', substr(cds, k + 1, 1)) - 1) + strpos('TCAG', substr(cds, k + 2, 1)) AS INT), 1)"
+
+
+@query(
+    "t42_reference_peptide",
+    f"""WITH c AS (SELECT p_partkey AS trx, concat('ATG', s, s) AS cds FROM (SELECT p_partkey, replace(translate(upper(p_name), 'BDEFHIJKLMNOPQRSUVWXYZ ', 'ACGTACGTACGTACGTACGTACG'), '', '') AS s FROM part))
+    SELECT trx, split_part(array_to_string([CASE WHEN regexp_matches(substr(cds, k, 3), '^[TCAG]{{3}}$') THEN {_CODON} ELSE 'X' END FOR k IN range(1, length(cds) - 1, 3)], ''), '*', 1) AS peptide FROM c""",
+)
 def _(g):
     return an.reference_peptide(g.table("part").select(F.col("p_partkey").alias("trx")), _transcripts(g))
 
@@ -77,12 +85,17 @@ def _(g):
 
 @query(
     "d18_event_gate",
-    """SELECT id FROM (SELECT id, svtype, pos % 60 AS d1, CASE WHEN svlen % 5 > 0 THEN svlen % 70 END AS d2, ref_reads * 2 AS mapq, alt_reads * 6 AS mate_mapq FROM fx_variants)
-    WHERE (coalesce(d1 <= 25, false) OR coalesce(d2 <= 25, false)) AND (svtype <> 'BND' OR (mapq >= 40 AND (mate_mapq >= 40 OR (coalesce(d1 <= 25, false) AND coalesce(d2 <= 25, false)))))""",
+    """SELECT id FROM (SELECT id, svtype, pos % 60 AS d1, CASE WHEN svlen % 5 > 0 THEN svlen % 70 END AS d2, ref_reads * 2 AS mapq, alt_reads * 6 AS mate_mapq, pos, pos + svlen % 400 AS pos2, pos - svlen % 300 AS read_start,
+      pos - svlen % 250 AS mate_start, 350 AS template, ref_reads % 3 > 0 AS proper FROM fx_variants)
+    WHERE CASE WHEN svtype = 'BND' THEN NOT (mapq < 40 OR (mate_mapq < 40 AND d1 > 25 AND coalesce(d2, 999) > 25))
+      ELSE NOT (d1 > 25 AND coalesce(d2, 999) > 25) AND NOT (proper AND (least(pos, pos2) < least(read_start, mate_start) OR greatest(pos, pos2) > least(read_start, mate_start) + template)) END""",
 )
 def _(g):
     v = F.col
-    rows = g.variants.select("id", "svtype", (v("pos") % 60).alias("d1"), F.when(v("svlen") % 5 > 0, v("svlen") % 70).alias("d2"), (v("ref_reads") * 2).alias("mapq"), (v("alt_reads") * 6).alias("mate_mapq"))
+    rows = g.variants.select(
+        "id", "svtype", (v("pos") % 60).alias("d1"), F.when(v("svlen") % 5 > 0, v("svlen") % 70).alias("d2"), (v("ref_reads") * 2).alias("mapq"), (v("alt_reads") * 6).alias("mate_mapq"), "pos",
+        (v("pos") + v("svlen") % 400).alias("pos2"), (v("pos") - v("svlen") % 300).alias("read_start"), (v("pos") - v("svlen") % 250).alias("mate_start"), F.lit(350).alias("template"), (v("ref_reads") % 3 > 0).alias("proper"),
+    )
     return an.event_gate(rows).select("id")
 
 
@@ -126,13 +139,10 @@ def _(g):
     return an.score_loci(g.reads.join(loci, ["chrom", "ref_start"]).select("chrom", "pos", (F.col("mapq") / 60.0).alias("score")))
 
 
-@query("o05_section_order", "SELECT metric, value, row_number() OVER (ORDER BY CASE metric WHEN 'purchase' THEN 0 WHEN 'view' THEN 1 ELSE 2 END, value DESC, event_id) AS place FROM fx_metrics ORDER BY place LIMIT 50")
+@query("o05_section_order", "SELECT event_id, row_number() OVER (ORDER BY CASE metric WHEN 'purchase' THEN 0 WHEN 'view' THEN 1 ELSE 2 END, value DESC, event_id) AS place FROM fx_metrics")
 def _(g):
-    from pyspark.sql import Window as W
-
-    order = [F.when(F.col("metric") == "purchase", 0).when(F.col("metric") == "view", 1).otherwise(2), F.desc("value"), F.col("event_id")]
-    top = g.metrics.orderBy(*order).limit(50)
-    return top.select("metric", "value", F.row_number().over(W.orderBy(*order)).alias("place"))
+    section = F.when(F.col("metric") == "purchase", 0).when(F.col("metric") == "view", 1).otherwise(2)
+    return vr.rank_candidates(g.metrics.withColumn("section", section), "section", "value", "event_id").select("event_id", F.col("rank").alias("place"))
 
 
 @query(

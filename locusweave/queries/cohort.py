@@ -59,21 +59,32 @@ def _(g):
 
 @query(
     "a22_coverage_curve",
-    """WITH h AS (SELECT CAST(l_quantity AS INT) AS depth, count(*) AS n FROM lineitem GROUP BY 1), c AS (SELECT depth + 1 AS depth, 100 - 100.0 * sum(n) OVER (ORDER BY depth) / sum(n) OVER () AS share FROM h)
-    SELECT depth, round(share, 6) AS share, concat('>=', depth, 'x') AS label FROM c WHERE depth IN (10, 20, 30, 50)""",
+    """WITH h AS (SELECT CAST(l_quantity AS INT) AS depth, count(*) AS n FROM lineitem GROUP BY 1), c AS (SELECT depth + 1 AS depth, 100 - 100.0 * sum(n) OVER (ORDER BY depth) / sum(n) OVER () AS share FROM h QUALIFY depth < max(depth) OVER ())
+    SELECT depth, round(share, 6) AS share, concat('>=', depth, 'x') AS label FROM c WHERE depth IN (10, 20, 30, 50, 51)""",
 )
 def _(g):
     hist = g.table("lineitem").groupBy(F.col("l_quantity").cast("int").alias("depth")).agg(F.count(F.lit(1)).alias("n"))
-    return co.coverage_curve(hist, [10, 20, 30, 50]).withColumn("share", F.round("share", 6))
+    return co.coverage_curve(hist, [10, 20, 30, 50, 51]).withColumn("share", F.round("share", 6))
 
 
-@query("a24_genotype_string", """WITH c AS (SELECT concat('s', o_custkey % 10) AS sample, o_orderkey % 7 AS site, CASE WHEN o_orderkey % 11 < 8 THEN 'A' ELSE 'C' END AS allele, count(*) AS n FROM orders GROUP BY 1, 2, 3),
-    t AS (SELECT *, sum(n) OVER (PARTITION BY sample, site) AS total FROM c), k AS (SELECT sample, site, string_agg(DISTINCT allele, '' ORDER BY allele) AS a FROM t WHERE n > 0.4 * total GROUP BY 1, 2)
-    SELECT sample, string_agg(concat(lpad(CAST(site AS VARCHAR), 8, '0'), ':', CASE WHEN length(a) = 1 THEN a || a ELSE a END), '|' ORDER BY site) AS genotype FROM k GROUP BY 1""")
+@query(
+    "a24_genotype_string",
+    """WITH h AS (SELECT concat('s', o_custkey % 10) AS sample, concat('chr', 9 + o_orderkey % 4) AS chrom, 123456700 + o_orderkey % 5 * 1000 AS snp1,
+      CASE WHEN o_orderkey % 11 < 5 THEN 'AC' WHEN o_orderkey % 11 < 10 THEN 'GC' ELSE 'TT' END AS hap FROM orders),
+    c AS (SELECT sample, chrom, snp1, hap, count(*) / CAST(sum(count(*)) OVER (PARTITION BY sample, chrom, snp1) AS DOUBLE) AS share FROM h GROUP BY 1, 2, 3, 4),
+    s AS (SELECT sample, chrom, snp1 AS pos, hap[1] AS allele FROM c WHERE share > 0.4 UNION SELECT sample, chrom, snp1 + 31, hap[2] FROM c WHERE share > 0.4),
+    g AS (SELECT sample, chrom, pos, CASE WHEN count(*) = 2 THEN string_agg(allele, '' ORDER BY allele) ELSE min(allele) || min(allele) END AS gt FROM s GROUP BY 1, 2, 3)
+    SELECT sample, string_agg(concat_ws(',', chrom, pos, gt), '|' ORDER BY CAST(substr(chrom, 4) AS INT), pos) AS genotype FROM g GROUP BY 1""",
+)
 def _(g):
-    o = g.table("orders")
-    rows = o.groupBy(F.concat(F.lit("s"), (F.col("o_custkey") % 10).cast("string")).alias("sample"), (F.col("o_orderkey") % 7).alias("site"), F.when(F.col("o_orderkey") % 11 < 8, "A").otherwise("C").alias("allele"))
-    return co.genotype_string(rows.agg(F.count(F.lit(1)).alias("n")))
+    k = F.col("o_orderkey")
+    haps = g.table("orders").select(
+        F.concat(F.lit("s"), (F.col("o_custkey") % 10).cast("string")).alias("sample"), F.concat(F.lit("chr"), (9 + k % 4).cast("string")).alias("chrom"), (123456700 + k % 5 * 1000).alias("snp1"),
+        F.when(k % 11 < 5, "AC").when(k % 11 < 10, "GC").otherwise("TT").alias("hap"),
+    )
+    counts = haps.groupBy("sample", "chrom", "snp1", "hap").agg(F.count(F.lit(1)).alias("n"))
+    loci = counts.groupBy("sample", "chrom", "snp1").agg(F.sum("n").alias("total_reads"), F.concat(F.array_join(F.collect_list(F.concat("hap", F.lit(":"), F.col("n").cast("string"))), ";"), F.lit(";")).alias("haplotype_counts"))
+    return co.genotype_string(loci.withColumn("snp2", F.col("snp1") + 31))
 
 
 @query(
@@ -99,9 +110,15 @@ def _(g):
     return co.unpivot_metrics(co.metric_table(_metrics(g), "sample", _TYPES), "sample", _TYPES)
 
 
-@query("a23_derived_qc", "SELECT sample, round(100 * avg(value) FILTER (metric = 'click') / (coalesce(avg(value) FILTER (metric = 'click'), 0) + coalesce(avg(value) FILTER (metric = 'view'), 0)), 2) AS first_pct FROM fx_metrics GROUP BY 1")
+@query(
+    "a23_derived_qc",
+    """WITH m AS (SELECT sample, max(value) FILTER (metric = 'click') / 50 AS ploidy, max(value) FILTER (metric = 'view') AS pairs, max(value) FILTER (metric = 'purchase') AS n, max(value) FILTER (metric = 'signup') AS hit,
+      max(value) FILTER (metric = 'error') AS mapped FROM fx_metrics GROUP BY 1), k AS (SELECT *, CAST(round(ploidy * 23, 0) AS INT) AS c, round(pairs * 2 / nullif(n, 0) * 100, 1) AS consensus FROM m)
+    SELECT sample, CASE WHEN abs(c - 46) > 2 THEN c ELSE greatest(46, c) END AS chromosome_number, consensus AS consensus_pct, round(100 - consensus, 1) AS duplicate_pct, round(hit / nullif(mapped, 0) * 100, 1) AS on_target_pct FROM k""",
+)
 def _(g):
-    return co.derived_qc(_metrics(g), "sample", ["click", "view"]).select("sample", "first_pct")
+    rows = g.metrics.select("sample", "metric", F.when(F.col("metric") == "click", F.col("value") / 50).otherwise(F.col("value")).alias("value"))
+    return co.derived_qc(rows, "sample", {"ploidy": "click", "consensus_pairs": "view", "reads": "purchase", "on_target": "signup", "mapped": "error"})
 
 
 @query("a32_label_crosstab", "SELECT sample, count(*) FILTER (arm = 'edited') AS label_edited, count(*) FILTER (arm = 'control') AS label_control FROM fx_reads GROUP BY 1")
@@ -280,9 +297,9 @@ def _(g):
     return vr.candidate_gate(g.variants.select("id", (F.col("alt_reads") / 13.0).alias("fraction"), (F.col("ref_reads") / 400.0).alias("control_fraction"))).select("id")
 
 
-@query("d17_false_positive_sites", "SELECT chrom, pos FROM fx_sites WHERE is_target = 0 AND pos % 3 > 0 AND pos % 5 = 0")
+@query("d17_false_positive_sites", "SELECT DISTINCT chrom, pos FROM fx_sites WHERE is_target = 0 AND pos % 3 > 0 AND pos % 7 = 0")
 def _(g):
-    rows = g.sites.withColumn("indel", F.col("pos") % 3).withColumn("control_indel", F.col("pos") % 5)
+    rows = g.sites.withColumn("indel", F.col("pos") % 3).withColumn("control_indel", F.col("pos") % 5).withColumn("predicted", F.col("pos") % 7)
     return vr.false_positive_sites(rows)[1].select("chrom", "pos").distinct()
 
 

@@ -26,9 +26,17 @@ def _(g):
     return _counts(g)
 
 
-@query("a02_bait_to_bait", f"WITH {_HIT} SELECT bait_id, other_id, n FROM pair_counts WHERE other_id IN (SELECT frag_id FROM fx_frags WHERE is_bait = 1)")
+#: Pairs between baits, which the views lack: each bait with the one ten fragments on.
+_PLANTED = """planted AS (SELECT -a.frag_id AS pair_id, a.chrom AS chr1, a.st AS st1, a.st + 150 AS en1, b.chrom AS chr2, b.st AS st2, b.st + 150 AS en2
+      FROM fx_frags a JOIN fx_frags b ON a.is_bait = 1 AND b.frag_id = a.frag_id + 10), all_pairs AS (SELECT * FROM fx_pairs UNION ALL SELECT * FROM planted), """
+
+
+@query("a02_bait_to_bait", f"WITH {_PLANTED}{_HIT.replace('fx_pairs', 'all_pairs')} SELECT bait_id, other_id, n FROM pair_counts WHERE other_id IN (SELECT frag_id FROM fx_frags WHERE is_bait = 1)")
 def _(g):
-    return hic.bait_to_bait(_counts(g), g.frags).select("bait_id", "other_id", "n")
+    a = g.frags.where("is_bait = 1").select((-F.col("frag_id")).alias("pair_id"), F.col("chrom").alias("chr1"), F.col("st").alias("st1"), (F.col("st") + 150).alias("en1"), (F.col("frag_id") + 10).alias("next"))
+    b = g.frags.select(F.col("frag_id").alias("next"), F.col("chrom").alias("chr2"), F.col("st").alias("st2"), (F.col("st") + 150).alias("en2"))
+    counts = hic.count_fragment_pairs(g.pairs.unionByName(a.join(b, "next").drop("next")), g.frags)
+    return hic.bait_to_bait(counts, g.frags).select("bait_id", "other_id", "n")
 
 
 @query("s08_fragment_problems", "SELECT frag_id, 'bait is no fragment' AS problem FROM fx_frags WHERE is_bait = 1 AND frag_id % 7 = 0")

@@ -17,9 +17,12 @@ _LEN = f"({_sum('M')} + {_sum('D')})"
 _LOCI = "(SELECT DISTINCT chrom, pos FROM fx_sites)"
 
 
-def _met(pad: int, extra: str = "") -> str:
+_PRIMARY = "AND r.is_dup = 0"
+
+
+def _met(pad: int, extra: str = "", length: int = 1) -> str:
     return f"""met AS (SELECT r.*, s.pos, {_sum('I')} AS ins, {_sum('D')} AS del, {_sum('S')} AS clip, {_sum('M')} AS mat FROM fx_reads r JOIN {_LOCI} s
-      ON r.chrom = s.chrom AND r.ref_start < s.pos + 1 + {pad} AND s.pos - {pad} < r.ref_start + {_LEN} {extra})"""
+      ON r.chrom = s.chrom AND r.ref_start < s.pos + {length} + {pad} AND s.pos - {pad} < r.ref_start + {_LEN} {extra})"""
 
 
 #: Reads of the views have one indel at most, right after their first match.
@@ -67,7 +70,7 @@ def _(g):
     return rd.usable_reads(g.reads).select("read_name", "mapq")
 
 
-_LABEL = f"""WITH {_met(50)}, x AS (SELECT chrom, pos, coalesce(avg(CASE WHEN arm = 'edited' THEN CAST(ins + del > 0 AS INT) END), 0.0) AS edited,
+_LABEL = f"""WITH {_met(150, _PRIMARY + " AND r.mapq >= 1", 0)}, x AS (SELECT chrom, pos, coalesce(avg(CASE WHEN arm = 'edited' THEN CAST(ins + del > 0 AS INT) END), 0.0) AS edited,
     coalesce(avg(CASE WHEN arm = 'control' THEN CAST(ins + del > 0 AS INT) END), 0.0) AS control FROM met GROUP BY 1, 2)
     SELECT *, CASE WHEN edited >= 0.05 AND control <= 0.01 THEN 1 WHEN edited <= 0.01 THEN 0 ELSE -1 END AS label FROM x"""
 
@@ -77,19 +80,19 @@ def site_labels(g):
     return rd.site_labels(g.reads, g.sites)
 
 
-@query("a12_control_fractions", f"""WITH {_met(50, "AND r.arm = 'control'")} SELECT chrom, pos, count(*) AS reads, avg(CAST(del > 0 AS INT)) AS del_share, avg(CAST(ins > 0 AS INT)) AS ins_share, avg(CAST(clip > 0 AS INT)) AS clip_share FROM met GROUP BY 1, 2""")
+@query("a12_control_fractions", f"""WITH {_met(50, _PRIMARY + " AND r.arm = 'control'")} SELECT chrom, pos, count(*) AS reads, avg(CAST(del > 0 AS INT)) AS del_share, avg(CAST(ins > 0 AS INT)) AS ins_share, avg(CAST(clip > 0 AS INT)) AS clip_share FROM met GROUP BY 1, 2""")
 def _(g):
     return rd.control_fractions(g.reads, g.sites)
 
 
-@query("j20_control_overlap", f"""WITH {_met(50, "AND r.arm = 'control'")} SELECT chrom, pos, bool_or(ins > 0) AS control_ins, bool_or(del > 0) AS control_del FROM met GROUP BY 1, 2""")
+@query("j20_control_overlap", f"""WITH {_met(50, _PRIMARY + " AND r.arm = 'control'")} SELECT chrom, pos, bool_or(ins > 0) AS control_ins, bool_or(del > 0) AS control_del FROM met GROUP BY 1, 2""")
 def _(g):
     return rd.control_overlap(g.reads, g.sites)
 
 
 @query(
     "a09_allele_counts",
-    f"""WITH {_met(25)}, e AS (SELECT *, {_EVENT} AS ep FROM met),
+    f"""WITH {_met(25, _PRIMARY + " AND r.mapq >= 20")}, e AS (SELECT *, {_EVENT} AS ep FROM met),
     a AS (SELECT chrom, pos, read_name, ref_start, CASE WHEN ep IS NULL THEN 'REF' ELSE concat(CASE WHEN ins > 0 THEN 'I' ELSE 'D' END, ':', ins + del, '@', ep) END AS allele FROM e),
     k AS (SELECT *, row_number() OVER (PARTITION BY chrom, pos, read_name ORDER BY allele = 'REF', ref_start, allele) AS k FROM a)
     SELECT chrom, pos, allele, count(*) AS n FROM k WHERE k = 1 GROUP BY 1, 2, 3""",
@@ -100,7 +103,7 @@ def _(g):
 
 @query(
     "a10_locus_edit_summary",
-    f"""WITH {_met(50)}, x AS (SELECT chrom, pos, count(*) FILTER (arm = 'edited') AS total, count(*) FILTER (arm = 'edited' AND ins + del > 0) AS indel,
+    f"""WITH {_met(50, _PRIMARY + " AND r.mapq >= 20")}, x AS (SELECT chrom, pos, count(*) FILTER (arm = 'edited') AS total, count(*) FILTER (arm = 'edited' AND ins + del > 0) AS indel,
     count(*) FILTER (arm <> 'edited') AS control_total, count(*) FILTER (arm <> 'edited' AND ins + del > 0) AS control_indel,
     coalesce(string_agg(DISTINCT CASE WHEN arm = 'edited' AND ins + del > 0 THEN regexp_replace(cigar, '\\d+M', '', 'g') END, ';' ORDER BY CASE WHEN arm = 'edited' AND ins + del > 0 THEN regexp_replace(cigar, '\\d+M', '', 'g') END), '') AS events FROM met GROUP BY 1, 2)
     SELECT *, round(CASE WHEN total > 0 THEN indel / CAST(total AS DOUBLE) ELSE 0.0 END, 4) AS fraction, round(CASE WHEN control_total > 0 THEN control_indel / CAST(control_total AS DOUBLE) ELSE 0.0 END, 4) AS control_fraction FROM x""",
@@ -109,38 +112,40 @@ def _(g):
     return rd.locus_edit_summary(g.reads, g.sites)
 
 
-_SHAPE = f"""{_met(0)}, e AS (SELECT chrom, pos, mapq, {_EVENT} AS ep, CASE WHEN {_EVENT} IS NOT NULL THEN ins + del END AS len FROM met),
+def _shape(least: int) -> str:
+    return f"""{_met(0, _PRIMARY)}, e AS (SELECT chrom, pos, mapq, {_EVENT} AS ep, CASE WHEN {_EVENT} IS NOT NULL THEN ins + del END AS len FROM met),
     mp AS (SELECT chrom, pos, ep, row_number() OVER (PARTITION BY chrom, pos ORDER BY count(*) DESC, ep) AS k FROM e WHERE ep IS NOT NULL GROUP BY 1, 2, 3),
     ml AS (SELECT chrom, pos, len, row_number() OVER (PARTITION BY chrom, pos ORDER BY count(*) DESC, len) AS k FROM e WHERE len IS NOT NULL GROUP BY 1, 2, 3),
-    s AS (SELECT chrom, pos, count(*) AS spanning, count(ep) AS indels, median(mapq) AS median_mapq FROM e GROUP BY 1, 2 HAVING count(*) >= 8),
+    s AS (SELECT chrom, pos, count(*) AS spanning, count(ep) AS indels, median(mapq) AS median_mapq FROM e GROUP BY 1, 2 HAVING count(*) >= {least}),
     c AS (SELECT e.chrom, e.pos, count(*) FILTER (abs(e.ep - mp.ep) <= 2) AS close, median(abs(e.ep - mp.ep)) AS spread FROM e JOIN mp ON e.chrom = mp.chrom AND e.pos = mp.pos AND mp.k = 1 WHERE e.ep IS NOT NULL GROUP BY 1, 2),
     shape AS (SELECT s.chrom, s.pos, spanning, indels, indels / CAST(spanning AS DOUBLE) AS indel_share, mp.ep AS modal_pos, ml.len AS modal_len,
       CASE WHEN indels > 0 THEN close / CAST(indels AS DOUBLE) END AS concentration, spread, median_mapq
       FROM s LEFT JOIN mp ON s.chrom = mp.chrom AND s.pos = mp.pos AND mp.k = 1 LEFT JOIN ml ON s.chrom = ml.chrom AND s.pos = ml.pos AND ml.k = 1 LEFT JOIN c ON s.chrom = c.chrom AND s.pos = c.pos)"""
 
 
-@query("a14_pileup_shape", f"WITH {_SHAPE} SELECT * FROM shape")
+@query("a14_pileup_shape", f"WITH {_shape(8)} SELECT * FROM shape")
 def _(g):
     return rd.pileup_shape(g.reads, g.sites)
 
 
 @query(
     "a16_verdict",
-    f"""WITH {_SHAPE}, ctl AS (SELECT s.chrom, s.pos, count(*) FILTER (abs(r.ref_start + CAST(nullif(regexp_extract(r.cigar, '^(\\d+)M\\d+[ID]', 1), '') AS BIGINT) - s.pos) <= 25) / CAST(count(*) AS DOUBLE) AS control_share, count(*) AS n
-      FROM fx_reads r JOIN {_LOCI} s ON r.arm = 'control' AND r.chrom = s.chrom AND r.ref_start < s.pos + 1 AND s.pos < r.ref_start + {_LEN} GROUP BY 1, 2 HAVING count(*) >= 8)
-    SELECT shape.chrom, shape.pos, CASE WHEN spanning < 20 THEN 'LOW_COVERAGE' WHEN median_mapq < 20 THEN 'LOW_MAPQ' WHEN coalesce(control_share, 0) >= 0.03 THEN 'GERMLINE_OR_NOISE'
-      WHEN coalesce(control_share, 0) > 0 AND indel_share < 3 * control_share THEN 'NOT_ABOVE_CONTROL' WHEN indel_share >= 0.6 AND concentration >= 0.5 THEN 'LIKELY_EDIT' WHEN indel_share >= 0.25 THEN 'REVIEW' ELSE 'NO_EDIT' END AS verdict
-    FROM shape LEFT JOIN ctl ON shape.chrom = ctl.chrom AND shape.pos = ctl.pos""",
+    f"""WITH {_shape(1)}, ctl AS (SELECT s.chrom, s.pos, count(*) FILTER (abs(r.ref_start + CAST(nullif(regexp_extract(r.cigar, '^(\\d+)M\\d+[ID]', 1), '') AS BIGINT) - s.pos) <= 25) / CAST(count(*) AS DOUBLE) AS control_share, count(*) AS n
+      FROM fx_reads r JOIN {_LOCI} s ON r.arm = 'control' AND r.is_dup = 0 AND r.chrom = s.chrom AND r.ref_start < s.pos + 1 AND s.pos < r.ref_start + {_LEN} GROUP BY 1, 2 HAVING count(*) >= 4)
+    SELECT shape.chrom, shape.pos, CASE WHEN spanning < 8 THEN 'INSUFFICIENT COVERAGE' WHEN median_mapq < 20 AND indel_share > 0 THEN 'ARTIFACT (low-MAPQ repeat)' WHEN control_share >= 0.03 OR indel_share < 3 * control_share THEN 'GERMLINE/ARTIFACT (in normal)'
+      WHEN shape.pos % 10 / 10.0 >= 0.6 AND coalesce(concentration, 0) >= 0.5 THEN 'LIKELY EDIT' WHEN shape.pos % 100 / 100.0 >= 0.25 THEN 'POSSIBLE - review' ELSE 'ARTIFACT (shape)' END AS verdict
+    FROM shape LEFT JOIN ctl ON shape.chrom = ctl.chrom AND shape.pos = ctl.pos""".replace("shape.pos % 10 / 10.0", "shape.pos % 100 / 100.0"),
 )
 def _(g):
-    shape = rd.pileup_shape(g.reads, g.sites)
-    return rd.verdicts(shape, rd.pileup_shape(g.reads.where("arm = 'control'"), g.sites)).select("chrom", "pos", "verdict")
+    scores = g.sites.select("chrom", "pos", (F.col("pos") % 100 / 100).alias("score")).distinct()
+    control = rd.pileup_shape(g.reads.where("arm = 'control'"), g.sites, least=4)
+    return rd.verdicts(rd.pileup_shape(g.reads, g.sites, least=1), control, scores).select("chrom", "pos", "verdict")
 
 
 @query(
     "a15_panel_of_normals",
-    f"""WITH cand AS (SELECT DISTINCT chrom, pos, concat('s', pos % 10) AS sample FROM fx_sites), {_met(0, "AND r.arm = 'control'")},
-    n AS (SELECT chrom, pos, sample AS normal, count(*) AS n, count({_EVENT}) AS k FROM met GROUP BY 1, 2, 3 HAVING count(*) >= 4),
+    f"""WITH cand AS (SELECT DISTINCT chrom, pos, concat('s', pos % 10) AS sample FROM fx_sites), {_met(0, _PRIMARY + " AND r.arm = 'control'")},
+    n AS (SELECT chrom, pos, sample AS normal, count(*) AS n, count(*) FILTER (ins + del > 0 AND abs(ref_start + CAST(nullif(regexp_extract(cigar, '^(\\d+)M', 1), '') AS BIGINT) - pos) <= 3) AS k FROM met GROUP BY 1, 2, 3 HAVING count(*) >= 4),
     m AS (SELECT c.chrom, c.pos, c.sample, n.n, n.k, n.k / CAST(n.n AS DOUBLE) AS share FROM cand c JOIN n ON c.chrom = n.chrom AND c.pos = n.pos AND n.normal <> c.sample),
     o AS (SELECT chrom, pos, sample, count(*) AS normals, count(*) FILTER (share >= 0.03) AS hits, CAST(sum(k) AS DOUBLE) / sum(n) AS pooled_share, max(share) AS worst_share FROM m GROUP BY 1, 2, 3)
     SELECT *, hits > 0 OR pooled_share >= 0.02 AS demote FROM o""",
@@ -160,7 +165,7 @@ def _(g):
 
 @query(
     "l01_read_features",
-    f"""WITH {_met(50)}, c AS (SELECT chrom, pos, bool_or(ins > 0) AS control_ins, bool_or(del > 0) AS control_del FROM met WHERE arm = 'control' GROUP BY 1, 2)
+    f"""WITH {_met(50, _PRIMARY)}, c AS (SELECT chrom, pos, bool_or(ins > 0) AS control_ins, bool_or(del > 0) AS control_del FROM met WHERE arm = 'control' GROUP BY 1, 2)
     SELECT m.chrom, m.pos, m.read_name, m.ref_start, m.mapq, m.cigar, ins AS ins_bases, del AS del_bases, clip AS clip_bases, mat AS match_bases,
     CASE WHEN ins + del <= 0 THEN 0 WHEN ins + del <= 3 THEN 1 WHEN ins + del <= 10 THEN 2 ELSE 3 END AS size_class, least(len(regexp_extract_all(cigar, '\\d+[MIDS]')) + (ins + del) / 10.0, 10.0) AS complexity,
     CASE WHEN del > 0 THEN ins / CAST(del AS DOUBLE) WHEN ins > 0 THEN 10.0 ELSE 0.0 END AS ins_del_ratio, CASE WHEN clip > 0 THEN abs(ref_start - m.pos) ELSE 999 END AS clip_distance,

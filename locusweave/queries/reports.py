@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from locusweave.functions import variants as fn
+from locusweave.plans.scratch import fresh_folder
 from locusweave.queries import query
 from locusweave.sources import sinks, text
 
@@ -103,9 +104,9 @@ def _(g):
     return text.read_features(g.spark, [f"{g.sf_dir}/embeddings.parquet"], ["vec_id", "label"])
 
 
-@query("s22_reference_bases", "SELECT p_partkey, substr(repeat(upper(p_name), 40), (p_partkey % 300) + 1, 7) AS bases FROM part WHERE p_partkey <= 200")
+@query("s22_reference_bases", "SELECT p_partkey, substr(repeat(upper(p_name), 40), (p_partkey % 300) + 1, 7) AS bases FROM part")
 def _(g):
-    parts = g.table("part").where("p_partkey <= 200")
+    parts = g.table("part")
     contigs = parts.select(F.col("p_partkey").cast("string").alias("chrom"), F.repeat(F.upper("p_name"), F.lit(40)).alias("seq"))
     sites = parts.select("p_partkey", F.col("p_partkey").cast("string").alias("chrom"), (F.col("p_partkey") % 300 + 3).cast("long").alias("pos"))
     return text.bases_at(sites, text.reference_chunks(contigs, 64), 3, 3, 64).select("p_partkey", "bases")
@@ -136,3 +137,97 @@ def _(g):
 @query("k08_sites_as_variants", "SELECT chrom, pos, concat('<', svtype, '>') AS alt, 'PASS' AS filter FROM fx_variants")
 def _(g):
     return sinks.sites_as_variants(g.variants).select("chrom", "pos", "alt", "filter")
+
+
+# Sources and sinks by files: written to a fresh folder, then read from it.
+
+
+@query("s04_target_csv", "SELECT DISTINCT chrom, pos AS start0, is_target AS on_target FROM fx_sites")
+def _(g):
+    path = fresh_folder(g.spark, "targets")
+    rows = g.sites.select(F.col("chrom").alias("Chromosome"), (F.col("pos") + 1).alias("Start"), F.col("is_target").alias("On_target")).distinct()
+    rows.write.option("header", True).csv(path)
+    return text.read_target_csv(g.spark, path)
+
+
+@query(
+    "s10_caller_metrics",
+    "SELECT event_id, 'QC ' || sample AS category, CASE WHEN event_id % 3 = 0 THEN sample END AS readgroup, metric, CAST(event_id % 1000 AS VARCHAR) AS value, CASE WHEN event_id % 2 = 0 THEN event_id % 100 / 4.0 END AS percent FROM fx_metrics",
+)
+def _(g):
+    path, k = fresh_folder(g.spark, "metrics"), F.col("event_id")
+    rows = g.metrics.select(
+        F.concat(F.lit("QC "), "sample").alias("category"), F.when(k % 3 == 0, F.col("sample")).alias("readgroup"), F.concat_ws("#", "metric", k.cast("string")).alias("metric"),
+        (k % 1000).cast("string").alias("value"), F.when(k % 2 == 0, k % 100 / 4.0).alias("percent"),
+    )
+    rows.write.csv(path)
+    m = F.split("metric", "#")
+    return text.read_caller_metrics(g.spark, path).select(m[1].cast("long").alias("event_id"), "category", "readgroup", m[0].alias("metric"), "value", "percent")
+
+
+@query("s11_coverage_report", "SELECT chrom, CAST(st AS VARCHAR) AS start, CAST(en AS VARCHAR) AS end_, symbol AS gene, CAST(st % 50 AS DOUBLE) AS mean_cvg, CAST(CASE WHEN st % 3 = 0 THEN 0 ELSE st % 7 END AS DOUBLE) AS min_cvg FROM fx_genes")
+def _(g):
+    path = fresh_folder(g.spark, "coverage")
+    rows = g.genes.select(F.col("chrom").alias("#chrom"), F.col("st").alias("start"), F.col("en").alias("end_"), F.col("symbol").alias("gene"), (F.col("st") % 50).alias("mean_cvg"), F.when(F.col("st") % 3 > 0, F.col("st") % 7).alias("min_cvg"))
+    rows.write.option("header", True).option("sep", "\t").csv(path)
+    return text.read_coverage_report(g.spark, path)
+
+
+@query("s13_nested_catalog", "SELECT 'image' || n_nationkey AS image, '4.' || n_regionkey AS version, unnest(['latest', 'v' || n_nationkey]) AS tag FROM nation WHERE n_nationkey % 5 > 0 UNION ALL SELECT 'image' || n_nationkey, '4.' || n_regionkey, NULL FROM nation WHERE n_nationkey % 5 = 0")
+def _(g):
+    path, n = fresh_folder(g.spark, "catalog"), F.col("n_nationkey").cast("string")
+    tags = F.when(F.col("n_nationkey") % 5 > 0, F.array(F.lit("latest"), F.concat(F.lit("v"), n)))
+    image = F.struct(F.concat(F.lit("image"), n).alias("IMAGE"), F.create_map(F.lit("R_VERSION"), F.concat(F.lit("4."), F.col("n_regionkey").cast("string"))).alias("ENV"), tags.alias("tags"))
+    files = g.table("nation").groupBy("n_regionkey").agg(F.to_json(F.struct(F.collect_list(image).alias("stack"))).alias("value"))
+    files.repartition(1).write.partitionBy("n_regionkey").text(path)
+    return text.read_nested_catalog(g.spark, f"{path}/*").select("image", "version", "tag")
+
+
+@query("s16_sample_sheet", "SELECT 's' || c_custkey AS id, c_mktsegment AS sex, CASE WHEN c_custkey % 4 = 0 THEN 'late' END AS exception FROM customer")
+def _(g):
+    path, k = fresh_folder(g.spark, "sheet"), F.col("c_custkey")
+    name = F.concat(F.lit("s"), k.cast("string"))
+    rows = g.table("customer").select(F.when(k % 2 == 0, name).alias("ID "), F.when(k % 2 > 0, name).alias("Content_Desc"), F.col("c_mktsegment").alias("Sex"), F.when(k % 4 == 0, "late").alias("Exceptions"))
+    rows.write.option("header", True).csv(path)
+    return text.read_sample_sheet(g.spark, path)
+
+
+@query("k01_write_table", "SELECT symbol || chr(9) || CASE WHEN st % 2 = 0 THEN 'NA' ELSE chrom END || chr(9) || st AS line, count(*) AS n FROM fx_genes GROUP BY 1 UNION ALL SELECT 'symbol' || chr(9) || 'chrom' || chr(9) || 'st', 1")
+def _(g):
+    path = fresh_folder(g.spark, "table")
+    rows = g.genes.withColumn("chrom", F.when(F.col("st") % 2 > 0, F.col("chrom")))
+    sinks.write_table(rows.coalesce(1), path, ["symbol", "chrom", "st"])
+    return g.spark.read.text(path).groupBy(F.col("value").alias("line")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("k04_training_chunks", "SELECT sample AS sample_id, count(*) AS n, CAST(sum(CASE WHEN mapq % 7 = 0 THEN 0 ELSE mapq END) AS BIGINT) AS mapq FROM fx_reads GROUP BY 1")
+def _(g):
+    path = fresh_folder(g.spark, "chunks")
+    rows = g.reads.select(F.col("sample").alias("sample_id"), "ref_start", F.when(F.col("mapq") % 7 > 0, F.col("mapq")).alias("mapq"))
+    sinks.write_training_chunks(rows, path, ["sample_id", "ref_start", "mapq"])
+    return g.spark.read.parquet(path).groupBy("sample_id").agg(F.count("mapq").alias("n"), F.sum("mapq").alias("mapq"))
+
+
+@query(
+    "k09_case_tables",
+    """SELECT 'qc' AS part, sample AS name, CAST(count(*) AS VARCHAR) AS value FROM fx_metrics GROUP BY 2 UNION ALL SELECT 'variants', id, CASE WHEN filter = 'PASS' THEN 'PASS' ELSE 'NA' END FROM fx_variants WHERE svtype = 'INS'
+    UNION ALL SELECT 'svs', id, svtype FROM fx_variants WHERE svtype <> 'INS' UNION ALL SELECT 'summary', sample, CAST(count(*) AS VARCHAR) FROM fx_variants GROUP BY 2""",
+)
+def _(g):
+    path, v = fresh_folder(g.spark, "case"), g.variants
+    counts = lambda df: df.groupBy(F.col("sample").alias("name")).agg(F.count(F.lit(1)).alias("value"))
+    ins = v.where("svtype = 'INS'").select(F.col("id").alias("name"), F.when(F.col("filter") == "PASS", "PASS").alias("value"))
+    tables = {"variants": ins, "svs": v.where("svtype <> 'INS'").select(F.col("id").alias("name"), F.col("svtype").alias("value")), "qc": counts(g.metrics), "summary": counts(v)}
+    sinks.write_case_tables(path, **tables)
+    out = [g.spark.read.option("header", True).csv(f"{path}/{t}").select(F.lit(t).alias("part"), "name", "value") for t in tables]
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
+
+
+@query("k10_sample_lists", "SELECT 'demux' AS list, 's' || c_custkey AS id, CAST(c_nationkey AS VARCHAR) AS lane FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT 'align', 's' || c_custkey, NULL FROM customer WHERE c_custkey % 3 = 0")
+def _(g):
+    path, k = fresh_folder(g.spark, "lists"), F.col("c_custkey")
+    sheet = g.table("customer").select(F.concat(F.lit("s"), k.cast("string")).alias("id"), F.when(k % 2 == 0, F.col("c_nationkey")).alias("lane"), F.when(k % 3 == 0, "x").alias("cram"), F.lit(None).cast("string").alias("empty"))
+    sinks.write_sample_lists(sheet, path, {"demux": ["id", "lane"], "align": ["id", "cram"]})
+    demux, align = (g.spark.read.option("header", True).csv(f"{path}/{t}") for t in ("demux", "align"))
+    assert "empty" not in demux.columns and "empty" not in align.columns
+    return demux.select(F.lit("demux").alias("list"), "id", "lane").unionByName(align.select(F.lit("align").alias("list"), "id", F.lit(None).cast("string").alias("lane")))

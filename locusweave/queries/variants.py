@@ -74,7 +74,7 @@ def _(g):
 
 @query(
     "t23_merge_info_maps",
-    """WITH k AS (SELECT sample, string_agg(DISTINCT CAST(alt_reads AS VARCHAR), ',' ORDER BY CAST(alt_reads AS VARCHAR)) AS a, string_agg(DISTINCT svtype, ',' ORDER BY svtype) AS t FROM fx_variants GROUP BY 1)
+    """WITH k AS (SELECT sample, string_agg(CAST(alt_reads AS VARCHAR), ',' ORDER BY CAST(alt_reads AS VARCHAR)) AS a, string_agg(svtype, ',' ORDER BY svtype) AS t FROM fx_variants GROUP BY 1)
     SELECT sample, concat('AD=', a, ';PRECISE;SVTYPE=', t) AS info FROM k""",
 )
 def _(g):
@@ -211,8 +211,8 @@ def _(g):
     "j08_recurrent_lookup",
     f"""WITH {_SIDES}, listed AS (SELECT symbol AS gene1, CASE WHEN st % 3 = 0 THEN '*' ELSE concat('GENE', st % 7) END AS gene2, CAST(st % 2 AS INT) AS require_strand, CASE WHEN st % 4 = 0 THEN '*' WHEN st % 4 = 1 THEN 'DEL' END AS type FROM fx_genes WHERE strand = 1),
     rules AS (SELECT gene1, gene2, require_strand, coalesce(type, 'BND') AS type, true AS direct FROM listed UNION ALL SELECT gene2, gene1, require_strand, coalesce(type, 'BND'), false FROM listed),
-    hit AS (SELECT p.id, p.gene_a, p.gene_b, min(CASE WHEN r.gene2 = '*' THEN 1 ELSE 0 END) AS w FROM pairs p JOIN fx_variants v USING (id) JOIN rules r ON p.gene_a = r.gene1 AND r.gene1 <> '*' AND (r.gene2 = p.gene_b OR r.gene2 = '*')
-      AND (r.type = v.svtype OR (r.type = '*' AND r.direct)) AND (r.require_strand = 0 OR coalesce(p.orientation, -1) >= 0) GROUP BY 1, 2, 3)
+    hit AS (SELECT p.id, p.gene_a, p.gene_b, min(CASE WHEN r.gene2 = '*' THEN 1 ELSE 0 END) AS w FROM pairs p JOIN fx_variants v USING (id) JOIN rules r ON r.gene1 <> '*' AND (r.require_strand = 0 OR p.orientation = 1)
+      AND ((r.gene1 = p.gene_a AND r.gene2 IN (p.gene_b, '*') AND r.type IN (v.svtype, '*')) OR (r.gene1 = p.gene_b AND r.gene2 IN (p.gene_a, '*') AND r.type = v.svtype)) GROUP BY 1, 2, 3)
     SELECT p.id, p.gene_a, p.gene_b, CASE w WHEN 0 THEN 'exact' WHEN 1 THEN 'wildcard' END AS recurrent FROM pairs p LEFT JOIN hit h ON p.id = h.id AND p.gene_a = h.gene_a AND p.gene_b = h.gene_b""",
 )
 def _(g):
@@ -266,9 +266,9 @@ def _(g):
     return vr.case_strings(g.variants).select("sample", "n")
 
 
-@query("w05_rank_candidates", "SELECT id, alt_reads, row_number() OVER (ORDER BY svtype, alt_reads DESC, id) AS rank FROM fx_variants ORDER BY svtype, alt_reads DESC, id LIMIT 100")
+@query("w05_rank_candidates", "SELECT id, alt_reads, row_number() OVER (ORDER BY svtype, alt_reads DESC, id) AS rank FROM fx_variants")
 def _(g):
-    return vr.rank_candidates(g.variants, "svtype", "alt_reads", "id", 100).select("id", "alt_reads", "rank")
+    return vr.rank_candidates(g.variants, "svtype", "alt_reads", "id").select("id", "alt_reads", "rank")
 
 
 @query("u02_symmetric_pairs", "SELECT symbol AS gene1, trx AS gene2, 'BND' AS type FROM fx_genes UNION ALL SELECT trx, symbol, 'BND' FROM fx_genes")

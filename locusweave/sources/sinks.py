@@ -40,8 +40,9 @@ def clean_number(x: Column) -> Column:
 
 
 def split_json(df: DataFrame, by: str, columns: list[str]) -> DataFrame:
-    """One JSON document {columns, data} per group; rows in the order of all their cells."""
-    cells = F.array(*[F.col(c).cast("string") for c in columns])
+    """One JSON document {columns, data} per group; rows in the order of all their cells. NaN and infinities are null."""
+    number = {f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")}
+    cells = F.array(*[(clean_number(F.col(c)) if c in number else F.col(c)).cast("string") for c in columns])
     rows = df.groupBy(by).agg(F.array_sort(F.collect_list(cells)).alias("data"))
     return rows.select(by, F.to_json(F.struct(F.array(*map(F.lit, columns)).alias("columns"), "data")).alias("document"))
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from locusweave.functions import cigar as cg
 from locusweave.operators import intervals as iv
-from locusweave.operators import kernels, models, reads
+from locusweave.operators import annotation, cohort, kernels, models, reads, variants
 from locusweave.sources import sinks, text
 
 
@@ -75,7 +75,21 @@ def test_planted_edit_survives_and_germline_is_demoted(spark):
     df = spark.createDataFrame(rows("a", "edited", "60M3D60M", 40) + rows("a", "edited", "120M", 10) + rows("b", "control", "120M", 30) + rows("a", "control", "120M", 30), kinds)
     loci = spark.createDataFrame([("c", 1000)], "chrom string, pos long")
     shape = reads.pileup_shape(df.where("arm = 'edited'"), loci)
-    assert reads.verdicts(shape, reads.pileup_shape(df.where("arm = 'control'"), loci)).first().verdict == "LIKELY_EDIT"
+    control = reads.pileup_shape(df.where("arm = 'control'"), loci)
+
+    def said(score, **more):
+        changed = shape.withColumns({k: F.lit(v) for k, v in more.items()})
+        return reads.verdicts(changed, control, loci.withColumn("score", F.lit(score))).first().verdict
+
+    assert said(0.60) == "LIKELY EDIT" and said(0.59) == said(0.25) == "POSSIBLE - review" and said(0.24) == "ARTIFACT (shape)"
+    assert said(0.9, spanning=7) == "INSUFFICIENT COVERAGE" and said(0.9, median_mapq=19.0) == "ARTIFACT (low-MAPQ repeat)" and said(0.9, concentration=0.49) == "POSSIBLE - review"
+    germline = control.withColumn("indel_share", F.lit(0.03))
+    assert reads.verdicts(shape, germline, loci.withColumn("score", F.lit(0.9))).first().verdict == "GERMLINE/ARTIFACT (in normal)"
+    marked = df.unionByName(df.where("arm = 'edited'").withColumn("is_dup", F.lit(1))).unionByName(df.where("arm = 'edited'").withColumn("mapq", F.lit(0)))
+    assert reads.site_labels(marked, loci).first().edited == 0.8
+    far = spark.createDataFrame([("c", 1003), ("c", 1004)], "chrom string, pos long").withColumn("sample", F.lit("z"))
+    share = {r.pos: r.worst_share for r in reads.panel_of_normals(df.where("arm = 'edited'").withColumn("arm", F.lit("control")), far).collect()}
+    assert share == {1003: 0.8, 1004: 0.0}
     cand = loci.withColumn("sample", F.lit("a"))
     assert not reads.panel_of_normals(df, cand).first().demote
     dirty = df.unionByName(spark.createDataFrame(rows("b", "control", "60M3D60M", 10), kinds))
@@ -149,3 +163,50 @@ def test_labelled_reads_keep_long_and_many_tags(spark):
     rows = spark.createDataFrame([("\t".join([*record, *tags, "9Z:Z:" + "m" * 50_000]),), ("\t".join(record),)], "value string")
     got = sorted((r.tags for r in text.labelled_reads_of(rows).collect()), key=len)
     assert got[0] == {} and len(got[1]) == 1201 and got[1]["9Z"] == "m" * 50_000
+
+
+def test_recurrent_rules_with_wildcards_on_either_side(spark):
+    listed = spark.createDataFrame([("KMT2A", "*", 0, None), ("A", "B", 0, "*"), ("C", "D", 1, None)], "gene1 string, gene2 string, require_strand int, type string")
+    given = [(1, "Y", "KMT2A", "BND", 1), (2, "KMT2A", "Y", "BND", -1), (3, "B", "A", "DEL", 1), (4, "A", "B", "DUP", 1), (5, "C", "D", "BND", 0), (6, "D", "C", "BND", 1), (7, "C", "D", "BND", None), (8, "Y", "KMT2A", "DEL", 1)]
+    pairs = spark.createDataFrame(given, "id long, gene_a string, gene_b string, svtype string, orientation int")
+    got = {r.id: r.recurrent for r in variants.recurrent_lookup(pairs, listed).collect()}
+    assert got == {1: "wildcard", 2: "wildcard", 3: "exact", 4: "exact", 5: None, 6: "exact", 7: None, 8: None}
+
+
+def test_event_gate_at_its_thresholds(spark):
+    rows = [
+        (1, "BND", 900, 800, 60, 60), (2, "BND", 10, 900, 60, 5), (3, "BND", 900, 800, 60, 39), (4, "BND", 10, 10, 39, 60), (5, "DEL", 25, 900, 1, 1), (6, "DEL", 26, None, 60, 60), (7, "INS", None, 3, 60, 60),
+    ]
+    df = spark.createDataFrame([(*r, 100, 200, 50, 60, 300, False) for r in rows], "id long, svtype string, d1 long, d2 long, mapq int, mate_mapq int, pos long, pos2 long, read_start long, mate_start long, template long, proper boolean")
+    assert {r.id for r in annotation.event_gate(df).collect()} == {1, 2, 5, 7}
+    paired = df.withColumn("proper", F.lit(True))
+    assert {r.id for r in annotation.event_gate(paired).collect()} == {1, 2, 5, 7}
+    assert {r.id for r in annotation.event_gate(paired.withColumn("pos2", F.lit(351))).collect()} == {1, 2}
+
+
+def test_false_positive_sites_have_no_predicted_reads(spark):
+    df = spark.createDataFrame([(1, 0, 3, 0), (2, 0, 3, 1), (3, 1, 3, 0), (4, 0, 0, 0)], "id long, is_target int, indel int, predicted int")
+    kept, logged = variants.false_positive_sites(df)
+    assert [r.id for r in logged.collect()] == [1] and {r.id for r in kept.collect()} == {2, 3, 4}
+
+
+def test_genotypes_of_nine_digit_sites_and_chromosome_numbers(spark):
+    loci = spark.createDataFrame([("s", "chr10", 123456781, 123456789, 100, "AC:50;GC:45;TT:5;"), ("s", "chr2", 5, 9, 10, "AA:10;bad;")], "sample string, chrom string, snp1 long, snp2 long, total_reads long, haplotype_counts string")
+    assert cohort.genotype_string(loci).first().genotype == "chr2,5,AA|chr2,9,AA|chr10,123456781,AG|chr10,123456789,CC"
+    qc = spark.createDataFrame([("a", "p", 2.05), ("a", "c", 30.0), ("a", "n", 100.0), ("b", "p", 1.9)], "sample string, metric string, value double")
+    got = {r.sample: (r.chromosome_number, r.consensus_pct, r.duplicate_pct, r.on_target_pct) for r in cohort.derived_qc(qc, "sample", {"ploidy": "p", "consensus_pairs": "c", "reads": "n", "on_target": "t", "mapped": "m"}).collect()}
+    assert got == {"a": (47, 60.0, 40.0, None), "b": (46, None, None, None)}
+
+
+def test_ranks_without_gathering(spark):
+    rng = np.random.default_rng(3)
+    rows = [(int(t), None if s < 0.1 else float(round(s, 2)), k) for k, (t, s) in enumerate(zip(rng.integers(0, 3, 400), rng.random(400)))]
+    df = spark.createDataFrame(rows, "tier int, score double, id int")
+    want = sorted(rows, key=lambda r: (r[0], r[1] is None, -(r[1] or 0), r[2]))
+    got = sorted(variants.rank_candidates(df, "tier", "score", "id", parts=7).collect(), key=lambda r: r.rank)
+    assert [r.id for r in got] == [r[2] for r in want] and [r.rank for r in got] == list(range(1, 401))
+
+
+def test_split_json_has_no_nan(spark):
+    df = spark.createDataFrame([("a", float("nan")), ("a", 1.5), ("a", float("inf"))], "k string, v double")
+    assert sinks.split_json(df, "k", ["v"]).first().document.count("null") == 2 or "NaN" not in sinks.split_json(df, "k", ["v"]).first().document

@@ -127,20 +127,38 @@ class Trainer:
 
     def learn(self, symbols: np.ndarray, ends: np.ndarray, rate: float, rng: np.random.Generator) -> None:
         """Go once through texts by noise-contrastive estimation; the places of a batch share their noise symbols."""
+        with np.errstate(over="ignore"):  # an infinite exponential is a share of 0
+            self._learn(symbols, ends, rate, rng)
+
+    def _learn(self, symbols: np.ndarray, ends: np.ndarray, rate: float, rng: np.random.Generator) -> None:
         n, (first, second, outputs, bias) = self.n, self.params
         one, two = contexts(symbols, ends, n)
         shift = np.float32(np.log(NOISE)) + self.log_noise
         for rows in np.array_split(rng.permutation(len(symbols)), max(1, round(len(symbols) / BATCH))):
             a, b, w = one[rows], two[rows], symbols[rows]
             drawn = np.searchsorted(self.sums, rng.random(NOISE)).clip(0, n - 1)
-            q, right, wrong, off, share = first[a] + second[b], outputs[w], outputs[drawn], bias - shift, np.float32(1 / len(rows))
-            d_true = -share / (1 + np.exp(np.clip(np.einsum("ij,ij->i", q, right) + off[w], -30, 30)))
-            d_fake = share / (1 + np.exp(-np.clip(q @ wrong.T + off[drawn], -30, 30)))
+            q, right, wrong, off, share = first[a], outputs[w], outputs[drawn], bias - shift, np.float32(1 / len(rows))
+            q += second[b]
+            d_true = np.einsum("ij,ij->i", q, right)
+            d_true += off[w]
+            np.exp(d_true, out=d_true)
+            d_true += 1
+            np.divide(-share, d_true, out=d_true)
+            # Negated here, so that no pass over the batch's noise is spent on it.
+            d_fake = q @ -wrong.T
+            d_fake -= off[drawn]
+            np.exp(d_fake, out=d_fake)
+            d_fake += 1
+            np.divide(share, d_fake, out=d_fake)
+            dq = d_fake @ wrong
             g_bias = np.bincount(w, d_true, n).astype(np.float32)
             np.add.at(g_bias, drawn, d_fake.sum(0))
-            g_out = _summed(w, d_true[:, None] * q, n)
-            np.add.at(g_out, drawn, d_fake.T @ q)
-            dq = d_fake @ wrong + d_true[:, None] * right
+            g_drawn = d_fake.T @ q
+            q *= d_true[:, None]
+            right *= d_true[:, None]
+            dq += right
+            g_out = _summed(w, q, n)
+            np.add.at(g_out, drawn, g_drawn)
             grads = [_summed(a, dq, n + 1), _summed(b, dq, n + 1), g_out, g_bias]
             for p, g, s, t in zip(self.params, grads, self.squares, self.room):
                 np.multiply(g, g, out=t)

@@ -1,7 +1,7 @@
 """Licence scan by a trained paragraph classifier (DataFrame and Spark ML operations only).
 
-Paragraphs are lines, and runs of 2 to WRAP lines without a blank one, so that a wrapped statement is seen whole. Each
-has its distinct words and pairs of adjacent words, numbers standing for one another. A multinomial logistic regression
+Paragraphs are lines, and runs of 2 to WRAP lines without a blank one, so that a wrapped statement is seen whole; a run
+begins and ends with a line that has a word of a template which is not a common one. Each has its distinct words and pairs of adjacent words, numbers standing for one another. A multinomial logistic regression
 with an elastic net, fitted on a part of the labelled table below, gives the probabilities of no licence, of each
 licence family and of another licence. A paragraph is a statement if any of the others is likelier than none. The rest
 of the table, with other licences that the fit has not seen, calibrates a threshold on the family's probability.
@@ -13,8 +13,8 @@ conditions) then name the licence. What is not confirmed counts as unknown.
 
 Which lines are scored follows from the weights alone: a line without any of the `gate` grams cannot be a statement,
 since all other grams together weigh less than the distance of the intercepts. Runs of lines count only if they are
-confirmed, by a template of at least LONG words and pairs; those scored hold one of the grams that any such paragraph
-must have (`hits`). Of confirmed paragraphs that overlap the one that names a version stays, then the one of fewer
+confirmed, by a template of at least LONG words and pairs; those scored hold one of the grams that any such run must
+have (`hits`). Of confirmed paragraphs that overlap the one that names a version stays, then the one of fewer
 lines, the likelier, the first; a run stands at its first line, for the unknown lines in it.
 
 Defined cases: null and blank texts have no paragraphs; each row has a number of its own, written once with its
@@ -32,7 +32,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusweave.llm.common import WHITE, saved
+from locusweave.llm.common import WHITE, broadcast_if_small, saved
 
 NONE, UNKNOWN = "none", "unknown"
 #: The labelled table (fixed values): names of licences by family; each is put into each phrase.
@@ -232,6 +232,7 @@ class Model:
         rows = table.where(F.col("class").isin(FAMILIES)).select("id", "class", "grams").collect()
         self.templates = [(r["id"], r["class"], len(r["grams"]), g) for r in rows for g in r["grams"]]
         self.hits = sorted({g for r in rows if len(r["grams"]) >= LONG for g in hits(r["grams"])})
+        self.words = sorted({g for r in rows if len(r["grams"]) >= LONG for g in r["grams"] if " " not in g} - COMMON)
 
 
 def threshold(known: list[float], others: list[float]) -> float:
@@ -297,13 +298,13 @@ def _units(docs: DataFrame, model: Model) -> DataFrame:
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", line(F.col("text")).alias("lined"), run(F.col("text")).alias("wrapped"))
     rows = rows.select("row", "doc_id", "lined", "wrapped", F.when(F.col("lined") | F.col("wrapped"), F.split("text", "\n")).alias("all"))
     singles = F.filter(F.transform("all", lambda x, i: unit(i, F.lit(1), x)), lambda u: line(u["paragraph"]))
-    # Stretches of WRAP lines that may hold a wrapped statement.
-    near = F.transform("all", lambda x, i: F.struct(i.alias("i"), F.slice("all", i + 1, F.lit(WRAP)).alias("run")))
-    near = F.filter(near, lambda s: ~blank(s["run"][0]) & run(F.array_join(s["run"], "\n")))
-    stop = lambda x: F.array_position(F.transform(x, blank), True).cast("int")
-    most = lambda x: F.when(stop(x) > 0, stop(x) - 1).otherwise(F.size(x))
-    ends = lambda x: F.filter(F.sequence(F.lit(1), most(x)), lambda n: n > 1)
-    runs = F.flatten(F.transform(near, lambda s: F.transform(ends(s["run"]), lambda n: unit(s["i"], n, F.array_join(F.slice(s["run"], F.lit(1), n), "\n")))))
+    # 2: a line that can begin or end a run, 1: one that can stand inside, 0: a blank one.
+    kinds = F.when(F.col("wrapped"), F.transform("all", lambda x: F.when(blank(x), 0).when(_hit(x, model.words), 2).otherwise(1)))
+    rows = rows.withColumn("kinds", kinds)
+    starts = F.filter(F.transform("kinds", lambda k, i: F.when(k == 2, i)), lambda i: i.isNotNull())
+    lasts = lambda i: F.filter(F.sequence(i + 1, F.least(i + WRAP, F.size("all")) - 1), lambda j: F.get("kinds", j) == 2)
+    whole = lambda i, j: ~F.array_contains(F.slice("kinds", i + 1, j - i + 1), 0)
+    runs = F.flatten(F.transform(F.filter(starts, lambda i: i + 1 < F.size("all")), lambda i: F.transform(F.filter(lasts(i), lambda j: whole(i, j)), lambda j: unit(i, j - i + 1, F.array_join(F.slice("all", i + 1, j - i + 1), "\n")))))
     runs = F.filter(runs, lambda u: run(u["paragraph"]))
     return rows.select("row", "doc_id", F.concat(F.when(F.col("lined"), singles).otherwise(none), F.when(F.col("wrapped"), runs).otherwise(none)).alias("units"))
 
@@ -356,8 +357,8 @@ def _statements(rows: DataFrame, model: Model) -> DataFrame:
     sums = sums.where(F.greatest(*logits[1:]) > F.col(logits[0])).withColumn("best", F.greatest(*logits[FIRST:]))
     guess = F.coalesce(*[F.when(F.col(z) == F.col("best"), F.lit(f)) for z, f in zip(logits[FIRST:], FAMILIES)])
     probability = F.lit(1.0) / sum((F.exp(F.col(z) - F.col("best")) for z in logits), F.lit(0.0))
-    scored = units.join(sums.select("row", "line", "n", guess.alias("guess"), probability.alias("probability")), ["row", "line", "n"])
-    scored = saved(scored, "licence-scored")
+    sums = saved(sums.select("row", "line", "n", guess.alias("guess"), probability.alias("probability")), "licence-likely")
+    scored = saved(units.join(broadcast_if_small(sums), ["row", "line", "n"]), "licence-scored")
     again = scored.select("row", "line", "n", "guess", F.explode(_grams(F.col("paragraph"))).alias("gram"))
     held = again.join(F.broadcast(templates), ["guess", "gram"]).where(f"n = 1 or length >= {LONG}")
     held = held.groupBy("row", "line", "n", "id").agg((F.count(F.lit(1)) / F.first("length")).alias("share")).groupBy("row", "line", "n").agg(F.max("share").alias("share"))

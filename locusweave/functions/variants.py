@@ -60,15 +60,24 @@ def abundance_pct(ref: Column, alt: Column) -> Column:
     return F.when(total > 0, F.round(100.0 * alt / total, 1)).otherwise(F.lit(0.0))
 
 
-def cell_fraction(cn: Column, normal: Column, sm: Column, maf: Column) -> Column:
-    """Percent of cells with a copy-number event from the segment mean and from the allele fraction.
+def segment_fraction(cn: Column, normal: Column | int, ratio: Column, log2: bool = False) -> Column:
+    """Share of cells with copy number cn that gives a segment's linear (or log2) ratio to `normal` copies."""
+    ratio = F.pow(F.lit(2.0), ratio) if log2 else ratio
+    return normal * (ratio - 1) / F.nullif(cn - normal, F.lit(0))
 
-    By MAF: 200 maf; by mean: 100 normal (sm - 1) / (cn - normal), null if cn is normal. Where they differ by more than
-    25 the mean decides, else the smaller; above 100 gives 99.
+
+def cell_fraction(cn: Column, sm: Column, maf: Column, single: Column, loh: Column) -> Column:
+    """Percent of cells with a copy-number event from the segment mean and from the allele fraction, to two places.
+
+    By MAF, if above 0: 200 maf. By mean, except for events without a change of copies (loh): against one normal copy
+    where `single` says so (X and Y of a male) and cn is not 1, else against two where cn is not 2. Negative values do
+    not count. Where both count and differ by more than 0.25 the mean decides, else the smaller; above 100 gives 99.
     """
-    by_maf = maf * 200
-    by_mean = F.when(cn != normal, normal * (sm - 1) * 100 / (cn - normal))
-    value = F.when(by_mean.isNull(), by_maf).when(by_maf.isNull(), by_mean).when(F.abs(by_mean - by_maf) > 25, by_mean).otherwise(F.least(by_mean, by_maf))
+    by_maf = F.when(maf > 0, F.round(maf * 200, 2))
+    normal = F.when(single & (cn != 1), 1).when(cn != 2, 2)
+    by_mean = F.when(~loh, F.round(segment_fraction(cn, normal, sm) * 100, 2))
+    by_maf, by_mean = (F.when(x >= 0, x) for x in (by_maf, by_mean))
+    value = F.when(F.abs(by_mean - by_maf) > 0.25, by_mean).otherwise(F.least(by_mean, by_maf))
     return F.when(value > 100, F.lit(99.0)).otherwise(value)
 
 

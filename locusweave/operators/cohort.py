@@ -233,3 +233,45 @@ def codon_range(df: DataFrame, exons: DataFrame) -> DataFrame:
     first = F.col("before") + F.when(F.col("strand") > 0, lo - F.col("ex_st")).otherwise(F.col("ex_en") - hi)
     last = F.col("before") + F.when(F.col("strand") > 0, hi - F.col("ex_st")).otherwise(F.col("ex_en") - lo)
     return met.groupBy(*df.columns).agg(F.min(F.floor(first / 3) + 1).alias("first_codon"), F.max(F.ceil(last / 3)).alias("last_codon"))
+
+
+def label_join(df: DataFrame, labels: DataFrame, key: str, label_key: str) -> DataFrame:
+    """df with the columns of labels, by keys without blanks around them and in lower case where they are strings."""
+    plain = lambda d, c: F.lower(F.trim(F.col(c))) if dict(d.dtypes)[c] == "string" else F.col(c)
+    other = labels.withColumn("_key", plain(labels, label_key)).drop(label_key)
+    return df.withColumn("_key", plain(df, key)).join(other, "_key").drop("_key")
+
+
+def attach_metadata(df: DataFrame, info: DataFrame, key: str, name: str) -> DataFrame:
+    """df with what info says of its key, nulls where it says nothing; info's key column is `name`."""
+    return df.join(info, F.col(key) == F.col(name), "left")
+
+
+def panel_by_sample(sites: DataFrame, sheet: DataFrame, by: str = "guide") -> DataFrame:
+    """Every site of a guide with every sample that has the guide."""
+    return sites.join(sheet.distinct(), by)
+
+
+def top_k(df: DataFrame, k: int, *order: Column | str) -> DataFrame:
+    """The first k rows in the given order."""
+    return df.orderBy(*order).limit(k)
+
+
+def tail_k(df: DataFrame, k: int, column: str, *ties: str) -> DataFrame:
+    """The last k rows by ascending column and ties, found from the other end."""
+    return df.orderBy(F.desc(column), *map(F.desc, ties)).limit(k)
+
+
+def distinct_rows(df: DataFrame, *columns: str) -> DataFrame:
+    """Distinct values of the columns, of all if none are named."""
+    return (df.select(*columns) if columns else df).dropDuplicates()
+
+
+def names_in(names: Column, listed: list[str]) -> Column:
+    """Which of the names are listed."""
+    return F.array_intersect(names, F.array(*map(F.lit, listed)))
+
+
+def names_besides(names: Column, listed: list[str]) -> Column:
+    """Which of the names are not listed."""
+    return F.array_except(names, F.array(*map(F.lit, listed)))

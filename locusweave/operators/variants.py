@@ -16,27 +16,57 @@ from locusweave.plans.size import broadcast_if_small
 FIELDS = ("allele", "symbol", "trx", "consequence", "pick")
 
 
+#: Annotation fields that are numbers: whole ones that are 0 where missing, and places.
+COUNTED, PLACES = ("strand", "distance", "pick"), ("ann_st", "ann_en")
+
+
 def explode_annotations(df: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
-    """One row per annotation of csq with its number and fields; an empty symbol is null, pick is 0 or 1."""
+    """One row per annotation of csq with its number and fields.
+
+    Empty fields are null. Dots are taken off an allele, an empty symbol is the gene's id where there is a field gene,
+    strand, distance and pick are whole numbers (0 where missing), ann_st and ann_en are places.
+    """
     rows = df.select(*[c for c in df.columns if c != "csq"], F.posexplode(F.split("csq", ",")).alias("ann", "_x"))
     parts = F.split("_x", r"[|]")
-    cols = [F.nullif(F.get(parts, F.lit(k)), F.lit("")).alias(f) for k, f in enumerate(fields)]
-    out = rows.select(*[c for c in rows.columns if c != "_x"], *cols)
-    return out.withColumn("pick", F.coalesce(F.col("pick").try_cast("int"), F.lit(0))) if "pick" in fields else out
+    value = {f: F.nullif(F.get(parts, F.lit(k)), F.lit("")) for k, f in enumerate(fields)}
+    if "allele" in value:
+        value["allele"] = F.nullif(F.btrim(value["allele"], F.lit(".")), F.lit(""))
+    if "gene" in value and "symbol" in value:
+        value["symbol"] = F.coalesce(value["symbol"], value["gene"])
+    value |= {f: F.coalesce(value[f].try_cast("int"), F.lit(0)) for f in COUNTED if f in value}
+    value |= {f: value[f].try_cast("long") for f in PLACES if f in value}
+    return rows.select(*[c for c in rows.columns if c != "_x"], *[v.alias(f) for f, v in value.items()])
 
 
-def annotation_values(csq: Column, index: int) -> Column:
-    """Distinct non-empty values of one field over all annotations, in order."""
-    values = F.transform(F.split(csq, ","), lambda x: F.get(F.split(x, r"[|]"), F.lit(index)))
+def annotation_values(csq: Column, index: int, allele: Column | None = None, allele_index: int = 0) -> Column:
+    """Distinct non-empty values of one field over all annotations, in order; with an allele, over that allele's.
+
+    An annotation too short to have the field raises an error.
+    """
+    parts = F.transform(F.split(csq, ","), lambda x: F.split(x, r"[|]"))
+    if allele is not None:
+        parts = F.filter(parts, lambda p: F.get(p, F.lit(allele_index)) == allele)
+    short = F.raise_error(F.concat(F.lit("an annotation without field "), F.lit(str(index)))).cast("string")
+    values = F.transform(parts, lambda p: F.when(F.size(p) <= index, short).otherwise(F.get(p, F.lit(index))))
     return F.array_distinct(F.filter(values, lambda x: x.isNotNull() & (x != "")))
 
 
-def soft_filters(df: DataFrame, min_alt: int = 2, min_pct: float = 5.0) -> DataFrame:
-    """Filters with MinSvReads and MinSvAbundance added; no filter left is PASS."""
-    few = F.when(F.col("alt_reads") < min_alt, F.lit("MinSvReads"))
-    thin = F.when((F.col("ref_reads") > 0) & (fn.abundance_pct(F.col("ref_reads"), F.col("alt_reads")) < min_pct), F.lit("MinSvAbundance"))
-    names = F.array_union(fn.filters_of(F.col("filter")), F.array_compact(F.array(few, thin)))
-    return df.withColumn("filter", F.when(F.size(names) == 0, "PASS").otherwise(F.array_join(names, ";")))
+def _joined(names: Column) -> Column:
+    return F.when(F.size(names) == 0, "PASS").otherwise(F.array_join(names, ";"))
+
+
+def soft_filters(df: DataFrame, min_pr: int = 2, min_sr: int = 2, min_pct: float = 5.0) -> DataFrame:
+    """Filters with Imprecise, MinSvReads, SvInsertion and MinSvAbundance added; no filter left is PASS.
+
+    df(filter, pr_ref, pr_alt, sr_ref, sr_alt, imprecise, insertion_hits): paired and split reads, a mark, and what the
+    insertion hits, or null. The abundance counts only where there are reference reads.
+    """
+    ref, alt = F.col("pr_ref") + F.col("sr_ref"), F.col("pr_alt") + F.col("sr_alt")
+    marks = F.array(
+        F.when(F.col("imprecise"), F.lit("Imprecise")), F.when((F.col("pr_alt") < min_pr) | (F.col("sr_alt") < min_sr), F.lit("MinSvReads")),
+        F.when(F.col("insertion_hits").isNotNull(), F.lit("SvInsertion")), F.when((ref > 0) & (100.0 * alt / (ref + alt) < min_pct), F.lit("MinSvAbundance")),
+    )
+    return df.withColumn("filter", _joined(F.array_union(fn.filters_of(F.col("filter")), F.array_compact(marks))))
 
 
 def hard_filters(df: DataFrame, least: int = 1000, most: int = 20_000_000) -> DataFrame:
@@ -57,13 +87,17 @@ def mate_join(df: DataFrame) -> DataFrame:
     return df.join(mates, "mate_id").where("id < mate_id")
 
 
-def small_variant_filter(df: DataFrame, least: int = 3, hard: float = 1.0, soft: float = 2.0) -> DataFrame:
-    """Enough reads and abundance, and PASS or more abundance; LowReads and MinVAF mark what is near the limits."""
+def small_variant_filter(df: DataFrame, least: int = 3, hard: float = 1.0, soft: float = 2.0, allowed: tuple[str, ...] = ()) -> DataFrame:
+    """Enough reads and abundance, and PASS or more abundance; LowReads and MinVAF mark what is under the limits.
+
+    A row with one of the allowed tags (column tags, an array) stays whatever its reads. A lone multiallelic counts as PASS.
+    """
     vaf = fn.abundance_pct(F.col("ref_reads"), F.col("alt_reads"))
-    kept = df.where((F.col("alt_reads") >= least) & (vaf >= hard) & ((F.col("filter") == "PASS") | (vaf >= soft)))
-    marks = F.array_compact(F.array(F.when(F.col("alt_reads") < 2 * least, F.lit("LowReads")), F.when(vaf < soft, F.lit("MinVAF"))))
-    names = F.array_union(fn.filters_of(F.col("filter")), marks)
-    return kept.withColumn("vaf", vaf).withColumn("filter", F.when(F.size(names) == 0, "PASS").otherwise(F.array_join(names, ";")))
+    df = df.withColumn("filter", F.when(F.col("filter") == "multiallelic", "PASS").otherwise(F.col("filter")))
+    good = (F.col("alt_reads") >= least) & (vaf >= hard) & ((F.col("filter") == "PASS") | (vaf >= soft))
+    kept = df.where(F.coalesce(F.arrays_overlap("tags", F.array(*map(F.lit, allowed))), F.lit(False)) | good) if allowed else df.where(good)
+    marks = F.array_compact(F.array(F.when(F.col("alt_reads") < least, F.lit("LowReads")), F.when(vaf < soft, F.lit("MinVAF"))))
+    return kept.withColumn("vaf", vaf).withColumn("filter", _joined(F.array_union(fn.filters_of(F.col("filter")), marks)))
 
 
 def size_gate(df: DataFrame, most: int = 1000) -> DataFrame:
@@ -167,9 +201,17 @@ def merge_info_maps(df: DataFrame, by: str, info: str) -> DataFrame:
     return each.groupBy(by).agg(F.array_join(F.array_sort(F.collect_list(item)), ";").alias(info))
 
 
-def candidate_gate(df: DataFrame) -> DataFrame:
-    """Indel share in (0.05, 1], control below 0.02."""
-    return df.where((F.col("fraction") > 0.05) & (F.col("fraction") <= 1) & (F.col("control_fraction") < 0.02))
+def candidate_gate(df: DataFrame, low: float = 0.05, control: float = 0.02, most_mismatches: int | None = None, off_target: bool = False) -> DataFrame:
+    """Indel share in (low, 1], control share below `control`; on request few mismatches of the best guide, off-target sites only."""
+    out = df.where((F.col("fraction") > low) & (F.col("fraction") <= 1) & (F.col("control_fraction") < control))
+    if most_mismatches is not None:
+        out = out.where(F.col("min_mismatches") <= most_mismatches)
+    return out.where("is_target = 0") if off_target else out
+
+
+def mnv_component_filter(df: DataFrame, tag: str, alt: str) -> DataFrame:
+    """Of rows with a tag ref>alt those whose alt is the tag's; rows without a tag stay."""
+    return df.where(F.coalesce(F.element_at(F.split(tag, ">"), -1) == F.col(alt), F.lit(True)))
 
 
 def somatic_indel_gate(df: DataFrame, least: float = 5.0, weak: bool = False) -> DataFrame:

@@ -250,14 +250,13 @@ def _(g):
 
 @query("u03_distinct_rows", "SELECT DISTINCT chrom, pos, svtype FROM fx_variants")
 def _(g):
-    return g.variants.select("chrom", "pos", "svtype").dropDuplicates()
+    return co.distinct_rows(g.variants, "chrom", "pos", "svtype")
 
 
 @query("u05_set_operations", "SELECT id, list_has_any(string_split(filter, ';'), ['MaxDepth']) AS deep, len([x FOR x IN string_split(filter, ';') IF x NOT IN ('PASS', 'MaxDepth', 'MinSomaticScore')]) AS others FROM fx_variants")
 def _(g):
     names = F.split("filter", ";")
-    drop = F.array(*map(F.lit, ("PASS", "MaxDepth", "MinSomaticScore")))
-    return g.variants.select("id", (F.size(F.array_intersect(names, F.array(F.lit("MaxDepth")))) > 0).alias("deep"), F.size(F.array_except(names, drop)).cast("long").alias("others"))
+    return g.variants.select("id", (F.size(co.names_in(names, ["MaxDepth"])) > 0).alias("deep"), F.size(co.names_besides(names, ["PASS", "MaxDepth", "MinSomaticScore"])).cast("long").alias("others"))
 
 
 @query(
@@ -277,24 +276,25 @@ def _(g):
 
 @query("j09_label_join", "SELECT e.vec_id, e.label, l.toxic FROM embeddings e JOIN labels l ON e.vec_id = l.doc_id")
 def _(g):
-    return g.table("embeddings").join(g.table("labels").withColumnRenamed("doc_id", "vec_id"), "vec_id").select("vec_id", "label", "toxic")
+    return co.label_join(g.table("embeddings"), g.table("labels"), "vec_id", "doc_id").select("vec_id", "label", "toxic")
 
 
 @query("j10_attach_metadata", "SELECT v.id, g.symbol FROM fx_variants v LEFT JOIN fx_genes g ON g.symbol = split_part(v.csq, '|', 2) AND regexp_matches(g.chrom, '^chr[12]$')")
 def _(g):
     info = g.genes.where(F.col("chrom").rlike("^chr[12]$")).select("symbol")
-    return g.variants.withColumn("symbol_of", F.get(F.split("csq", r"[|]"), F.lit(1))).join(info, F.col("symbol_of") == F.col("symbol"), "left").select("id", "symbol")
+    return g.variants.withColumn("symbol_of", F.get(F.split("csq", r"[|]"), F.lit(1))).transform(lambda v: co.attach_metadata(v, info, "symbol_of", "symbol")).select("id", "symbol")
 
 
 @query("j16_panel_by_sample", "SELECT s.guide, s.chrom, s.pos, p.sample FROM fx_sites s JOIN (SELECT DISTINCT concat('G', pos % 5) AS guide, sample FROM fx_variants) p USING (guide)")
 def _(g):
     sheet = g.variants.select(F.concat(F.lit("G"), (F.col("pos") % 5).cast("string")).alias("guide"), "sample").distinct()
-    return g.sites.join(sheet, "guide").select("guide", "chrom", "pos", "sample")
+    return co.panel_by_sample(g.sites, sheet).select("guide", "chrom", "pos", "sample")
 
 
-@query("d10_candidate_gate", "WITH x AS (SELECT id, alt_reads / 13.0 AS fraction, ref_reads / 400.0 AS control_fraction FROM fx_variants) SELECT id FROM x WHERE fraction > 0.05 AND fraction <= 1 AND control_fraction < 0.02")
+@query("d10_candidate_gate", "WITH x AS (SELECT id, alt_reads / 13.0 AS fraction, ref_reads / 400.0 AS control_fraction, pos % 5 AS mm, pos % 3 AS t FROM fx_variants) SELECT id FROM x WHERE fraction > 0.05 AND fraction <= 1 AND control_fraction < 0.02 AND mm <= 2 AND t = 0")
 def _(g):
-    return vr.candidate_gate(g.variants.select("id", (F.col("alt_reads") / 13.0).alias("fraction"), (F.col("ref_reads") / 400.0).alias("control_fraction"))).select("id")
+    rows = g.variants.select("id", (F.col("alt_reads") / 13.0).alias("fraction"), (F.col("ref_reads") / 400.0).alias("control_fraction"), (F.col("pos") % 5).alias("min_mismatches"), (F.col("pos") % 3).alias("is_target"))
+    return vr.candidate_gate(rows, most_mismatches=2, off_target=True).select("id")
 
 
 @query("d17_false_positive_sites", "SELECT DISTINCT chrom, pos FROM fx_sites WHERE is_target = 0 AND pos % 3 > 0 AND pos % 7 = 0")
@@ -306,12 +306,12 @@ def _(g):
 @query("d07_mnv_component_filter", "SELECT id FROM fx_variants WHERE svtype = CASE WHEN pos % 2 = 0 THEN 'DEL' ELSE 'INS' END")
 def _(g):
     tag = F.concat(F.lit("A>"), F.when(F.col("pos") % 2 == 0, "DEL").otherwise("INS"))
-    return g.variants.where(F.element_at(F.split(tag, ">"), -1) == F.col("svtype")).select("id")
+    return vr.mnv_component_filter(g.variants.withColumn("tag", tag), "tag", "svtype").select("id")
 
 
 @query("o04_top_k", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 25")
 def _(g):
-    return g.table("orders").select("o_orderkey", "o_totalprice").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(25)
+    return co.top_k(g.table("orders").select("o_orderkey", "o_totalprice"), 25, F.desc("o_totalprice"), "o_orderkey")
 
 
 @query("o02_reference_order", "SELECT symbol, row_number() OVER (ORDER BY CASE chrom WHEN 'chr3' THEN 0 WHEN 'chr1' THEN 1 ELSE 2 END, st) AS place FROM fx_genes WHERE chrom IN ('chr3', 'chr1', 'chr2')")

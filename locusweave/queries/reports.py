@@ -82,10 +82,19 @@ def _(g):
     return text.manifest_of(g.table("supplier").select(line.alias("value")))
 
 
-@query("s18_candidates", "SELECT id, CAST(svtype = 'DEL' AS INT) AS truth, CASE WHEN pos % 2 = 0 THEN alt_reads / 4.0 END AS indel_fraction FROM fx_variants")
+@query(
+    "s18_candidates",
+    """SELECT id, sample, CAST(svtype = 'DEL' AS INT) AS truth, CASE WHEN pos % 2 = 0 THEN alt_reads / 4.0 END AS indel_fraction, CAST(pos % 3 = 0 OR pos % 5 = 0 AS INT) AS target,
+    CASE WHEN pos % 4 = 0 THEN 99 ELSE least(pos % 6, ref_reads % 6) END AS min_mismatches FROM fx_variants""",
+)
 def _(g):
-    rows = g.variants.select("id", F.when(F.col("svtype") == "DEL", "Edit").otherwise("no").alias("manual_review"), F.when(F.col("pos") % 2 == 0, (F.col("alt_reads") / 4.0).cast("string")).otherwise("NA").alias("indel_fraction"))
-    return text.candidates_of(rows).select("id", "truth", "indel_fraction")
+    pos, best = F.col("pos"), F.concat_ws(",", (F.col("pos") % 6).cast("string"), (F.col("ref_reads") % 6).cast("string"))
+    info = F.concat_ws(";", F.lit("SRC=a"), F.when(pos % 5 == 0, F.lit("TARGET")), F.when(pos % 4 > 0, F.concat(F.lit("MISMATCHES="), best)))
+    rows = g.variants.select(
+        "id", F.concat(F.lit("/data/"), "sample", F.lit(".tagged.csv")).alias("file"), F.when(F.col("svtype") == "DEL", "Edit").otherwise("no").alias("manual_review"),
+        F.when(pos % 2 == 0, (F.col("alt_reads") / 4.0).cast("string")).otherwise("NA").alias("indel_fraction"), (pos % 3 == 0).cast("int").alias("is_target"), info.alias("target_info"),
+    )
+    return text.candidates_of(rows, F.col("file")).select("id", "sample", "truth", "indel_fraction", "target", "min_mismatches")
 
 
 @query("s20_read_group_probe", "SELECT concat('f', o_custkey % 5) AS file, 'FC1' AS flowcell, '2' AS lane, 'ACGT' AS index, 50 AS length FROM orders GROUP BY 1")

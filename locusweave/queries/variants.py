@@ -13,14 +13,24 @@ _ANN = """raw AS (SELECT v.*, unnest(string_split(csq, ',')) AS x, generate_subs
 _PCT = "CASE WHEN ref_reads + alt_reads > 0 THEN round(100.0 * alt_reads / (ref_reads + alt_reads), 1) ELSE 0.0 END"
 
 
-@query("t01_explode_annotations", f"WITH {_ANN} SELECT id, ann, allele, symbol, trx, consequence, pick FROM anns")
+@query(
+    "t01_explode_annotations",
+    f"""WITH {_ANN}, r AS (SELECT *, pos % 3 = 0 AS bare FROM anns)
+    SELECT id, ann, allele, CASE WHEN bare THEN 'ENSG' || (pos % 7) ELSE symbol END AS symbol, trx, consequence, pick, CASE WHEN bare THEN -1 ELSE 0 END AS strand, CASE WHEN pos % 2 = 0 THEN pos ELSE 0 END AS distance, pos AS ann_st, CASE WHEN bare THEN pos + 9 END AS ann_en FROM r""",
+)
 def _(g):
-    return vr.explode_annotations(g.variants).select("id", "ann", "allele", "symbol", "trx", "consequence", "pick")
+    pos, bare = F.col("pos"), F.col("pos") % 3 == 0
+    more = F.concat(F.lit("|"), F.concat(F.lit("ENSG"), (pos % 7).cast("string")), F.lit("|"), F.when(bare, "-1").otherwise(""), F.lit("|"), F.when(pos % 2 == 0, pos.cast("string")).otherwise(""), F.lit("|"), pos.cast("string"), F.lit("|"), F.when(bare, (pos + 9).cast("string")).otherwise("x"))
+    full = lambda x: F.concat(F.regexp_replace(F.when(bare, F.regexp_replace(x, r"^A\|[^|]*", "..A.|")).otherwise(x), r"\|$", "|0"), more)
+    rows = g.variants.withColumn("csq", F.array_join(F.transform(F.split("csq", ","), full), ","))
+    fields = ("allele", "symbol", "trx", "consequence", "pick", "gene", "strand", "distance", "ann_st", "ann_en")
+    return vr.explode_annotations(rows, fields).select("id", "ann", "allele", "symbol", "trx", "consequence", "pick", "strand", "distance", "ann_st", "ann_en")
 
 
-@query("t02_annotation_values", f"WITH {_ANN} SELECT id, string_agg(symbol, ',' ORDER BY ann) AS symbols FROM (SELECT id, symbol, min(ann) AS ann FROM anns GROUP BY 1, 2) GROUP BY 1")
+@query("t02_annotation_values", f"WITH {_ANN} SELECT v.id, coalesce(string_agg(symbol, ',' ORDER BY ann), '') AS symbols FROM fx_variants v LEFT JOIN (SELECT id, symbol, min(ann) AS ann FROM anns WHERE NOT (id IN (SELECT id FROM fx_variants WHERE pos % 4 = 0)) GROUP BY 1, 2) a USING (id) GROUP BY 1")
 def _(g):
-    return g.variants.select("id", F.array_join(vr.annotation_values(F.col("csq"), 1), ",").alias("symbols"))
+    allele = F.when(F.col("pos") % 4 == 0, "T").otherwise("A")
+    return g.variants.select("id", F.array_join(vr.annotation_values(F.col("csq"), 1, allele), ",").alias("symbols"))
 
 
 @query("t08_abundance_pct", f"SELECT id, {_PCT} AS pct FROM fx_variants")
@@ -30,11 +40,13 @@ def _(g):
 
 @query(
     "t09_cell_fraction",
-    """WITH x AS (SELECT seg_id, maf * 200 AS m, CASE WHEN cn <> 2 THEN 2 * (sm - 1) * 100 / (cn - 2) END AS s FROM fx_segments),
-    v AS (SELECT seg_id, CASE WHEN s IS NULL THEN m WHEN abs(s - m) > 25 THEN s ELSE least(s, m) END AS v FROM x) SELECT seg_id, round(CASE WHEN v > 100 THEN 99.0 ELSE v END, 6) AS fraction FROM v""",
+    """WITH x AS (SELECT seg_id, cn, sm, CASE WHEN maf > 0 THEN round(maf * 200, 2) END AS m, alt = '<LOH>' AS loh, CASE WHEN chrom = 'chr5' AND cn <> 1 THEN 1 WHEN cn <> 2 THEN 2 END AS nl FROM fx_segments),
+    s AS (SELECT *, CASE WHEN NOT loh THEN round(nl * (sm - 1) / (cn - nl) * 100, 2) END AS s FROM x), k AS (SELECT seg_id, CASE WHEN m >= 0 THEN m END AS m, CASE WHEN s >= 0 THEN s END AS s FROM s),
+    v AS (SELECT seg_id, CASE WHEN abs(s - m) > 0.25 THEN s ELSE least(s, m) END AS v FROM k) SELECT seg_id, CASE WHEN v > 100 THEN 99.0 ELSE v END AS fraction FROM v""",
 )
 def _(g):
-    return g.segments.select("seg_id", F.round(fn.cell_fraction(F.col("cn"), F.lit(2), F.col("sm"), F.col("maf")), 6).alias("fraction"))
+    single = F.col("chrom") == "chr5"  # stands for X of a male
+    return g.segments.select("seg_id", fn.cell_fraction(F.col("cn"), F.col("sm").cast("double"), F.col("maf").cast("double"), single, F.col("alt") == "<LOH>").alias("fraction"))
 
 
 @query("t10_one_letter_protein", "SELECT id, concat('p.', CASE pos % 3 WHEN 0 THEN 'V' WHEN 1 THEN 'G' ELSE 'K' END, pos, CASE WHEN pos % 2 = 0 THEN '=' ELSE '*' END) AS protein FROM fx_variants")
@@ -138,12 +150,20 @@ def _(g):
     return vr.mate_join(g.variants).select("id", "mate_id", "mate_chrom", "mate_pos")
 
 
-_SOFT = f"""CASE WHEN filter = 'PASS' AND NOT (alt_reads < 2) AND NOT (ref_reads > 0 AND {_PCT} < 5) THEN 'PASS' ELSE concat_ws(';', nullif(filter, 'PASS'), CASE WHEN alt_reads < 2 THEN 'MinSvReads' END, CASE WHEN ref_reads > 0 AND {_PCT} < 5 THEN 'MinSvAbundance' END) END"""
 
 
-@query("d01_soft_filters", f"SELECT id, {_SOFT} AS filter FROM fx_variants")
+@query(
+    "d01_soft_filters",
+    """WITH x AS (SELECT id, filter, ref_reads AS pr_ref, alt_reads AS pr_alt, pos % 4 AS sr_ref, pos % 5 AS sr_alt, pos % 7 = 0 AS imprecise, CASE WHEN svtype = 'INS' THEN 'x' END AS hits FROM fx_variants)
+    SELECT id, coalesce(nullif(concat_ws(';', nullif(filter, 'PASS'), CASE WHEN imprecise THEN 'Imprecise' END, CASE WHEN pr_alt < 2 OR sr_alt < 2 THEN 'MinSvReads' END, CASE WHEN hits IS NOT NULL THEN 'SvInsertion' END,
+      CASE WHEN pr_ref + sr_ref > 0 AND 100.0 * (pr_alt + sr_alt) / (pr_ref + sr_ref + pr_alt + sr_alt) < 5 THEN 'MinSvAbundance' END), ''), 'PASS') AS filter FROM x""",
+)
 def _(g):
-    return vr.soft_filters(g.variants).select("id", "filter")
+    pos = F.col("pos")
+    rows = g.variants.select(
+        "id", "filter", F.col("ref_reads").alias("pr_ref"), F.col("alt_reads").alias("pr_alt"), (pos % 4).alias("sr_ref"), (pos % 5).alias("sr_alt"), (pos % 7 == 0).alias("imprecise"), F.when(F.col("svtype") == "INS", "x").alias("insertion_hits")
+    )
+    return vr.soft_filters(rows).select("id", "filter")
 
 
 _HARD = "alt_reads > 0 AND (svtype = 'BND' OR svlen BETWEEN 1000 AND 20000000)"
@@ -161,11 +181,14 @@ def _(g):
 
 @query(
     "d04_small_variant_filter",
-    f"""SELECT id, {_PCT} AS vaf, CASE WHEN filter = 'PASS' AND alt_reads >= 6 AND {_PCT} >= 2 THEN 'PASS' ELSE concat_ws(';', nullif(filter, 'PASS'), CASE WHEN alt_reads < 6 THEN 'LowReads' END, CASE WHEN {_PCT} < 2 THEN 'MinVAF' END) END AS filter
-    FROM fx_variants WHERE alt_reads >= 3 AND {_PCT} >= 1 AND (filter = 'PASS' OR {_PCT} >= 2)""",
+    f"""WITH x AS (SELECT id, ref_reads, alt_reads, CASE WHEN pos % 11 = 0 THEN 'PASS' ELSE filter END AS filter, pos % 6 = 0 AS known, {_PCT} AS vaf FROM fx_variants)
+    SELECT id, vaf, coalesce(nullif(concat_ws(';', nullif(filter, 'PASS'), CASE WHEN alt_reads < 3 THEN 'LowReads' END, CASE WHEN vaf < 2 THEN 'MinVAF' END), ''), 'PASS') AS filter
+    FROM x WHERE known OR (alt_reads >= 3 AND vaf >= 1 AND (filter = 'PASS' OR vaf >= 2))""",
 )
 def _(g):
-    return vr.small_variant_filter(g.variants).select("id", "vaf", "filter")
+    pos = F.col("pos")
+    rows = g.variants.withColumn("filter", F.when(pos % 11 == 0, "multiallelic").otherwise(F.col("filter"))).withColumn("tags", F.when(pos % 6 == 0, F.array(F.lit("OLD"), F.lit("PRIOR"))))
+    return vr.small_variant_filter(rows, allowed=("PRIOR", "FORCED")).select("id", "vaf", "filter")
 
 
 @query("d05_size_gate", "SELECT id, round(alt_reads / CAST(ref_reads + alt_reads AS DOUBLE), 4) AS af FROM fx_variants WHERE svtype <> 'BND' AND svlen <= 1000 AND alt_reads > 0")

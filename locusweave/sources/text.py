@@ -166,15 +166,23 @@ def manifest_of(rows: DataFrame) -> DataFrame:
     return rows.where(F.trim("value") != "").select(name.alias("name"), path.alias("path"))
 
 
-def candidates_of(df: DataFrame) -> DataFrame:
-    """Candidate tables with truth from manual_review or pass, numbers coerced, and a target flag."""
+def candidates_of(df: DataFrame, file: Column | None = None) -> DataFrame:
+    """Candidate tables with truth from manual_review or pass, numbers coerced, a target flag and the least mismatches.
+
+    target is 1 where is_target or the target's info says so; min_mismatches is the least of MISMATCHES in target_info, 99
+    without one. file, a path, gives the sample: its base name up to the first dot.
+    """
     have = set(df.columns)
     truth = F.coalesce(*[F.lower(F.col(c).cast("string")) for c in ("manual_review", "pass") if c in have], F.lit(""))
     out = df.withColumn("truth", truth.isin("1", "true", "yes", "pass", "edit").cast("int"))
     for c in ("indel_fraction", "control_indel_fraction", "total_reads"):
         if c in have:
             out = out.withColumn(c, F.col(c).cast("string").try_cast("double"))
-    return out
+    flag = F.lower(F.col("is_target").cast("string")).isin("1", "true", "yes") if "is_target" in have else F.lit(False)
+    told = F.coalesce(F.col("target_info"), F.lit("")) if "target_info" in have else F.lit("")
+    least = F.array_min(F.transform(F.split(F.regexp_extract(told, r"(?:^|;)MISMATCHES=([0-9,]+)", 1), ","), lambda x: x.try_cast("int")))
+    out = out.withColumn("target", (F.coalesce(flag, F.lit(False)) | told.rlike("(?:^|;)TARGET(?:[=;]|$)")).cast("int")).withColumn("min_mismatches", F.coalesce(least, F.lit(99)))
+    return out if file is None else out.withColumn("sample", F.substring_index(F.substring_index(file, "/", -1), ".", 1))
 
 
 def read_group_probe_of(rows: DataFrame, reads: int = 100) -> DataFrame:

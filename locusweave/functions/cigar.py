@@ -70,20 +70,27 @@ def largest_of(found: Column, around: Column, window: int) -> Column:
     return F.when(best.isNotNull(), F.struct((-best["neg"]).alias("pos"), best["op"].alias("op"), best["len"].alias("len")))
 
 
-def aligned_overlap(one: Column, start_one: Column, two: Column, start_two: Column) -> Column:
-    """Number of reference positions that both alignments cover with matched bases."""
+def aligned_positions(cigar: Column, start: Column, moving: str = "MDN=X") -> Column:
+    """Positions that matched bases cover, from start on; the operations in `moving` move the position."""
+    begin = F.struct(start.cast("long").alias("pos"), F.array().cast("array<array<bigint>>").alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        ends = acc["pos"] + F.when(x["op"].isin(*moving), x["len"]).otherwise(F.lit(0).cast("long"))
+        out = F.when(x["op"].isin("M", "=", "X"), F.array_append(acc["out"], F.sequence(acc["pos"], ends - 1))).otherwise(acc["out"])
+        return F.struct(ends.alias("pos"), out.alias("out"))
 
-    def positions(cigar: Column, start: Column) -> Column:
-        begin = F.struct(start.cast("long").alias("pos"), F.array().cast("array<array<bigint>>").alias("out"))
+    return F.flatten(F.aggregate(parse_cigar(cigar), begin, step, lambda acc: acc["out"]))
 
-        def step(acc: Column, x: Column) -> Column:
-            ends = acc["pos"] + F.when(x["op"].isin("M", "D", "N", "=", "X"), x["len"]).otherwise(F.lit(0).cast("long"))
-            out = F.when(x["op"].isin("M", "=", "X"), F.array_append(acc["out"], F.sequence(acc["pos"], ends - 1))).otherwise(acc["out"])
-            return F.struct(ends.alias("pos"), out.alias("out"))
 
-        return F.flatten(F.aggregate(parse_cigar(cigar), begin, step, lambda acc: acc["out"]))
+def aligned_overlap(one: Column, start_one: Column, two: Column, start_two: Column) -> Column:
+    """Number of reference positions that both alignments cover with matched bases."""
+    return F.size(F.array_intersect(aligned_positions(one, start_one), aligned_positions(two, start_two))).cast("long")
+
 
-    return F.size(F.array_intersect(positions(one, start_one), positions(two, start_two))).cast("long")
+def clipped_overlap_share(one: Column, two: Column) -> Column:
+    """Share of the first alignment's matched places, counted from the read's start with its clips, that the second matches too."""
+    first, second = (aligned_positions(c, F.lit(0), "MDN=XSH") for c in (one, two))
+    return F.size(F.array_intersect(first, second)) / F.nullif(F.size(first), F.lit(0))
 
 
 def softclip_distance(cigar: Column, start: Column, targets: Column, none: int = 999) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from locusweave.functions.cigar import cigar_total, clipped_overlap_share, parse_cigar
 from locusweave.functions.variants import reverse_complement
 from locusweave.operators.intervals import overlap_join
 
@@ -115,18 +116,33 @@ def edit_event_filters(df: DataFrame, least: int = 1, control: int = 0, near: in
     return df.where((F.col("alt") == "REF") | good)
 
 
-def chimeric_junctions(reads: DataFrame, contig: str, clip: int = 20, mapq: int = 1) -> DataFrame:
-    """Reads on an insert contig that continue elsewhere by a supplementary alignment.
+def chimeric_junctions(reads: DataFrame, contig: str, clip: int = 20, mapq: int = 1, most_mismatches: int = 1, share: float = 0.2, mate_length: int = 151) -> DataFrame:
+    """Places on other contigs to which reads of an insert contig lead: read_name, kind, chrom, st, en, strand.
 
-    reads(read_name, chrom, pos, strand, clipped, sa) with sa as chrom,pos,strand,cigar,mapq,nm; joined by semicolons.
-    Gives the junction's chromosome and coordinate, at the start or, on the reverse strand, the end of its match.
+    reads(read_name, flag, chrom, mapq, cigar, sa, mate_chrom, mate_pos from 0): primary reads of mapq above 0 count. A
+    pair that is not proper, with its mate on another contig, leads to the mate, `mate_length` on where that is forward
+    (kind pair). A proper read that is clipped by `clip` at its outer end leads to each supplementary alignment (sa:
+    chrom,pos,strand,cigar,mapq,nm; joined by semicolons) on another contig of `mapq` or more and few mismatches, if that
+    matches less than `share` of the places which the read matches (kind split); on the forward strand the junction is
+    behind its matched bases.
     """
-    parts = reads.where((F.col("chrom") == contig) & (F.col("clipped") >= clip)).select("read_name", F.explode(F.split("sa", ";")).alias("x"))
-    p = F.split("x", ",")
-    rows = parts.where(F.size(p) >= 6).select("read_name", p[0].alias("chrom"), p[1].try_cast("long").alias("pos"), p[2].alias("strand"), p[3].alias("cigar"), p[4].try_cast("int").alias("mapq"), p[5].try_cast("int").alias("nm"))
-    rows = rows.where((F.col("chrom") != contig) & (F.col("mapq") >= mapq) & (F.col("nm") <= 1))
-    size = F.coalesce(F.aggregate(F.regexp_extract_all("cigar", F.lit(r"(\d+)[MDN=X]"), F.lit(1)), F.lit(0).cast("long"), lambda a, n: a + n.cast("long")), F.lit(0))
-    return rows.select("read_name", "chrom", F.when(F.col("strand") == "+", F.col("pos")).otherwise(F.col("pos") + size - 1).alias("junction"))
+    bit = lambda b: F.col("flag").bitwiseAND(b) > 0
+    own = reads.where((F.col("chrom") == contig) & (F.col("mapq") > 0) & (F.col("flag").bitwiseAND(0x4 | 0x100 | 0x400 | 0x800) == 0))
+    apart = ~bit(0x2) & ~bit(0x8) & bit(0x1) & (F.col("mate_chrom") != F.col("chrom"))
+    forward = ~bit(0x20)
+    pairs = own.where(apart).select(
+        "read_name", F.lit("pair").alias("kind"), F.col("mate_chrom").alias("chrom"), (F.col("mate_pos") + F.when(forward, mate_length).otherwise(0)).cast("long").alias("en"), F.when(forward, "+").otherwise("-").alias("strand")
+    )
+    ops = parse_cigar(F.col("cigar"))
+    outer = F.when(bit(0x10), F.element_at(ops, -1)).otherwise(F.get(ops, F.lit(0)))
+    clipped = own.where(~F.coalesce(apart, F.lit(False)) & bit(0x2)).withColumn("outer", outer).where((F.col("outer.op") == "S") & (F.col("outer.len") >= clip))
+    parts = clipped.select("read_name", "cigar", F.explode(F.split("sa", ";")).alias("x")).withColumn("p", F.split("x", ",")).where(F.size("p") >= 6)
+    at = lambda k: F.get("p", F.lit(k))
+    parts = parts.where((at(0) != contig) & (at(4).try_cast("int") >= mapq) & (at(5).try_cast("int") <= most_mismatches))
+    parts = parts.where(clipped_overlap_share(F.col("cigar"), at(3)) < share)
+    matched_bases = F.when(at(2) == "+", cigar_total(at(3), "M=X")).otherwise(F.lit(0))
+    splits = parts.select("read_name", F.lit("split").alias("kind"), at(0).alias("chrom"), (at(1).try_cast("long") + matched_bases).alias("en"), at(2).alias("strand"))
+    return pairs.unionByName(splits).select("read_name", "kind", "chrom", (F.col("en") - 1).alias("st"), "en", "strand")
 
 
 def background_windows(targets: DataFrame, sizes: DataFrame, n: int, far: int = 500_000, width: int = 1000) -> DataFrame:

@@ -99,10 +99,21 @@ def _(g):
     return an.event_gate(rows).select("id")
 
 
-@query("j24_chimeric_junctions", "SELECT read_name, 'chr9' AS chrom, CASE WHEN mapq % 2 = 0 THEN ref_start + 7 ELSE ref_start + 7 + 49 END AS junction FROM fx_reads WHERE chrom = 'chr1' AND cigar LIKE '40S%' AND mapq >= 30")
+@query(
+    "j24_chimeric_junctions",
+    """WITH r AS (SELECT *, CASE WHEN ref_start % 3 = 0 THEN 'chr7' ELSE chrom END AS mate_chrom, mapq % 2 = 0 AS plus FROM fx_reads WHERE chrom = 'chr1' AND mapq > 0 AND is_dup = 0)
+    SELECT read_name, 'pair' AS kind, 'chr7' AS chrom, ref_start + 650 AS st, ref_start + 651 AS en, '+' AS strand FROM r WHERE ref_start % 3 = 0
+    UNION ALL SELECT read_name, 'split', 'chr9', ref_start + 6 + CASE WHEN plus THEN 38 ELSE 0 END, ref_start + 7 + CASE WHEN plus THEN 38 ELSE 0 END, CASE WHEN plus THEN '+' ELSE '-' END FROM r WHERE ref_start % 3 > 0 AND cigar LIKE '40S%' AND mapq >= 30""",
+)
 def _(g):
-    sa = F.concat_ws(",", F.lit("chr9"), (F.col("ref_start") + 7).cast("string"), F.when(F.col("mapq") % 2 == 0, "+").otherwise("-"), F.lit("50M60S"), F.when(F.col("mapq") >= 30, "9").otherwise("0"), F.lit("0"))
-    rows = g.reads.select("read_name", "chrom", F.when(F.col("cigar").startswith("40S"), 40).otherwise(0).alias("clipped"), F.concat(sa, F.lit(";")).alias("sa"))
+    start, apart = F.col("ref_start"), F.col("ref_start") % 3 == 0
+    strand, place = F.when(F.col("mapq") % 2 == 0, "+").otherwise("-"), (start + 7).cast("string")
+    sa = lambda cigar, q: F.concat_ws(",", F.lit("chr9"), place, strand, F.lit(cigar), F.when(F.col("mapq") >= 30, q).otherwise("0"), F.lit("1"))
+    # The second alignment matches what the read matches and is left out, the third is on the contig itself.
+    others = F.concat_ws(";", sa("38M112S", "9"), sa("40S110M", "9"), F.concat_ws(",", F.lit("chr1"), place, strand, F.lit("40M110S"), F.lit("60"), F.lit("0")), F.lit(""))
+    rows = g.reads.where("is_dup = 0").select(
+        "read_name", F.when(apart, 0x1).otherwise(0x3).alias("flag"), "chrom", "mapq", "cigar", others.alias("sa"), F.when(apart, "chr7").otherwise(F.col("chrom")).alias("mate_chrom"), (start + 500).alias("mate_pos")
+    )
     return an.chimeric_junctions(rows, "chr1")
 
 

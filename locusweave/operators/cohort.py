@@ -107,11 +107,18 @@ def label_crosstab(df: DataFrame, by: str, label: str, values: list) -> DataFram
     return wide.na.fill(0).select(by, *[F.col(f"`{v}`").alias(f"label_{v}") for v in values])
 
 
-def feature_histogram(df: DataFrame, value: str, label: str, bins: int, high: Column | float) -> DataFrame:
-    """Counts by label and bin of equal width below `high`; larger values go in the last bin."""
-    high = high if isinstance(high, Column) else F.lit(float(high))
-    k = F.least(F.floor(F.col(value) * bins / high), F.lit(bins - 1))
-    return df.groupBy(label, k.alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(value), 6).alias("mean"))
+def feature_histogram(df: DataFrame, value: str, label: str, bins: int = 60, share: float = 0.99) -> DataFrame:
+    """Counts, density and mean by label and bin of equal width between the least value and the percentile `share`.
+
+    Larger values count in the last bin; the density of a label's bins has area 1. One pass finds the bounds.
+    """
+    bounds = df.agg(F.min(value).cast("double").alias("lo"), F.percentile(value, F.lit(share)).alias("hi"))
+    width = (F.col("hi") - F.col("lo")) / bins
+    k = F.least(F.floor((F.col(value) - F.col("lo")) / width), F.lit(bins - 1))
+    rows = df.where(F.col(value).isNotNull()).crossJoin(F.broadcast(bounds)).withColumn("bin", F.coalesce(k, F.lit(0))).withColumn("_w", width)
+    cells = rows.groupBy(label, "bin").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(value), 6).alias("mean"), F.first("_w").alias("_w"))
+    density = F.col("n") / (F.sum("n").over(W.partitionBy(label)) * F.col("_w"))
+    return cells.withColumn("density", density).drop("_w")
 
 
 def number_replicates(df: DataFrame, by: str, order: str) -> DataFrame:

@@ -19,25 +19,39 @@ def uniform(key: Column) -> Column:
     return F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("long") / F.lit(2.0**32)
 
 
-def balance_negatives(df: DataFrame, key: str, label: str, by: str, ratio: int) -> DataFrame:
+def balance_negatives(df: DataFrame, key: str, label: str, by: str, ratio: int, most: int | None = None) -> DataFrame:
     """All positives, and ratio times as many negatives, shared among groups in proportion to their negatives.
 
-    Within a group the negatives with the least hashes stay; quotas round down.
+    Within a group the negatives with the least hashes stay, `most` of them at most; quotas round down.
     """
     counts = df.groupBy(by).agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n"))
     totals = counts.agg(F.sum("p").alias("tp"), F.sum("n").alias("tn"))
     quota = counts.crossJoin(F.broadcast(totals)).select(by, F.floor(F.least(F.lit(1.0), F.col("tp") * ratio / F.col("tn")) * F.col("n")).alias("quota"))
+    quota = quota if most is None else quota.withColumn("quota", F.least("quota", F.lit(most)))
     negatives = df.where(F.col(label) == 0).withColumn("_k", F.row_number().over(W.partitionBy(by).orderBy(uniform(F.col(key)), key)))
     kept = negatives.join(quota, by).where(F.col("_k") <= F.col("quota")).select(*df.columns)
     return df.where(F.col(label) == 1).unionByName(kept)
 
 
+def sample_negatives(df: DataFrame, key: str, label: str, fraction: float) -> DataFrame:
+    """All positives, and each negative with the chance `fraction` by the hash of its key; a plain filter."""
+    return df.where((F.col(label) == 1) | ((F.col(label) == 0) & (uniform(F.col(key)) < fraction)))
+
+
 def holdout_split(df: DataFrame, key: str, label: str, share: float = 0.2) -> DataFrame:
     """df with `held_out`: the rows of each label whose hash ranks in the last `share`."""
     rank = F.percent_rank().over(W.partitionBy(label).orderBy(uniform(F.col(key)), key))
     return df.withColumn("held_out", rank > 1 - share)
 
 
+def holdout_groups(df: DataFrame, individuals: list | None = None, gene_parts: list[str] | None = None, individual: str = "individual_id", gene: str = "gene") -> DataFrame:
+    """df with `held_out`: rows of the listed individuals, and rows whose gene holds one of the listed strings."""
+    mine = F.col(individual).isin(*individuals) if individuals else F.lit(False)
+    for part in gene_parts or []:
+        mine = mine | F.coalesce(F.col(gene).contains(part), F.lit(False))
+    return df.withColumn("held_out", F.coalesce(mine, F.lit(False)))
+
+
 def binary_metrics(df: DataFrame, score: str, label: str, by: str | None = None, threshold: float = 0.7) -> DataFrame:
     """ROC-AUC by mid-ranks, average precision, precision, recall, F1 and counts, overall or by group.
 

@@ -69,10 +69,24 @@ def soft_filters(df: DataFrame, min_pr: int = 2, min_sr: int = 2, min_pct: float
     return df.withColumn("filter", _joined(F.array_union(fn.filters_of(F.col("filter")), F.array_compact(marks))))
 
 
-def hard_filters(df: DataFrame, least: int = 1000, most: int = 20_000_000) -> DataFrame:
-    """Rows with support; deletions, duplications and insertions of a length in [least, most], breakends of any."""
-    sized = F.col("svlen").between(least, most)
-    return df.where((F.col("alt_reads") > 0) & ((F.col("svtype") == "BND") | sized))
+def hard_filters(df: DataFrame, least: int = 1000, most: int = 20_000_000, min_pr: int = 0, min_sr: int = 0) -> DataFrame:
+    """Structural variants that are kept for themselves; see keep_with_mate for the mates of breakends.
+
+    df(filter, svtype, svlen, pr_alt, sr_alt, bands, genes, known_genes, effects, contig): arrays of the cytobands, the
+    genes, the listed genes among them and the protein-changing consequences. All need support and the least reads of
+    both kinds. Deletions and duplications need both kinds and lie on one arm. These and insertions need a length in
+    [least, most], a gene and a protein-changing consequence. Breakends need a listed gene, or a contig and either PASS
+    or a gene. Null arrays are empty.
+    """
+    any_of = lambda c: F.coalesce(F.size(c), F.lit(0)) > 0
+    arm = lambda letter: F.coalesce(F.exists("bands", lambda b: b.contains(letter)), F.lit(False))
+    supported = ((F.col("pr_alt") > 0) | (F.col("sr_alt") > 0)) & (F.col("pr_alt") >= min_pr) & (F.col("sr_alt") >= min_sr)
+    copies = ~F.col("svtype").isin("DEL", "DUP") | ((F.col("pr_alt") > 0) & (F.col("sr_alt") > 0) & ~(arm("p") & arm("q")))
+    passing = F.array_contains(F.split("filter", ";"), "PASS")
+    breakend = any_of("known_genes") | (F.col("contig").isNotNull() & (passing | any_of("genes")))
+    sized = F.coalesce(F.col("svlen").between(least, most), F.lit(False)) & any_of("genes") & any_of("effects")
+    kind = F.when(F.col("svtype") == "BND", breakend).when(F.col("svtype").isin("INS", "DEL", "DUP"), sized).otherwise(F.lit(True))
+    return df.where(supported & copies & kind)
 
 
 def keep_with_mate(df: DataFrame, passed: DataFrame) -> DataFrame:
@@ -106,12 +120,25 @@ def size_gate(df: DataFrame, most: int = 1000) -> DataFrame:
     return df.where((F.col("svtype") != "BND") & (F.col("svlen") <= most) & (F.col("alt_reads") > 0)).withColumn("af", F.round(F.col("alt_reads") / total, 4))
 
 
-def reportable_variants(df: DataFrame, transcripts: DataFrame, consequences: list[str]) -> DataFrame:
-    """The last annotation of each variant on a listed transcript with a listed consequence."""
-    rows = explode_annotations(df).join(transcripts, "trx")
-    rows = rows.where(F.arrays_overlap(F.split("consequence", "&"), F.array(*map(F.lit, consequences))))
-    last = F.max(F.struct("ann", "symbol", "trx", "consequence")).alias("x")
-    return rows.groupBy("id").agg(last).select("id", "x.symbol", "x.trx", "x.consequence")
+def reportable_variants(df: DataFrame, transcripts: DataFrame, consequences: list[str], noncoding: DataFrame | None = None, fields: tuple[str, ...] = FIELDS) -> DataFrame:
+    """The last reportable annotation of each variant: id, symbol, trx, consequence (the one that is listed).
+
+    It is on a listed transcript, with a consequence that noncoding(symbol, effects array) lists for its gene, or, failing
+    that, with a coding one. Annotations whose field `blacklist` says anything are skipped, if there is such a field.
+    """
+    rows = explode_annotations(df, fields)
+    rows = rows.where("blacklist is null") if "blacklist" in fields else rows
+    rows = rows.join(broadcast_if_small(transcripts.select("trx").distinct()), "trx")
+    mine = F.split("consequence", "&")
+    listed = F.array(*map(F.lit, consequences))
+    if noncoding is not None:
+        rows = rows.join(broadcast_if_small(noncoding.select("symbol", "effects")), "symbol", "left")
+        own = F.get(F.filter(mine, lambda c: F.array_contains("effects", c)), F.lit(0))
+    else:
+        own = F.lit(None).cast("string")
+    told = F.coalesce(own, F.get(F.filter(mine, lambda c: F.array_contains(listed, c)), F.lit(0)))
+    last = F.max(F.struct("ann", "symbol", "trx", told.alias("consequence"))).alias("x")
+    return rows.where(told.isNotNull()).groupBy("id").agg(last).select("id", "x.symbol", "x.trx", "x.consequence")
 
 
 def keep_best(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:

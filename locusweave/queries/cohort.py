@@ -126,9 +126,13 @@ def _(g):
     return co.label_crosstab(g.reads, "sample", "arm", ["edited", "control"])
 
 
-@query("a33_feature_histogram", "SELECT arm, CAST(least(floor(mapq * 10 / 60.0), 9) AS BIGINT) AS bin, count(*) AS n, round(avg(mapq), 6) AS mean FROM fx_reads GROUP BY 1, 2")
+@query(
+    "a33_feature_histogram",
+    """WITH b AS (SELECT min(mapq) AS lo, quantile_cont(mapq, 0.9) AS hi FROM fx_reads), c AS (SELECT arm, CAST(least(floor((mapq - lo) / ((hi - lo) / 10)), 9) AS BIGINT) AS bin, count(*) AS n, round(avg(mapq), 6) AS mean, (max(hi) - max(lo)) / 10 AS w FROM fx_reads, b GROUP BY 1, 2)
+    SELECT arm, bin, n, mean, round(n / (sum(n) OVER (PARTITION BY arm) * w), 9) AS density FROM c""",
+)
 def _(g):
-    return co.feature_histogram(g.reads, "mapq", "arm", 10, 60.0)
+    return co.feature_histogram(g.reads, "mapq", "arm", 10, 0.9).withColumn("density", F.round("density", 9))
 
 
 @query("w06_number_replicates", "SELECT o_orderkey, concat('c', o_custkey, '_T', row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey)) AS replicate FROM orders")

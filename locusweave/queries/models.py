@@ -44,12 +44,15 @@ _METRICS = """x AS (SELECT sample, mapq / 60.0 AS s, CAST(arm = 'edited' AS INT)
     f"""WITH {_METRICS} SELECT sample AS part, count(*) FILTER (y = 1) AS positives, count(*) FILTER (y = 0) AS negatives,
     round((sum(mid) FILTER (y = 1) - count(*) FILTER (y = 1) * (count(*) FILTER (y = 1) + 1) / 2.0) / (CAST(count(*) FILTER (y = 1) AS DOUBLE) * count(*) FILTER (y = 0)), 9) AS auc,
     count(*) FILTER (y = 1 AND s >= 0.7) AS tp, count(*) FILTER (y = 0 AND s >= 0.7) AS fp, round(count(*) FILTER (y = 1 AND s >= 0.7) / CAST(count(*) FILTER (s >= 0.7) AS DOUBLE), 9) AS precision,
-    round(count(*) FILTER (y = 1 AND s >= 0.7) / CAST(count(*) FILTER (y = 1) AS DOUBLE), 9) AS recall FROM r GROUP BY 1""",
+    round(count(*) FILTER (y = 1 AND s >= 0.7) / CAST(count(*) FILTER (y = 1) AS DOUBLE), 9) AS recall,
+    round(sum(up / CAST(seen AS DOUBLE)) FILTER (y = 1) / count(*) FILTER (y = 1), 9) AS average_precision,
+    round(2.0 * count(*) FILTER (y = 1 AND s >= 0.7) / (count(*) FILTER (s >= 0.7) + count(*) FILTER (y = 1)), 9) AS f1
+    FROM (SELECT *, sum(y) OVER w AS up, count(*) OVER w AS seen FROM r WINDOW w AS (PARTITION BY sample ORDER BY s DESC RANGE UNBOUNDED PRECEDING)) GROUP BY 1""",
 )
 def _(g):
     rows = g.reads.select("sample", (F.col("mapq") / 60.0).alias("s"), (F.col("arm") == "edited").cast("int").alias("y"))
     out = models.binary_metrics(rows, "s", "y", "sample")
-    return out.select("part", "positives", "negatives", F.round("auc", 9).alias("auc"), "tp", "fp", F.round("precision", 9).alias("precision"), F.round("recall", 9).alias("recall"))
+    return out.select("part", "positives", "negatives", F.round("auc", 9).alias("auc"), "tp", "fp", F.round("precision", 9).alias("precision"), F.round("recall", 9).alias("recall"), F.round("average_precision", 9).alias("average_precision"), F.round("f1", 9).alias("f1"))
 
 
 @query("l04_train_classifier")

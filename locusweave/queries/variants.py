@@ -166,17 +166,27 @@ def _(g):
     return vr.soft_filters(rows).select("id", "filter")
 
 
-_HARD = "alt_reads > 0 AND (svtype = 'BND' OR svlen BETWEEN 1000 AND 20000000)"
+_HARD_ROWS = """hard AS (SELECT id, mate_id, svtype, filter, svlen, alt_reads AS pr_alt, pos % 5 AS sr_alt, pos % 9 = 0 AS both_arms, pos % 6 > 0 AS gene, pos % 10 = 0 AS known, pos % 4 > 0 AS effect, pos % 3 > 0 AS contig FROM fx_variants),
+    kept AS (SELECT * FROM hard WHERE (pr_alt > 0 OR sr_alt > 0) AND NOT (svtype IN ('DEL', 'DUP') AND (pr_alt = 0 OR sr_alt = 0 OR both_arms))
+      AND NOT (svtype = 'BND' AND NOT known AND (NOT contig OR (filter <> 'PASS' AND NOT gene))) AND NOT (svtype <> 'BND' AND (svlen < 1000 OR svlen > 20000000 OR NOT gene OR NOT effect)))"""
 
 
-@query("d02_hard_filters", f"SELECT id FROM fx_variants WHERE {_HARD}")
+def _hard_rows(g):
+    pos = F.col("pos")
+    return g.variants.select(
+        "id", "mate_id", "svtype", "filter", "svlen", F.col("alt_reads").alias("pr_alt"), (pos % 5).alias("sr_alt"), F.when(pos % 9 == 0, F.array(F.lit("p11"), F.lit("q12"))).otherwise(F.array(F.lit("q12"))).alias("bands"),
+        F.when(pos % 6 > 0, F.array(F.lit("GENE1"))).alias("genes"), F.when(pos % 10 == 0, F.array(F.lit("GENE1"))).alias("known_genes"), F.when(pos % 4 > 0, F.array(F.lit("frameshift_variant"))).alias("effects"), F.when(pos % 3 > 0, "ACGT").alias("contig"),
+    )
+
+
+@query("d02_hard_filters", f"WITH {_HARD_ROWS} SELECT id FROM kept")
 def _(g):
-    return vr.hard_filters(g.variants).select("id")
+    return vr.hard_filters(_hard_rows(g)).select("id")
 
 
-@query("d03_keep_with_mate", f"WITH p AS (SELECT id, mate_id FROM fx_variants WHERE {_HARD}) SELECT id FROM fx_variants WHERE id IN (SELECT id FROM p) OR id IN (SELECT mate_id FROM p)")
+@query("d03_keep_with_mate", f"WITH {_HARD_ROWS} SELECT id FROM fx_variants WHERE id IN (SELECT id FROM kept) OR id IN (SELECT mate_id FROM kept)")
 def _(g):
-    return vr.keep_with_mate(g.variants, vr.hard_filters(g.variants)).select("id")
+    return vr.keep_with_mate(g.variants, vr.hard_filters(_hard_rows(g))).select("id")
 
 
 @query(
@@ -198,11 +208,15 @@ def _(g):
 
 @query(
     "d06_reportable_variants",
-    f"""WITH {_ANN}, r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ann DESC) AS k FROM anns WHERE trx IN (SELECT trx FROM fx_genes WHERE strand = 1) AND list_has_any(string_split(consequence, '&'), ['missense_variant', 'intron_variant']))
-    SELECT id, symbol, trx, consequence FROM r WHERE k = 1""",
+    f"""WITH {_ANN}, t AS (SELECT *, CASE WHEN symbol IN (SELECT symbol FROM fx_genes WHERE st % 3 = 0) AND contains(consequence, 'splice_region_variant') THEN 'splice_region_variant'
+      WHEN contains(consequence, 'missense_variant') THEN 'missense_variant' WHEN consequence = 'intron_variant' THEN 'intron_variant' END AS told FROM anns WHERE trx IN (SELECT trx FROM fx_genes WHERE strand = 1) AND NOT (pick = 1 AND pos % 4 = 0)),
+    r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ann DESC) AS k FROM t WHERE told IS NOT NULL) SELECT id, symbol, trx, told AS consequence FROM r WHERE k = 1""",
 )
 def _(g):
-    return vr.reportable_variants(g.variants, g.genes.where("strand = 1").select("trx"), ["missense_variant", "intron_variant"])
+    noncoding = g.genes.where("st % 3 = 0").select("symbol", F.array(F.lit("splice_region_variant")).alias("effects"))
+    marked = F.when(F.col("pos") % 4 == 0, F.regexp_replace("csq", r"\|1,", "|1|known artifact,")).otherwise(F.col("csq"))
+    fields = (*vr.FIELDS, "blacklist")
+    return vr.reportable_variants(g.variants.withColumn("csq", marked), g.genes.where("strand = 1").select("trx"), ["missense_variant", "intron_variant"], noncoding, fields)
 
 
 @query("d11_somatic_indel_gate", f"SELECT id FROM fx_variants WHERE (filter = 'PASS' OR list_contains(string_split(filter, ';'), 'weak_evidence')) AND svtype IN ('DEL', 'INS', 'DUP') AND {_PCT} >= 5")
@@ -284,9 +298,9 @@ def _(g):
     return vr.truth_panel(rows, 6)
 
 
-@query("a25_case_strings", f"WITH {_ANN} SELECT sample, count(*) AS n FROM anns WHERE filter = 'PASS' AND pick = 1 GROUP BY 1")
+@query("a25_case_strings", f"WITH {_ANN}, p AS (SELECT *, {_PCT} AS pct FROM anns WHERE filter = 'PASS' AND pick = 1) SELECT sample, count(*) AS n, string_agg(concat(symbol, '[', printf('%.1f', pct), '%]'), ',' ORDER BY concat(symbol, '[', printf('%.1f', pct), '%]')) AS variants FROM p GROUP BY 1")
 def _(g):
-    return vr.case_strings(g.variants).select("sample", "n")
+    return vr.case_strings(g.variants).select("sample", "n", "variants")
 
 
 @query("w05_rank_candidates", "SELECT id, alt_reads, row_number() OVER (ORDER BY svtype, alt_reads DESC, id) AS rank FROM fx_variants")

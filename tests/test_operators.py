@@ -210,3 +210,12 @@ def test_ranks_without_gathering(spark):
 def test_split_json_has_no_nan(spark):
     df = spark.createDataFrame([("a", float("nan")), ("a", 1.5), ("a", float("inf"))], "k string, v double")
     assert sinks.split_json(df, "k", ["v"]).first().document.count("null") == 2 or "NaN" not in sinks.split_json(df, "k", ["v"]).first().document
+
+
+def test_samples_and_holdouts(spark):
+    df = spark.createDataFrame([(k, f"g{k % 2}", f"i{k % 3}", ("AAVS1", "TRAC", None)[k % 3], int(k < 20)) for k in range(400)], "k int, g string, individual_id string, gene string, y int")
+    assert models.balance_negatives(df, "k", "y", "g", 2, most=7).groupBy("y").count().collect() != [] and models.balance_negatives(df, "k", "y", "g", 2, most=7).where("y = 0").count() == 14
+    some = models.sample_negatives(df, "k", "y", 0.25)
+    assert some.where("y = 1").count() == 20 and 60 < some.where("y = 0").count() < 130
+    held = models.holdout_groups(df, ["i2"], ["AAV"])
+    assert {(r.individual_id, r.held_out) for r in held.collect()} == {("i0", True), ("i1", False), ("i2", True)}

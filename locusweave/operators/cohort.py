@@ -179,11 +179,26 @@ def read_group_ids(df: DataFrame, *fields: str) -> DataFrame:
     return out.withColumn("repeated", F.count(F.lit(1)).over(W.partitionBy("rgid")) > 1)
 
 
-def normalize_samples(df: DataFrame, code: str, sex: str, specimen: str) -> DataFrame:
-    """Trimmed codes with _, sex as m, f or null, specimens by short names (the longest match first), and an id."""
-    short = F.when(F.lower(specimen).contains("bone marrow"), "BM").when(F.lower(specimen).contains("blood"), "PB").otherwise(F.regexp_replace(F.trim(specimen), r"\s+", "_"))
-    out = df.withColumn(code, F.regexp_replace(F.trim(code), r"\s+", "_")).withColumn(sex, F.when(F.lower(F.substring(sex, 1, 1)).isin("m", "f"), F.lower(F.substring(sex, 1, 1))))
-    return out.withColumn(specimen, short).withColumn("id", F.concat_ws("-", code, sex, specimen))
+#: Short names of specimens, replaced one after the other (fixed values).
+SPECIMENS = {"Bone Marrow-WML": "BM", "Bone Marrow": "BM", "Whole Blood": "PB", "Peripheral Blood": "PB", "Blood": "PB"}
+ACCESSION = r"^W\d+-\d+"
+
+
+def normalize_samples(df: DataFrame, code: str, sex: str, specimen: str, mrn: str | None = None) -> DataFrame:
+    """Trimmed codes with _, the accession that a code starts with, sex as m, f or null, specimens by short names, and an id.
+
+    The id joins the code without its accession, the accession, the mrn if there is one, and the specimen; parts that
+    are missing are left out.
+    """
+    plain = lambda c: F.regexp_replace(F.trim(c), r"\s+", "_")
+    short = F.trim(F.col(specimen))
+    for name, abbreviation in SPECIMENS.items():
+        short = F.regexp_replace(short, f"(?i)^{name}", abbreviation)
+    letter = F.lower(F.substring(F.trim(sex), 1, 1))
+    out = df.withColumn("accession", F.nullif(F.regexp_extract(F.trim(code), ACCESSION, 0), F.lit(""))).withColumn(code, plain(code))
+    out = out.withColumn(sex, F.when(letter.isin("m", "f"), letter)).withColumn(specimen, F.regexp_replace(short, r"\s+", "_"))
+    rest = F.nullif(F.regexp_replace(code, ACCESSION + "[-_]?", ""), F.lit(""))
+    return out.withColumn("id", F.concat_ws("-", rest, "accession", *([F.trim(F.col(mrn).cast("string"))] if mrn else []), specimen))
 
 
 def coalesce_columns(df: DataFrame, source: str, dest: str) -> DataFrame:

@@ -88,6 +88,12 @@ def score_rows(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(df).withColumn("score", vector_to_array("probability")[1]).drop("probability", "rawPrediction", "prediction")
 
 
+def score_reads(model: PipelineModel, reads: DataFrame, features: list[str]) -> DataFrame:
+    """Reads with `score`, their probability by the model; features that are null, or that reads lack, count as 0."""
+    filled = reads.select("*", *[F.lit(0.0).alias(f) for f in features if f not in reads.columns]).na.fill(0, features)
+    return score_rows(model, filled).drop("features")
+
+
 def as_features(df: DataFrame, array: str) -> DataFrame:
     return df.withColumn("features", array_to_vector(F.col(array).cast("array<double>")))
 

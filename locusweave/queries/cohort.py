@@ -198,13 +198,15 @@ def _(g):
 
 @query(
     "t33_normalize_samples",
-    """SELECT c_custkey, concat_ws('-', regexp_replace(trim(c_name), '\\s+', '_', 'g'), CASE WHEN lower(c_mktsegment[1]) IN ('m', 'f') THEN lower(c_mktsegment[1]) END,
-    CASE WHEN c_nationkey % 3 = 0 THEN 'BM' WHEN c_nationkey % 3 = 1 THEN 'PB' ELSE 'Skin_punch' END) AS id FROM customer""",
+    """WITH x AS (SELECT c_custkey, regexp_replace(trim(c_name), '\\s+', '_', 'g') AS code, lower(c_mktsegment[1]) AS s, CASE WHEN c_nationkey % 3 = 0 THEN 'BM' WHEN c_nationkey % 3 = 1 THEN 'PB' ELSE 'Skin_punch' END AS specimen, c_custkey % 4 = 0 AS marked FROM customer)
+    SELECT c_custkey, CASE WHEN s IN ('m', 'f') THEN s END AS sex, CASE WHEN marked THEN concat('W', c_custkey, '-7') END AS accession,
+      concat_ws('-', code, CASE WHEN marked THEN concat('W', c_custkey, '-7') END, 10 + c_custkey, specimen) AS id FROM x""",
 )
 def _(g):
-    kind = F.when(F.col("c_nationkey") % 3 == 0, "Bone Marrow-WML").when(F.col("c_nationkey") % 3 == 1, "Whole Blood").otherwise("Skin punch")
-    rows = g.table("customer").select("c_custkey", F.col("c_name").alias("code"), F.col("c_mktsegment").alias("sex"), kind.alias("specimen"))
-    return co.normalize_samples(rows, "code", "sex", "specimen").select("c_custkey", "id")
+    kind = F.when(F.col("c_nationkey") % 3 == 0, "Bone Marrow-WML").when(F.col("c_nationkey") % 3 == 1, " Whole Blood").otherwise("Skin punch")
+    code = F.when(F.col("c_custkey") % 4 == 0, F.concat(F.lit("W"), F.col("c_custkey").cast("string"), F.lit("-7 "), F.col("c_name"))).otherwise(F.col("c_name"))
+    rows = g.table("customer").select("c_custkey", code.alias("code"), F.col("c_mktsegment").alias("sex"), kind.alias("specimen"), (10 + F.col("c_custkey")).alias("mrn"))
+    return co.normalize_samples(rows, "code", "sex", "specimen", "mrn").select("c_custkey", "sex", "accession", "id")
 
 
 @query("t35_coalesce_columns", "SELECT o_orderkey, coalesce(CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus END, o_orderpriority) AS status FROM orders")

@@ -15,10 +15,16 @@ def _vcf(g):
     return g.variants.select(F.concat_ws("\t", "chrom", F.col("pos").cast("string"), "id", F.lit("N"), F.concat(F.lit("<"), "svtype", F.lit(">")), F.lit("."), "filter", info, F.lit("PR:SR"), F.concat("ref_reads", F.lit(":"), "alt_reads")).alias("value"))
 
 
-@query("s01_read_variants", "SELECT chrom, pos, id, concat('<', svtype, '>') AS alt, filter, svtype, CAST(pos + svlen AS VARCHAR) AS last, CAST(alt_reads AS VARCHAR) AS sr FROM fx_variants")
+@query(
+    "s01_read_variants",
+    """SELECT chrom, pos, id, concat('<', svtype, '>') AS alt, filter, svtype, CAST(pos + svlen AS VARCHAR) AS last, 'tumor' AS sample, CAST(alt_reads AS VARCHAR) AS sr FROM fx_variants
+    UNION ALL SELECT chrom, pos, id, concat('<', svtype, '>'), filter, svtype, CAST(pos + svlen AS VARCHAR), 'normal', NULL FROM fx_variants""",
+)
 def _(g):
-    v = text.variants_of(_vcf(g)).withColumn("c", text.call_map(F.col("format"), F.get("calls", F.lit(0))))
-    return v.select("chrom", "pos", "id", F.get("alts", F.lit(0)).alias("alt"), F.array_join("filters", ";").alias("filter"), F.col("info")["SVTYPE"].alias("svtype"), F.col("info")["END"].alias("last"), F.col("c")["SR"].alias("sr"))
+    head = g.variants.select(F.lit("#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\ttumor\tnormal").alias("value")).limit(1)
+    rows = head.unionByName(_vcf(g).select(F.concat("value", F.lit("\t7")).alias("value")))
+    v = text.calls_by_sample(text.variants_of(rows), text.sample_names(rows))
+    return v.select("chrom", "pos", "id", F.get("alts", F.lit(0)).alias("alt"), F.array_join("filters", ";").alias("filter"), F.col("info")["SVTYPE"].alias("svtype"), F.col("info")["END"].alias("last"), "sample", F.col("call")["SR"].alias("sr"))
 
 
 @query("s02_header_fields", "SELECT n_nationkey, 'Allele,Consequence,' || n_name AS fields FROM nation")
@@ -143,9 +149,10 @@ def _(g):
     return sinks.interaction_track(g.pairs.select(*[F.col(a).alias(b) for a, b in names.items()], F.col("pair_id").alias("score")))
 
 
-@query("k08_sites_as_variants", "SELECT chrom, pos, concat('<', svtype, '>') AS alt, 'PASS' AS filter FROM fx_variants")
+@query("k08_sites_as_variants", "SELECT chrom, pos, CASE WHEN svtype <> 'BND' THEN concat('<', svtype, '>') WHEN pos % 2 = 0 THEN concat('N]chr9:', pos + 7, ']') ELSE concat('N[chr9:', pos + 7, '[') END AS alt, 'PASS' AS filter FROM fx_variants")
 def _(g):
-    return sinks.sites_as_variants(g.variants).select("chrom", "pos", "alt", "filter")
+    rows = g.variants.withColumn("mate_chrom", F.lit("chr9")).withColumn("mate_pos", F.col("pos") + 7).withColumn("forward", F.col("pos") % 2 == 0)
+    return sinks.sites_as_variants(rows).select("chrom", "pos", "alt", "filter")
 
 
 # Sources and sinks by files: written to a fresh folder, then read from it.

@@ -66,9 +66,17 @@ def interaction_track(df: DataFrame) -> DataFrame:
 
 
 def sites_as_variants(df: DataFrame) -> DataFrame:
-    """Sites (chrom, pos, svtype) as minimal records for variant_lines."""
+    """Sites (chrom, pos, svtype) as minimal records for variant_lines: N and the type in angle brackets.
+
+    Breakends (svtype BND) with mate_chrom and mate_pos get the mate in brackets: N]chrom:pos] where `forward` says that
+    the mate is on the forward strand, else N[chrom:pos[.
+    """
     info = F.create_map(F.lit("SVTYPE"), F.col("svtype"))
-    return df.select("chrom", "pos", F.lit("N").alias("ref"), F.concat(F.lit("<"), "svtype", F.lit(">")).alias("alt"), F.lit("PASS").alias("filter"), "svtype", info.alias("info"))
+    alt = F.concat(F.lit("<"), "svtype", F.lit(">"))
+    if "mate_chrom" in df.columns:
+        mark = F.when(F.col("forward"), "]").otherwise("[")
+        alt = F.when(F.col("svtype") == "BND", F.concat(F.lit("N"), mark, "mate_chrom", F.lit(":"), F.col("mate_pos").cast("string"), mark)).otherwise(alt)
+    return df.select("chrom", "pos", F.lit("N").alias("ref"), alt.alias("alt"), F.lit("PASS").alias("filter"), "svtype", info.alias("info"))
 
 
 def write_case_tables(path: str, **tables: DataFrame) -> None:

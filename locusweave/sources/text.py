@@ -37,6 +37,20 @@ def read_variants(spark: SparkSession, path: str) -> DataFrame:
     return variants_of(lines(spark, path))
 
 
+def sample_names(rows: DataFrame) -> list[str]:
+    """The samples that the #CHROM line of VCF lines names, in order; read on the driver, from that line alone."""
+    head = rows.where(F.col("value").startswith("#CHROM\t")).select("value").first()
+    return head[0].split("\t")[9:] if head else []
+
+
+def calls_by_sample(variants: DataFrame, samples: list[str]) -> DataFrame:
+    """A row per variant and sample: the variant's columns with sample and call, a map of its format."""
+    names = F.array(*map(F.lit, samples)) if samples else F.array().cast("array<string>")
+    each = F.explode(F.arrays_zip(names.alias("sample"), F.slice("calls", F.lit(1), F.size(names)).alias("values")))
+    out = variants.withColumn("_x", each).withColumn("sample", F.col("_x.sample")).withColumn("call", call_map(F.col("format"), F.col("_x.values")))
+    return out.drop("_x", "calls", "format")
+
+
 def call_map(format_: Column, call: Column) -> Column:
     """Format names and one call's values as a map; trailing values that are left out are absent."""
     n = F.least(F.size(format_), F.size(call))
@@ -90,6 +104,18 @@ def bedgraph_of(rows: DataFrame) -> DataFrame:
     return rows.where(F.size(p) == 4).select(at(0).alias("chrom"), at(1).try_cast("long").alias("st"), at(2).try_cast("long").alias("en"), at(3).try_cast("double").alias("v"))
 
 
+def fragments_of(rows: DataFrame, baits: bool = False) -> DataFrame:
+    """Lines of a fragment map (chrom, st, en, frag_id) or, with baits, of a bait map (and annotation), tab separated.
+
+    A line with another number of columns raises an error when it is read.
+    """
+    p, n = _parts(), 5 if baits else 4
+    checked = F.when(F.size(p) == n, p).otherwise(F.raise_error(F.concat(F.lit(f"a line without {n} columns: "), F.substring("value", 1, 60))).cast("array<string>"))
+    names = {"chrom": "string", "st": "long", "en": "long", "frag_id": "long", "annotation": "string"}
+    cells = rows.where(F.trim("value") != "").select(checked.alias("p"))
+    return cells.select(*[F.get("p", F.lit(k)).try_cast(t).alias(c) for k, (c, t) in enumerate(list(names.items())[:n])])
+
+
 def contacts_of(rows: DataFrame) -> DataFrame:
     """White-space separated chr1, mid1, chr2, mid2, count."""
     p = F.split(F.trim("value"), r"\s+")
@@ -196,6 +222,14 @@ def read_group_probe_of(rows: DataFrame, reads: int = 100) -> DataFrame:
     return head.join(length, "file")
 
 
+def mates_that_differ(probes: DataFrame, mates: DataFrame) -> DataFrame:
+    """Pairs of files (one, two) whose probes differ in flow cell, lane or index, or of which one has none."""
+    fields = ("flowcell", "lane", "index")
+    side = lambda name, k: probes.select(F.col("file").alias(name), F.struct(*fields).alias(k))
+    both = mates.join(side("one", "a"), "one", "left").join(side("two", "b"), "two", "left")
+    return both.where(F.col("a").isNull() | F.col("b").isNull() | ~F.col("a").eqNullSafe(F.col("b"))).select("one", "two")
+
+
 def read_features(spark: SparkSession, paths: list[str], columns: list[str]) -> DataFrame:
     return spark.read.parquet(*paths).select(*columns).dropna()
 

@@ -219,3 +219,26 @@ def test_samples_and_holdouts(spark):
     assert some.where("y = 1").count() == 20 and 60 < some.where("y = 0").count() < 130
     held = models.holdout_groups(df, ["i2"], ["AAV"])
     assert {(r.individual_id, r.held_out) for r in held.collect()} == {("i0", True), ("i1", False), ("i2", True)}
+
+
+def test_fragment_lines_need_their_columns(spark):
+    import pytest
+
+    df = spark.createDataFrame([("c\t1\t5\t7",), ("c\t6\t9\t8",)], "value string")
+    assert [tuple(r) for r in text.fragments_of(df).collect()] == [("c", 1, 5, 7), ("c", 6, 9, 8)]
+    with pytest.raises(Exception, match="without 5 columns"):
+        text.fragments_of(df, baits=True).collect()
+
+
+def test_mates_must_agree(spark):
+    probes = spark.createDataFrame([("a1", "F", "1", "AC"), ("a2", "F", "1", "AC"), ("b1", "F", "1", "AC"), ("b2", "F", "2", "AC"), ("c1", "F", "1", None)], "file string, flowcell string, lane string, index string")
+    mates = spark.createDataFrame([("a1", "a2"), ("b1", "b2"), ("c1", "c2")], "one string, two string")
+    assert {r.one for r in text.mates_that_differ(probes, mates).collect()} == {"b1", "c1"}
+
+
+def test_scores_of_reads_with_missing_features(spark):
+    df = spark.createDataFrame([(float(k % 7), float(k % 3), int(k % 7 > 3)) for k in range(200)], "a double, b double, y int")
+    model = models.train_classifier(df, ["a", "b"], "y", rounds=2, depth=2)
+    rows = spark.createDataFrame([(6.0,), (None,)], "a double")
+    high, low = (r.score for r in models.score_reads(model, rows, ["a", "b"]).collect())
+    assert high > 0.5 > low

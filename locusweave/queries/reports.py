@@ -119,7 +119,7 @@ def _(g):
     return text.read_features(g.spark, [f"{g.sf_dir}/embeddings.parquet"], ["vec_id", "label"])
 
 
-@query("s22_reference_bases", "SELECT p_partkey, substr(repeat(upper(p_name), 40), (p_partkey % 300) + 1, 7) AS bases FROM part")
+@query("s22_reference_bases", "SELECT p_partkey, rpad(substr(repeat(upper(p_name), 40), (p_partkey % 300) + 1, 7), 7, 'N') AS bases FROM part")
 def _(g):
     parts = g.table("part")
     contigs = parts.select(F.col("p_partkey").cast("string").alias("chrom"), F.repeat(F.upper("p_name"), F.lit(40)).alias("seq"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusweave.llm import exact_dedup, html_extract, license_scan, lm_score, minhash_dedup, ogg_media, secret_scan, sentencepiece_codec, source_mix, toxicity
+from locusweave.llm import exact_dedup, hard_negatives, html_extract, license_scan, line_dedup, lm_score, minhash_dedup, ogg_media, secret_scan, sentencepiece_codec, source_mix, token_alignment, toxicity
 from locusweave.llm.common import read_table
 
 SQL_WORDS = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)"
@@ -122,6 +122,45 @@ SELECT d.doc_id, d.size, p.source_size, p.target, CAST((p.whole + CASE WHEN d.h
 FROM sizes d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source
 """
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = tokenizer_path("byte_bpe_50k.json"), tokenizer_path()
+    return token_alignment.align(read_table(spark, sf_dir, "documents"), sentencepiece_codec.model_bytes(a), sentencepiece_codec.model_bytes(b))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"), "label")
+    changed = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", changed), F.col("vec_id") % 100 == 0)
+
+
+OP12_SQL = """
+WITH plain AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM plain a JOIN plain b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, n.other_id AS negative_id, p.positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT n.same AND 30 * p.positive_score <= 100 * n.score AND 100 * n.score <= 90 * p.positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.other_id) QUALIFY rank <= 10
+"""
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digests(read_table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+lines AS (SELECT rid, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS nth FROM docs),
+keyed AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines),
+common AS (SELECT k, max(doc_id) AS keeps FROM keyed WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT coalesce(CAST(doc_id AS VARCHAR), '')) >= 5),
+judged AS (SELECT q.*, c.k IS NOT NULL AND q.doc_id IS DISTINCT FROM c.keeps AS goes FROM keyed q LEFT JOIN common c ON q.k = c.k)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (goes) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY nth) FILTER (NOT goes), '')) AS kept_sha256 FROM judged GROUP BY rid
+"""
+
 QUERIES = {
     "op1_html_extract": op1_html_extract,
     "op2_ogg_media": op2_ogg_media,
@@ -133,9 +172,14 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_secret_scan": op9_secret_scan,
     "op10_source_mix": op10_source_mix,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_line_dedup": op13_line_dedup,
 }
 SQL = {
     "op5_exact_dedup": OP5_SQL,
     "op9_secret_scan": OP9_SQL,
     "op10_source_mix": OP10_SQL,
+    "op12_hard_negatives": OP12_SQL,
+    "op13_line_dedup": OP13_SQL,
 }

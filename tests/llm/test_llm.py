@@ -49,7 +49,7 @@ def test_every_operator_takes_an_empty_table(spark, none, tmp_path):
 
 
 def test_queries_are_registered():
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
 
 
 # 1 html

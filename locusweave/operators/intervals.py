@@ -1,8 +1,9 @@
 """Interval algebra: overlap, nearest and distance joins, clusters and coverage.
 
-Intervals are half-open [st, en) on chrom. Joins go through bins: both sides are dealt to the bins that they touch, the
-join is on (chrom, bin), and a pair is kept in the first bin that both touch, so it appears once without a distinct.
-Chromosomes alone never key a join, since a few of them hold most rows.
+Intervals are half-open [st, en) on chrom. Joins go through bins of several widths: an interval is dealt to the one or
+two bins that it touches at the narrowest width that is as long as itself, so a segment of a whole chromosome makes no
+more rows than a read. Two intervals meet at the wider one's width, in the first bin that both touch, so a pair appears
+once without a distinct. Chromosomes alone never key a join or a window, since a few of them hold most rows.
 """
 
 from __future__ import annotations
@@ -13,12 +14,33 @@ from pyspark.sql import functions as F
 
 from locusweave.plans.size import broadcast_if_small
 
-BIN = 1000
+#: The narrowest bins, how many times wider the next ones are, and how many widths there are.
+BIN, WIDER, WIDTHS = 1024, 16, 7
+#: Positions of a chunk, when intervals are chained or put in order chunk by chunk.
+CHUNK = 1 << 20
 
 
-def _bins(st: Column, en: Column, width: int) -> Column:
-    first = F.floor(st / width)
-    return F.sequence(first, F.greatest(F.floor((en - 1) / width), first))
+def _level(st: Column, en: Column, width: int) -> Column:
+    """Number of the narrowest bin width that is as long as the interval."""
+    out = F.lit(0)
+    for k in range(1, WIDTHS):
+        out = F.when(en - st > width * WIDER ** (k - 1), k).otherwise(out)
+    return out
+
+
+def _touched(st: Column, en: Column, width: int, level: int, tag: int) -> Column:
+    """Keys of the bins of one width that an interval touches; the tag tells apart what the key is for."""
+    wide = width * WIDER**level
+    first = F.floor(st / wide)
+    last = F.greatest(F.floor((en - 1) / wide), first)
+    key = lambda b: b * (2 * WIDTHS) + (2 * level + tag)
+    return F.when(last == first, F.array(key(first))).when(last == first + 1, F.array(key(first), key(last))).otherwise(F.transform(F.sequence(first, last), key))
+
+
+def _keys(st: Column, en: Column, width: int, at: list[tuple[int, int, Column]]) -> Column:
+    """Keys of the bins that an interval touches at the widths that are wanted: (number of the width, tag, whether)."""
+    none = F.array().cast("array<bigint>")
+    return F.concat(*[F.when(wanted, _touched(st, en, width, k, tag)).otherwise(none) for k, tag, wanted in at])
 
 
 def _renamed(b: DataFrame, keep: tuple[str, ...] = ("chrom",)) -> DataFrame:
@@ -30,14 +52,33 @@ def overlap_join(a: DataFrame, b: DataFrame, slack: int = 0, width: int = BIN, h
 
     Rows with a null chrom, st or en meet nothing; how="left" keeps them, and others without a partner, with nulls.
     few: b is expected to be small beside a; its binned rows go to all tasks if their size allows, so that a stays put.
+
+    Keys have a tag: 0 where b's row is at its own width, so a is there at its own and at wider ones; 1 where a's row is
+    at its own width and b's own is narrower. Which widths the other side has is one row of numbers that goes to all
+    tasks; with `few` b is dealt to all wider ones, so that a's lengths need not be read first.
     """
-    wide = b.withColumn("_lo", F.col("st") - slack).withColumn("_hi", F.col("en") + slack)
-    right = _renamed(wide).withColumn("_bin", F.explode(_bins(F.col("_lo_b"), F.col("_hi_b"), width)))
+    wide = b.withColumn("_lo", F.col("st") - slack).withColumn("_hi", F.col("en") + slack).withColumn("_of", _level(F.col("_lo"), F.col("_hi"), width))
+    mine = a.withColumn("_level", _level(F.col("st"), F.col("en"), width))
+    told = wide.agg(F.collect_set("_of").alias("_widths"))
+    left = mine.crossJoin(F.broadcast(told))
+    has = lambda k: F.array_contains("_widths", F.lit(k))
+    own = [(k, 0, F.col("_level") == k) for k in range(WIDTHS)] + [(k, 0, (F.col("_level") < k) & has(k)) for k in range(1, WIDTHS)]
+    own += [(k, 1, (F.col("_level") == k) & (F.array_min("_widths") < k)) for k in range(1, WIDTHS)]
+    left = left.withColumn("_bin", F.explode(_keys(F.col("st"), F.col("en"), width, own))).drop("_widths")
+    if few:
+        right, there = wide, lambda k: F.lit(True)
+    else:
+        right = wide.crossJoin(F.broadcast(mine.agg(F.collect_set("_level").alias("_theirs"))))
+        there = lambda k: F.array_contains("_theirs", F.lit(k))
+    other = [(k, 0, F.col("_of") == k) for k in range(WIDTHS)] + [(k, 1, (F.col("_of") < k) & there(k)) for k in range(1, WIDTHS)]
+    right = right.withColumn("_bin", F.explode(_keys(F.col("_lo"), F.col("_hi"), width, other))).drop("_theirs", "_of")
+    right = _renamed(right, ("chrom", "_bin"))
     right = broadcast_if_small(right) if few else right
-    left = a.withColumn("_bin", F.explode(_bins(F.col("st"), F.col("en"), width)))
     meet = (F.col("st") < F.col("_hi_b")) & (F.col("_lo_b") < F.col("en"))
-    first = F.col("_bin") == F.greatest(F.floor(F.col("st") / width), F.floor(F.col("_lo_b") / width))
-    pairs = left.join(right, ["chrom", "_bin"]).where(meet & first).drop("_bin", "_lo_b", "_hi_b")
+    slot = F.pmod(F.col("_bin"), F.lit(2 * WIDTHS))
+    size = F.lit(width) * F.pow(F.lit(WIDER), F.floor(slot / 2)).cast("long")
+    first = F.floor((F.col("_bin") - slot) / (2 * WIDTHS)) == F.greatest(F.floor(F.col("st") / size), F.floor(F.col("_lo_b") / size))
+    pairs = left.join(right, ["chrom", "_bin"]).where(meet & first).drop("_bin", "_level", "_lo_b", "_hi_b")
     if how == "inner":
         return pairs.select(*a.columns, *[c for c in pairs.columns if c not in a.columns])
     alone = a.join(pairs.select(*[F.col(c).alias(f"_{c}") for c in a.columns]).distinct(), _same_row(a.columns), "left_anti")
@@ -103,14 +144,22 @@ def min_distance(a: DataFrame, sites: DataFrame, chunk: int = 100_000) -> DataFr
     return rows.select(*a.columns, F.least(F.col("pos") - left, right - F.col("pos")).alias("distance"))
 
 
+def placed_in_order(df: DataFrame, key: str, chunk: int = CHUNK) -> DataFrame:
+    """df with `rank`, its place from 1 on the chromosome in the order of st and key, found chunk by chunk."""
+    rows = df.withColumn("_chunk", F.floor(F.col("st") / chunk))
+    over = W.partitionBy("chrom").orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
+    before = rows.groupBy("chrom", "_chunk").agg(F.count(F.lit(1)).alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(over), F.lit(0))).drop("_n")
+    rows = rows.withColumn("_own", F.row_number().over(W.partitionBy("chrom", "_chunk").orderBy("st", key)))
+    return _joined_null_safe(rows, before, ["chrom", "_chunk"]).select(*df.columns, (F.col("_before") + F.col("_own")).alias("rank"))
+
+
 def distance_band_join(frags: DataFrame, most: int, shortest: int | None = None, longest: int | None = None) -> DataFrame:
     """Baits with other ends of the same chromosome whose midpoints are less than `most` apart.
 
     frags(chrom, st, en, frag_id, is_bait); baits never meet baits or their neighbours in order; other ends may be
     bounded in length. Gives bait_id, other_id, distance (signed).
     """
-    place = W.partitionBy("chrom").orderBy("st", "frag_id")
-    mids = frags.select("chrom", "frag_id", "is_bait", (F.col("en") - F.col("st")).alias("length"), ((F.col("st") + F.col("en")) / 2).alias("mid"), F.row_number().over(place).alias("rank"))
+    mids = placed_in_order(frags, "frag_id").select("chrom", "frag_id", "is_bait", (F.col("en") - F.col("st")).alias("length"), ((F.col("st") + F.col("en")) / 2).alias("mid"), "rank")
     baits = mids.where("is_bait = 1").select("chrom", F.col("frag_id").alias("bait_id"), F.col("mid").alias("bait_mid"), F.col("rank").alias("bait_rank"))
     baits = baits.withColumn("_k", F.floor(F.col("bait_mid") / most)).withColumn("_k", F.explode(F.array(F.col("_k") - 1, F.col("_k"), F.col("_k") + 1)))
     others = mids.where("is_bait = 0").withColumn("_k", F.floor(F.col("mid") / most))
@@ -123,12 +172,46 @@ def distance_band_join(frags: DataFrame, most: int, shortest: int | None = None,
     return pairs.select("bait_id", F.col("frag_id").alias("other_id"), (F.col("mid") - F.col("bait_mid")).alias("distance"))
 
 
-def cluster_intervals(df: DataFrame, slack: int, by: tuple[str, ...] = ("chrom",)) -> DataFrame:
-    """df with `cluster`, numbered from 1 within `by`: intervals are chained while the gap is at most slack."""
-    order = W.partitionBy(*by).orderBy("st", "en")
-    reach = F.max("en").over(order.rowsBetween(W.unboundedPreceding, -1))
-    new = (reach.isNull() | (F.col("st") - reach > slack)).cast("long")
-    return df.withColumn("_new", new).withColumn("cluster", F.sum("_new").over(order.rangeBetween(W.unboundedPreceding, 0))).drop("_new")
+def chained(df: DataFrame, slack: int, by: tuple[str, ...] = ("chrom",), chunk: int = CHUNK) -> DataFrame:
+    """df with `_new`, true where an interval begins a cluster, and `_chunk`; see cluster_intervals.
+
+    A running maximum of ends on two levels: over the chunks' greatest ends, one row a chunk, then inside chunks, so no
+    task holds a chromosome. Intervals belong to the chunk in which they start.
+    """
+    rows = df.withColumn("_chunk", F.floor(F.col("st") / chunk))
+    over = W.partitionBy(*by).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
+    chunks = rows.groupBy(*by, "_chunk").agg(F.max("en").alias("_en")).withColumn("_before", F.max("_en").over(over)).drop("_en")
+    inside = W.partitionBy(*by, "_chunk").orderBy("st", "en").rowsBetween(W.unboundedPreceding, -1)
+    rows = rows.withColumn("_reach", F.max("en").over(inside))
+    rows = _joined_null_safe(rows, chunks, [*by, "_chunk"])
+    reach = F.greatest("_reach", "_before")
+    return rows.withColumn("_new", F.coalesce(F.col("st") - reach > slack, F.lit(True))).drop("_reach", "_before")
+
+
+def _joined_null_safe(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """rows with the columns of a table that has one row for each of their keys; null keys are keys."""
+    named = table.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in table.columns if c not in keys])
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return rows.join(named, on).drop(*[f"_k_{k}" for k in keys])
+
+
+def cluster_intervals(df: DataFrame, slack: int, by: tuple[str, ...] = ("chrom",), chunk: int = CHUNK) -> DataFrame:
+    """df with `cluster`, numbered from 1 within `by`: intervals are chained while the gap is at most slack.
+
+    Rows with a null start or end are in no chunk and get a null cluster.
+    """
+    placed = F.col("st").isNotNull() & F.col("en").isNotNull()
+    rows = chained(df.where(placed), slack, by, chunk)
+    keys = [*by, "_chunk"]
+    over = W.partitionBy(*by).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
+    counts = rows.groupBy(*keys).agg(F.sum(F.col("_new").cast("long")).alias("_n"))
+    counts = counts.withColumn("_earlier", F.coalesce(F.sum("_n").over(over), F.lit(0))).drop("_n")
+    inside = W.partitionBy(*keys).orderBy("st", "en").rangeBetween(W.unboundedPreceding, 0)
+    rows = rows.withColumn("_own", F.sum(F.col("_new").cast("long")).over(inside))
+    rows = _joined_null_safe(rows, counts, keys).select(*df.columns, (F.col("_earlier") + F.col("_own")).alias("cluster"))
+    return rows.unionByName(df.where(~placed).withColumn("cluster", F.lit(None).cast("long")))
 
 
 def merge_intervals(df: DataFrame, slack: int, by: tuple[str, ...] = ("chrom",), *more: Column) -> DataFrame:
@@ -137,6 +220,17 @@ def merge_intervals(df: DataFrame, slack: int, by: tuple[str, ...] = ("chrom",),
     return out.agg(F.min("st").alias("st"), F.max("en").alias("en"), F.count(F.lit(1)).alias("n"), *more)
 
 
+def with_bridges(df: DataFrame, masks: DataFrame, kind: str) -> DataFrame:
+    """df with `bridge` false, and each mask once for every kind of df as a row with `bridge` true and no other column.
+
+    Events of one kind on both sides of a mask (a centromere) are then chained through it. Kinds are few words, masks one
+    or two a chromosome.
+    """
+    kinds = broadcast_if_small(df.select(kind).where(F.col(kind).isNotNull()).distinct())
+    bridges = masks.select("chrom", "st", "en").crossJoin(kinds).withColumn("bridge", F.lit(True))
+    return df.withColumn("bridge", F.lit(False)).unionByName(bridges, allowMissingColumns=True)
+
+
 def point_in_fragment(probes: DataFrame, frags: DataFrame, width: int = BIN) -> DataFrame:
     """The fragment that holds each probe's midpoint, with the feature of the last probe in it.
 

@@ -119,12 +119,60 @@ def ins_del_ratio(inserted: Column, deleted: Column) -> Column:
     return F.when(deleted > 0, inserted / deleted).when(inserted > 0, F.lit(10.0)).otherwise(F.lit(0.0))
 
 
-def indel_evidence(cigar: Column, mismatch_tag: Column, sa: Column) -> Column:
-    """(inserted, deleted, clipped, mismatches, split_deleted) bases of a read.
+def clip_deletions(parsed: Column, least: int = 3, most: int = 50) -> Column:
+    """Deleted bases that the soft clips of a parsed CIGAR hint at.
 
-    Mismatches are the NM tag less the indel bases. split_deleted is the gap between this alignment's reference end and
-    a supplementary one that starts behind it on the same strand: sa is (ref_end, chrom_same, start).
+    A clip of `least` bases or more counts once for itself, once more at an end of a read with over 5 matched bases, and
+    once more inside it with over 2 on both sides. A deletion of up to `most` bases counts once for each such clip beside
+    it; one between two such clips once more; two of them around such a clip once more each.
     """
-    ins, dele, clip = (cigar_total(cigar, op) for op in "IDS")
-    gap = F.when(sa["chrom_same"] & (sa["start"] > sa["ref_end"]), sa["start"] - sa["ref_end"]).otherwise(F.lit(0).cast("long"))
-    return F.struct(ins.alias("inserted"), dele.alias("deleted"), clip.alias("clipped"), F.greatest(F.coalesce(mismatch_tag, F.lit(0)) - ins - dele, F.lit(0)).alias("mismatches"), gap.alias("split_deleted"))
+    total = bases(parsed, "M")
+    zero = F.lit(0).cast("long")
+
+    def clipped(x: Column) -> Column:
+        return F.coalesce((x["op"] == "S") & (x["len"] >= least), F.lit(False))
+
+    def short(x: Column) -> Column:
+        return F.coalesce((x["op"] == "D") & (x["len"] <= most), F.lit(False))
+
+    def hint(x: Column, i: Column) -> Column:
+        before, after = F.get(parsed, i - 1), F.get(parsed, i + 1)
+        inside = (bases(F.slice(parsed, F.lit(1), i), "M") > 2) & (bases(F.slice(parsed, i + 2, F.size(parsed)), "M") > 2)
+        end = (i == 0).cast("int") + (i == F.size(parsed) - 1).cast("int")
+        beside = F.when(short(before), before["len"]).otherwise(zero) + F.when(short(after), after["len"]).otherwise(zero)
+        again = F.when(short(before) & short(after), beside).otherwise(zero)
+        own = x["len"] * (1 + F.when(total > 5, end).otherwise(0) + inside.cast("int"))
+        between = F.when(short(x) & clipped(before) & clipped(after), x["len"]).otherwise(zero)
+        return F.when(clipped(x), own + beside + again).otherwise(between)
+
+    return F.aggregate(F.transform(parsed, hint), zero, lambda a, x: a + x)
+
+
+def supplementary_clips(sa: Column, least: int = 3) -> Column:
+    """Bases of the soft clips of `least` or more in the CIGARs of an SA tag (chrom,pos,strand,CIGAR,...;...)."""
+    cigars = F.transform(F.split(F.coalesce(sa, F.lit("")), ";"), lambda e: F.coalesce(F.get(F.split(e, ","), F.lit(3)), F.lit("")))
+    sizes = F.flatten(F.transform(cigars, lambda c: F.regexp_extract_all(c, F.lit(r"(\d+)S"), F.lit(1))))
+    return F.aggregate(sizes, F.lit(0).cast("long"), lambda a, n: a + F.when(n.cast("long") >= least, n.cast("long")).otherwise(0))
+
+
+def tag_letters(md: Column) -> Column:
+    """Letters of an MD tag, deleted bases among them; 0 without a tag."""
+    return F.length(F.regexp_replace(F.coalesce(md, F.lit("")), "[^A-Za-z]", "")).cast("long")
+
+
+def edit_mismatches(nm: Column, parsed: Column) -> Column:
+    """Mismatches by the NM tag: less the inserted and deleted bases, 0 at least and without a tag."""
+    return F.greatest(F.coalesce(nm, F.lit(0)) - bases(parsed, "ID"), F.lit(0)).cast("long")
+
+
+def indel_evidence(cigar: Column, nm: Column, md: Column, sa: Column) -> Column:
+    """(inserted, deleted, clipped, mismatches, md_mismatches) of a read.
+
+    deleted holds the CIGAR's deletions, what its clips hint at, and the clips of its supplementary alignments.
+    Mismatches are told by the NM tag and, in the other form, by the letters of the MD tag.
+    """
+    parsed = parse_cigar(cigar)
+    dele = bases(parsed, "D") + clip_deletions(parsed) + F.when(F.size(parsed) > 0, supplementary_clips(sa)).otherwise(F.lit(0).cast("long"))
+    return F.struct(
+        bases(parsed, "I").alias("inserted"), dele.alias("deleted"), bases(parsed, "S").alias("clipped"), edit_mismatches(nm, parsed).alias("mismatches"), tag_letters(md).alias("md_mismatches")
+    )

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from locusweave.plans.size import broadcast_if_small
 
 #: The narrowest bins, how many times wider the next ones are, and how many widths there are.
-BIN, WIDER, WIDTHS = 1024, 16, 7
+BIN, WIDER, WIDTHS = 1024, 32, 5
 #: Positions of a chunk, when intervals are chained or put in order chunk by chunk.
 CHUNK = 1 << 20
 
@@ -34,7 +34,9 @@ def _touched(st: Column, en: Column, width: int, level: int, tag: int) -> Column
     first = F.floor(st / wide)
     last = F.greatest(F.floor((en - 1) / wide), first)
     key = lambda b: b * (2 * WIDTHS) + (2 * level + tag)
-    return F.when(last == first, F.array(key(first))).when(last == first + 1, F.array(key(first), key(last))).otherwise(F.transform(F.sequence(first, last), key))
+    few = F.when(last == first, F.array(key(first))).otherwise(F.array(key(first), key(last)))
+    # Only at the widest width can an interval be longer than a bin.
+    return few if level < WIDTHS - 1 else F.when(last <= first + 1, few).otherwise(F.transform(F.sequence(first, last), key))
 
 
 def _keys(st: Column, en: Column, width: int, at: list[tuple[int, int, Column]]) -> Column:

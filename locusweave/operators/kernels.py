@@ -1,7 +1,6 @@
 """Operators whose logic is a numeric or ordered loop over one bounded group.
 
-Groups are chromosomes of a binned contact matrix, windows of values, or fragments of a chromosome; each is what one
-task holds.
+Groups are windows of values, runs of fragments or bins of a curve; each is what one task holds.
 """
 
 from __future__ import annotations
@@ -15,101 +14,95 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from locusweave.operators.intervals import placed_in_order
+from locusweave.plans.scratch import saved
+from locusweave.plans.size import broadcast_if_small
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-def _balance(pdf: pd.DataFrame, sparsest: float, tol: float, outer: int, inner: int) -> pd.DataFrame:
-    """Knight and Ruiz: Newton steps on x * (A x) = 1, each solved by conjugate gradients inside a cone."""
-    nodes, where = np.unique(np.concatenate([pdf["i"].to_numpy(), pdf["j"].to_numpy()]), return_inverse=True)
-    n = len(nodes)
-    a, b = where[: len(pdf)], where[len(pdf) :]
-    v = pdf["n"].to_numpy(float)
-    sums = np.bincount(a, v, n) + np.bincount(b, v, n)
-    cut = np.sort(sums)[int(sparsest * n)] if sparsest > 0 else -1.0
-    keep = sums > cut
-    use = keep[a] & keep[b]
-    a, b, v = a[use], b[use], v[use]
-
-    def times(x):
-        return np.bincount(a, v * x[b], n) + np.bincount(b, v * x[a], n)
-
-    x = np.where(keep, 1.0, 0.0)
-    one = x.copy()
-    w = x * times(x)
-    rho = float(((one - w) ** 2).sum())
-    start, eta, stop = rho, 0.1, 0.5 * tol
-    for _ in range(outer):
-        if rho <= tol * tol:
-            break
-        y, r = one.copy(), one - w
-        p, rho_in, rho_was = np.zeros(n), float((r * r).sum()), 0.0
-        limit = max(eta * eta * rho, tol * tol)
-        for k in range(inner):
-            if rho_in <= limit:
-                break
-            d = np.where(w > 0, w, 1.0)
-            z = r / d
-            rz = float((r * z).sum())
-            p = z if k == 0 else z + rz / rho_was * p
-            rho_was = rz
-            ap = x * times(x * p) + w * p
-            alpha = rz / float((p * ap).sum())
-            step = y + alpha * p
-            if step[keep].min(initial=1.0) <= 0.1:
-                down = p < 0
-                y = y + alpha * p * min(1.0, float(((0.1 - y[down]) / (alpha * p[down])).min(initial=1.0)))
-                break
-            y, r = step, r - alpha * ap
-            rho_in = float((r * r).sum())
-        x = x * y
-        w = x * times(x)
-        was, rho = rho, float(((one - w) ** 2)[keep].sum())
-        eta = max(min(0.9 * rho / was if was else 0.1, 0.1), stop / np.sqrt(rho) if rho > 0 else 0.0)
-    del start
-    inverse = np.where(keep & (x > 0), 1 / np.where(x > 0, x, 1), np.nan)
-    bias = np.where(np.isnan(inverse), -1.0, inverse / np.nanmean(inverse) if keep.any() else -1.0)
-    return pd.DataFrame({"chrom": pdf["chrom"].iloc[0] if len(pdf) else None, "i": nodes, "bias": bias, "scaled": np.where(keep, w, 0.0)})
-
-
-def matrix_balance(contacts: DataFrame, sparsest: float = 0.05, tol: float = 1e-6, outer: int = 30, inner: int = 10) -> DataFrame:
-    """Bias of each row of the symmetric matrices (chrom, i, j, n) that makes scaled row sums equal.
-
-    Rows with sums up to the `sparsest` quantile are taken out (bias -1); the diagonal counts twice, as in M + M'.
-    Gives chrom, i, bias and the scaled row sum.
-    """
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _balance(pdf, sparsest, tol, outer, inner)
+def _next_mark(rows: DataFrame, x: str, marks: DataFrame, chunk: int, name: str) -> DataFrame:
+    """rows with the value of the first mark (chrom, x, value) at or behind their x on the chromosome, or null.
 
-    return contacts.groupBy("chrom").applyInPandas(run, "chrom string, i long, bias double, scaled double")
+    Chunk by chunk, with the first mark of later chunks from a table of one row a chunk.
+    """
+    of = F.floor(F.col(x) / chunk).alias("_chunk")
+    ends = marks.groupBy("chrom", F.floor(F.col("x") / chunk).alias("_chunk")).agg(F.min_by("value", "x").alias("_first"))
+    used = rows.select("chrom", of).union(ends.select("chrom", "_chunk")).distinct().join(ends, ["chrom", "_chunk"], "left")
+    later = W.partitionBy("chrom").orderBy(F.desc("_chunk")).rowsBetween(W.unboundedPreceding, -1)
+    later = used.select("chrom", "_chunk", F.last("_first", True).over(later).alias("_later"))
+    both = rows.withColumn("_x", F.col(x)).withColumn("_mark", F.lit(None).cast("long")).unionByName(
+        marks.select("chrom", F.col("x").alias("_x"), F.col("value").alias("_mark")), allowMissingColumns=True
+    ).withColumn("_chunk", F.floor(F.col("_x") / chunk))
+    # Backwards, so that the next mark is the last one seen; of equal places marks come first.
+    back = W.partitionBy("chrom", "_chunk").orderBy(F.desc("_x"), F.col("_mark").desc_nulls_last()).rowsBetween(W.unboundedPreceding, 0)
+    both = both.withColumn("_next", F.last("_mark", True).over(back)).where(F.col("_mark").isNull())
+    return both.join(later, ["chrom", "_chunk"], "left").select(*rows.columns, F.coalesce("_next", "_later").alias(name))
 
 
-def _bins(pdf: pd.DataFrame, size: int, solitary: bool) -> pd.DataFrame:
-    pdf = pdf.sort_values(["st", "frag_id"])
-    number, first, out = 0, None, []
-    for st, en, bait in zip(pdf["st"], pdf["en"], pdf["is_bait"]):
-        alone = bool(bait) and solitary
-        if first is None or alone:
-            number, first = number + 1, st
-        out.append(number)
-        if alone or en - first >= size:
-            first = None
-    return pdf[["chrom", "frag_id"]].assign(bin=out)
+#: Fragments that one task folds.
+FOLDED = 4_096
 
 
-def greedy_bins(frags: DataFrame, size: int, solitary: bool = True) -> DataFrame:
+def greedy_bins(frags: DataFrame, size: int, solitary: bool = True, folded: int = FOLDED) -> DataFrame:
     """Adjacent fragments gathered until their span reaches `size`; baited ones stay alone unless told otherwise.
 
-    Bins are numbered over all chromosomes in name order. Gives chrom, frag_id, bin.
+    Fragments of a chromosome do not overlap. Where a bin that starts at a fragment ends follows from an as-of search
+    for the first fragment that ends far enough away, and for the next bait. Runs of `folded` fragments turn these
+    pointers into jumps to where a run is left, and jumps are doubled until the chain of each chromosome is known, so no
+    task holds a chromosome. Bins are numbered over all chromosomes in name order. Gives chrom, frag_id, bin.
     """
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _bins(pdf, size, solitary)
-
-    own = frags.groupBy("chrom").applyInPandas(run, "chrom string, frag_id long, bin long")
-    counts = own.groupBy("chrom").agg(F.max("bin").alias("k"))
+    ranked = placed_in_order(frags.select("chrom", F.col("st").cast("long").alias("st"), F.col("en").cast("long").alias("en"), "frag_id", (F.col("is_bait") == 1).alias("bait")), "frag_id")
+    ranked = saved(ranked.withColumn("bait", F.coalesce("bait", F.lit(False)) & F.lit(solitary)).withColumn("rank", F.col("rank").cast("long")), "bins-ranked")
+    far = ranked.withColumn("_far", F.col("st") + size).withColumn("_behind", F.col("rank") + 1)
+    far = _next_mark(far, "_far", ranked.select("chrom", F.col("en").alias("x"), F.col("rank").alias("value")), 64 * size, "_enough")
+    far = _next_mark(far, "_behind", ranked.where("bait").select("chrom", F.col("rank").alias("x"), F.col("rank").alias("value")), folded, "_bait")
+    end = F.lit(1 << 62)
+    onward = F.when(F.col("bait"), F.col("_behind")).otherwise(F.least(F.coalesce(F.col("_enough") + 1, end), F.coalesce("_bait", end)))
+    run = F.floor((F.col("rank") - 1) / folded).alias("run")
+    steps = saved(far.select("chrom", "frag_id", "rank", run, onward.alias("onward")), "bins-steps")
+
+    def leave(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("rank")
+        first, onward = int(pdf["rank"].iloc[0]), pdf["onward"].tolist()
+        leaves, n = onward.copy(), [1] * len(onward)
+        for i in range(len(onward) - 1, -1, -1):
+            k = onward[i] - first
+            if k < len(onward):
+                leaves[i], n[i] = leaves[k], n[k] + 1
+        return pdf[["chrom", "rank", "run"]].assign(leaves=leaves, n=n)
+
+    jumps = saved(steps.groupBy("chrom", "run").applyInPandas(leave, "chrom string, rank long, run long, leaves long, n long"), "bins-jumps")
+    own = jumps
+    reached = saved(jumps.where("rank = 1").select("chrom", "rank", F.lit(0).cast("long").alias("bins")), "bins-reached")
+    runs = (steps.agg(F.max("run")).first()[0] or 0) + 1
+    for _ in range(int(runs - 1).bit_length()):
+        more = reached.join(jumps, ["chrom", "rank"]).select("chrom", F.col("leaves").alias("rank"), (F.col("bins") + F.col("n")).alias("bins"))
+        reached = saved(reached.unionByName(more.where(F.col("rank") < end)), "bins-reached")
+        next_ = jumps.select("chrom", F.col("rank").alias("leaves"), F.col("leaves").alias("_leaves"), F.col("n").alias("_n"))
+        both = jumps.join(next_, ["chrom", "leaves"], "left")
+        jumps = saved(both.select("chrom", "rank", F.coalesce("_leaves", "leaves").alias("leaves"), (F.col("n") + F.coalesce("_n", F.lit(0))).alias("n")), "bins-jumps")
+    entered = reached.join(own, ["chrom", "rank"]).select("chrom", "run", F.col("rank").alias("enters"), "bins", (F.col("bins") + F.col("n")).alias("_upto"))
+    # One row a run; a run inside one long bin is never entered.
+    held = W.partitionBy("chrom").orderBy("run").rowsBetween(W.unboundedPreceding, -1)
+    table = steps.select("chrom", "run").distinct().join(entered, ["chrom", "run"], "left")
+    table = table.select("chrom", "run", "enters", F.coalesce("bins", F.last("_upto", True).over(held)).alias("bins"))
+
+    def count(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("rank")
+        first, onward, enters = int(pdf["rank"].iloc[0]), pdf["onward"].tolist(), pdf["enters"].iloc[0]
+        starts = np.zeros(len(onward), np.int64)
+        i = len(onward) if pd.isna(enters) else int(enters) - first
+        while i < len(onward):
+            starts[i] = 1
+            i = onward[i] - first
+        return pdf[["chrom", "frag_id"]].assign(bin=int(pdf["bins"].iloc[0]) + np.cumsum(starts))
+
+    bins = steps.join(broadcast_if_small(table), ["chrom", "run"])
+    bins = saved(bins.groupBy("chrom", "run").applyInPandas(count, "chrom string, frag_id long, bin long"), "bins")
+    counts = bins.groupBy("chrom").agg(F.max("bin").alias("k"))
     offset = counts.withColumn("before", F.coalesce(F.sum("k").over(W.orderBy("chrom").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    return own.join(offset.select("chrom", "before"), "chrom").select("chrom", "frag_id", (F.col("bin") + F.col("before")).alias("bin"))
+    return bins.join(broadcast_if_small(offset.select("chrom", "before")), "chrom").select("chrom", "frag_id", (F.col("bin") + F.col("before")).alias("bin"))
 
 
 def vaf_peaks(values: DataFrame, size: int = 500_000, least: int = 20, width: float = 0.05, grid: int = 101) -> DataFrame:

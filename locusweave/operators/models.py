@@ -10,9 +10,12 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from locusweave.operators.ranks import first_rows, running_sums
+from locusweave.plans.scratch import saved
+from locusweave.plans.size import broadcast_if_small
+
 
 def uniform(key: Column) -> Column:
     """A number in [0, 1) from the md5 of a key."""
@@ -26,10 +29,10 @@ def balance_negatives(df: DataFrame, key: str, label: str, by: str, ratio: int,
     """
     counts = df.groupBy(by).agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n"))
     totals = counts.agg(F.sum("p").alias("tp"), F.sum("n").alias("tn"))
-    quota = counts.crossJoin(F.broadcast(totals)).select(by, F.floor(F.least(F.lit(1.0), F.col("tp") * ratio / F.col("tn")) * F.col("n")).alias("quota"))
+    quota = counts.crossJoin(F.broadcast(totals)).select(by, F.floor(F.least(F.lit(1.0), F.col("tp") * ratio / F.col("tn")) * F.col("n")).alias("quota"), "n")
     quota = quota if most is None else quota.withColumn("quota", F.least("quota", F.lit(most)))
-    negatives = df.where(F.col(label) == 0).withColumn("_k", F.row_number().over(W.partitionBy(by).orderBy(uniform(F.col(key)), key)))
-    kept = negatives.join(quota, by).where(F.col("_k") <= F.col("quota")).select(*df.columns)
+    negatives = df.where(F.col(label) == 0)
+    kept = first_rows(negatives, by, uniform(F.col(key)), key, saved(quota, "quotas"), "_first").where("_first").select(*df.columns)
     return df.where(F.col(label) == 1).unionByName(kept)
 
 
@@ -40,8 +43,12 @@ def sample_negatives(df: DataFrame, key: str, label: str, fraction: float) -> Da
 
 def holdout_split(df: DataFrame, key: str, label: str, share: float = 0.2) -> DataFrame:
     """df with `held_out`: the rows of each label whose hash ranks in the last `share`."""
-    rank = F.percent_rank().over(W.partitionBy(label).orderBy(uniform(F.col(key)), key))
-    return df.withColumn("held_out", rank > 1 - share)
+    last = F.col("n") - 1
+    place = F.floor(last * (1 - share))
+    place = F.when((place + 1) / F.nullif(last, F.lit(0)) <= 1 - share, place + 1).otherwise(place)
+    quotas = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).select(label, (place + 1).alias("quota"), "n")
+    out = first_rows(df, label, uniform(F.col(key)), key, saved(quotas, "quotas"), "_first")
+    return out.select(*df.columns, (~F.col("_first")).alias("held_out"))
 
 
 def holdout_groups(df: DataFrame, individuals: list | None = None, gene_parts: list[str] | None = None, individual: str = "individual_id", gene: str = "gene") -> DataFrame:
@@ -55,13 +62,16 @@ def holdout_groups(df: DataFrame, individuals: list | None = None, gene_parts: l
 def binary_metrics(df: DataFrame, score: str, label: str, by: str | None = None, threshold: float = 0.7) -> DataFrame:
     """ROC-AUC by mid-ranks, average precision, precision, recall, F1 and counts, overall or by group.
 
-    Equal scores are first made one row each with their counts, so windows run over distinct scores.
+    Equal scores are first made one row each with their counts; running sums over them go piece by piece, so that no task
+    holds a group's scores.
     """
     groups = [F.lit("all").alias("part")] if by is None else [F.col(by).alias("part")]
     cells = df.groupBy(*groups, F.col(score).alias("s")).agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n"))
-    up = W.partitionBy("part").orderBy("s").rowsBetween(W.unboundedPreceding, -1)
-    down = W.partitionBy("part").orderBy(F.desc("s")).rowsBetween(W.unboundedPreceding, 0)
-    cells = cells.withColumn("below", F.coalesce(F.sum("n").over(up), F.lit(0))).withColumn("cp", F.sum("p").over(down)).withColumn("ct", F.sum(F.col("p") + F.col("n")).over(down))
+    cells = running_sums(cells, ["part"], [F.col("s").asc_nulls_last()], {"_p": F.col("p"), "_n": F.col("n")})
+    totals = cells.groupBy("part").agg(F.sum("p").alias("_tp"), F.sum("n").alias("_tn"))
+    cells = cells.join(broadcast_if_small(totals.withColumnRenamed("part", "_part")), F.col("part").eqNullSafe(F.col("_part")))
+    cells = cells.withColumn("below", F.col("_n") - F.col("n")).withColumn("cp", F.col("_tp") - F.col("_p") + F.col("p"))
+    cells = cells.withColumn("ct", F.col("cp") + F.col("_tn") - F.col("_n") + F.col("n"))
     hit = F.col("s") >= threshold
     out = cells.groupBy("part").agg(
         F.sum("p").alias("positives"), F.sum("n").alias("negatives"), F.sum(F.col("p") * (F.col("below") + F.col("n") / 2)).alias("_u"), F.sum(F.col("p") * F.col("cp") / F.col("ct")).alias("_ap"),

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from locusweave.functions import cigar as cg
 from locusweave.operators.intervals import overlap_join
-from locusweave.plans.size import broadcast_if_small
+from locusweave.plans.scratch import saved
+from locusweave.plans.size import few_rows
 
 LOCUS = ("chrom", "pos")
 
@@ -73,11 +74,24 @@ def site_labels(reads: DataFrame, loci: DataFrame, pad: int = 150, high: float =
     return met.select(*LOCUS, edited.alias("edited"), control.alias("control"), label.alias("label"))
 
 
+def mapped_reads(reads: DataFrame) -> DataFrame:
+    """Mapped reads that are no duplicates; secondary and supplementary ones stay."""
+    out = reads.where("is_dup = 0")
+    return out.where(F.col("flag").bitwiseAND(0x4 | 0x400) == 0) if "flag" in reads.columns else out
+
+
 def control_fractions(reads: DataFrame, loci: DataFrame, pad: int = 50) -> DataFrame:
-    """Share of primary control reads near each locus with a deletion, an insertion, a clip."""
-    met = reads_at_loci(primary_reads(reads.where("arm = 'control'")), loci, pad)
-    share = lambda op: F.avg((cg.bases(F.col("ops"), op) > 0).cast("int"))
-    return met.groupBy(*LOCUS).agg(F.count(F.lit(1)).alias("reads"), share("D").alias("del_share"), share("I").alias("ins_share"), share("S").alias("clip_share"))
+    """Share of mapped control reads near each locus with a deletion, an insertion, a clip, a mismatch.
+
+    A read has a mismatch if its MD tag (column md, if there is one) has a letter.
+    """
+    met = reads_at_loci(mapped_reads(reads.where("arm = 'control'")), loci, pad, 0)
+    share = lambda has: F.avg(has.cast("int"))
+    mismatch = cg.tag_letters(F.col("md")) > 0 if "md" in reads.columns else F.lit(False)
+    of = lambda op: cg.bases(F.col("ops"), op) > 0
+    return met.groupBy(*LOCUS).agg(
+        F.count(F.lit(1)).alias("reads"), share(of("D")).alias("del_share"), share(of("I")).alias("ins_share"), share(of("S")).alias("clip_share"), share(mismatch).alias("mismatch_share")
+    )
 
 
 def control_overlap(reads: DataFrame, loci: DataFrame, pad: int = 50) -> DataFrame:
@@ -113,36 +127,64 @@ def locus_edit_summary(reads: DataFrame, loci: DataFrame, pad: int = 50) -> Data
     return out.withColumn("fraction", share("indel", "total")).withColumn("control_fraction", share("control_indel", "control_total"))
 
 
-def pileup_shape(reads: DataFrame, loci: DataFrame, pad: int = 200, window: int = 25, near: int = 2, least: int = 8) -> DataFrame:
-    """How the indels of a locus are spread: spanning reads, indel share, modal place and length, concentration, MAPQ.
+def _around(reads: DataFrame, loci: DataFrame, fetch: int, window: int) -> DataFrame:
+    """Primary reads within `fetch` of a locus with `e`, their largest indel within `window`, and `spans`: do they reach over it?"""
+    met = reads_at_loci(primary_reads(reads), loci, fetch, 0)
+    ends = F.col("ref_start") + cg.bases(F.col("ops"), "MDN=X")
+    return met.withColumn("found", cg.parsed_events(F.col("ops"), F.col("ref_start"))).withColumn("e", cg.largest_of(F.col("found"), F.col("pos"), window)).withColumn(
+        "spans", ((F.col("ref_start") <= F.col("pos")) & (F.col("pos") <= ends)).cast("long")
+    )
+
+
+def pileup_shape(reads: DataFrame, loci: DataFrame, fetch: int = 200, window: int = 25, near: int = 2, least: int = 8) -> DataFrame:
+    """How the indels of a locus are spread: shares, the modal cut, its length and MAPQ, the modal clip.
+
+    Every primary read within `fetch` of the locus gives its largest indel within `window` and its clips there, whether
+    it spans the locus or not; shares are of the spanning reads, and loci with fewer than `least` of them are left out.
+    Modal length and median MAPQ are those of the indels within `near` of the modal cut; of equally common values the
+    lowest is the mode. Loci without indels have 0 for all and no modal cut.
 
-    Each primary read gives its largest indel within `window`. Of equally common values the lowest is the mode. Loci
-    with fewer than `least` spanning reads are left out.
+    Reads meet loci once and are counted by (locus, cut, length, MAPQ); everything else is taken from these counts.
     """
-    met = reads_at_loci(primary_reads(reads), loci, 0).withColumn("e", _largest(window))
-    met = met.select(*LOCUS, "mapq", F.col("e.pos").alias("at"), F.col("e.len").alias("len"))
-    shape = met.groupBy(*LOCUS).agg(
-        F.count(F.lit(1)).alias("spanning"), F.count("at").alias("indels"), F.median("mapq").alias("median_mapq"),
-        F.expr("mode() WITHIN GROUP (ORDER BY at)").alias("modal_pos"), F.expr("mode() WITHIN GROUP (ORDER BY len)").alias("modal_len"),
+    met = _around(reads, loci, fetch, window)
+    clips = F.filter("found", lambda x: (x["op"] == "S") & (F.abs(x["pos"] - F.col("pos")) <= window))
+    none = F.lit(None).cast("long")
+    own = F.array(F.struct(F.lit(False).alias("clip"), F.col("e.pos").alias("at"), F.col("e.len").alias("len"), F.when(F.col("e").isNotNull(), F.col("mapq")).alias("mapq"), F.col("spans").alias("spans")))
+    theirs = F.transform(clips, lambda x: F.struct(F.lit(True).alias("clip"), x["pos"].alias("at"), none.alias("len"), F.lit(None).cast("int").alias("mapq"), F.lit(0).cast("long").alias("spans")))
+    cells = met.select(*LOCUS, F.explode(F.concat(own, theirs)).alias("x")).groupBy(*LOCUS, "x.clip", "x.at", "x.len", "x.mapq")
+    cells = saved(cells.agg(F.count(F.lit(1)).alias("n"), F.sum("x.spans").alias("spans")), "pileup-cells")
+    cuts = cells.groupBy(*LOCUS, "clip", "at").agg(F.sum("n").alias("n"), F.sum("spans").alias("spans"))
+    cut = ~F.col("clip") & F.col("at").isNotNull()
+    whole = cuts.groupBy(*LOCUS).agg(
+        F.sum("spans").alias("spanning"), F.coalesce(F.sum(F.when(cut, F.col("n"))), F.lit(0)).alias("indels"),
+        F.max(F.when(cut, F.struct("n", (-F.col("at")).alias("neg")))).alias("modal"), F.max(F.when(F.col("clip"), F.col("n"))).alias("clips"),
     ).where(F.col("spanning") >= least)
-    close = met.where(F.col("at").isNotNull()).join(shape.select(*LOCUS, "modal_pos"), list(LOCUS))
-    close = close.groupBy(*LOCUS).agg(F.count_if(F.abs(F.col("at") - F.col("modal_pos")) <= near).alias("close"), F.median(F.abs(F.col("at") - F.col("modal_pos"))).alias("spread"))
-    out = shape.join(close, list(LOCUS), "left")
+    whole = whole.withColumn("modal_pos", -F.col("modal.neg"))
+    spread = cells.where(cut).join(whole.select(*LOCUS, "modal_pos"), list(LOCUS)).withColumn("off", F.abs(F.col("at") - F.col("modal_pos")))
+    close = F.col("off") <= near
+    lengths = spread.where(close).groupBy(*LOCUS, "len").agg(F.sum("n").alias("n")).groupBy(*LOCUS).agg((-F.max(F.struct("n", (-F.col("len")).alias("neg")))["neg"]).alias("modal_len"))
+    spread = spread.groupBy(*LOCUS).agg(
+        F.sum(F.when(close, F.col("n"))).alias("close"), F.percentile("off", 0.5, F.col("n")).alias("spread"), F.percentile(F.when(close, F.col("mapq")), 0.5, F.col("n")).alias("median_mapq")
+    )
+    out = whole.join(spread, list(LOCUS), "left").join(lengths, list(LOCUS), "left")
+    zero = lambda c, kind="double": F.coalesce(c, F.lit(0)).cast(kind)
     return out.select(
-        *LOCUS, "spanning", "indels", (F.col("indels") / F.col("spanning")).alias("indel_share"), "modal_pos", "modal_len",
-        F.when(F.col("indels") > 0, F.col("close") / F.col("indels")).alias("concentration"), "spread", "median_mapq",
+        *LOCUS, "spanning", "indels", (F.col("indels") / F.col("spanning")).alias("indel_share"), "modal_pos", zero(F.col("modal_len"), "long").alias("modal_len"),
+        zero(F.col("close") / F.nullif("indels", F.lit(0))).alias("concentration"), zero(F.col("close") / F.col("spanning")).alias("cut_share"), zero(F.col("spread")).alias("spread"),
+        zero(F.col("median_mapq")).alias("median_mapq"), zero(F.col("clips") / F.col("spanning")).alias("clip_share"),
     )
 
 
-def panel_of_normals(reads: DataFrame, candidates: DataFrame, least: int = 4, reach: int = 26, near: int = 3, hit: float = 0.03, pooled: float = 0.02) -> DataFrame:
+def panel_of_normals(reads: DataFrame, candidates: DataFrame, least: int = 4, reach: int = 26, near: int = 3, fetch: int = 201, hit: float = 0.03, pooled: float = 0.02) -> DataFrame:
     """Indels near each candidate (chrom, pos, sample) in the primary control reads of other samples.
 
-    A read supports the candidate if its largest indel within `reach` lies within `near` of it. Gives normals with
-    `least` reads or more, hits, pooled and worst share, and demote: any hit, or a pooled share of `pooled` or more.
+    A read supports the candidate if its largest indel within `reach` lies within `near` of it, also where the read
+    itself ends before the candidate or starts behind it. Gives normals with `least` spanning reads or more, hits, pooled
+    and worst share, and demote: any hit, or a pooled share of `pooled` or more.
     """
-    normals = reads_at_loci(primary_reads(reads.where("arm = 'control'")), candidates, 0).withColumnRenamed("sample", "normal")
-    seen = F.coalesce((F.abs(_largest(reach)["pos"] - F.col("pos")) <= near).cast("int"), F.lit(0))
-    normals = normals.groupBy(*LOCUS, "normal").agg(F.count(F.lit(1)).alias("n"), F.sum(seen).alias("k")).where(F.col("n") >= least)
+    normals = _around(reads.where("arm = 'control'"), candidates, fetch, reach).withColumnRenamed("sample", "normal")
+    seen = F.coalesce((F.abs(F.col("e.pos") - F.col("pos")) <= near).cast("int"), F.lit(0))
+    normals = normals.groupBy(*LOCUS, "normal").agg(F.sum("spans").alias("n"), F.sum(seen).alias("k")).where(F.col("n") >= least)
     met = candidates.select(*LOCUS, "sample").distinct().join(normals, list(LOCUS)).where(F.col("normal") != F.col("sample"))
     share = F.col("k") / F.col("n")
     out = met.groupBy(*LOCUS, "sample").agg(
@@ -179,28 +221,69 @@ def recurrence_tiers(sites: DataFrame, artifact: int = 3) -> DataFrame:
     return out.withColumn("tier", F.when(F.col("guides") >= artifact, "artifact").when(F.col("samples") > 1, "recurrent").otherwise("private"))
 
 
-def read_features(reads: DataFrame, loci: DataFrame, pad: int = 50) -> DataFrame:
-    """One row per primary read and locus: bases by operation, size class, complexity, ratio, clip distance, control marks.
+#: Bytes of a locus's control marks in memory, about: the distinct starts of its reads, each with an end.
+MARK_BYTES = 8_192
+
+
+def read_features(reads: DataFrame, loci: DataFrame, pad: int = 150) -> DataFrame:
+    """The features of each primary edited read at each locus within pad, for a classifier of reads.
 
-    Reads of both arms meet the loci once; the control's marks are gathered by locus.
+    reads may have flag and tlen (pair gap), nm, md (mismatches) and sa (clips of supplementary alignments); loci may have
+    pams (positions; the locus itself if there is no such column), on_target, homopolymer and repeat_distance.
+    pair_gap is -1 unless properly paired; del_, ins_ and mismatch_vs_control are the read's own marks less the shares
+    of the control reads within 50; deletion_exclusive: a deletion, and no control read within 100 that has one and
+    overlaps; at_target: within 25 of a PAM; pam_distance is -1 without PAMs; clip_distance and repeat_distance are 999
+    where nothing is there; deletions also count what clips hint at.
+
+    Both arms are read once, each by its own join; what controls say is one row a locus. It goes to all tasks if the
+    number of loci allows, so that edited reads stay where they are.
     """
-    met = reads_at_loci(primary_reads(reads), loci, pad)
-    ins, dele, clip = (cg.bases(F.col("ops"), op) for op in "IDS")
-    met = met.withColumn("ins_bases", ins).withColumn("del_bases", dele).withColumn("clip_bases", clip)
-    size = F.col("ins_bases") + F.col("del_bases")
-    marks = met.where("arm = 'control'").groupBy(*LOCUS).agg(F.bool_or(F.col("ins_bases") > 0).alias("control_ins"), F.bool_or(F.col("del_bases") > 0).alias("control_del"))
-    out = met.where("arm = 'edited'").select(
-        *LOCUS, "read_name", "ref_start", "mapq", "cigar", "ins_bases", "del_bases", "clip_bases", cg.bases(F.col("ops"), "M=X").alias("match_bases"),
-        cg.size_class(size).alias("size_class"), cg.complexity(F.size("ops"), size).alias("complexity"), cg.ins_del_ratio(F.col("ins_bases"), F.col("del_bases")).alias("ins_del_ratio"),
-        cg.clip_distance_of(cg.parsed_events(F.col("ops"), F.col("ref_start")), F.array(F.col("pos"))).alias("clip_distance"),
+    small = few_rows(loci.select(*LOCUS).distinct(), MARK_BYTES)
+    optional = lambda df, c, kind: F.col(c) if c in df.columns else F.lit(None).cast(kind)
+    control = reads_at_loci(mapped_reads(reads.where("arm = 'control'")), loci, 100, 0)
+    span = F.struct(F.col("ref_start").cast("long").alias("st"), (F.col("ref_start") + cg.bases(F.col("ops"), "MDN=X")).alias("en"))
+    has = lambda op: cg.bases(F.col("ops"), op) > 0
+    near = (F.col("ref_start") < F.col("pos") + 50) & (F.col("pos") - 50 < span["en"])
+    mismatch = cg.tag_letters(optional(reads, "md", "string")) > 0
+    # Of the control's reads with a deletion only starts and their greatest ends are needed.
+    starts = control.groupBy(*LOCUS, "ref_start").agg(
+        F.max(F.when(has("D"), span["en"])).alias("en"), *[F.sum(F.when(near, m.cast("long"))).alias(c) for c, m in (("d", has("D")), ("i", has("I")), ("m", mismatch), ("all", F.lit(True)))]
+    )
+    part = lambda c: F.coalesce(F.sum(c) / F.nullif(F.sum("all"), F.lit(0)), F.lit(0.0))
+    deleted = F.collect_list(F.when(F.col("en").isNotNull(), F.struct(F.col("ref_start").cast("long").alias("st"), "en")))
+    marks = starts.groupBy(*LOCUS).agg(deleted.alias("_deleted"), part("d").alias("_d"), part("i").alias("_i"), part("m").alias("_m"))
+    told = {"pams": F.array(F.col("pos").cast("long")), "on_target": F.lit(0), "homopolymer": F.lit(False), "repeat_distance": F.lit(999)}
+    sites = loci.select(*LOCUS, *[(F.col(c) if c in loci.columns else v).alias(f"_{c}") for c, v in told.items()]).dropDuplicates(list(LOCUS))
+    hint = F.broadcast if small else (lambda df: df)
+    met = reads_at_loci(primary_reads(reads.where("arm = 'edited'")), loci, pad, 0).withColumn("_span", span)
+    met = met.join(hint(sites), list(LOCUS)).join(hint(marks), list(LOCUS), "left")
+    own = cg.indel_evidence(F.col("cigar"), optional(reads, "nm", "int"), optional(reads, "md", "string"), optional(reads, "sa", "string"))
+    met = met.withColumn("_e", own).withColumn("_size", F.col("_e.inserted") + F.col("_e.deleted"))
+    flag = optional(reads, "flag", "int")
+    paired = flag.bitwiseAND(0x3) == 0x3
+    met_by = F.exists(F.coalesce("_deleted", F.array().cast("array<struct<st:bigint,en:bigint>>")), lambda c: (F.col("_span.en") >= c["st"]) & (c["en"] >= F.col("_span.st")))
+    indel_ops = F.size(F.filter("ops", lambda x: x["op"].isin("I", "D")))
+    less = lambda mark, c: mark.cast("int") - F.coalesce(F.col(c), F.lit(0.0))
+    gaps = F.transform("_pams", lambda p: F.abs(p - F.col("pos")))
+    return met.select(
+        *LOCUS, "read_name", "ref_start", "cigar", F.coalesce(F.when(paired, F.abs(optional(reads, "tlen", "long"))), F.lit(-1)).cast("long").alias("pair_gap"),
+        F.col("_e.clipped").alias("softclip"), less(F.col("_e.deleted") > 0, "_d").alias("del_vs_control"), less(F.col("_e.inserted") > 0, "_i").alias("ins_vs_control"),
+        less(F.col("_e.md_mismatches" if "md" in reads.columns else "_e.mismatches") > 0, "_m").alias("mismatch_vs_control"), (has("D") & ~met_by).cast("int").alias("deletion_exclusive"),
+        F.col("_on_target").cast("int").alias("on_target"), F.exists("_pams", lambda p: (F.col("_span.st") <= p + 25) & (F.col("_span.en") >= p - 25)).cast("int").alias("at_target"),
+        F.coalesce(F.array_min(gaps), F.lit(-1)).cast("long").alias("pam_distance"), F.col("_size").alias("indel_size"), cg.size_class(F.col("_size")).alias("size_class"),
+        cg.complexity(indel_ops, F.col("_size")).alias("complexity"), cg.clip_distance_of(cg.parsed_events(F.col("ops"), F.col("ref_start")), F.col("_pams")).alias("clip_distance"),
+        F.col("_homopolymer").cast("int").alias("homopolymer"), F.col("_repeat_distance").cast("int").alias("repeat_distance"),
     )
-    return out.join(broadcast_if_small(marks), list(LOCUS), "left").na.fill(False, ["control_ins", "control_del"])
 
 
 def downsample_depth(reads: DataFrame, loci: DataFrame, target: int) -> DataFrame:
-    """Reads of each locus, each kept with the chance target / depth by a hash of its name, so reruns agree."""
-    met = reads_at_loci(reads, loci, 0)
-    depth = broadcast_if_small(met.groupBy(*LOCUS).agg(F.count(F.lit(1)).alias("depth")))
+    """Reads of each locus, each kept with the chance target / depth by a hash of its name, so reruns agree.
+
+    Reads meet loci once; what they meet is written, counted and filtered.
+    """
+    met = saved(reads_at_loci(reads, loci, 0), "depth-reads")
+    depth = met.groupBy(*LOCUS).agg(F.count(F.lit(1)).alias("depth"))
+    depth = F.broadcast(depth) if few_rows(loci.select(*LOCUS).distinct(), 128) else depth
     uniform = F.conv(F.substring(F.md5(F.col("read_name")), 1, 8), 16, 10).cast("long") / F.lit(2.0**32)
     return met.join(depth, list(LOCUS)).where(uniform < F.lit(float(target)) / F.col("depth"))
 

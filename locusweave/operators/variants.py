@@ -10,7 +10,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from locusweave.functions import variants as fn
-from locusweave.operators.intervals import cluster_intervals
+from locusweave.operators.intervals import cluster_intervals, with_bridges
+from locusweave.plans.scratch import saved
 from locusweave.plans.size import broadcast_if_small
 
 FIELDS = ("allele", "symbol", "trx", "consequence", "pick")
@@ -183,16 +184,45 @@ def recurrent_lookup(pairs: DataFrame, listed: DataFrame) -> DataFrame:
     return out.withColumn("recurrent", F.when(F.col("_w") == 0, "exact").when(F.col("_w") == 1, "wildcard")).drop("_w")
 
 
-def merge_segments(df: DataFrame, slack: int, shortest: int) -> DataFrame:
-    """Segments of one kind chained by gaps: a cluster with a PASS row and enough span becomes one row.
+#: How the number columns of merged segments are taken together: means, and sums of counts.
+MEANS, SUMS = ("cn", "mcn", "cnq", "mcnq", "cnf", "mcnf", "sm", "maf"), ("as_", "bc", "sd", "pe1", "pe2")
 
-    Least start, greatest end, mean copy number rounded down, mean sm, number of rows.
+
+def merge_segments(df: DataFrame, slack: int, shortest: int, masks: DataFrame | None = None) -> DataFrame:
+    """Segments of one kind (alt) chained by gaps of at most slack, also through masks (centromeres), by cluster.
+
+    A cluster counts if it spans `shortest` (masks included) and has a row with the filter PASS or segmentMean. One that
+    has one row alone leaves that row as it is. Of others the PASS rows become one row: the first one's start, the last
+    one's end (in the order of start and end), means of MEANS (cn rounded down), sums of SUMS, the largest qual, lengths
+    with signs, n rows; all other rows are passed through as they are, with n = 1. Mask rows never come out.
+    Columns that df lacks are left out.
     """
-    groups = cluster_intervals(df, slack, ("chrom", "alt")).groupBy("chrom", "alt", "cluster")
-    out = groups.agg(
-        F.min("st").alias("st"), F.max("en").alias("en"), F.floor(F.avg("cn")).alias("cn"), F.avg("sm").alias("sm"), F.count(F.lit(1)).alias("n"), F.bool_or(F.col("filter") == "PASS").alias("_pass")
-    )
-    return out.where(F.col("_pass") & (F.col("en") - F.col("st") >= shortest)).drop("_pass", "cluster")
+    rows = with_bridges(df, masks, "alt") if masks is not None else df.withColumn("bridge", F.lit(False))
+    rows = saved(cluster_intervals(rows, slack, ("chrom", "alt")), "segments")
+    keys = ["chrom", "alt", "cluster"]
+    told = F.coalesce(F.col("filter").isin("PASS", "segmentMean"), F.lit(False))
+    passing = F.coalesce(F.contains(F.col("filter"), F.lit("PASS")), F.lit(False)) & ~F.col("bridge")
+    means, sums = ([c for c in group if c in df.columns] for group in (MEANS, SUMS))
+    mine = lambda c: F.when(passing, c)
+    more = [F.max(mine(F.col("qual"))).alias("qual")] if "qual" in df.columns else []
+    groups = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_rows"), (F.max("en") - F.min("st")).alias("_span"), F.bool_or(told).alias("_told"), F.count_if(passing).alias("_passing"),
+        F.min(mine(F.col("st"))).alias("st"), F.max(mine(F.struct("st", "en")))["en"].alias("en"), F.bool_or(F.col("filter") == "PASS").alias("_pass"),
+        F.array_join(F.array_sort(F.collect_set(mine(F.col("filter")))), ";").alias("_filters"),
+        *[(F.floor(F.avg(mine(F.col(c)))) if c == "cn" else F.avg(mine(F.col(c)))).alias(c) for c in means], *[F.sum(mine(F.col(c))).alias(c) for c in sums], *more,
+    ).where(F.coalesce(F.col("_told") & (F.col("_span") >= shortest), F.lit(False)))
+    merged = groups.where((F.col("_rows") > 1) & (F.col("_passing") > 0))
+    merged = merged.withColumn("filter", F.when(F.col("_pass"), "PASS").otherwise(F.col("_filters"))).withColumn("n", F.col("_passing"))
+    numbers = [*means, *sums, *([] if "qual" not in df.columns else ["qual"])]
+    merged = merged.select("chrom", "alt", "st", "en", "filter", *numbers, "n")
+    alone = groups.select(*[F.col(k).alias(f"_{k}") for k in keys], "_rows")
+    same = (F.col("chrom") == F.col("_chrom")) & F.col("alt").eqNullSafe(F.col("_alt")) & (F.col("cluster") == F.col("_cluster"))
+    rest = rows.where("not bridge and filter is not null").join(alone, same).where((F.col("_rows") == 1) | ~passing)
+    rest = rest.select("chrom", "alt", "st", "en", "filter", *[F.col(c).cast(merged.schema[c].dataType).alias(c) for c in numbers], F.lit(1).cast("long").alias("n"))
+    length = F.col("en") - F.col("st") + 1
+    loss = F.coalesce(F.col("alt") == "<DEL>", F.lit(False))
+    plain = F.coalesce(F.col("alt").isin("<DEL>", "<DEL>,<DUP>", "<DUP>,<DEL>", "<LOH>"), F.lit(False))
+    return merged.unionByName(rest).withColumn("svlen", F.when(loss, -length).otherwise(length)).withColumn("reflen", F.when(plain, length).otherwise(-length))
 
 
 def event_gene_summary(df: DataFrame, most: int = 15) -> DataFrame:
@@ -202,14 +232,54 @@ def event_gene_summary(df: DataFrame, most: int = 15) -> DataFrame:
     return genes.select("id", F.size("g").alias("n_genes"), names.alias("genes"))
 
 
+#: Filters that a recurrent deletion or duplication is not held to.
+FORGIVEN = ("MaxDepth", "MinSomaticScore")
+
+
 def event_category(df: DataFrame) -> DataFrame:
-    """CNV for large deletions and duplications, RECURRENTSV for recurrent breakends, OTHERSV for other passing ones."""
-    kind = (
-        F.when(F.col("svtype").isin("DEL", "DUP") & (F.col("svlen") >= 10_000), "CNV")
-        .when((F.col("svtype") == "BND") & F.col("recurrent").isNotNull(), "RECURRENTSV")
-        .when(F.col("filter") == "PASS", "OTHERSV")
-    )
-    return df.withColumn("category", kind)
+    """df with `category`, CNV, RECURRENTSV, OTHERSV or null, and `filter` as it is then reported.
+
+    df(svtype, filter, recurrent, gene_a, gene_b, impact, reportable): recurrent is null unless the event is listed;
+    impact: does a deletion, duplication or insertion change a listed gene? reportable: see reportable_events, for
+    breakends; gene_a and gene_b are theirs. svtype SEG is a copy-number segment (columns genes, cnloh; cnloh is null
+    where it does not apply, and false where no gene of a copy-neutral loss is listed).
+
+    Breakends: recurrent and PASS with a named gene on both sides is RECURRENTSV, other recurrent ones OTHERSV, and so
+    are passing reportable ones. Deletions, duplications and insertions: recurrent ones lose the forgiven filters and are
+    CNV with PASS, else OTHERSV; other passing ones with an impact OTHERSV. Segments: PASS is CNV, other filters OTHERSV,
+    without genes only if the filter is MinCNVAbundance or segmentMean; a copy-neutral loss without a listed gene OTHERSV.
+    """
+    listed = F.col("recurrent").isNotNull()
+    small = F.col("svtype").isin("DEL", "DUP", "INS")
+    strict = F.filter(F.split("filter", ";"), lambda f: ~f.isin(*FORGIVEN))
+    forgiven = F.when(small & listed, F.when(F.size(strict) == 0, "PASS").otherwise(F.array_join(strict, ";"))).otherwise(F.col("filter"))
+    passing = forgiven == "PASS"
+    unnamed = lambda c: F.coalesce((F.col(c) == "INTERGENIC") | F.col(c).contains("ENS"), F.lit(True))
+    named = ~unnamed("gene_a") & ~unnamed("gene_b")
+    breakend = F.when(listed & passing & named, "RECURRENTSV").when(listed, "OTHERSV").when(passing & F.col("reportable"), "OTHERSV")
+    copies = F.when(listed & passing, "CNV").when(listed, "OTHERSV").when(passing & F.col("impact"), "OTHERSV")
+    weak = F.coalesce(F.col("filter").isin("MinCNVAbundance", "segmentMean"), F.lit(False))
+    segment = F.when(passing & F.coalesce("cnloh", F.lit(True)), "CNV").when(passing | weak | (F.coalesce(F.size("genes"), F.lit(0)) > 0), "OTHERSV") if "cnloh" in df.columns else F.lit(None)
+    kind = F.when(F.col("svtype") == "SEG", segment).when(small, copies).otherwise(breakend)
+    return df.withColumn("category", kind).withColumn("filter", forgiven)
+
+
+def reportable_events(df: DataFrame) -> DataFrame:
+    """df with `reportable`, for breakends and inversions that are in no list.
+
+    df(svtype, gene_a, gene_b, region_a, region_b, distance_a, distance_b, known, band_a, band_b): region is the effect on
+    a gene, distance that to it, known: is one of the genes listed? Inversions inside one intron or the like of a gene,
+    beside one gene, or without a listed gene are not reported, nor are events that touch no gene by name and no listed
+    one, or join two telomeres.
+    """
+    true = lambda c: F.coalesce(c, F.lit(False))
+    inversion, one_gene = F.lower("svtype") == "inv", F.col("gene_a").eqNullSafe(F.col("gene_b"))
+    same = F.col("region_a").eqNullSafe(F.col("region_b")) & (true(F.col("region_a").contains("intron")) | true(F.col("region_a").contains("intragenic")))
+    beside = true(F.col("distance_a") > 0) & true(F.col("distance_b") > 0)
+    unnamed = lambda c: true((F.col(c) == "INTERGENIC") | F.col(c).contains("ENS"))
+    ends = true(F.col("band_a").isin("pter", "qter") & F.col("band_b").isin("pter", "qter"))
+    out = (inversion & ((one_gene & (same | beside)) | ~F.col("known"))) | ((unnamed("gene_a") | unnamed("gene_b")) & ~F.col("known")) | ends
+    return df.withColumn("reportable", ~out)
 
 
 def gene_status(df: DataFrame, genes: DataFrame) -> DataFrame:

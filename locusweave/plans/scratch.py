@@ -1,4 +1,4 @@
-"""A folder for files that a query writes and reads again."""
+"""A folder for files that a query writes and reads again, and tables kept there."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def fresh_folder(spark: SparkSession, name: str) -> str:
@@ -20,3 +20,10 @@ def fresh_folder(spark: SparkSession, name: str) -> str:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
     return path
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """df, written as a table in the shared folder and read again: computed once, and a lost executor costs only reads of it."""
+    path = fresh_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -20,3 +20,8 @@ def broadcast_if_small(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
     each = sum(strings, F.lit(fixed)).cast("long")
     taken = df.limit(most // fixed + 1).agg(F.sum(each)).first()[0] or 0
     return F.broadcast(df) if taken <= most else df
+
+
+def few_rows(df: DataFrame, row_bytes: int, most: int = BROADCAST_BYTES) -> bool:
+    """Do tables with a row of row_bytes for each row of df fit a broadcast? Counts df no further than that."""
+    return df.limit(most // row_bytes + 1).count() <= most // row_bytes

@@ -185,10 +185,16 @@ def _(g):
     return rows.select("id", x.alias("x")).select("id", "x.*")
 
 
-@query("t26_indel_evidence")
+@query(
+    "t26_indel_evidence",
+    """WITH x AS (SELECT *, coalesce(CAST(nullif(regexp_extract(cigar, '(\\d+)I', 1), '') AS BIGINT), 0) AS i, coalesce(CAST(nullif(regexp_extract(cigar, '(\\d+)D', 1), '') AS BIGINT), 0) AS d,
+      CASE WHEN cigar LIKE '40S%' THEN 40 ELSE 0 END AS s FROM fx_reads)
+    SELECT read_name, cigar, i AS inserted, d + 2 * s + CASE WHEN mapq % 9 >= 3 THEN mapq % 9 ELSE 0 END + 7 AS deleted, s AS clipped, greatest(mapq % 7 - i - d, 0) AS mismatches, CASE WHEN mapq % 4 = 0 THEN 4 ELSE 2 END AS md_mismatches FROM x""",
+)
 def _(g):
-    sa = F.struct((F.col("ref_start") + 150).alias("ref_end"), (F.col("mapq") % 2 == 0).alias("chrom_same"), (F.col("ref_start") + 150 + F.col("mapq")).alias("start"))
-    return g.reads.select("read_name", cg.indel_evidence(F.col("cigar"), F.col("mapq") % 7, sa).alias("x")).select("read_name", "x.*")
+    sa = F.concat(F.lit("chr1,100,+,"), (F.col("mapq") % 9).cast("string"), F.lit("S90M2S,60,0;chr2,7,-,90M7S,1,1;"))
+    md = F.when(F.col("mapq") % 4 == 0, "10A5^AC7T").otherwise("9^GT100")
+    return g.reads.select("read_name", "cigar", cg.indel_evidence(F.col("cigar"), F.col("mapq") % 7, md, sa).alias("x")).select("read_name", "cigar", "x.*")
 
 
 @query("a11_control_support")

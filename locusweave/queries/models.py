@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from locusweave.operators import hic, kernels, models
+from locusweave.operators import balance, hic, kernels, models
 from locusweave.operators.intervals import distance_band_join
 from locusweave.queries import query
 
@@ -78,7 +78,15 @@ def _(g):
 
 @query("l12_matrix_balance")
 def _(g):
-    return kernels.matrix_balance(g.contacts)
+    return balance.matrix_balance(g.contacts)
+
+
+@query("l12_genome_balance")
+def _(g):
+    contacts = g.table("orders").groupBy(
+        F.concat(F.lit("c"), F.col("o_custkey") % 3).alias("chr1"), (F.col("o_custkey") % 40).alias("mid1"), F.concat(F.lit("c"), F.col("o_orderkey") % 3).alias("chr2"), (F.col("o_orderkey") % 40).alias("mid2")
+    )
+    return balance.genome_balance(contacts.agg(F.count(F.lit(1)).alias("n")))
 
 
 @query("w04_greedy_bins")

@@ -80,9 +80,13 @@ def site_labels(g):
     return rd.site_labels(g.reads, g.sites)
 
 
-@query("a12_control_fractions", f"""WITH {_met(50, _PRIMARY + " AND r.arm = 'control'")} SELECT chrom, pos, count(*) AS reads, avg(CAST(del > 0 AS INT)) AS del_share, avg(CAST(ins > 0 AS INT)) AS ins_share, avg(CAST(clip > 0 AS INT)) AS clip_share FROM met GROUP BY 1, 2""")
+#: A mismatch tag for the views' reads, the same in both engines.
+_MD = "CASE WHEN mapq % 4 = 0 THEN '10A5' ELSE '150' END"
+
+
+@query("a12_control_fractions", f"""WITH {_met(50, _PRIMARY + " AND r.arm = 'control'", 0)} SELECT chrom, pos, count(*) AS reads, avg(CAST(del > 0 AS INT)) AS del_share, avg(CAST(ins > 0 AS INT)) AS ins_share, avg(CAST(clip > 0 AS INT)) AS clip_share, avg(CAST(mapq % 4 = 0 AS INT)) AS mismatch_share FROM met GROUP BY 1, 2""")
 def _(g):
-    return rd.control_fractions(g.reads, g.sites)
+    return rd.control_fractions(g.reads.withColumn("md", F.expr(_MD)), g.sites)
 
 
 @query("j20_control_overlap", f"""WITH {_met(50, _PRIMARY + " AND r.arm = 'control'")} SELECT chrom, pos, bool_or(ins > 0) AS control_ins, bool_or(del > 0) AS control_del FROM met GROUP BY 1, 2""")
@@ -112,15 +116,25 @@ def _(g):
     return rd.locus_edit_summary(g.reads, g.sites)
 
 
+def _evidence(name: str, fetch: int, reach: int, extra: str = "") -> str:
+    """Reads around loci with the place and length of their indel within reach, and whether they span the locus."""
+    at = "ref_start + CAST(nullif(regexp_extract(cigar, '^(\\d+)M\\d+[ID]', 1), '') AS BIGINT)"
+    return f"""{_met(fetch, _PRIMARY + extra, 0).replace("met AS", f"met_{name} AS")}, {name} AS (SELECT chrom, pos, sample, mapq, CASE WHEN abs({at} - pos) <= {reach} THEN {at} END AS ep,
+      CASE WHEN abs({at} - pos) <= {reach} THEN ins + del END AS len, CAST(ref_start <= pos AND pos <= ref_start + mat + del AS BIGINT) AS spans, CASE WHEN clip > 0 AND abs(ref_start - pos) <= {reach} THEN ref_start END AS cp FROM met_{name})"""
+
+
 def _shape(least: int) -> str:
-    return f"""{_met(0, _PRIMARY)}, e AS (SELECT chrom, pos, mapq, {_EVENT} AS ep, CASE WHEN {_EVENT} IS NOT NULL THEN ins + del END AS len FROM met),
+    return f"""{_evidence("e", 200, 25)}, s AS (SELECT chrom, pos, CAST(sum(spans) AS BIGINT) AS spanning, count(ep) AS indels FROM e GROUP BY 1, 2 HAVING sum(spans) >= {least}),
     mp AS (SELECT chrom, pos, ep, row_number() OVER (PARTITION BY chrom, pos ORDER BY count(*) DESC, ep) AS k FROM e WHERE ep IS NOT NULL GROUP BY 1, 2, 3),
-    ml AS (SELECT chrom, pos, len, row_number() OVER (PARTITION BY chrom, pos ORDER BY count(*) DESC, len) AS k FROM e WHERE len IS NOT NULL GROUP BY 1, 2, 3),
-    s AS (SELECT chrom, pos, count(*) AS spanning, count(ep) AS indels, median(mapq) AS median_mapq FROM e GROUP BY 1, 2 HAVING count(*) >= {least}),
-    c AS (SELECT e.chrom, e.pos, count(*) FILTER (abs(e.ep - mp.ep) <= 2) AS close, median(abs(e.ep - mp.ep)) AS spread FROM e JOIN mp ON e.chrom = mp.chrom AND e.pos = mp.pos AND mp.k = 1 WHERE e.ep IS NOT NULL GROUP BY 1, 2),
-    shape AS (SELECT s.chrom, s.pos, spanning, indels, indels / CAST(spanning AS DOUBLE) AS indel_share, mp.ep AS modal_pos, ml.len AS modal_len,
-      CASE WHEN indels > 0 THEN close / CAST(indels AS DOUBLE) END AS concentration, spread, median_mapq
-      FROM s LEFT JOIN mp ON s.chrom = mp.chrom AND s.pos = mp.pos AND mp.k = 1 LEFT JOIN ml ON s.chrom = ml.chrom AND s.pos = ml.pos AND ml.k = 1 LEFT JOIN c ON s.chrom = c.chrom AND s.pos = c.pos)"""
+    n AS (SELECT e.*, abs(e.ep - mp.ep) AS apart FROM e JOIN mp ON e.chrom = mp.chrom AND e.pos = mp.pos AND mp.k = 1 WHERE e.ep IS NOT NULL),
+    ml AS (SELECT chrom, pos, len, row_number() OVER (PARTITION BY chrom, pos ORDER BY count(*) DESC, len) AS k FROM n WHERE apart <= 2 GROUP BY 1, 2, 3),
+    c AS (SELECT chrom, pos, count(*) FILTER (apart <= 2) AS close, median(apart) AS spread, median(mapq) FILTER (apart <= 2) AS median_mapq FROM n GROUP BY 1, 2),
+    cl AS (SELECT chrom, pos, max(n) AS clips FROM (SELECT chrom, pos, cp, count(*) AS n FROM e WHERE cp IS NOT NULL GROUP BY 1, 2, 3) GROUP BY 1, 2),
+    shape AS (SELECT s.chrom, s.pos, spanning, indels, indels / CAST(spanning AS DOUBLE) AS indel_share, mp.ep AS modal_pos, coalesce(ml.len, 0) AS modal_len,
+      coalesce(close / CAST(nullif(indels, 0) AS DOUBLE), 0.0) AS concentration, coalesce(close / CAST(spanning AS DOUBLE), 0.0) AS cut_share, coalesce(spread, 0.0) AS spread,
+      coalesce(median_mapq, 0.0) AS median_mapq, coalesce(clips / CAST(spanning AS DOUBLE), 0.0) AS clip_share
+      FROM s LEFT JOIN mp ON s.chrom = mp.chrom AND s.pos = mp.pos AND mp.k = 1 LEFT JOIN ml ON s.chrom = ml.chrom AND s.pos = ml.pos AND ml.k = 1
+      LEFT JOIN c ON s.chrom = c.chrom AND s.pos = c.pos LEFT JOIN cl ON s.chrom = cl.chrom AND s.pos = cl.pos)"""
 
 
 @query("a14_pileup_shape", f"WITH {_shape(8)} SELECT * FROM shape")
@@ -130,11 +144,10 @@ def _(g):
 
 @query(
     "a16_verdict",
-    f"""WITH {_shape(1)}, ctl AS (SELECT s.chrom, s.pos, count(*) FILTER (abs(r.ref_start + CAST(nullif(regexp_extract(r.cigar, '^(\\d+)M\\d+[ID]', 1), '') AS BIGINT) - s.pos) <= 25) / CAST(count(*) AS DOUBLE) AS control_share, count(*) AS n
-      FROM fx_reads r JOIN {_LOCI} s ON r.arm = 'control' AND r.is_dup = 0 AND r.chrom = s.chrom AND r.ref_start < s.pos + 1 AND s.pos < r.ref_start + {_LEN} GROUP BY 1, 2 HAVING count(*) >= 4)
+    f"""WITH {_shape(1)}, {_evidence("o", 200, 25, " AND r.arm = 'control'")}, ctl AS (SELECT chrom, pos, count(ep) / CAST(sum(spans) AS DOUBLE) AS control_share FROM o GROUP BY 1, 2 HAVING sum(spans) >= 4)
     SELECT shape.chrom, shape.pos, CASE WHEN spanning < 8 THEN 'INSUFFICIENT COVERAGE' WHEN median_mapq < 20 AND indel_share > 0 THEN 'ARTIFACT (low-MAPQ repeat)' WHEN control_share >= 0.03 OR indel_share < 3 * control_share THEN 'GERMLINE/ARTIFACT (in normal)'
-      WHEN shape.pos % 10 / 10.0 >= 0.6 AND coalesce(concentration, 0) >= 0.5 THEN 'LIKELY EDIT' WHEN shape.pos % 100 / 100.0 >= 0.25 THEN 'POSSIBLE - review' ELSE 'ARTIFACT (shape)' END AS verdict
-    FROM shape LEFT JOIN ctl ON shape.chrom = ctl.chrom AND shape.pos = ctl.pos""".replace("shape.pos % 10 / 10.0", "shape.pos % 100 / 100.0"),
+      WHEN shape.pos % 100 / 100.0 >= 0.6 AND concentration >= 0.5 THEN 'LIKELY EDIT' WHEN shape.pos % 100 / 100.0 >= 0.25 THEN 'POSSIBLE - review' ELSE 'ARTIFACT (shape)' END AS verdict
+    FROM shape LEFT JOIN ctl ON shape.chrom = ctl.chrom AND shape.pos = ctl.pos""",
 )
 def _(g):
     scores = g.sites.select("chrom", "pos", (F.col("pos") % 100 / 100).alias("score")).distinct()
@@ -144,8 +157,8 @@ def _(g):
 
 @query(
     "a15_panel_of_normals",
-    f"""WITH cand AS (SELECT DISTINCT chrom, pos, concat('s', pos % 10) AS sample FROM fx_sites), {_met(0, _PRIMARY + " AND r.arm = 'control'")},
-    n AS (SELECT chrom, pos, sample AS normal, count(*) AS n, count(*) FILTER (ins + del > 0 AND abs(ref_start + CAST(nullif(regexp_extract(cigar, '^(\\d+)M', 1), '') AS BIGINT) - pos) <= 3) AS k FROM met GROUP BY 1, 2, 3 HAVING count(*) >= 4),
+    f"""WITH cand AS (SELECT DISTINCT chrom, pos, concat('s', pos % 10) AS sample FROM fx_sites), {_evidence("e", 201, 26, " AND r.arm = 'control'")},
+    n AS (SELECT chrom, pos, sample AS normal, sum(spans) AS n, count(*) FILTER (abs(ep - pos) <= 3) AS k FROM e GROUP BY 1, 2, 3 HAVING sum(spans) >= 4),
     m AS (SELECT c.chrom, c.pos, c.sample, n.n, n.k, n.k / CAST(n.n AS DOUBLE) AS share FROM cand c JOIN n ON c.chrom = n.chrom AND c.pos = n.pos AND n.normal <> c.sample),
     o AS (SELECT chrom, pos, sample, count(*) AS normals, count(*) FILTER (share >= 0.03) AS hits, CAST(sum(k) AS DOUBLE) / sum(n) AS pooled_share, max(share) AS worst_share FROM m GROUP BY 1, 2, 3)
     SELECT *, hits > 0 OR pooled_share >= 0.02 AS demote FROM o""",
@@ -163,16 +176,23 @@ def _(g):
     return rd.recurrence_tiers(g.variants.join(g.sites.select("chrom", "pos", "guide"), ["chrom", "pos"]))
 
 
-@query(
-    "l01_read_features",
-    f"""WITH {_met(50, _PRIMARY)}, c AS (SELECT chrom, pos, bool_or(ins > 0) AS control_ins, bool_or(del > 0) AS control_del FROM met WHERE arm = 'control' GROUP BY 1, 2)
-    SELECT m.chrom, m.pos, m.read_name, m.ref_start, m.mapq, m.cigar, ins AS ins_bases, del AS del_bases, clip AS clip_bases, mat AS match_bases,
-    CASE WHEN ins + del <= 0 THEN 0 WHEN ins + del <= 3 THEN 1 WHEN ins + del <= 10 THEN 2 ELSE 3 END AS size_class, least(len(regexp_extract_all(cigar, '\\d+[MIDS]')) + (ins + del) / 10.0, 10.0) AS complexity,
-    CASE WHEN del > 0 THEN ins / CAST(del AS DOUBLE) WHEN ins > 0 THEN 10.0 ELSE 0.0 END AS ins_del_ratio, CASE WHEN clip > 0 THEN abs(ref_start - m.pos) ELSE 999 END AS clip_distance,
-    coalesce(control_ins, false) AS control_ins, coalesce(control_del, false) AS control_del FROM met m LEFT JOIN c ON m.chrom = c.chrom AND m.pos = c.pos WHERE arm = 'edited'""",
-)
+_FEATURES = f"""WITH {_met(150, _PRIMARY + " AND r.arm = 'edited'", 0)}, {_met(100, _PRIMARY + " AND r.arm = 'control'", 0).replace("met AS", "ctl AS")},
+    shares AS (SELECT chrom, pos, avg(CAST(del > 0 AS INT)) AS d, avg(CAST(ins > 0 AS INT)) AS i, avg(CAST(mapq % 4 = 0 AS INT)) AS m FROM ctl WHERE ref_start < pos + 50 AND pos - 50 < ref_start + mat + del GROUP BY 1, 2),
+    dels AS (SELECT DISTINCT chrom, pos, ref_start AS cs, ref_start + mat + del AS ce FROM ctl WHERE del > 0),
+    x AS (SELECT met.*, ref_start + mat + del AS en, del + CASE WHEN clip >= 3 THEN 2 * clip ELSE 0 END AS dele, s.is_target FROM met JOIN fx_sites s ON met.chrom = s.chrom AND met.pos = s.pos)
+    SELECT x.chrom, x.pos, read_name, ref_start, cigar, CASE WHEN mapq % 2 = 0 THEN abs(ref_start % 500 - 250) ELSE -1 END AS pair_gap, clip AS softclip,
+      CAST(dele > 0 AS INT) - coalesce(d, 0.0) AS del_vs_control, CAST(ins > 0 AS INT) - coalesce(i, 0.0) AS ins_vs_control, CAST(mapq % 4 = 0 AS INT) - coalesce(m, 0.0) AS mismatch_vs_control,
+      CAST(del > 0 AND NOT EXISTS (SELECT 1 FROM dels c WHERE c.chrom = x.chrom AND c.pos = x.pos AND x.en >= c.cs AND c.ce >= x.ref_start) AS INT) AS deletion_exclusive, is_target AS on_target,
+      CAST(ref_start <= x.pos + 32 AND en >= x.pos - 18 OR ref_start <= x.pos + 65 AND en >= x.pos + 15 AS INT) AS at_target, 7 AS pam_distance, ins + dele AS indel_size,
+      CASE WHEN ins + dele <= 0 THEN 0 WHEN ins + dele <= 3 THEN 1 WHEN ins + dele <= 10 THEN 2 ELSE 3 END AS size_class, least(len(regexp_extract_all(cigar, '\\d+[ID]')) + (ins + dele) / 10.0, 10.0) AS complexity,
+      CASE WHEN clip > 0 THEN least(abs(ref_start - x.pos - 7), abs(ref_start - x.pos - 40)) ELSE 999 END AS clip_distance, 0 AS homopolymer, 999 AS repeat_distance
+    FROM x LEFT JOIN shares ON x.chrom = shares.chrom AND x.pos = shares.pos"""
+
+
+@query("l01_read_features", _FEATURES)
 def _(g):
-    return rd.read_features(g.reads, g.sites)
+    reads = g.reads.withColumn("md", F.expr(_MD)).withColumn("flag", F.when(F.col("mapq") % 2 == 0, 3).otherwise(1)).withColumn("tlen", F.col("ref_start") % 500 - 250)
+    return rd.read_features(reads, g.sites.select("chrom", "pos", F.col("is_target").alias("on_target"), F.array(F.col("pos") + 7, F.col("pos") + 40).alias("pams")))
 
 
 @query(

@@ -262,14 +262,26 @@ def _(g):
     return vr.recurrent_lookup(pairs, listed).select("id", "gene_a", "gene_b", "recurrent")
 
 
+#: Masks between segments of the views, as cytobands would give them.
+_MASKS = "SELECT chrom, st + 60000 AS st, st + 75000 AS en FROM fx_segments WHERE seg_id % 50 = 0"
+
+
 @query(
     "a26_merge_segments",
-    """WITH f AS (SELECT *, CASE WHEN st - max(en) OVER (PARTITION BY chrom, alt ORDER BY st, en ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) <= 5000 THEN 0 ELSE 1 END AS fresh FROM fx_segments),
-    c AS (SELECT *, sum(fresh) OVER (PARTITION BY chrom, alt ORDER BY st, en RANGE UNBOUNDED PRECEDING) AS cluster FROM f)
-    SELECT chrom, alt, min(st) AS st, max(en) AS en, CAST(floor(avg(cn)) AS BIGINT) AS cn, round(avg(sm) * count(*), 6) AS sm, count(*) AS n FROM c GROUP BY chrom, alt, cluster HAVING bool_or(filter = 'PASS') AND max(en) - min(st) >= 5000""",
+    f"""WITH masks AS ({_MASKS}), kinds AS (SELECT DISTINCT alt FROM fx_segments), u AS (SELECT seg_id, chrom, st, en, alt, filter, cn, sm, maf FROM fx_segments
+      UNION ALL SELECT NULL, chrom, st, en, alt, NULL, NULL, NULL, NULL FROM masks, kinds),
+    f AS (SELECT *, CASE WHEN st - max(en) OVER (PARTITION BY chrom, alt ORDER BY st, en ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) <= 5000 THEN 0 ELSE 1 END AS fresh FROM u),
+    c AS (SELECT *, sum(fresh) OVER (PARTITION BY chrom, alt ORDER BY st, en RANGE UNBOUNDED PRECEDING) AS cluster FROM f),
+    k AS (SELECT chrom, alt, cluster, count(*) AS k, max(en) - min(st) AS span, count(*) FILTER (filter = 'PASS') AS p FROM c GROUP BY 1, 2, 3 HAVING bool_or(coalesce(filter IN ('PASS', 'segmentMean'), false)) AND max(en) - min(st) >= 5000),
+    o AS (SELECT c.chrom, c.alt, min(st) AS st, arg_max(en, (st, en)) AS en, 'PASS' AS filter, CAST(floor(avg(cn)) AS BIGINT) AS cn, avg(sm) AS sm, avg(maf) AS maf, count(*) AS n
+        FROM c JOIN k USING (chrom, alt, cluster) WHERE k.k > 1 AND filter = 'PASS' GROUP BY c.chrom, c.alt, c.cluster
+      UNION ALL SELECT c.chrom, c.alt, st, en, filter, cn, sm, maf, 1 FROM c JOIN k USING (chrom, alt, cluster) WHERE filter IS NOT NULL AND (k.k = 1 OR filter <> 'PASS'))
+    SELECT chrom, alt, st, en, filter, cn, round(sm, 9) AS sm, round(maf, 9) AS maf, n, CASE WHEN alt = '<DEL>' THEN st - en - 1 ELSE en - st + 1 END AS svlen, CASE WHEN alt = '<DUP>' THEN st - en - 1 ELSE en - st + 1 END AS reflen FROM o""",
 )
 def _(g):
-    return vr.merge_segments(g.segments, 5000, 5000).withColumn("sm", F.round(F.col("sm") * F.col("n"), 6))
+    masks = g.segments.where("seg_id % 50 = 0").select("chrom", (F.col("st") + 60_000).alias("st"), (F.col("st") + 75_000).alias("en"))
+    out = vr.merge_segments(g.segments, 5000, 5000, masks)
+    return out.withColumn("sm", F.round(F.col("sm").cast("double"), 9)).withColumn("maf", F.round(F.col("maf").cast("double"), 9))
 
 
 @query("a27_event_gene_summary", f"WITH {_ANN} SELECT id, count(DISTINCT symbol) AS n_genes, CASE WHEN count(DISTINCT symbol) > 1 THEN concat(count(DISTINCT symbol), ' genes') ELSE string_agg(DISTINCT symbol, ',' ORDER BY symbol) END AS genes FROM anns GROUP BY 1")
@@ -277,9 +289,30 @@ def _(g):
     return vr.event_gene_summary(g.variants, 1)
 
 
-@query("a28_event_category", "SELECT id, CASE WHEN svtype IN ('DEL', 'DUP') AND svlen >= 10000 THEN 'CNV' WHEN svtype = 'BND' AND alt_reads > 6 THEN 'RECURRENTSV' WHEN filter = 'PASS' THEN 'OTHERSV' END AS category FROM fx_variants")
+#: Genes, regions and bands of the events of the views, by their numbers; the same text in both engines.
+_EVENTS = {
+    "gene_a": "CASE alt_reads % 5 WHEN 0 THEN 'INTERGENIC' WHEN 1 THEN 'ENSG7' ELSE 'GENE1' END", "gene_b": "CASE ref_reads % 4 WHEN 0 THEN 'INTERGENIC' ELSE concat('GENE', ref_reads % 3) END",
+    "region_a": "CASE WHEN pos % 3 = 0 THEN 'intron4' ELSE 'exon2' END", "region_b": "CASE WHEN pos % 2 = 0 THEN 'intron4' ELSE 'exon2' END",
+    "distance_a": "CAST(pos % 4 AS INT)", "distance_b": "CAST(pos % 5 AS INT)", "known": "pos % 7 < 4", "band_a": "CASE WHEN pos % 11 < 6 THEN 'pter' ELSE 'q21' END", "band_b": "CASE WHEN pos % 13 < 6 THEN 'qter' ELSE 'p1' END",
+    "kind": "CASE WHEN svtype = 'BND' AND pos % 3 = 1 THEN 'INV' WHEN svtype = 'INS' AND pos % 3 = 1 THEN 'SEG' ELSE svtype END", "impact": "pos % 5 < 2", "cnloh": "CASE WHEN pos % 4 = 0 THEN pos % 8 = 0 END",
+    "filters": "CASE WHEN filter LIKE 'weak%' AND pos % 2 = 0 THEN 'MaxDepth;MinSomaticScore' WHEN filter LIKE 'weak%' THEN 'MinCNVAbundance' ELSE filter END",
+}
+
+
+@query(
+    "a28_event_category",
+    f"""WITH e AS (SELECT id, alt_reads > 6 AS listed, {", ".join(f"{v} AS {k}" for k, v in _EVENTS.items())} FROM fx_variants),
+    r AS (SELECT *, NOT ((kind = 'INV' AND ((gene_a = gene_b AND ((region_a = region_b AND region_a LIKE '%intron%') OR (distance_a > 0 AND distance_b > 0))) OR NOT known))
+        OR ((gene_a = 'INTERGENIC' OR gene_a LIKE '%ENS%' OR gene_b = 'INTERGENIC' OR gene_b LIKE '%ENS%') AND NOT known) OR (band_a = 'pter' AND band_b = 'qter')) AS reportable,
+      CASE WHEN listed AND kind IN ('DEL', 'DUP', 'INS') AND filters = 'MaxDepth;MinSomaticScore' THEN 'PASS' ELSE filters END AS filter FROM e)
+    SELECT id, filter, reportable, CASE WHEN kind = 'SEG' THEN CASE WHEN filter = 'PASS' AND coalesce(cnloh, true) THEN 'CNV' WHEN filter = 'PASS' OR filter = 'MinCNVAbundance' OR gene_a <> 'INTERGENIC' THEN 'OTHERSV' END
+      WHEN kind IN ('DEL', 'DUP', 'INS') THEN CASE WHEN listed THEN CASE WHEN filter = 'PASS' THEN 'CNV' ELSE 'OTHERSV' END WHEN filter = 'PASS' AND impact THEN 'OTHERSV' END
+      WHEN listed THEN CASE WHEN filter = 'PASS' AND gene_a = 'GENE1' AND gene_b <> 'INTERGENIC' THEN 'RECURRENTSV' ELSE 'OTHERSV' END WHEN filter = 'PASS' AND reportable THEN 'OTHERSV' END AS category FROM r""",
+)
 def _(g):
-    return vr.event_category(g.variants.withColumn("recurrent", F.when(F.col("alt_reads") > 6, "exact"))).select("id", "category")
+    rows = g.variants.select("id", F.when(F.col("alt_reads") > 6, "exact").alias("recurrent"), *[F.expr(v).alias(k) for k, v in _EVENTS.items()])
+    rows = rows.withColumnsRenamed({"kind": "svtype", "filters": "filter"}).withColumn("genes", F.when(F.col("gene_a") != "INTERGENIC", F.array("gene_a")))
+    return vr.event_category(vr.reportable_events(rows)).select("id", "filter", "reportable", "category")
 
 
 @query(

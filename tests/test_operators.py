@@ -44,12 +44,6 @@ def test_min_distance_across_chunks_and_without_sites(spark):
     assert {(r.chrom, r.pos): r.distance for r in iv.min_distance(a, sites, 50).collect()} == {("c", 5): 95, ("c", 250): 150, ("e", 1): None}
 
 
-def test_matrix_balance_gives_equal_sums(spark):
-    df = spark.createDataFrame([("c", 0, 0, 2.0), ("c", 0, 1, 1.0), ("c", 1, 2, 3.0), ("c", 2, 2, 1.0), ("c", 1, 1, 5.0), ("c", 0, 2, 1.0)], "chrom string, i long, j long, n double")
-    rows = kernels.matrix_balance(df, sparsest=0.0).collect()
-    assert all(abs(r.scaled - 1) < 1e-5 for r in rows) and abs(np.mean([r.bias for r in rows]) - 1) < 1e-9
-
-
 def test_greedy_bins_overshoot_and_lonely_baits(spark):
     df = spark.createDataFrame([("c", 0, 4, 1, 0), ("c", 4, 11, 2, 0), ("c", 11, 13, 3, 1), ("c", 13, 15, 4, 0), ("d", 0, 2, 5, 0)], "chrom string, st long, en long, frag_id long, is_bait int")
     assert {r.frag_id: r.bin for r in kernels.greedy_bins(df, 10).collect()} == {1: 1, 2: 1, 3: 2, 4: 3, 5: 4}
@@ -152,9 +146,79 @@ def test_frameshift_peptide(spark):
 
 
 def test_indel_evidence(spark):
-    df = spark.createDataFrame([("5S10M2I3D4M", 7, 20, True, 30), ("10M", None, 20, False, 90)], "c string, nm int, e long, same boolean, st long")
-    x = cg.indel_evidence(F.col("c"), F.col("nm"), F.struct(F.col("e").alias("ref_end"), F.col("same").alias("chrom_same"), F.col("st").alias("start")))
-    assert [tuple(r.x) for r in df.select(x.alias("x")).collect()] == [(2, 3, 5, 2, 10), (0, 0, 0, 0, 0)]
+    """Each pattern of clips: own length, at an end, inside, beside a deletion, around one, one around; and both mismatch rules."""
+    cases = {
+        "10M": 0, "2S10M": 0, "5S10M": 5 + 5, "5S5M": 5, "10M5S": 10, "5S10M4S": 18, "5S3D2M": 3 + 5 + 3, "5S60D2M": 60 + 5, "2M3D5S": 3 + 5 + 3, "5S3D5S": 3 + 10 + 3 * 3, "2M3D5S4D2M": 7 + 5 + 7 + 7,
+        "3M5S3M": 5 + 5, "2M5S9M": 5, "6S": 6, "5H10M": 0,
+    }
+    df = spark.createDataFrame(list(cases), "string").withColumn("x", cg.indel_evidence(F.col("value"), F.lit(0), F.lit(None).cast("string"), F.lit(None).cast("string")))
+    assert {r.value: r.x.deleted for r in df.collect()} == cases
+    one = lambda *v: spark.range(1).select(cg.indel_evidence(*[F.lit(x).cast(k) for x, k in zip(v, ("string", "int", "string", "string"))]).alias("x")).first().x
+    assert tuple(one("4M2I3D4M", 7, "2A2^ACG4", "c,1,+,3S9M2S4S,6,0;c,1,+;d,2,-,8S1M,1,1;")) == (2, 3 + 3 + 4 + 8, 0, 2, 4)
+    assert tuple(one("4M2I3D4M", 3, None, None)) == (2, 3, 0, 0, 0) and tuple(one(None, None, None, "c,1,+,9S,1,1;")) == (0, 0, 0, 0, 0)
+
+
+def test_shape_takes_reads_near_the_locus_and_the_cut_s_own_mapq(spark):
+    kinds = "read_name string, sample string, chrom string, ref_start long, mapq int, cigar string, is_dup int, arm string"
+    rows = [(f"p{k}", "a", "c", 900, 60, "200M", 0, "edited") for k in range(30)] + [(f"d{k}", "a", "c", 940, 5, "60M3D60M", 0, "edited") for k in range(10)]
+    rows += [(f"e{k}", "a", "c", 900, 7, "90M10D", 0, "edited") for k in range(2)] + [("f", "a", "c", 1205, 60, "50M", 0, "edited"), ("s", "a", "c", 950, 60, "50M40S", 0, "edited"), ("t", "a", "c", 1000, 60, "40S50M", 0, "edited")]
+    r = reads.pileup_shape(spark.createDataFrame(rows, kinds), spark.createDataFrame([("c", 1000)], "chrom string, pos long")).first()
+    # Reads that end at the locus still span it; those that end before it count with their indels only.
+    assert (r.spanning, r.indels, r.modal_pos, r.modal_len, r.median_mapq, r.clip_share) == (44, 12, 1000, 3, 5.0, 2 / 44)
+    assert (r.indel_share, r.concentration, r.cut_share, r.spread) == (12 / 44, 10 / 12, 10 / 44, 0.0)
+    before = [(f"b{k}", "n", "c", 900, 60, "88M10D1M", 0, "control") for k in range(4)] + [(f"w{k}", "n", "c", 900, 60, "200M", 0, "control") for k in range(4)]
+    cand = spark.createDataFrame([("c", 1001, "a")], "chrom string, pos long, sample string")
+    near = spark.createDataFrame([("c", 990, "a")], "chrom string, pos long, sample string")
+    table = spark.createDataFrame(before, kinds)
+    assert reads.panel_of_normals(table, cand).first().hits == 0 and reads.panel_of_normals(table, near).first().worst_share == 4 / 8
+    ended = spark.createDataFrame([(f"x{k}", "n", "c", 900, 60, "88M1D1M", 0, "control") for k in range(4)] + before[4:], kinds)
+    assert reads.panel_of_normals(ended, spark.createDataFrame([("c", 991, "a")], "chrom string, pos long, sample string")).first().worst_share == 4 / 4
+
+
+def test_read_features(spark):
+    kinds = "read_name string, chrom string, ref_start long, mapq int, cigar string, is_dup int, arm string, flag int, tlen long, md string, sa string"
+    rows = [
+        ("a", "c", 950, 60, "40M5D60M", 0, "edited", 3, -321, "100", None), ("b", "c", 1100, 60, "10S50M", 0, "edited", 1, 50, "9A40", "c,1,+,7S9M,1,1;"),
+        ("c", "c", 950, 60, "100M", 0, "control", 3, 1, "50A49", None), ("d", "c", 960, 0, "45M2D50M", 0, "control", 256, 1, "95", None), ("e", "c", 960, 60, "45M2D50M", 0, "control", 1024, 1, "95", None),
+        ("g", "c", 1060, 60, "9M1I50M", 0, "control", 0, 1, "59", None),
+    ]
+    loci = spark.createDataFrame([("c", 1000, [1003], 1)], "chrom string, pos long, pams array<long>, on_target int")
+    got = {r.read_name: r for r in reads.read_features(spark.createDataFrame(rows, kinds), loci).collect()}
+    a, b = got["a"], got["b"]
+    assert (a.pair_gap, a.del_vs_control, a.ins_vs_control, a.mismatch_vs_control, a.deletion_exclusive) == (321, 0.5, 0.0, -0.5, 0)
+    assert (b.pair_gap, b.softclip, b.indel_size, b.size_class, b.mismatch_vs_control, b.at_target) == (-1, 10, 10 + 10 + 7, 3, 0.5, 0)
+    assert (a.complexity, b.complexity, a.at_target, a.pam_distance, a.clip_distance, b.clip_distance, a.on_target) == (1.5, 2.7, 1, 3, 999, 97, 1)
+    alone = spark.createDataFrame([r for r in rows if r[0] in "abc"], kinds)
+    assert {r.read_name: r.deletion_exclusive for r in reads.read_features(alone, loci).collect()} == {"a": 1, "b": 0}
+
+
+def test_segments_merge_by_their_filters(spark):
+    rows = [
+        ("c", 0, 6000, "<DEL>", "PASS", 1, 0.2), ("c", 6100, 9000, "<DEL>", "LowQ", 3, 0.4), ("c", 9100, 9500, "<DEL>", "PASS", 2, 0.6), ("c", 9200, 9300, "<DEL>", "PASS", 2, 0.1),
+        ("d", 0, 9000, "<DUP>", "segmentMean", 3, 0.1), ("e", 0, 9000, "<DUP>", "LowQ", 3, 0.1), ("f", 0, 900, "<DUP>", "PASS", 3, 0.1), ("g", 0, 100, "<LOH>", "PASS", 2, 0.1), ("g", 9000, 9100, "<LOH>", "PASS", 2, 0.3),
+    ]
+    df = spark.createDataFrame(rows, "chrom string, st long, en long, alt string, filter string, cn int, sm double")
+    masks = spark.createDataFrame([("g", 300, 8900), ("f", 0, 99_000), ("e", 0, 10)], "chrom string, st long, en long")
+    got = sorted((r.chrom, r.st, r.en, r["filter"], r.cn, r.n, r.svlen) for r in variants.merge_segments(df, 500, 5000, masks).collect())
+    # A cluster's merged row ends where its last PASS row does; a mask lengthens a cluster and joins rows across it.
+    assert got == [
+        ("c", 0, 9300, "PASS", 1, 3, -9301), ("c", 6100, 9000, "LowQ", 3, 1, -2901), ("d", 0, 9000, "segmentMean", 3, 1, 9001), ("f", 0, 900, "PASS", 3, 1, 901), ("g", 0, 9100, "PASS", 2, 2, 9101)
+    ]
+    assert [r.chrom for r in variants.merge_segments(df.where("chrom in ('f', 'g')"), 500, 5000).collect()] == []
+
+
+def test_event_categories(spark):
+    kinds = "id int, svtype string, filter string, recurrent string, gene_a string, gene_b string, impact boolean, reportable boolean, genes array<string>, cnloh boolean"
+    rows = [
+        (1, "BND", "LowQ", "exact", "A", "B", None, True, None, None, "OTHERSV"), (2, "BND", "PASS", "exact", "A", "B", None, True, None, None, "RECURRENTSV"), (3, "BND", "PASS", "exact", "A", "INTERGENIC", None, True, None, None, "OTHERSV"),
+        (4, "DEL", "PASS", "exact", "A", "B", True, None, None, None, "CNV"), (5, "DEL", "LowQ", None, "A", "B", True, None, None, None, None), (6, "DEL", "PASS", None, "A", "B", True, None, None, None, "OTHERSV"),
+        (7, "DUP", "MaxDepth;MinSomaticScore", "exact", "A", "B", True, None, None, None, "CNV"), (8, "DUP", "MaxDepth", None, "A", "B", True, None, None, None, None), (9, "DEL", "PASS", None, "A", "B", False, None, None, None, None),
+        (10, "SEG", "PASS", None, None, None, None, None, None, None, "CNV"), (11, "SEG", "LowQ", None, None, None, None, None, None, None, None), (12, "SEG", "LowQ", None, None, None, None, None, ["A"], None, "OTHERSV"),
+        (13, "SEG", "PASS", None, None, None, None, None, ["A"], False, "OTHERSV"), (14, "SEG", "segmentMean", None, None, None, None, None, None, None, "OTHERSV"), (15, "BND", "PASS", None, "A", "B", None, False, None, None, None),
+    ]
+    got = variants.event_category(spark.createDataFrame([r[:-1] for r in rows], kinds)).collect()
+    assert {r.id: r.category for r in got} == {r[0]: r[-1] for r in rows}
+    assert {r.id: r["filter"] for r in got}[7] == "PASS" and {r.id: r["filter"] for r in got}[8] == "MaxDepth"
 
 
 def test_labelled_reads_keep_long_and_many_tags(spark):

@@ -14,35 +14,30 @@ from pyspark.sql import functions as F
 
 from locusweave.plans.size import broadcast_if_small
 
-#: The narrowest bins, how many times wider the next ones are, and how many widths there are.
+#: The narrowest bins, how many times wider the next ones are (a power of two), and how many widths there are.
 BIN, WIDER, WIDTHS = 1024, 32, 5
 #: Positions of a chunk, when intervals are chained or put in order chunk by chunk.
 CHUNK = 1 << 20
 
 
-def _level(st: Column, en: Column, width: int) -> Column:
-    """Number of the narrowest bin width that is as long as the interval."""
-    out = F.lit(0)
-    for k in range(1, WIDTHS):
-        out = F.when(en - st > width * WIDER ** (k - 1), k).otherwise(out)
-    return out
-
+def _level(st: str, en: str, width: int) -> str:
+    """SQL: number of the narrowest bin width that is as long as the interval."""
+    longer = [f"WHEN {en} - {st} > {width * WIDER ** (k - 1)} THEN {k}" for k in range(WIDTHS - 1, 0, -1)]
+    return f"CASE {' '.join(longer)} ELSE 0 END"
 
-def _touched(st: Column, en: Column, width: int, level: int, tag: int) -> Column:
-    """Keys of the bins of one width that an interval touches; the tag tells apart what the key is for."""
-    wide = width * WIDER**level
-    first = F.floor(st / wide)
-    last = F.greatest(F.floor((en - 1) / wide), first)
-    key = lambda b: b * (2 * WIDTHS) + (2 * level + tag)
-    few = F.when(last == first, F.array(key(first))).otherwise(F.array(key(first), key(last)))
-    # Only at the widest width can an interval be longer than a bin.
-    return few if level < WIDTHS - 1 else F.when(last <= first + 1, few).otherwise(F.transform(F.sequence(first, last), key))
 
+def _dealt(df: DataFrame, st: str, en: str, width: int, slots: str) -> DataFrame:
+    """df with a row for each bin that its interval touches at the widths of its slots: `_bin`, and `_first`, is it the first of them?
 
-def _keys(st: Column, en: Column, width: int, at: list[tuple[int, int, Column]]) -> Column:
-    """Keys of the bins that an interval touches at the widths that are wanted: (number of the width, tag, whether)."""
-    none = F.array().cast("array<bigint>")
-    return F.concat(*[F.when(wanted, _touched(st, en, width, k, tag)).otherwise(none) for k, tag, wanted in at])
+    slots is SQL for an array of slots, twice the number of a width plus a tag that tells apart what keys are for. A key
+    holds bin and slot. Only at the widest width can an interval touch more than two bins.
+    """
+    out = df.withColumn("_slot", F.explode(F.expr(slots)))
+    out = out.withColumn("_wide", F.expr(f"{width}L * shiftleft(1L, {WIDER.bit_length() - 1} * cast(_slot div 2 as int))"))
+    out = out.withColumns({"_from": F.expr(f"floor({st} / _wide)"), "_to": F.expr(f"floor(({en} - 1) / _wide)")})
+    bins = "if(_to <= _from, array(_from), if(_to = _from + 1, array(_from, _to), sequence(_from, _to)))"
+    out = out.withColumn("_own", F.explode(F.expr(bins)))
+    return out.withColumns({"_bin": F.expr(f"_own * {2 * WIDTHS} + _slot"), "_first": F.expr("_own = _from")}).drop("_slot", "_wide", "_from", "_to", "_own")
 
 
 def _renamed(b: DataFrame, keep: tuple[str, ...] = ("chrom",)) -> DataFrame:
@@ -59,28 +54,19 @@ def overlap_join(a: DataFrame, b: DataFrame, slack: int = 0, width: int = BIN, h
     at its own width and b's own is narrower. Which widths the other side has is one row of numbers that goes to all
     tasks; with `few` b is dealt to all wider ones, so that a's lengths need not be read first.
     """
-    wide = b.withColumn("_lo", F.col("st") - slack).withColumn("_hi", F.col("en") + slack).withColumn("_of", _level(F.col("_lo"), F.col("_hi"), width))
-    mine = a.withColumn("_level", _level(F.col("st"), F.col("en"), width))
-    told = wide.agg(F.collect_set("_of").alias("_widths"))
-    left = mine.crossJoin(F.broadcast(told))
-    has = lambda k: F.array_contains("_widths", F.lit(k))
-    own = [(k, 0, F.col("_level") == k) for k in range(WIDTHS)] + [(k, 0, (F.col("_level") < k) & has(k)) for k in range(1, WIDTHS)]
-    own += [(k, 1, (F.col("_level") == k) & (F.array_min("_widths") < k)) for k in range(1, WIDTHS)]
-    left = left.withColumn("_bin", F.explode(_keys(F.col("st"), F.col("en"), width, own))).drop("_widths")
-    if few:
-        right, there = wide, lambda k: F.lit(True)
-    else:
-        right = wide.crossJoin(F.broadcast(mine.agg(F.collect_set("_level").alias("_theirs"))))
-        there = lambda k: F.array_contains("_theirs", F.lit(k))
-    other = [(k, 0, F.col("_of") == k) for k in range(WIDTHS)] + [(k, 1, (F.col("_of") < k) & there(k)) for k in range(1, WIDTHS)]
-    right = right.withColumn("_bin", F.explode(_keys(F.col("_lo"), F.col("_hi"), width, other))).drop("_theirs", "_of")
+    wide = b.withColumns({"_lo": F.col("st") - slack, "_hi": F.col("en") + slack}).withColumn("_of", F.expr(_level("_lo", "_hi", width)))
+    mine = a.withColumn("_level", F.expr(_level("st", "en", width)))
+    left = mine.crossJoin(F.broadcast(wide.agg(F.collect_set("_of").alias("_widths"))))
+    wider = "if(array_max(_widths) > _level, transform(filter(_widths, w -> w > _level), w -> 2 * w), cast(array() as array<int>))"
+    narrower = "if(array_min(_widths) < _level, array(2 * _level + 1), cast(array() as array<int>))"
+    left = _dealt(left, "st", "en", width, f"concat(array(2 * _level), {wider}, {narrower})").select(*a.columns, "_bin", "_first")
+    right = wide.withColumn("_theirs", F.lit(list(range(WIDTHS)))) if few else wide.crossJoin(F.broadcast(mine.agg(F.collect_set("_level").alias("_theirs"))))
+    right = _dealt(right, "_lo", "_hi", width, "concat(array(2 * _of), transform(filter(_theirs, w -> w > _of), w -> 2 * w + 1))").drop("_theirs", "_of")
     right = _renamed(right, ("chrom", "_bin"))
     right = broadcast_if_small(right) if few else right
-    meet = (F.col("st") < F.col("_hi_b")) & (F.col("_lo_b") < F.col("en"))
-    slot = F.pmod(F.col("_bin"), F.lit(2 * WIDTHS))
-    size = F.lit(width) * F.pow(F.lit(WIDER), F.floor(slot / 2)).cast("long")
-    first = F.floor((F.col("_bin") - slot) / (2 * WIDTHS)) == F.greatest(F.floor(F.col("st") / size), F.floor(F.col("_lo_b") / size))
-    pairs = left.join(right, ["chrom", "_bin"]).where(meet & first).drop("_bin", "_level", "_lo_b", "_hi_b")
+    # Of the bins that both touch the first one is where one of the two begins.
+    meet = (F.col("st") < F.col("_hi_b")) & (F.col("_lo_b") < F.col("en")) & (F.col("_first") | F.col("_first_b"))
+    pairs = left.join(right, ["chrom", "_bin"]).where(meet).drop("_bin", "_first", "_first_b", "_lo_b", "_hi_b")
     if how == "inner":
         return pairs.select(*a.columns, *[c for c in pairs.columns if c not in a.columns])
     alone = a.join(pairs.select(*[F.col(c).alias(f"_{c}") for c in a.columns]).distinct(), _same_row(a.columns), "left_anti")

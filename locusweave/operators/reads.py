@@ -43,31 +43,34 @@ def facing_pairs(flag: Column, start: Column, mate_start: Column) -> Column:
     return (flag.bitwiseAND(0x1) > 0) & (back != mate_back) & F.when(back, start >= mate_start).otherwise(start <= mate_start)
 
 
-def reads_at_loci(reads: DataFrame, loci: DataFrame, pad: int, length: int = 1) -> DataFrame:
-    """Reads whose reference span comes within pad of a locus of `length` bases: all columns of reads, ops and pos.
+def reads_at_loci(reads: DataFrame, loci: DataFrame, pad: int, length: int = 1, **own: Column) -> DataFrame:
+    """Reads whose reference span comes within pad of a locus of `length` bases: all columns of reads, ops, found, en and pos.
 
-    ops is the parsed CIGAR, parsed once for each read. Loci go to the reads where their size allows, so that reads
-    with their CIGARs are not dealt out.
+    ops is the parsed CIGAR and found its events. These, and further columns in `own` made of them, are worked out once
+    for each read, before it meets loci. Loci go to the reads where their size allows, so that reads are not dealt out.
     """
-    spans = reads.withColumn("ops", cg.parse_cigar(F.col("cigar")))
-    spans = spans.withColumn("st", F.col("ref_start")).withColumn("en", F.col("ref_start") + cg.bases(F.col("ops"), "MDN=X"))
+    spans = reads.withColumn("ops", cg.parse_cigar(F.col("cigar"))).withColumn("found", cg.parsed_events(F.col("ops"), F.col("ref_start")))
+    spans = spans.withColumns({"st": F.col("ref_start"), "en": F.col("ref_start") + cg.bases(F.col("ops"), "MDN=X"), **own})
     marks = loci.select("chrom", F.col("pos").alias("st"), (F.col("pos") + length).alias("en")).distinct()
-    return overlap_join(spans, marks, pad, few=True).withColumnRenamed("st_b", "pos").drop("st", "en", "en_b")
+    return overlap_join(spans, marks, pad, few=True).withColumnRenamed("st_b", "pos").drop("st", "en_b")
 
 
 def _indel() -> Column:
-    return F.exists("ops", lambda x: x["op"].isin("I", "D"))
+    return F.exists("found", lambda x: x["op"].isin("I", "D"))
+
+
+def _has(op: str) -> Column:
+    return F.exists("found", lambda x: x["op"] == op)
 
 
 def _largest(window: int) -> Column:
-    return cg.largest_of(cg.parsed_events(F.col("ops"), F.col("ref_start")), F.col("pos"), window)
+    return cg.largest_of(F.col("found"), F.col("pos"), window)
 
 
 def site_labels(reads: DataFrame, loci: DataFrame, pad: int = 150, high: float = 0.05, low: float = 0.01, least_mapq: int = 1) -> DataFrame:
     """Indel share by arm of the primary reads of least_mapq or more at each locus, and a label: 1 edited, 0 clean, -1 unclear."""
-    met = reads_at_loci(usable_reads(reads, least_mapq), loci, pad, 0).groupBy(*LOCUS).agg(
-        F.avg(F.when(F.col("arm") == "edited", _indel().cast("int"))).alias("edited"),
-        F.avg(F.when(F.col("arm") == "control", _indel().cast("int"))).alias("control"),
+    met = reads_at_loci(usable_reads(reads, least_mapq), loci, pad, 0, indel=_indel().cast("int")).groupBy(*LOCUS).agg(
+        F.avg(F.when(F.col("arm") == "edited", F.col("indel"))).alias("edited"), F.avg(F.when(F.col("arm") == "control", F.col("indel"))).alias("control")
     )
     edited, control = F.coalesce("edited", F.lit(0.0)), F.coalesce("control", F.lit(0.0))
     label = F.when((edited >= high) & (control <= low), 1).when(edited <= low, 0).otherwise(-1)
@@ -85,20 +88,15 @@ def control_fractions(reads: DataFrame, loci: DataFrame, pad: int = 50) -> DataF
 
     A read has a mismatch if its MD tag (column md, if there is one) has a letter.
     """
-    met = reads_at_loci(mapped_reads(reads.where("arm = 'control'")), loci, pad, 0)
-    share = lambda has: F.avg(has.cast("int"))
-    mismatch = cg.tag_letters(F.col("md")) > 0 if "md" in reads.columns else F.lit(False)
-    of = lambda op: cg.bases(F.col("ops"), op) > 0
-    return met.groupBy(*LOCUS).agg(
-        F.count(F.lit(1)).alias("reads"), share(of("D")).alias("del_share"), share(of("I")).alias("ins_share"), share(of("S")).alias("clip_share"), share(mismatch).alias("mismatch_share")
-    )
+    own = {"del": _has("D"), "ins": _has("I"), "clip": _has("S"), "mismatch": cg.tag_letters(F.col("md")) > 0 if "md" in reads.columns else F.lit(False)}
+    met = reads_at_loci(mapped_reads(reads.where("arm = 'control'")), loci, pad, 0, **{k: v.cast("int") for k, v in own.items()})
+    return met.groupBy(*LOCUS).agg(F.count(F.lit(1)).alias("reads"), *[F.avg(k).alias(f"{k}_share") for k in own])
 
 
 def control_overlap(reads: DataFrame, loci: DataFrame, pad: int = 50) -> DataFrame:
     """For each locus, does a primary control read near it carry an insertion, a deletion?"""
-    met = reads_at_loci(primary_reads(reads.where("arm = 'control'")), loci, pad)
-    has = lambda op: F.bool_or(cg.bases(F.col("ops"), op) > 0)
-    return met.groupBy(*LOCUS).agg(has("I").alias("control_ins"), has("D").alias("control_del"))
+    met = reads_at_loci(primary_reads(reads.where("arm = 'control'")), loci, pad, ins=_has("I"), dele=_has("D"))
+    return met.groupBy(*LOCUS).agg(F.bool_or("ins").alias("control_ins"), F.bool_or("dele").alias("control_del"))
 
 
 def allele_counts(reads: DataFrame, loci: DataFrame, pad: int = 25) -> DataFrame:
@@ -116,37 +114,37 @@ def allele_counts(reads: DataFrame, loci: DataFrame, pad: int = 25) -> DataFrame
 
 def locus_edit_summary(reads: DataFrame, loci: DataFrame, pad: int = 50) -> DataFrame:
     """Total and indel usable reads by arm with shares to four places, and the distinct indels joined by semicolons."""
-    met = reads_at_loci(usable_reads(reads), loci, pad)
-    edited = F.col("arm") == "edited"
-    kinds = F.concat_ws(";", F.array_sort(F.collect_set(F.when(_indel() & edited, F.regexp_replace("cigar", r"\d+M", "")))))
+    kind = F.when(_indel() & (F.col("arm") == "edited"), F.regexp_replace("cigar", r"\d+M", ""))
+    met = reads_at_loci(usable_reads(reads), loci, pad, has_indel=_indel(), kind=kind)
+    edited, has = F.col("arm") == "edited", F.col("has_indel")
     out = met.groupBy(*LOCUS).agg(
-        F.count_if(edited).alias("total"), F.count_if(edited & _indel()).alias("indel"),
-        F.count_if(~edited).alias("control_total"), F.count_if(~edited & _indel()).alias("control_indel"), kinds.alias("events"),
+        F.count_if(edited).alias("total"), F.count_if(edited & has).alias("indel"), F.count_if(~edited).alias("control_total"), F.count_if(~edited & has).alias("control_indel"),
+        F.concat_ws(";", F.array_sort(F.collect_set("kind"))).alias("events"),
     )
     share = lambda a, b: F.round(F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(F.lit(0.0)), 4)
     return out.withColumn("fraction", share("indel", "total")).withColumn("control_fraction", share("control_indel", "control_total"))
 
 
-def _around(reads: DataFrame, loci: DataFrame, fetch: int, window: int) -> DataFrame:
-    """Primary reads within `fetch` of a locus with `e`, their largest indel within `window`, and `spans`: do they reach over it?"""
-    met = reads_at_loci(primary_reads(reads), loci, fetch, 0)
-    ends = F.col("ref_start") + cg.bases(F.col("ops"), "MDN=X")
-    return met.withColumn("found", cg.parsed_events(F.col("ops"), F.col("ref_start"))).withColumn("e", cg.largest_of(F.col("found"), F.col("pos"), window)).withColumn(
-        "spans", ((F.col("ref_start") <= F.col("pos")) & (F.col("pos") <= ends)).cast("long")
-    )
+def _around(reads: DataFrame, loci: DataFrame, window: int) -> DataFrame:
+    """Primary reads with `e`, their largest indel within `window` of a locus, and `spans`: do they reach over it?
+
+    A read's indels and clips lie between its ends, so one that ends farther away has nothing to say.
+    """
+    met = reads_at_loci(primary_reads(reads), loci, window + 1, 0).withColumn("e", _largest(window))
+    return met.withColumn("spans", ((F.col("ref_start") <= F.col("pos")) & (F.col("pos") <= F.col("en"))).cast("long"))
 
 
-def pileup_shape(reads: DataFrame, loci: DataFrame, fetch: int = 200, window: int = 25, near: int = 2, least: int = 8) -> DataFrame:
+def pileup_shape(reads: DataFrame, loci: DataFrame, window: int = 25, near: int = 2, least: int = 8) -> DataFrame:
     """How the indels of a locus are spread: shares, the modal cut, its length and MAPQ, the modal clip.
 
-    Every primary read within `fetch` of the locus gives its largest indel within `window` and its clips there, whether
-    it spans the locus or not; shares are of the spanning reads, and loci with fewer than `least` of them are left out.
+    Every primary read gives its largest indel within `window` of the locus and its clips there, whether it spans the
+    locus or not; shares are of the spanning reads, and loci with fewer than `least` of them are left out.
     Modal length and median MAPQ are those of the indels within `near` of the modal cut; of equally common values the
     lowest is the mode. Loci without indels have 0 for all and no modal cut.
 
     Reads meet loci once and are counted by (locus, cut, length, MAPQ); everything else is taken from these counts.
     """
-    met = _around(reads, loci, fetch, window)
+    met = _around(reads, loci, window)
     clips = F.filter("found", lambda x: (x["op"] == "S") & (F.abs(x["pos"] - F.col("pos")) <= window))
     none = F.lit(None).cast("long")
     own = F.array(F.struct(F.lit(False).alias("clip"), F.col("e.pos").alias("at"), F.col("e.len").alias("len"), F.when(F.col("e").isNotNull(), F.col("mapq")).alias("mapq"), F.col("spans").alias("spans")))
@@ -175,14 +173,14 @@ def pileup_shape(reads: DataFrame, loci: DataFrame, fetch: int = 200, window: in
     )
 
 
-def panel_of_normals(reads: DataFrame, candidates: DataFrame, least: int = 4, reach: int = 26, near: int = 3, fetch: int = 201, hit: float = 0.03, pooled: float = 0.02) -> DataFrame:
+def panel_of_normals(reads: DataFrame, candidates: DataFrame, least: int = 4, reach: int = 26, near: int = 3, hit: float = 0.03, pooled: float = 0.02) -> DataFrame:
     """Indels near each candidate (chrom, pos, sample) in the primary control reads of other samples.
 
     A read supports the candidate if its largest indel within `reach` lies within `near` of it, also where the read
     itself ends before the candidate or starts behind it. Gives normals with `least` spanning reads or more, hits, pooled
     and worst share, and demote: any hit, or a pooled share of `pooled` or more.
     """
-    normals = _around(reads.where("arm = 'control'"), candidates, fetch, reach).withColumnRenamed("sample", "normal")
+    normals = _around(reads.where("arm = 'control'"), candidates, reach).withColumnRenamed("sample", "normal")
     seen = F.coalesce((F.abs(F.col("e.pos") - F.col("pos")) <= near).cast("int"), F.lit(0))
     normals = normals.groupBy(*LOCUS, "normal").agg(F.sum("spans").alias("n"), F.sum(seen).alias("k")).where(F.col("n") >= least)
     met = candidates.select(*LOCUS, "sample").distinct().join(normals, list(LOCUS)).where(F.col("normal") != F.col("sample"))
@@ -240,38 +238,32 @@ def read_features(reads: DataFrame, loci: DataFrame, pad: int = 150) -> DataFram
     """
     small = few_rows(loci.select(*LOCUS).distinct(), MARK_BYTES)
     optional = lambda df, c, kind: F.col(c) if c in df.columns else F.lit(None).cast(kind)
-    control = reads_at_loci(mapped_reads(reads.where("arm = 'control'")), loci, 100, 0)
-    span = F.struct(F.col("ref_start").cast("long").alias("st"), (F.col("ref_start") + cg.bases(F.col("ops"), "MDN=X")).alias("en"))
-    has = lambda op: cg.bases(F.col("ops"), op) > 0
-    near = (F.col("ref_start") < F.col("pos") + 50) & (F.col("pos") - 50 < span["en"])
-    mismatch = cg.tag_letters(optional(reads, "md", "string")) > 0
+    marks = {"d": _has("D"), "i": _has("I"), "m": cg.tag_letters(optional(reads, "md", "string")) > 0, "all": F.lit(True)}
+    control = reads_at_loci(mapped_reads(reads.where("arm = 'control'")), loci, 100, 0, **{k: v.cast("long") for k, v in marks.items()})
+    near = (F.col("ref_start") < F.col("pos") + 50) & (F.col("pos") - 50 < F.col("en"))
     # Of the control's reads with a deletion only starts and their greatest ends are needed.
-    starts = control.groupBy(*LOCUS, "ref_start").agg(
-        F.max(F.when(has("D"), span["en"])).alias("en"), *[F.sum(F.when(near, m.cast("long"))).alias(c) for c, m in (("d", has("D")), ("i", has("I")), ("m", mismatch), ("all", F.lit(True)))]
-    )
+    starts = control.groupBy(*LOCUS, "ref_start").agg(F.max(F.when(F.col("d") > 0, F.col("en"))).alias("en"), *[F.sum(F.when(near, F.col(c))).alias(c) for c in marks])
     part = lambda c: F.coalesce(F.sum(c) / F.nullif(F.sum("all"), F.lit(0)), F.lit(0.0))
     deleted = F.collect_list(F.when(F.col("en").isNotNull(), F.struct(F.col("ref_start").cast("long").alias("st"), "en")))
     marks = starts.groupBy(*LOCUS).agg(deleted.alias("_deleted"), part("d").alias("_d"), part("i").alias("_i"), part("m").alias("_m"))
     told = {"pams": F.array(F.col("pos").cast("long")), "on_target": F.lit(0), "homopolymer": F.lit(False), "repeat_distance": F.lit(999)}
     sites = loci.select(*LOCUS, *[(F.col(c) if c in loci.columns else v).alias(f"_{c}") for c, v in told.items()]).dropDuplicates(list(LOCUS))
     hint = F.broadcast if small else (lambda df: df)
-    met = reads_at_loci(primary_reads(reads.where("arm = 'edited'")), loci, pad, 0).withColumn("_span", span)
-    met = met.join(hint(sites), list(LOCUS)).join(hint(marks), list(LOCUS), "left")
-    own = cg.indel_evidence(F.col("cigar"), optional(reads, "nm", "int"), optional(reads, "md", "string"), optional(reads, "sa", "string"))
-    met = met.withColumn("_e", own).withColumn("_size", F.col("_e.inserted") + F.col("_e.deleted"))
-    flag = optional(reads, "flag", "int")
-    paired = flag.bitwiseAND(0x3) == 0x3
-    met_by = F.exists(F.coalesce("_deleted", F.array().cast("array<struct<st:bigint,en:bigint>>")), lambda c: (F.col("_span.en") >= c["st"]) & (c["en"] >= F.col("_span.st")))
-    indel_ops = F.size(F.filter("ops", lambda x: x["op"].isin("I", "D")))
+    evidence = cg.indel_evidence(F.col("cigar"), optional(reads, "nm", "int"), optional(reads, "md", "string"), optional(reads, "sa", "string"))
+    own = {"_e": evidence, "_del": _has("D"), "_ops": F.size(F.filter("found", lambda x: x["op"].isin("I", "D"))), "_clips": F.filter("found", lambda x: x["op"] == "S")}
+    met = reads_at_loci(primary_reads(reads.where("arm = 'edited'")), loci, pad, 0, **own)
+    met = met.join(hint(sites), list(LOCUS)).join(hint(marks), list(LOCUS), "left").withColumn("_size", F.col("_e.inserted") + F.col("_e.deleted"))
+    paired = optional(reads, "flag", "int").bitwiseAND(0x3) == 0x3
+    met_by = F.exists(F.coalesce("_deleted", F.array().cast("array<struct<st:bigint,en:bigint>>")), lambda c: (F.col("en") >= c["st"]) & (c["en"] >= F.col("ref_start")))
     less = lambda mark, c: mark.cast("int") - F.coalesce(F.col(c), F.lit(0.0))
     gaps = F.transform("_pams", lambda p: F.abs(p - F.col("pos")))
     return met.select(
         *LOCUS, "read_name", "ref_start", "cigar", F.coalesce(F.when(paired, F.abs(optional(reads, "tlen", "long"))), F.lit(-1)).cast("long").alias("pair_gap"),
         F.col("_e.clipped").alias("softclip"), less(F.col("_e.deleted") > 0, "_d").alias("del_vs_control"), less(F.col("_e.inserted") > 0, "_i").alias("ins_vs_control"),
-        less(F.col("_e.md_mismatches" if "md" in reads.columns else "_e.mismatches") > 0, "_m").alias("mismatch_vs_control"), (has("D") & ~met_by).cast("int").alias("deletion_exclusive"),
-        F.col("_on_target").cast("int").alias("on_target"), F.exists("_pams", lambda p: (F.col("_span.st") <= p + 25) & (F.col("_span.en") >= p - 25)).cast("int").alias("at_target"),
+        less(F.col("_e.md_mismatches" if "md" in reads.columns else "_e.mismatches") > 0, "_m").alias("mismatch_vs_control"), (F.col("_del") & ~met_by).cast("int").alias("deletion_exclusive"),
+        F.col("_on_target").cast("int").alias("on_target"), F.exists("_pams", lambda p: (F.col("ref_start") <= p + 25) & (F.col("en") >= p - 25)).cast("int").alias("at_target"),
         F.coalesce(F.array_min(gaps), F.lit(-1)).cast("long").alias("pam_distance"), F.col("_size").alias("indel_size"), cg.size_class(F.col("_size")).alias("size_class"),
-        cg.complexity(indel_ops, F.col("_size")).alias("complexity"), cg.clip_distance_of(cg.parsed_events(F.col("ops"), F.col("ref_start")), F.col("_pams")).alias("clip_distance"),
+        cg.complexity(F.col("_ops"), F.col("_size")).alias("complexity"), cg.clip_distance_of(F.col("_clips"), F.col("_pams")).alias("clip_distance"),
         F.col("_homopolymer").cast("int").alias("homopolymer"), F.col("_repeat_distance").cast("int").alias("repeat_distance"),
     )
 
@@ -281,7 +273,7 @@ def downsample_depth(reads: DataFrame, loci: DataFrame, target: int) -> DataFram
 
     Reads meet loci once; what they meet is written, counted and filtered.
     """
-    met = saved(reads_at_loci(reads, loci, 0), "depth-reads")
+    met = saved(reads_at_loci(reads, loci, 0).select(*reads.columns, "pos"), "depth-reads")
     depth = met.groupBy(*LOCUS).agg(F.count(F.lit(1)).alias("depth"))
     depth = F.broadcast(depth) if few_rows(loci.select(*LOCUS).distinct(), 128) else depth
     uniform = F.conv(F.substring(F.md5(F.col("read_name")), 1, 8), 16, 10).cast("long") / F.lit(2.0**32)

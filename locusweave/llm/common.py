@@ -126,18 +126,19 @@ def broadcast_if_small(keys: DataFrame) -> DataFrame:
 HOT_KEYS, HOT_ROWS = 50_000, 1_000
 
 
-def join_hot(rows: DataFrame, table: DataFrame, key: str, size: str) -> DataFrame:
+def join_hot(rows: DataFrame, table: DataFrame, key: str | list[str], size: str) -> DataFrame:
     """rows joined with a saved table that has a row for each key and, in column `size`, about how many rows the key has.
 
     Keys with many rows are joined by a broadcast, so that none of them fills a task; they are so chosen that there are
     HOT_KEYS at most.
     """
+    key = [key] if isinstance(key, str) else key
     total = table.agg(F.sum(size)).first()[0] or 0
     many = F.col(size) >= max(HOT_ROWS, total // HOT_KEYS)
     hot = table.where(many)
     if hot.isEmpty():
         return rows.join(table, key)
-    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(table.where(~many), key)
+    rest = rows.join(F.broadcast(hot.select(*key)), key, "left_anti").join(table.where(~many), key)
     return rows.join(F.broadcast(hot), key).unionByName(rest)
 
 

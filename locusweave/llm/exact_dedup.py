@@ -10,7 +10,9 @@ Texts move once, as distinct blocks; after that only integers do. Blocks travel
 blocks of each hash are gathered with it (one, but for collisions). A hash that two different blocks share is settled
 by comparing the blocks themselves, so no identity rests on a hash.
 
-Defined cases: null text counts as empty; empty texts are equal to one another; of equal texts the row with the
+Blocks and pairs of names that many texts share are joined by a broadcast (`join_hot`), so none of them fills a task.
+
+Defined cases: a text may be of any length, as it moves in blocks; null text counts as empty; empty texts are equal to one another; of equal texts the row with the
 largest doc_id stays (null ids come last); of rows that repeat doc_id and text, one stays; an empty table gives an
 empty result. Other columns are ignored by `classes` and kept by `dedup`.
 """
@@ -42,13 +44,13 @@ def _block_names(docs: DataFrame, heads: DataFrame, cells: DataFrame, chars: int
     """cells(row, at, hash) -> row, at, name."""
     text = F.coalesce(F.col("text"), F.lit(""))
     pieces = docs.select(F.explode(_blocks(text, chars)).alias("block")).select(block_hash(F.col("block")).alias("hash"), "block")
-    sets = pieces.groupBy("hash").agg(F.sort_array(F.collect_set("block")).alias("blocks"))
+    sets = pieces.groupBy("hash").agg(F.sort_array(F.collect_set("block")).alias("blocks"), F.count(F.lit(1)).alias("times"))
     # A block is carried on only where its hash does not tell it from another.
     clear = F.size("blocks") == 1
-    keys = sets.select("hash", F.explode(F.when(clear, F.array(F.lit(""))).otherwise(F.col("blocks"))).alias("block"), (~clear).alias("mixed"))
+    keys = sets.select("hash", F.explode(F.when(clear, F.array(F.lit(""))).otherwise(F.col("blocks"))).alias("block"), (~clear).alias("mixed"), "times")
     names = saved(_named(keys, "hash", "block"), "dedup-blocks")
-    plain = names.where(~F.col("mixed")).select("hash", "name")
-    out = cells.join(plain, "hash").select("row", "at", "name")
+    plain = names.where(~F.col("mixed")).select("hash", "name", "times")
+    out = join_hot(cells, plain, "hash", "times").select("row", "at", "name")
     mixed = names.where("mixed")
     if mixed.isEmpty():
         return out
@@ -96,8 +98,8 @@ def classes(docs: DataFrame, block_chars: int = BLOCK_CHARS, block_hash=_hash) -
         pairs = live.groupBy("row", F.floor(F.col("at") / 2).cast("int").alias("at"), fewer).agg(
             F.max(F.when(slot, F.col("name"))).alias("left"), F.coalesce(F.max(F.when(~slot, F.col("name"))), F.lit(-1)).alias("right")
         )
-        made = _named(pairs.select("left", "right").distinct(), "left", "right")
-        names = saved(pairs.join(made, ["left", "right"]).select("row", "at", "left_over", "name"), f"dedup-names{rounds}")
+        made = saved(_named(pairs.groupBy("left", "right").agg(F.count(F.lit(1)).alias("times")), "left", "right"), f"dedup-pairs{rounds}")
+        names = saved(join_hot(pairs, made, ["left", "right"], "times").select("row", "at", "left_over", "name"), f"dedup-names{rounds}")
         ended.append(names.where("left_over = 1").select("row", (F.col("name") * ROUNDS + rounds).alias("text_id")))
         live = names.where("left_over > 1")
         most = (most + 1) // 2

@@ -6,9 +6,12 @@ and a bias is added. Training contrasts each symbol with noise drawn from symbol
 the normalisers of all contexts are then made once by batched matrix products, and every score is a normalised
 log-probability. A word of a class has the class's probability times its smoothed share of the class.
 
-All training texts, whole, teach the model. In each of ROUNDS rounds every task starts from the same parameters, goes
-once through its own texts, and returns its parameters; these are averaged by tokens, in SLOTS tasks and then on the
-driver, which sees SLOTS rows whatever the corpus. A lost task goes through its texts again with the same draws.
+All training texts, whole, teach the model. Texts are dealt into shards of about SHARD_TOKENS tokens by a hash of their
+id and text, and each shard is boiled down to the triples of symbols in it with their counts; so what a shard teaches
+depends on texts and ids alone, not on how files are split or which task reads what. In each round every shard starts
+from the same parameters, goes once through its triples, weighted by their counts, and returns its parameters; these are
+averaged by tokens, in SLOTS tasks and then on the driver, which sees SLOTS rows whatever the corpus. Rounds go on until
+the contrastive likelihood of the training texts rises by less than LEAST_GAIN of itself, MOST_ROUNDS at most.
 
 Counts cover all training texts: word hashes are counted per batch, summed by a shuffle and kept as a table. The
 words with the highest counts (at most DICTIONARY) go to all tasks; the hashes of other words are joined to the
@@ -25,7 +28,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,8 +39,13 @@ runs_on_executors(__name__)
 FREQUENT, CLASSES = 768, 256
 DICTIONARY = 1 << 17
 WIDTH = 32
-NOISE, BATCH, RATE = 128, 1024, 0.1
-ROUNDS, SLOTS = 2, 32
+NOISE, BATCH, RATE = 128, 1024, 0.15
+SHARD_TOKENS, SLOTS = 4_000_000, 32
+MOST_ROUNDS, LEAST_GAIN = 4, 0.01
+#: A triple that is more frequent than this is learnt in several steps of a round, each with a part of its count.
+HEAVY = 8
+#: The likelihood is taken of each so many-th batch, and no term of it is less than this below 0.
+GAUGED, LEAST_LOG = 8, 30.0
 SMOOTHING = 0.1
 ROWS_AT_ONCE = 256
 END = np.uint64(0x51ED270B0A1F39C5)
@@ -96,6 +103,27 @@ def contexts(symbols: np.ndarray, ends: np.ndarray, blank: int) -> tuple[np.ndar
     return one, two
 
 
+def triples(symbols: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
+    """Each place's two preceding symbols and its own as one number; n symbols, and n itself before a text."""
+    one, two = contexts(symbols, ends, n)
+    return (one * (n + 1) + two) * n + symbols
+
+
+def untriple(keys: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    pairs, own = np.divmod(keys, n)
+    one, two = np.divmod(pairs, n + 1)
+    return one, two, own
+
+
+def counted(keys: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and their counts together."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    at = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    sums = np.diff(np.append(at, len(keys))) if times is None else np.add.reduceat(times[order], at) if len(keys) else times
+    return keys[at], sums.astype(np.int64)
+
+
 def _summed(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     """Sums of value rows by row number, n x width."""
     cells = (rows[:, None] * WIDTH + np.arange(WIDTH)).ravel()
@@ -125,31 +153,40 @@ class Trainer:
         one, two, outputs, bias = self.params
         return Network([one, two], outputs, bias)
 
-    def learn(self, symbols: np.ndarray, ends: np.ndarray, rate: float, rng: np.random.Generator) -> None:
-        """Go once through texts by noise-contrastive estimation; the places of a batch share their noise symbols."""
+    def learn(self, keys: np.ndarray, times: np.ndarray, rate: float, rng: np.random.Generator) -> float:
+        """Go once through triples by noise-contrastive estimation; those of a batch share their noise. Their mean log-likelihood, as of every GAUGED-th batch."""
         with np.errstate(over="ignore"):  # an infinite exponential is a share of 0
-            self._learn(symbols, ends, rate, rng)
+            return self._learn(keys, times, rate, rng)
 
-    def _learn(self, symbols: np.ndarray, ends: np.ndarray, rate: float, rng: np.random.Generator) -> None:
+    def _learn(self, keys: np.ndarray, times: np.ndarray, rate: float, rng: np.random.Generator) -> float:
         n, (first, second, outputs, bias) = self.n, self.params
-        one, two = contexts(symbols, ends, n)
         shift = np.float32(np.log(NOISE)) + self.log_noise
-        for rows in np.array_split(rng.permutation(len(symbols)), max(1, round(len(symbols) / BATCH))):
-            a, b, w = one[rows], two[rows], symbols[rows]
-            drawn = np.searchsorted(self.sums, rng.random(NOISE)).clip(0, n - 1)
-            q, right, wrong, off, share = first[a], outputs[w], outputs[drawn], bias - shift, np.float32(1 / len(rows))
+        steps = -(-times // HEAVY)
+        of = np.repeat(np.arange(len(keys)), steps)
+        told, weighed, weights = 0.0, 0.0, (times / steps).astype(np.float32)
+        for at, rows in enumerate(np.array_split(of[rng.permutation(len(of))], max(1, round(len(of) / BATCH)))):
+            (a, b, w), drawn = untriple(keys[rows], n), np.searchsorted(self.sums, rng.random(NOISE)).clip(0, n - 1)
+            mine = weights[rows]
+            share = mine / mine.sum()
+            q, right, wrong, off = first[a], outputs[w], outputs[drawn], bias - shift
             q += second[b]
             d_true = np.einsum("ij,ij->i", q, right)
             d_true += off[w]
             np.exp(d_true, out=d_true)
             d_true += 1
+            gauge = at % GAUGED == 0
+            if gauge:
+                likely = np.maximum(np.log1p(-1 / d_true), -LEAST_LOG)
             np.divide(-share, d_true, out=d_true)
             # Negated here, so that no pass over the batch's noise is spent on it.
             d_fake = q @ -wrong.T
             d_fake -= off[drawn]
             np.exp(d_fake, out=d_fake)
             d_fake += 1
-            np.divide(share, d_fake, out=d_fake)
+            if gauge:
+                likely += np.maximum(np.log1p(-1 / d_fake), -LEAST_LOG).sum(1)
+                told, weighed = told + float(likely @ mine), weighed + float(mine.sum())
+            np.divide(share[:, None], d_fake, out=d_fake)
             dq = d_fake @ wrong
             g_bias = np.bincount(w, d_true, n).astype(np.float32)
             np.add.at(g_bias, drawn, d_fake.sum(0))
@@ -167,6 +204,7 @@ class Trainer:
                 g *= np.float32(rate)
                 g /= t
                 p -= g
+        return told / weighed if weighed else 0.0
 
 
 @dataclass
@@ -245,43 +283,77 @@ def _scorer(counts: DataFrame) -> tuple[Scorer, np.ndarray, int, int]:
     return Scorer(words, n, symbol, class_log, float(np.log10(total + SMOOTHING * (kinds + 1)))), noise / noise.sum(), int(total), least
 
 
-def _fit(docs: DataFrame, scorer: Scorer, noise: np.ndarray) -> Network:
-    """The network, taught by all texts of docs(text) in ROUNDS rounds of averaged parameters."""
-    context = docs.sparkSession.sparkContext
+def _shards(docs: DataFrame, scorer: Scorer, shards: int) -> DataFrame:
+    """docs(doc_id, text) -> shard, keys, times: the triples of each shard's texts, sorted, and their counts, as bytes; saved."""
     frequent = np.flatnonzero(scorer.symbol >= 0)
-    symbols_of = vars(scorer) | {"words": scorer.words[frequent], "symbol": scorer.symbol[frequent], "counts": scorer.counts[frequent]}
-    state = Trainer(noise).state
-    for turn in range(ROUNDS):
-        shared = context.broadcast((symbols_of, noise, state))
+    shared = docs.sparkSession.sparkContext.broadcast(vars(scorer) | {"words": scorer.words[frequent], "symbol": scorer.symbol[frequent], "counts": scorer.counts[frequent]})
+    packed = lambda shard, keys, times: pa.RecordBatch.from_arrays(
+        [pa.array([shard], pa.int64()), pa.array([keys.astype(np.int64).tobytes()], pa.binary()), pa.array([times.astype(np.int64).tobytes()], pa.binary())], ["shard", "keys", "times"]
+    )
+
+    def boil(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Scorer(**shared.value)
+        for batch in batches:
+            found, of = [], np.asarray(batch.column(0))
+            for a in range(0, len(batch), ROWS_AT_ONCE):
+                hashes, classes, ends = tokens(batch.column(1).slice(a, ROWS_AT_ONCE))
+                keys = triples(known.symbols(known.lookup(hashes), classes), ends, FREQUENT + CLASSES)
+                found.append((np.repeat(of[a : a + ROWS_AT_ONCE], np.diff(ends)), keys))
+            whose, keys = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
+            order = np.argsort(whose, kind="stable")
+            whose, keys = whose[order], keys[order]
+            at = np.flatnonzero(np.append(True, whose[1:] != whose[:-1])) if len(whose) else np.zeros(0, np.int64)
+            for i, j in zip(at.tolist(), np.append(at[1:], len(whose)).tolist()):
+                yield packed(int(whose[i]), *counted(keys[i:j]))
+        give_back_memory()
+
+    def merge(parts: pa.Table) -> pa.Table:
+        keys, times = (np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in parts.column(c)]) for c in ("keys", "times"))
+        return pa.Table.from_batches([packed(parts.column("shard")[0].as_py(), *counted(keys, times))])
+
+    kinds = "shard long, keys binary, times binary"
+    out = saved(docs.mapInArrow(boil, kinds).groupBy("shard").applyInArrow(merge, kinds), "lm-triples")
+    shared.destroy()
+    return out
+
+
+def _fit(docs: DataFrame, scorer: Scorer, noise: np.ndarray, total: int) -> Network:
+    """The network, taught by all texts of docs(doc_id, text), which have `total` tokens, in rounds of averaged parameters."""
+    context, shards = docs.sparkSession.sparkContext, max(1, -(-total // SHARD_TOKENS))
+    shard = F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("long").alias("shard")
+    taught = _shards(docs.select(shard, "text"), scorer, shards).repartition(shards, "shard")
+    state, likely = Trainer(noise).state, None
+    for turn in range(MOST_ROUNDS if total else 0):
+        shared = context.broadcast((noise, state))
 
         def learn(batches: Iterator[pa.RecordBatch], shared=shared, turn=turn) -> Iterator[pa.RecordBatch]:
-            words, noise, state = shared.value
-            known, own, part, seen = Scorer(**words), Trainer(noise, state), TaskContext.get().partitionId(), 0
-            rng = np.random.default_rng((turn, part))
-            for whole in batches:
-                for a in range(0, len(whole), ROWS_AT_ONCE):
-                    hashes, classes, ends = tokens(whole.column(0).slice(a, ROWS_AT_ONCE))
-                    own.learn(known.symbols(known.lookup(hashes), classes), ends, RATE / (1 + turn), rng)
-                    seen += len(hashes)
-            if seen:
-                yield pa.RecordBatch.from_arrays([pa.array([part % SLOTS]), pa.array([seen]), pa.array([own.state.tobytes()])], ["slot", "seen", "state"])
+            noise, state = shared.value
+            for batch in batches:
+                for part, keys, times in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                    own, times = Trainer(noise, state), np.frombuffer(times.as_buffer(), np.int64)
+                    told = own.learn(np.frombuffer(keys.as_buffer(), np.int64), times, RATE / (1 + turn), np.random.default_rng((turn, part)))
+                    seen = int(times.sum())
+                    yield pa.RecordBatch.from_arrays([pa.array([part % SLOTS]), pa.array([part]), pa.array([seen]), pa.array([told]), pa.array([own.state.tobytes()])], ["slot", "shard", "seen", "told", "state"])
             give_back_memory()
 
         def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            seen, total = 0, None
+            seen, told, whole, slot = 0, 0.0, None, 0
             for batch in batches:
-                for n, state in zip(batch.column(1).to_pylist(), batch.column(2)):
+                for slot, n, t, state in zip(*(batch.column(c).to_pylist() for c in (0, 2, 3)), batch.column(4)):
                     more = np.frombuffer(state.as_buffer(), np.float32) * np.float64(n)
-                    seen, total = seen + n, more if total is None else total + more
+                    seen, told, whole = seen + n, told + t * n, more if whole is None else whole + more
             if seen:
-                yield pa.RecordBatch.from_arrays([pa.array([0]), pa.array([seen]), pa.array([(total / seen).astype(np.float32).tobytes()])], ["slot", "seen", "state"])
+                yield pa.RecordBatch.from_arrays([pa.array([slot]), pa.array([0]), pa.array([seen]), pa.array([told / seen]), pa.array([(whole / seen).astype(np.float32).tobytes()])], ["slot", "shard", "seen", "told", "state"])
 
-        kinds = "slot long, seen long, state binary"
-        learnt = docs.mapInArrow(learn, kinds).repartition(SLOTS, "slot").mapInArrow(add_up, kinds).collect()
+        kinds = "slot long, shard long, seen long, told double, state binary"
+        # One task a slot, its shards in order, so that sums do not depend on which task ends first.
+        learnt = taught.mapInArrow(learn, kinds).repartitionByRange(SLOTS, "slot").sortWithinPartitions("slot", "shard").mapInArrow(add_up, kinds).collect()
         shared.destroy()
-        if learnt:
-            total = sum(r["seen"] for r in learnt)
-            state = sum(np.frombuffer(r["state"], np.float32) * np.float64(r["seen"] / total) for r in learnt).astype(np.float32)
+        learnt = sorted(learnt, key=lambda r: r["slot"])
+        state = sum(np.frombuffer(r["state"], np.float32) * np.float64(r["seen"] / total) for r in learnt).astype(np.float32)
+        was, likely = likely, sum(r["told"] * (r["seen"] / total) for r in learnt)
+        if was is not None and likely - was < LEAST_GAIN * abs(was):
+            break
     return Trainer(noise, state).network()
 
 
@@ -290,11 +362,11 @@ def score(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 10 == 0
     docs = small_batches(docs).select("doc_id", "text", held_out.alias("held_out"))
-    texts = docs.where(~F.col("held_out")).select("text")
-    counted = texts.mapInArrow(_count, "word long, class long, n long")
-    counts = saved(counted.groupBy("word").agg(F.min("class").alias("class"), F.sum("n").alias("n")), "lm-counts")
+    texts = docs.where(~F.col("held_out")).select("doc_id", "text")
+    seen = texts.select("text").mapInArrow(_count, "word long, class long, n long")
+    counts = saved(seen.groupBy("word").agg(F.min("class").alias("class"), F.sum("n").alias("n")), "lm-counts")
     scorer, noise, total, least = _scorer(counts)
-    scorer.network = _fit(texts, scorer, noise)
+    scorer.network = _fit(texts, scorer, noise, total)
     scorer.norm = scorer.network.normalisers()
     words_module._powers.clear()
     give_back_memory()

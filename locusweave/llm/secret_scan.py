@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from locusweave.llm.common import saved
+from locusweave.llm.common import join_hot, saved
 
 
 def _either(word: str) -> str:
@@ -64,10 +64,10 @@ def _found(rank: int, pattern: str, least: int) -> Column:
 
 
 def ownership(candidates: DataFrame) -> DataFrame:
-    """candidates(value_hash, owner, repository) -> value_hash, n_owners, n_repositories."""
+    """candidates(value_hash, owner, repository) -> value_hash, n_owners, n_repositories, and n_held, how many there are."""
     each = candidates.groupBy("value_hash", "owner", "repository").agg(F.count(F.lit(1)).alias("n"))
-    owners = each.groupBy("value_hash", "owner").agg(F.count(F.lit(1)).alias("repositories"))
-    return owners.groupBy("value_hash").agg(F.count(F.lit(1)).alias("n_owners"), F.sum("repositories").alias("n_repositories"))
+    owners = each.groupBy("value_hash", "owner").agg(F.count(F.lit(1)).alias("repositories"), F.sum("n").alias("n"))
+    return owners.groupBy("value_hash").agg(F.count(F.lit(1)).alias("n_owners"), F.sum("repositories").alias("n_repositories"), F.sum("n").alias("n_held"))
 
 
 def spans(docs: DataFrame, owner: Column, repository: Column, example_owners: int = EXAMPLE_OWNERS, example_repositories: int = EXAMPLE_REPOSITORIES) -> tuple[DataFrame, DataFrame]:
@@ -81,7 +81,7 @@ def spans(docs: DataFrame, owner: Column, repository: Column, example_owners: in
     so_far = W.partitionBy("row", "rank").orderBy("at").rowsBetween(W.unboundedPreceding, 0)
     placed = each.withColumn("end", F.sum(F.col("gap") + F.col("n")).over(so_far).cast("int")).withColumn("start", F.col("end") - F.col("n"))
     placed = saved(placed.where("counts").select("row", "owner", "repository", "rank", "start", "end", "value_hash", "live"), "secret-spans")
-    told = placed.join(ownership(placed), "value_hash")
+    told = join_hot(placed, saved(ownership(placed), "secret-owners"), "value_hash", "n_held")
     example = (F.col("n_owners") >= example_owners) | (F.col("n_repositories") >= example_repositories)
     told = told.withColumn("example", example).withColumn("live", ~example & (F.col("n_owners") == 1) & F.col("live"))
     return rows.select("row", "doc_id"), told.select("row", "rank", "start", "end", "n_owners", "n_repositories", "example", "live")

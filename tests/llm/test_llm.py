@@ -314,8 +314,9 @@ def test_lm_is_normalised_and_learns():
     symbols = np.cumsum(rng.integers(1, 3, 30_000)) % 20  # each symbol is one or two more than the last
     ends = np.arange(0, 30_001, 30)
     own = lm_score.Trainer(np.full(20, 0.05))
-    for turn in range(3):
-        own.learn(symbols, ends, 0.1, np.random.default_rng(turn))
+    for turn in range(12):  # the triples of these texts fill four batches
+        told = own.learn(*lm_score.counted(lm_score.triples(symbols, ends, 20)), 0.1, np.random.default_rng(turn))
+    assert told < 0
     net = own.network()
     norm = net.normalisers()
     for a, b in ((0, 1), (20, 20), (5, 20)):
@@ -337,6 +338,46 @@ def test_lm_learns_from_every_text_and_agrees_with_itself(spark):
     assert all(after[k][0] != one[k] for k in one)
 
 
+def test_lm_does_not_depend_on_the_layout(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "SHARD_TOKENS", 700)
+    docs = [(k, " ".join(random.Random(k).choices(["the", "of", "rain", "sea", "ñu", "a b"], k=50))) for k in range(90)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    one, three, seven = ({r.doc_id: r.score for r in lm_score.score(df.repartition(n)).collect()} for n in (1, 3, 7))
+    assert one == three == seven
+
+
+def test_lm_score_recomputed_slowly(spark, monkeypatch):
+    """A text's score from the parameters alone, word by word."""
+    kept, fit = {}, lm_score._fit
+
+    def keep(docs, scorer, noise, total):
+        kept["scorer"], kept["total"] = scorer, total
+        return fit(docs, scorer, noise, total)
+
+    monkeypatch.setattr(lm_score, "_fit", keep)
+    monkeypatch.setattr(lm_score, "FREQUENT", 4)
+    docs = [(k, " ".join(random.Random(k).choices(["the", "of", "rain", "sea", "it", "was", "odd"], k=30))) for k in range(60)] + [(500, "the Unseen rain"), (501, None)]
+    got = {r.doc_id: r.score for r in lm_score.score(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    known, counts = kept["scorer"], Counter()
+    for k, text in docs:
+        if zlib.crc32(str(k).encode()) % 10:
+            counts.update([*words_of(text), None])
+    net, n = known.network, len(known.network.outputs)
+    for k, text in (docs[3], docs[-2], docs[-1]):
+        hashes, classes, _ = lm_score.tokens(pa.array([text]))
+        before, total = [n, n], 0.0
+        for h, c, word in zip(hashes, classes.tolist(), [*words_of(text), None]):
+            at = np.flatnonzero(known.words == h)
+            own = int(known.symbol[at[0]]) if len(at) else -1
+            symbol = own if own >= 0 else 4 + c
+            scores = net.outputs @ (net.before[0][before[0]] + net.before[1][before[1]]) + net.bias
+            total += float(scores[symbol] - np.log(np.exp(scores.astype(np.float64)).sum())) / math.log(10)
+            if own < 0:
+                total += math.log10(counts[word] + 0.1) - known.class_log[c]
+            before = [symbol, before[0]]
+        assert abs(total - got[k]) < 1e-3
+
+
 # 7 near duplicates
 
 

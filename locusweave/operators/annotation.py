@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from locusweave.functions.cigar import cigar_total, clipped_overlap_share, parse_cigar
 from locusweave.functions.variants import reverse_complement
+from locusweave.operators.cohort import codon_range
 from locusweave.operators.intervals import overlap_join
+from locusweave.plans.size import broadcast_if_small
 
 _BASES = "TCAG"
 _AMINO = "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG"  # fixed values: the standard code in TCAG order
@@ -70,16 +72,62 @@ def reference_peptide(annotations: DataFrame, transcripts: DataFrame) -> DataFra
     return annotations.join(transcripts.select("trx", F.substring_index(translate(F.col("cds")), "*", 1).alias("peptide")), "trx")
 
 
-def target_intervals(targets: DataFrame, exons: DataFrame, before: int = 3, after: int = 2) -> DataFrame:
-    """Exons of target genes with padding, clamped to the coding part: gene, trx, chrom, st, en.
+def canonical_transcripts(transcripts: DataFrame) -> DataFrame:
+    """transcripts(gene, trx, canonical, cds_st, cds_en, ...), one of each gene: the marked one, else the longest coding span, then the name."""
+    order = [F.coalesce(F.col("canonical").cast("boolean"), F.lit(False)).desc(), (F.col("cds_en") - F.col("cds_st")).desc_nulls_last(), F.col("trx").asc()]
+    return transcripts.withColumn("_k", F.row_number().over(W.partitionBy("gene").orderBy(*order))).where("_k = 1").drop("_k")
 
-    Padding goes by strand: `before` bases on the 5' side, `after` on the 3' side.
+
+def target_intervals(targets: DataFrame, transcripts: DataFrame, exons: DataFrame) -> DataFrame:
+    """Rows of a panel: chrom, st, en, gene, info (fields joined by bars, as in a BED of targets).
+
+    targets(kind, gene, trx, region_chrom, region_st, region_en, numbers): trx is null where the gene's canonical
+    transcript is meant; positions count from 0, half-open, places in info from 1. transcripts(gene, gene_id, trx,
+    canonical, cds_st, cds_en, strand); exons(trx, chrom, st, en, number). Kinds:
+
+    exon: the exons (or those in the array numbers) with 3 bases before and 2 behind, but for those beyond the coding part
+    on the 3' side, and clamped there. exon_region: the region. hotspot: the region with the codons that it touches;
+    none if it touches no coding base. Any other kind: the region with its kind, of no transcript.
+    """
+    plain = ["kind", "gene", "trx", "region_chrom", "region_st", "region_en", "numbers"]
+    own = transcripts.select(F.col("trx").alias("_trx"), "gene_id", "cds_st", "cds_en", "strand")
+    best = canonical_transcripts(transcripts).select(F.col("gene").alias("_gene"), F.col("trx").alias("_best"))
+    named = targets.select(*plain).where(F.col("kind").isin("exon", "exon_region", "hotspot"))
+    named = named.join(broadcast_if_small(best), F.col("gene") == F.col("_gene"), "left").withColumn("trx", F.coalesce("trx", "_best")).drop("_gene", "_best")
+    named = named.join(own, F.col("trx") == F.col("_trx")).drop("_trx")
+    tail = ["gene", "gene_id", "trx", F.col("cds_st") + 1, "cds_en", "strand"]
+    info = lambda *first: F.concat_ws("|", *[c.cast("string") if not isinstance(c, str) else F.col(c).cast("string") for c in (*first, *tail)]).alias("info")
+    ex = exons.select(F.col("trx").alias("_trx"), "chrom", F.col("st").alias("ex_st"), F.col("en").alias("ex_en"), "number")
+    each = named.where("kind = 'exon'").join(ex, F.col("trx") == F.col("_trx")).where(F.col("numbers").isNull() | F.array_contains("numbers", F.col("number")))
+    st, en, up = F.col("ex_st") - 2, F.col("ex_en") + 2, F.col("strand") > 0
+    each = each.where(~((up & (st > F.col("cds_en"))) | (~up & (en < F.col("cds_st") + 1))))
+    low, high = F.when(~up & (st < F.col("cds_st") + 1), F.col("cds_st")).otherwise(st), F.when(up & (en > F.col("cds_en")), F.col("cds_en") + 1).otherwise(en)
+    out = each.select("chrom", low.alias("st"), high.alias("en"), "gene", info(F.lit("gene"), F.concat(F.lit("exon_"), F.col("number").cast("string"))))
+    region = [F.col("region_chrom").alias("chrom"), F.col("region_st").alias("st"), F.col("region_en").alias("en"), "gene"]
+    out = out.unionByName(named.where("kind = 'exon_region'").select(*region, info(F.lit("gene"), F.lit("exon_region"))))
+    hot = named.where("kind = 'hotspot'").select(*[c for c in named.columns if c != "numbers"])
+    coding = exons.select("trx", "st", "en").join(own.select("_trx", "cds_st", "cds_en", "strand"), F.col("trx") == F.col("_trx"))
+    coding = coding.select("trx", F.greatest("st", "cds_st").alias("st"), F.least("en", "cds_en").alias("en"), "strand").where("st < en")
+    regions = hot.select("trx", F.col("region_st").alias("st"), F.col("region_en").alias("en")).distinct()
+    codons = codon_range(regions, coding).select(F.col("trx").alias("_trx"), F.col("st").alias("_st"), F.col("en").alias("_en"), "first_codon", "last_codon")
+    hot = hot.join(codons, (F.col("trx") == F.col("_trx")) & (F.col("region_st") == F.col("_st")) & (F.col("region_en") == F.col("_en")))
+    first, last = F.col("first_codon").cast("string"), F.col("last_codon").cast("string")
+    out = out.unionByName(hot.select(*region, info(F.lit("hotspot"), F.when(first == last, F.concat(F.lit("codon"), first)).otherwise(F.concat(F.lit("codons"), first, F.lit("-"), last)))))
+    other = targets.where(~F.col("kind").isin("exon", "exon_region", "hotspot"))
+    return out.unionByName(other.select(*region, F.concat(F.col("kind"), F.lit("|"), F.col("gene"), F.lit("|.|.|.|.|.|.")).alias("info")))
+
+
+def codon_pieces(codons: DataFrame, exons: DataFrame) -> DataFrame:
+    """codons(id, trx, first_codon, last_codon) -> id, trx, st, en: the genome pieces of the codons, one for each exon that they touch.
+
+    exons(trx, st, en, strand) hold coding bases only; the inverse of codon_range.
     """
-    met = exons.join(targets.select("trx", "gene", "cds_st", "cds_en"), "trx")
-    left = F.when(F.col("strand") > 0, before).otherwise(after)
-    right = F.when(F.col("strand") > 0, after).otherwise(before)
-    st, en = F.greatest(F.col("st") - left, F.col("cds_st")), F.least(F.col("en") + right, F.col("cds_en"))
-    return met.select("gene", "trx", "chrom", st.alias("st"), en.alias("en")).where("st < en")
+    order = W.partitionBy("trx").orderBy(F.col("st") * F.col("strand")).rowsBetween(W.unboundedPreceding, -1)
+    placed = exons.withColumn("_from", F.coalesce(F.sum(F.col("en") - F.col("st")).over(order), F.lit(0))).withColumn("_to", F.col("_from") + F.col("en") - F.col("st"))
+    met = codons.withColumn("_a", (F.col("first_codon") - 1) * 3).withColumn("_b", F.col("last_codon") * 3).join(placed, "trx").where("_a < _to and _from < _b")
+    skip, keep = F.greatest("_a", "_from") - F.col("_from"), F.least("_b", "_to") - F.col("_from")
+    up = F.col("strand") > 0
+    return met.select("id", "trx", F.when(up, F.col("st") + skip).otherwise(F.col("en") - keep).alias("st"), F.when(up, F.col("st") + keep).otherwise(F.col("en") - skip).alias("en"))
 
 
 def alternate_contig(left: Column, alt: Column, right: Column, turn_right: Column) -> Column:

@@ -51,14 +51,30 @@ def _exons(g):
     return t.withColumn("en", F.col("st") + 40).unionByName(t.select("trx", "chrom", "strand", (F.col("st") + 60).alias("st"), (F.col("st") + 101).alias("en")))
 
 
+_KIND = "CASE WHEN st % 5 = 0 THEN 'exon_region' WHEN st % 5 = 1 THEN 'hotspot' WHEN st % 5 = 2 THEN 'probe' ELSE 'exon' END"
+
+
 @query(
     "t38_target_intervals",
-    f"""WITH {_EXONS}, t AS (SELECT trx, symbol AS gene, st + 5 AS cds_st, st + 90 AS cds_en FROM fx_genes)
-    SELECT gene, trx, chrom, greatest(ex.st - CASE WHEN strand > 0 THEN 3 ELSE 2 END, cds_st) AS st, least(ex.en + CASE WHEN strand > 0 THEN 2 ELSE 3 END, cds_en) AS en FROM ex JOIN t USING (trx)""",
+    f"""WITH {_EXONS.replace("st, st + 40 AS en", "st, st + 40 AS en, 1 AS number").replace("st + 60, st + 101", "st + 60, st + 101, 2")},
+    t AS (SELECT trx, symbol AS gene, chrom, strand, {_KIND} AS kind, st + 10 AS rs, st + 70 AS re, st + 5 AS cs, st + 90 AS ce FROM fx_genes),
+    e AS (SELECT t.chrom, ex.st - 2 AS st, ex.en + 2 AS en, gene, number, t.* EXCLUDE (chrom, gene) FROM t JOIN ex USING (trx) WHERE kind = 'exon'),
+    c AS (SELECT t.*, least(re, cs + 35) - rs AS head, re - (cs + 55) AS tails FROM t WHERE kind = 'hotspot')
+    SELECT chrom, CASE WHEN strand < 0 AND st < cs + 1 THEN cs ELSE st END AS st, CASE WHEN strand > 0 AND en > ce THEN ce + 1 ELSE en END AS en, gene, concat_ws('|', 'gene', concat('exon_', number), gene, concat('id', gene), trx, cs + 1, ce, strand) AS info FROM e
+      WHERE NOT (strand > 0 AND st > ce) AND NOT (strand < 0 AND en < cs + 1)
+    UNION ALL SELECT chrom, rs, re, gene, concat_ws('|', 'gene', 'exon_region', gene, concat('id', gene), trx, cs + 1, ce, strand) FROM t WHERE kind = 'exon_region'
+    UNION ALL SELECT chrom, rs, re, gene, concat_ws('|', 'hotspot', CASE WHEN strand > 0 THEN 'codons2-15' ELSE 'codons7-20' END, gene, concat('id', gene), trx, cs + 1, ce, strand) FROM c
+    UNION ALL SELECT chrom, rs, re, gene, concat('probe|', gene, '|.|.|.|.|.|.') FROM t WHERE kind = 'probe'""",
 )
 def _(g):
-    targets = g.genes.select("trx", F.col("symbol").alias("gene"), (F.col("st") + 5).alias("cds_st"), (F.col("st") + 90).alias("cds_en"))
-    return an.target_intervals(targets, _exons(g))
+    coding = g.genes.select(F.col("symbol").alias("gene"), F.concat(F.lit("id"), "symbol").alias("gene_id"), "trx", F.lit(True).alias("canonical"), (F.col("st") + 5).alias("cds_st"), (F.col("st") + 90).alias("cds_en"), "strand")
+    other = coding.select("gene", "gene_id", F.concat(F.lit("A"), "trx").alias("trx"), F.lit(False).alias("canonical"), "cds_st", (F.col("cds_en") + 900).alias("cds_en"), "strand")
+    targets = g.genes.select(
+        F.expr(_KIND).alias("kind"), F.col("symbol").alias("gene"), F.when(F.col("st") % 2 == 0, F.col("trx")).alias("trx"), F.col("chrom").alias("region_chrom"), (F.col("st") + 10).alias("region_st"),
+        (F.col("st") + 70).alias("region_en"), F.lit(None).cast("array<int>").alias("numbers"),
+    )
+    exons = _exons(g).join(g.genes.select("trx", F.col("st").alias("_st")), "trx").withColumn("number", F.when(F.col("st") == F.col("_st"), 1).otherwise(2)).drop("_st")
+    return an.target_intervals(targets, coding.unionByName(other), exons)
 
 
 @query(

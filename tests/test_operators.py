@@ -306,3 +306,32 @@ def test_scores_of_reads_with_missing_features(spark):
     rows = spark.createDataFrame([(6.0,), (None,)], "a double")
     high, low = (r.score for r in models.score_reads(model, rows, ["a", "b"]).collect())
     assert high > 0.5 > low
+
+
+def test_codons_across_an_intron_on_both_strands(spark):
+    exons = spark.createDataFrame([("p", 100, 110, 1), ("p", 200, 220, 1), ("m", 100, 110, -1), ("m", 200, 220, -1)], "trx string, st long, en long, strand int")
+    asked = spark.createDataFrame([(1, "p", 4, 4), (2, "m", 7, 7), (3, "p", 1, 2), (4, "m", 1, 1), (5, "p", 9, 11)], "id int, trx string, first_codon int, last_codon int")
+    got = {}
+    for r in an_pieces(asked, exons):
+        got.setdefault(r.id, []).append((r.st, r.en))
+    assert {k: sorted(v) for k, v in got.items()} == {1: [(109, 110), (200, 202)], 2: [(109, 110), (200, 202)], 3: [(100, 106)], 4: [(217, 220)], 5: [(214, 220)]}
+    back = cohort.codon_range(spark.createDataFrame([("p", 109, 110), ("p", 200, 202), ("m", 200, 202)], "trx string, st long, en long"), exons)
+    assert sorted((r.trx, r.st, r.first_codon, r.last_codon) for r in back.collect()) == [("m", 200, 7, 7), ("p", 109, 4, 4), ("p", 200, 4, 4)]
+
+
+def an_pieces(asked, exons):
+    return annotation.codon_pieces(asked, exons).collect()
+
+
+def test_target_rows(spark):
+    trx = spark.createDataFrame([("G", "g1", "T1", False, 105, 190, 1), ("G", "g1", "T2", True, 105, 190, 1), ("H", "g2", "T3", None, 105, 190, -1), ("H", "g2", "T4", None, 105, 195, -1)], "gene string, gene_id string, trx string, canonical boolean, cds_st long, cds_en long, strand int")
+    rows = [(t, "c", st, en, k + 1) for t in ("T1", "T2", "T3", "T4") for k, (st, en) in enumerate([(90, 95), (100, 120), (180, 200), (300, 310)])]
+    exons = spark.createDataFrame(rows, "trx string, chrom string, st long, en long, number int")
+    kinds = "kind string, gene string, trx string, region_chrom string, region_st long, region_en long, numbers array<int>"
+    ask = [("exon", "G", None, None, None, None, None), ("exon", "H", None, None, None, None, [1, 2, 4]), ("hotspot", "G", "T1", "c", 118, 182, None), ("hotspot", "G", "T1", "c", 130, 140, None), ("probe", "x", None, "d", 1, 2, None), ("exon_region", "H", "T3", "c", 1, 9, None)]
+    got = sorted((r.chrom, r.st, r.en, r.info) for r in annotation.target_intervals(spark.createDataFrame(ask, kinds), trx, exons).collect())
+    assert got == sorted([
+        ("c", 88, 97, "gene|exon_1|G|g1|T2|106|190|1"), ("c", 98, 122, "gene|exon_2|G|g1|T2|106|190|1"), ("c", 178, 191, "gene|exon_3|G|g1|T2|106|190|1"),
+        ("c", 105, 122, "gene|exon_2|H|g2|T4|106|195|-1"), ("c", 298, 312, "gene|exon_4|H|g2|T4|106|195|-1"),
+        ("c", 118, 182, "hotspot|codons5-6|G|g1|T1|106|190|1"), ("d", 1, 2, "probe|x|.|.|.|.|.|."), ("c", 1, 9, "gene|exon_region|H|g2|T3|106|190|-1"),
+    ])

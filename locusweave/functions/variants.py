@@ -138,19 +138,68 @@ def chromosome_rank(chrom: Column) -> Column:
     return F.when(bare == "X", 23).when(bare == "Y", 24).when(bare.isin("M", "MT"), 25).otherwise(bare.try_cast("int"))
 
 
-def event_syntax(chrom: Column, st: Column, en: Column, svtype: Column) -> Column:
-    """chr:g.a_b with del, dup, ins or cnLOH."""
-    suffix = F.when(svtype == "LOH", "cnLOH").otherwise(F.lower(svtype))
-    return F.format_string("%s:g.%d_%d%s", chrom, st, en, suffix)
-
-
-def breakend_syntax(chrom_a: Column, pos_a: Column, chrom_b: Column, pos_b: Column) -> Column:
-    """t(a;b) in chromosome order, or inv(a) with positions in order on one chromosome."""
-    bare = lambda c: F.regexp_replace(c, "^chr", "")
-    swap = chromosome_rank(chrom_a) > chromosome_rank(chrom_b)
-    same = F.format_string("inv(%s)(%d_%d)", bare(chrom_a), F.least(pos_a, pos_b), F.greatest(pos_a, pos_b))
-    two = F.when(swap, F.format_string("t(%s;%s)", bare(chrom_b), bare(chrom_a))).otherwise(F.format_string("t(%s;%s)", bare(chrom_a), bare(chrom_b)))
-    return F.when(chrom_a == chrom_b, same).otherwise(two)
+#: Chromosomes whose short arm has no genes to speak of, so that their long arm stands for the whole.
+ACROCENTRICS = ("chr13", "chr14", "chr15", "chr21", "chr22")
+#: Fixed value: the build that names are given for.
+BUILD = "seq[GRCh38] "
+
+
+def bare(chrom: Column) -> Column:
+    return F.regexp_replace(chrom, "^chr", "")
+
+
+def event_syntax(chrom: Column, st: Column, en: Column, svtype: Column, bands: Column) -> Column:
+    """(csyntax, psyntax, bandstring) of a deletion, duplication, insertion or copy-neutral loss (LOH).
+
+    bands: (first, last, n, q11, qter), the first and last cytoband on the event, their number, and whether a band q11
+    and the end of the long arm are among them. An event over both arms, or over the long arm of an acrocentric
+    chromosome, is one of the whole chromosome. Without bands psyntax is empty and bandstring None.
+    """
+    number, first, last = bare(chrom), bands["first"], bands["last"]
+    has = F.coalesce(bands["n"], F.lit(0)) > 0
+    whole = (F.contains(first, F.lit("p")) & F.contains(last, F.lit("q"))) | (bands["q11"] & bands["qter"] & chrom.isin(*ACROCENTRICS))
+    loss_of = svtype == "LOH"
+    kind = F.when(loss_of, "cnLOH").otherwise(F.lower(svtype))
+    part = F.concat(F.lit(BUILD), kind, F.lit("("), number, F.lit(")("), first, last, F.lit(")"))
+    all_of_it = F.when(loss_of, F.concat(F.lit("cnLOH("), number, F.lit(")"))).otherwise(F.concat(F.when(svtype == "DEL", "-").otherwise("+"), number))
+    told = F.when(bands["n"] > 1, F.concat(first, last)).otherwise(first)
+    return F.struct(
+        F.format_string("%s:g.%d_%d%s", chrom, st, en, kind).alias("csyntax"),
+        F.when(~has, F.lit("")).when(whole, F.concat(F.lit(BUILD), all_of_it)).otherwise(part).alias("psyntax"),
+        F.when(~has, F.lit("None")).when(whole & loss_of, all_of_it).otherwise(told).alias("bandstring"),
+    )
+
+
+def bracket_orientation(alt: Column) -> Column:
+    """-1 where the bracket of a breakend's allele says that the partner is turned, else 1."""
+    return F.when(alt.startswith("[") | (F.instr(alt, "]") > 1), -1).otherwise(1)
+
+
+def breakend_syntax(left: Column, right: Column, svtype: Column) -> Column:
+    """(csyntax, psyntax, bandstring) of a breakend or inversion; left and right are (chrom, pos, band, alt).
+
+    A left side whose allele begins with a bracket is the downstream one: the sides change places, and the orientation
+    is that of the allele then on the left. Breakends name the lower chromosome first; X, Y and M come before numbers.
+    Inversions name the lower place first, on the short arm the band of the higher one first.
+    """
+    turn = left["alt"].startswith("[") | left["alt"].startswith("]")
+    pick = lambda test, x, y, f: F.when(test, y[f]).otherwise(x[f])
+    side = lambda x, y: F.struct(*[pick(turn, x, y, f).alias(f) for f in ("chrom", "pos", "band", "alt")])
+    one, two = side(left, right), side(right, left)
+    sign = F.when(bracket_orientation(one["alt"]) == 1, "+").otherwise("-")
+    rank = lambda c: F.when(c == "chrX", -1).when(c == "chrY", -2).when(c == "chrM", -3).otherwise(bare(c).try_cast("int"))
+    inversion = svtype == "INV"
+    kept = F.when(inversion, one["pos"] <= two["pos"]).otherwise(one["chrom"].isin("chrX", "chrY", "chrM") | F.coalesce(rank(one["chrom"]) < rank(two["chrom"]), F.lit(False)))
+    f = lambda name: F.when(kept, one[name]).otherwise(two[name])
+    g = lambda name: F.when(kept, two[name]).otherwise(one[name])
+    low, high = F.coalesce(f("band"), F.lit("N/A")), F.coalesce(g("band"), F.lit("N/A"))
+    short = low.startswith("p") & high.startswith("p")
+    bands = F.when(inversion, F.when(short, F.concat(high, low)).otherwise(F.concat(low, high))).otherwise(F.concat(low, F.lit(";"), high))
+    names = F.when(inversion, F.concat(F.lit("inv("), bare(f("chrom")))).otherwise(F.concat(F.lit("t("), bare(f("chrom")), F.lit(";"), bare(g("chrom"))))
+    return F.struct(
+        F.format_string("%s:g.%d(+)::%s:g.%d(%s)", f("chrom"), f("pos"), g("chrom"), g("pos"), sign).alias("csyntax"),
+        F.concat(F.lit(BUILD), names, F.lit(")("), bands, F.lit(")")).alias("psyntax"), bands.alias("bandstring"),
+    )
 
 
 def natural_key(s: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from locusweave.functions import variants as fn
-from locusweave.operators.intervals import cluster_intervals, with_bridges
+from locusweave.operators.intervals import cluster_intervals, overlap_join, with_bridges
 from locusweave.plans.scratch import saved
 from locusweave.plans.size import broadcast_if_small
 
@@ -142,6 +142,19 @@ def reportable_variants(df: DataFrame, transcripts: DataFrame, consequences: lis
     return rows.where(told.isNotNull()).groupBy("id").agg(last).select("id", "x.symbol", "x.trx", "x.consequence")
 
 
+def with_bands(df: DataFrame, cytobands: DataFrame, key: str = "id") -> DataFrame:
+    """df(key, chrom, st, en, ...) with `bands`: (first, last, n, q11, qter) of the cytobands (chrom, st, en, name) on each row.
+
+    The mark acen_ of a centromere's band is taken off. Bands are reduced to first and last, not gathered.
+    """
+    met = overlap_join(df.select(F.col(key).alias("_id"), "chrom", "st", "en"), cytobands.select("chrom", "st", "en", F.regexp_replace("name", "acen_", "").alias("name")), few=True)
+    has = lambda part: F.bool_or(F.contains(F.col("name_b"), F.lit(part)))
+    told = met.groupBy("_id").agg(
+        F.struct(F.min_by("name_b", "st_b").alias("first"), F.max_by("name_b", "st_b").alias("last"), F.count(F.lit(1)).alias("n"), has("q11").alias("q11"), has("qter").alias("qter")).alias("bands")
+    )
+    return df.join(told, F.col(key) == F.col("_id"), "left").drop("_id")
+
+
 def keep_best(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     """The first row of each key in the given order."""
     return df.withColumn("_k", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).where("_k = 1").drop("_k")

@@ -127,22 +127,53 @@ def _(g):
     return both.select("id", "symbol", effect.alias("x")).select("id", "symbol", "x.*")
 
 
-@query("t06_event_syntax", "SELECT id, concat(chrom, ':g.', pos, '_', pos + svlen, lower(svtype)) AS syntax FROM fx_variants WHERE svtype <> 'BND'")
+#: Cytobands of the views' chromosomes, the same SQL in both engines.
+_BANDS = """SELECT concat('chr', 1 + n_nationkey % 5) AS chrom, CAST(floor(n_nationkey / 5) * 14000 AS BIGINT) AS st, CAST(floor(n_nationkey / 5) * 14000 + 14000 AS BIGINT) AS en,
+  CASE CAST(floor(n_nationkey / 5) AS INT) WHEN 0 THEN 'pter' WHEN 1 THEN 'p12' WHEN 2 THEN 'acen_q11' WHEN 3 THEN 'q21' ELSE 'qter' END AS name FROM {nation}"""
+
+
+def _bands(g):
+    return g.spark.sql(_BANDS, nation=g.table("nation"))
+
+
+@query(
+    "t06_event_syntax",
+    f"""WITH cb AS ({_BANDS.replace("{nation}", "nation")}), e AS (SELECT id, chrom, svtype, CAST(pos * 3 AS BIGINT) AS st, CAST(pos * 3 + svlen + 1 AS BIGINT) AS en FROM fx_variants WHERE svtype <> 'BND'),
+    b AS (SELECT e.*, string_agg(replace(name, 'acen_', ''), ',' ORDER BY cb.st) AS bands FROM e LEFT JOIN cb ON e.chrom = cb.chrom AND e.st < cb.en AND cb.st < e.en GROUP BY ALL),
+    x AS (SELECT *, split_part(bands, ',', 1) AS f, split_part(bands, ',', -1) AS l, replace(chrom, 'chr', '') AS num, bands LIKE '%,%' AS many FROM b)
+    SELECT id, concat(chrom, ':g.', st, '_', en, lower(svtype)) AS csyntax, CASE WHEN many THEN concat(f, l) ELSE coalesce(f, 'None') END AS bandstring,
+      CASE WHEN bands IS NULL THEN '' WHEN f LIKE '%p%' AND l LIKE '%q%' THEN concat('seq[GRCh38] ', CASE svtype WHEN 'DEL' THEN '-' ELSE '+' END, num) ELSE concat('seq[GRCh38] ', lower(svtype), '(', num, ')(', f, l, ')') END AS psyntax FROM x""",
+)
 def _(g):
-    return g.variants.where("svtype <> 'BND'").select("id", fn.event_syntax(F.col("chrom"), F.col("pos").cast("long"), (F.col("pos") + F.col("svlen")).cast("long"), F.col("svtype")).alias("syntax"))
+    start = (F.col("pos") * 3).cast("long")
+    events = g.variants.where("svtype <> 'BND'").select("id", "chrom", "svtype", start.alias("st"), (start + F.col("svlen") + 1).alias("en"))
+    x = fn.event_syntax(F.col("chrom"), F.col("st"), F.col("en"), F.col("svtype"), F.col("bands"))
+    return vr.with_bands(events, _bands(g)).select("id", x.alias("x")).select("id", "x.*")
 
 
 _MATE = "m AS (SELECT a.*, b.chrom AS mate_chrom, b.pos AS mate_pos FROM fx_variants a JOIN fx_variants b ON a.mate_id = b.id AND a.id < b.id)"
 
 
+_ALT = "CASE {0} % 4 WHEN 0 THEN 'N[c:1[' WHEN 1 THEN 'N]c:1]' WHEN 2 THEN '[c:1[N' ELSE ']c:1]N' END"
+
+
 @query(
     "t07_breakend_syntax",
-    f"""WITH {_MATE}, c AS (SELECT id, replace(chrom, 'chr', '') AS a, replace(mate_chrom, 'chr', '') AS b, pos, mate_pos FROM m)
-    SELECT id, CASE WHEN a = b THEN concat('inv(', a, ')(', least(pos, mate_pos), '_', greatest(pos, mate_pos), ')') WHEN CAST(a AS INT) > CAST(b AS INT) THEN concat('t(', b, ';', a, ')') ELSE concat('t(', a, ';', b, ')') END AS syntax FROM c""",
+    f"""WITH {_MATE}, c AS (SELECT id, CASE WHEN chrom = mate_chrom THEN 'INV' ELSE 'BND' END AS kind, chrom AS ca, pos AS pa, {_ALT.format("pos")} AS aa, CASE WHEN pos < 3000 THEN 'p12' ELSE 'q21' END AS ba,
+        mate_chrom AS cb, mate_pos AS pb, {_ALT.format("mate_pos")} AS ab, CASE WHEN mate_pos < 3000 THEN 'p12' ELSE 'q21' END AS bb FROM m),
+    t AS (SELECT id, kind, CASE WHEN w THEN cb ELSE ca END AS c1, CASE WHEN w THEN pb ELSE pa END AS p1, CASE WHEN w THEN bb ELSE ba END AS b1, CASE WHEN w THEN ab ELSE aa END AS a1,
+        CASE WHEN w THEN ca ELSE cb END AS c2, CASE WHEN w THEN pa ELSE pb END AS p2, CASE WHEN w THEN ba ELSE bb END AS b2 FROM (SELECT *, aa LIKE '[%' OR aa LIKE ']%' AS w FROM c)),
+    s AS (SELECT *, CASE WHEN a1 LIKE '[%' OR strpos(a1, ']') > 1 THEN '-' ELSE '+' END AS sign, CASE kind WHEN 'INV' THEN p1 <= p2 ELSE CAST(replace(c1, 'chr', '') AS INT) < CAST(replace(c2, 'chr', '') AS INT) END AS k FROM t),
+    o AS (SELECT id, kind, sign, CASE WHEN k THEN c1 ELSE c2 END AS x, CASE WHEN k THEN p1 ELSE p2 END AS px, CASE WHEN k THEN b1 ELSE b2 END AS bx, CASE WHEN k THEN c2 ELSE c1 END AS y, CASE WHEN k THEN p2 ELSE p1 END AS py, CASE WHEN k THEN b2 ELSE b1 END AS by_ FROM s),
+    z AS (SELECT *, CASE WHEN kind = 'BND' THEN concat(bx, ';', by_) WHEN bx LIKE 'p%' AND by_ LIKE 'p%' THEN concat(by_, bx) ELSE concat(bx, by_) END AS bandstring FROM o)
+    SELECT id, concat(x, ':g.', px, '(+)::', y, ':g.', py, '(', sign, ')') AS csyntax, bandstring,
+      concat('seq[GRCh38] ', CASE kind WHEN 'INV' THEN concat('inv(', replace(x, 'chr', '')) ELSE concat('t(', replace(x, 'chr', ''), ';', replace(y, 'chr', '')) END, ')(', bandstring, ')') AS psyntax FROM z""",
 )
 def _(g):
-    long = lambda c: F.col(c).cast("long")
-    return vr.mate_join(g.variants).select("id", fn.breakend_syntax(F.col("chrom"), long("pos"), F.col("mate_chrom"), long("mate_pos")).alias("syntax"))
+    band = lambda c: F.when(F.col(c) < 3000, "p12").otherwise("q21")
+    end = lambda chrom, pos: F.struct(F.col(chrom).alias("chrom"), F.col(pos).cast("long").alias("pos"), band(pos).alias("band"), F.expr(_ALT.format(pos)).alias("alt"))
+    x = fn.breakend_syntax(end("chrom", "pos"), end("mate_chrom", "mate_pos"), F.when(F.col("chrom") == F.col("mate_chrom"), "INV").otherwise("BND"))
+    return vr.mate_join(g.variants).select("id", x.alias("x")).select("id", "x.*")
 
 
 @query("j06_mate_join", f"WITH {_MATE} SELECT id, mate_id, mate_chrom, mate_pos FROM m")

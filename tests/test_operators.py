@@ -4,6 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from locusweave.functions import cigar as cg
+from locusweave.functions import variants as fn_variants
 from locusweave.operators import intervals as iv
 from locusweave.operators import annotation, cohort, kernels, models, reads, variants
 from locusweave.sources import sinks, text
@@ -335,3 +336,24 @@ def test_target_rows(spark):
         ("c", 105, 122, "gene|exon_2|H|g2|T4|106|195|-1"), ("c", 298, 312, "gene|exon_4|H|g2|T4|106|195|-1"),
         ("c", 118, 182, "hotspot|codons5-6|G|g1|T1|106|190|1"), ("d", 1, 2, "probe|x|.|.|.|.|.|."), ("c", 1, 9, "gene|exon_region|H|g2|T3|106|190|-1"),
     ])
+
+
+def test_band_notation(spark):
+    bands = spark.createDataFrame([("chr13", 0, 10, "p11"), ("chr13", 10, 20, "acen_q11"), ("chr13", 20, 30, "q21"), ("chr13", 30, 40, "qter"), ("chr1", 0, 10, "p11"), ("chr1", 10, 20, "q11"), ("chr1", 20, 40, "qter")], "chrom string, st long, en long, name string")
+    rows = [(1, "chr13", 12, 39, "DEL"), (2, "chr1", 12, 39, "DEL"), (3, "chr1", 5, 15, "DUP"), (4, "chr13", 12, 39, "LOH"), (5, "chr13", 21, 25, "LOH"), (6, "chr9", 1, 2, "INS"), (7, "chr1", 1, 2, "INS")]
+    df = variants.with_bands(spark.createDataFrame(rows, "id int, chrom string, st long, en long, svtype string"), bands)
+    x = fn_variants.event_syntax(F.col("chrom"), F.col("st"), F.col("en"), F.col("svtype"), F.col("bands"))
+    assert {r.id: (r.x.psyntax, r.x.bandstring) for r in df.select("id", x.alias("x")).collect()} == {
+        1: ("seq[GRCh38] -13", "q11qter"), 2: ("seq[GRCh38] del(1)(q11qter)", "q11qter"), 3: ("seq[GRCh38] +1", "p11q11"), 4: ("seq[GRCh38] cnLOH(13)", "cnLOH(13)"), 5: ("seq[GRCh38] cnLOH(13)(q21q21)", "q21"),
+        6: ("", "None"), 7: ("seq[GRCh38] ins(1)(p11p11)", "p11"),
+    }
+    end = "struct<chrom:string,pos:long,band:string,alt:string>"
+    pairs = [
+        (1, ("chr9", 5, "q34", "N[chr22:7["), ("chr22", 7, "q11", "]chr9:5]N"), "BND"), (2, ("chr22", 7, "q11", "]chr9:5]N"), ("chr9", 5, "q34", "N[chr22:7["), "BND"), (3, ("chr5", 5, "q34", "N]chrX:7]"), ("chrX", 7, None, "N]chr5:5]"), "BND"),
+        (4, ("chr2", 50, "p12", "N]chr2:7]"), ("chr2", 7, "p21", "N]chr2:50]"), "INV"), (5, ("chr2", 5, "p12", "[chr2:70[N"), ("chr2", 70, "q21", "[chr2:5[N"), "INV"),
+    ]
+    y = fn_variants.breakend_syntax(F.col("a"), F.col("b"), F.col("t"))
+    assert {r.id: tuple(r.y) for r in spark.createDataFrame(pairs, f"id int, a {end}, b {end}, t string").select("id", y.alias("y")).collect()} == {
+        1: ("chr9:g.5(+)::chr22:g.7(+)", "seq[GRCh38] t(9;22)(q34;q11)", "q34;q11"), 2: ("chr9:g.5(+)::chr22:g.7(+)", "seq[GRCh38] t(9;22)(q34;q11)", "q34;q11"),
+        3: ("chrX:g.7(+)::chr5:g.5(-)", "seq[GRCh38] t(X;5)(N/A;q34)", "N/A;q34"), 4: ("chr2:g.7(+)::chr2:g.50(-)", "seq[GRCh38] inv(2)(p12p21)", "p12p21"), 5: ("chr2:g.5(+)::chr2:g.70(-)", "seq[GRCh38] inv(2)(p12q21)", "p12q21"),
+    }

@@ -138,6 +138,11 @@ def chromosome_rank(chrom: Column) -> Column:
     return F.when(bare == "X", 23).when(bare == "Y", 24).when(bare.isin("M", "MT"), 25).otherwise(bare.try_cast("int"))
 
 
+def chromosome_key(chrom: Column) -> Column:
+    """A number to sort chromosomes by: their rank, infinity for all others."""
+    return F.coalesce(chromosome_rank(chrom).cast("double"), F.lit(float("inf")))
+
+
 #: Chromosomes whose short arm has no genes to speak of, so that their long arm stands for the whole.
 ACROCENTRICS = ("chr13", "chr14", "chr15", "chr21", "chr22")
 #: Fixed value: the build that names are given for.

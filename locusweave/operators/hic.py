@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locusweave.operators.intervals import distance_band_join, overlap_fraction_join
+from locusweave.operators.ranks import numbered
+from locusweave.plans.size import broadcast_if_small
 
 
 def _side(pairs: DataFrame, k: int) -> DataFrame:
@@ -169,7 +171,7 @@ def sample_distances(scores: DataFrame) -> DataFrame:
     norms = cells.groupBy("sample").agg(F.sum(F.col("score") * F.col("score")).alias("norm"))
     other = cells.select("bait_id", "other_id", F.col("sample").alias("sample_b"), F.col("score").alias("score_b"))
     dots = cells.join(other, ["bait_id", "other_id"]).where("sample < sample_b").groupBy("sample", "sample_b").agg(F.sum(F.col("score") * F.col("score_b")).alias("dot"))
-    two = norms.crossJoin(F.broadcast(norms.select(F.col("sample").alias("sample_b"), F.col("norm").alias("norm_b")))).where("sample < sample_b")
+    two = norms.crossJoin(broadcast_if_small(norms.select(F.col("sample").alias("sample_b"), F.col("norm").alias("norm_b")))).where("sample < sample_b")
     square = F.col("norm") + F.col("norm_b") - 2 * F.coalesce("dot", F.lit(0.0))
     return two.join(dots, ["sample", "sample_b"], "left").select("sample", "sample_b", F.sqrt(F.greatest(square, F.lit(0.0))).alias("distance"))
 
@@ -188,6 +190,6 @@ def vaf_windows(values: DataFrame, size: int = 500_000, least: int = 20) -> Data
 
 
 def genome_order(df: DataFrame, contigs: DataFrame, *more: str) -> DataFrame:
-    """df with the contig's place, in that order; unknown contigs are dropped."""
-    return df.join(F.broadcast(contigs), "chrom").orderBy("ord", *more)
-
+    """df with `place`, its number in the order of the contigs (chrom, ord), then of more; unknown contigs are dropped."""
+    known = df.join(broadcast_if_small(contigs.select("chrom", F.col("ord").alias("_ord"))), "chrom")
+    return numbered(known, [F.col("_ord"), *map(F.col, more)]).select(*df.columns, "place")

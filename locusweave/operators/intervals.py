@@ -219,15 +219,19 @@ def with_bridges(df: DataFrame, masks: DataFrame, kind: str) -> DataFrame:
     return df.withColumn("bridge", F.lit(False)).unionByName(bridges, allowMissingColumns=True)
 
 
-def point_in_fragment(probes: DataFrame, frags: DataFrame, width: int = BIN) -> DataFrame:
+def point_in_fragment(probes: DataFrame, frags: DataFrame, width: int = BIN, strict: bool = False) -> DataFrame:
     """The fragment that holds each probe's midpoint, with the feature of the last probe in it.
 
-    probes(chrom, st, en, feature, ord); a leading chr is ignored on both sides. Gives frag_id, n_probes, feature.
+    probes(chrom, st, en, feature, ord); a leading chr is ignored on both sides. Gives frag_id, n_probes, feature. A probe
+    outside all fragments is left out, or with `strict` an error that names it.
     """
     bare = F.regexp_replace("chrom", "^chr", "")
     mid = F.floor((F.col("st") + F.col("en")) / 2)
     points = probes.select(bare.alias("chrom"), mid.alias("st"), (mid + 1).alias("en"), "feature", "ord")
-    inside = overlap_join(points, frags.select(bare.alias("chrom"), "st", (F.col("en") + 1).alias("en"), "frag_id"), 0, width)
+    inside = overlap_join(points, frags.select(bare.alias("chrom"), "st", (F.col("en") + 1).alias("en"), "frag_id"), 0, width, "left" if strict else "inner")
+    if strict:
+        lost = F.raise_error(F.concat(F.lit("no fragment holds the probe "), F.coalesce(F.col("feature").cast("string"), F.lit("")))).cast("long")
+        inside = inside.withColumn("frag_id_b", F.coalesce("frag_id_b", lost))
     return inside.groupBy(F.col("frag_id_b").alias("frag_id")).agg(F.count(F.lit(1)).alias("n_probes"), F.max_by("feature", "ord").alias("feature"))
 
 

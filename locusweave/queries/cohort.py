@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from locusweave.operators import cohort as co
+from locusweave.operators import hic
 from locusweave.operators import variants as vr
 from locusweave.queries import query
 
@@ -322,10 +323,8 @@ def _(g):
 
 @query("o02_reference_order", "SELECT symbol, row_number() OVER (ORDER BY CASE chrom WHEN 'chr3' THEN 0 WHEN 'chr1' THEN 1 ELSE 2 END, st) AS place FROM fx_genes WHERE chrom IN ('chr3', 'chr1', 'chr2')")
 def _(g):
-    from pyspark.sql import Window as W
-
     contigs = g.spark.createDataFrame([("chr3", 0), ("chr1", 1), ("chr2", 2)], "chrom string, ord int")
-    return g.genes.join(F.broadcast(contigs), "chrom").select("symbol", F.row_number().over(W.orderBy("ord", "st")).alias("place"))
+    return hic.genome_order(g.genes, contigs, "st").select("symbol", "place")
 
 
 @query("a34_group_matrix", "SELECT p_brand AS version, count(DISTINCT p_type) AS groups FROM part GROUP BY 1")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from locusweave.functions import variants as fn
+from locusweave.operators import ranks
 from locusweave.operators import variants as vr
 from locusweave.queries import query
 
@@ -380,11 +381,15 @@ def _(g):
 
 @query("o01_natural_order", "SELECT symbol, row_number() OVER (ORDER BY CAST(replace(symbol, 'GENE', '') AS INT)) AS place FROM fx_genes")
 def _(g):
-    from pyspark.sql import Window as W
+    return ranks.numbered(g.genes.select("symbol"), [fn.natural_key(F.col("symbol"))])
 
-    return g.genes.select("symbol", F.row_number().over(W.orderBy(fn.natural_key(F.col("symbol")))).alias("place"))
 
+_CONTIG = "CASE st % 7 WHEN 0 THEN 'chrX' WHEN 1 THEN 'Y' WHEN 2 THEN 'chrM' WHEN 3 THEN 'chrUn_gl' ELSE chrom END"
 
-@query("o03_chromosome_key", "SELECT symbol, CAST(replace(chrom, 'chr', '') AS INT) AS key FROM fx_genes")
+
+@query(
+    "o03_chromosome_key",
+    "SELECT symbol, CAST(CASE st % 7 WHEN 0 THEN '23' WHEN 1 THEN '24' WHEN 2 THEN '25' WHEN 3 THEN 'inf' ELSE replace(chrom, 'chr', '') END AS DOUBLE) AS key FROM fx_genes",
+)
 def _(g):
-    return g.genes.select("symbol", fn.chromosome_rank(F.col("chrom")).alias("key"))
+    return g.genes.select("symbol", fn.chromosome_key(F.expr(_CONTIG)).alias("key"))

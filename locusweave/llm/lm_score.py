@@ -337,17 +337,24 @@ def _fit(docs: DataFrame, scorer: Scorer, noise: np.ndarray, total: int) -> Netw
             give_back_memory()
 
         def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            seen, told, whole, slot = 0, 0.0, None, 0
+            at, seen, told, whole = None, 0, 0.0, None
+
+            def done() -> pa.RecordBatch:
+                return pa.RecordBatch.from_arrays([pa.array([at]), pa.array([0]), pa.array([seen]), pa.array([told / seen]), pa.array([(whole / seen).astype(np.float32).tobytes()])], ["slot", "shard", "seen", "told", "state"])
+
             for batch in batches:
                 for slot, n, t, state in zip(*(batch.column(c).to_pylist() for c in (0, 2, 3)), batch.column(4)):
+                    if at is not None and slot != at:
+                        yield done()
+                        seen, told, whole = 0, 0.0, None
                     more = np.frombuffer(state.as_buffer(), np.float32) * np.float64(n)
-                    seen, told, whole = seen + n, told + t * n, more if whole is None else whole + more
-            if seen:
-                yield pa.RecordBatch.from_arrays([pa.array([slot]), pa.array([0]), pa.array([seen]), pa.array([told / seen]), pa.array([(whole / seen).astype(np.float32).tobytes()])], ["slot", "shard", "seen", "told", "state"])
+                    at, seen, told, whole = slot, seen + n, told + t * n, more if whole is None else whole + more
+            if at is not None:
+                yield done()
 
         kinds = "slot long, shard long, seen long, told double, state binary"
-        # One task a slot, its shards in order, so that sums do not depend on which task ends first.
-        learnt = taught.mapInArrow(learn, kinds).repartitionByRange(SLOTS, "slot").sortWithinPartitions("slot", "shard").mapInArrow(add_up, kinds).collect()
+        # A slot's shards are added in order, so that sums do not depend on which task ends first.
+        learnt = taught.mapInArrow(learn, kinds).repartition(SLOTS, "slot").sortWithinPartitions("slot", "shard").mapInArrow(add_up, kinds).collect()
         shared.destroy()
         learnt = sorted(learnt, key=lambda r: r["slot"])
         state = sum(np.frombuffer(r["state"], np.float32) * np.float64(r["seen"] / total) for r in learnt).astype(np.float32)

@@ -10,6 +10,9 @@ from locusweave.functions.cigar import cigar_total, clipped_overlap_share, parse
 from locusweave.functions.variants import reverse_complement
 from locusweave.operators.cohort import codon_range
 from locusweave.operators.intervals import overlap_join
+from locusweave.operators.ranks import first_rows
+from locusweave.operators.reads import primary_reads, reads_at_loci
+from locusweave.plans.scratch import saved
 from locusweave.plans.size import broadcast_if_small
 
 _BASES = "TCAG"
@@ -202,6 +205,23 @@ def background_windows(targets: DataFrame, sizes: DataFrame, n: int, far: int =
     return windows.join(hit, ["chrom", "k"], "left_anti")
 
 
+def background_reads(reads: DataFrame, windows: DataFrame, n: int) -> DataFrame:
+    """Primary reads in the windows (chrom, st, en) of background_windows, n of them exactly where there are so many.
+
+    A read is there once for each window that it meets, with `pos`, the window's middle. Those with the least hashes of
+    name, start and window stay; the edge is found by counting hashes, so nothing is sorted and reruns agree.
+    """
+    half = F.floor((F.col("en") - F.col("st")) / 2).cast("long")
+    loci = windows.select("chrom", (F.col("st") + half).alias("pos"), half.alias("_half")).distinct()
+    pad = loci.agg(F.max("_half")).first()[0] or 0  # windows are of one width
+    met = reads_at_loci(primary_reads(reads), loci.select("chrom", "pos"), int(pad), 0).select(*reads.columns, "pos")
+    key = F.concat_ws(":", "chrom", "pos", "read_name", "ref_start", "cigar")
+    met = saved(met.withColumn("_key", key).withColumn("_all", F.lit("all")), "background-reads")
+    quotas = saved(met.groupBy("_all").agg(F.count(F.lit(1)).alias("n")).withColumn("quota", F.lit(n)), "background-quota")
+    hashed = F.conv(F.substring(F.md5("_key"), 1, 12), 16, 10).cast("double")
+    return first_rows(met, "_all", hashed, "_key", quotas, "_first").where("_first").select(*reads.columns, "pos")
+
+
 def cross_sample_negatives(labels: DataFrame, owners: DataFrame, least: int = 5, low: float = 0.01, most: int | None = None) -> DataFrame:
     """Sites (sample, chrom, pos, share, reads) of other samples with hardly an indel and enough reads.
 

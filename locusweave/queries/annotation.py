@@ -151,6 +151,13 @@ def _(g):
     return an.background_windows(g.sites, sizes, 50, 5000, 500)
 
 
+@query("l09_background_reads")
+def _(g):
+    sizes = g.reads.groupBy("chrom").agg((F.max("ref_start") + 200).alias("size"))
+    windows = an.background_windows(g.sites.where("is_target = 1"), sizes, 40, far=500, width=300)
+    return an.background_reads(g.reads, windows, 1_000).select("chrom", "pos", "read_name", "ref_start")
+
+
 @query(
     "l10_cross_sample_negatives",
     "WITH x AS (SELECT sample, chrom, pos, avg(alt_reads / 1000.0) AS share, count(*) * 5 AS reads FROM fx_variants GROUP BY 1, 2, 3) SELECT sample, chrom, pos FROM x WHERE share < 0.005 AND reads >= 5 AND (sample, chrom, pos) NOT IN (SELECT sample, chrom, pos FROM fx_variants WHERE filter = 'PASS')",

@@ -357,3 +357,19 @@ def test_band_notation(spark):
         1: ("chr9:g.5(+)::chr22:g.7(+)", "seq[GRCh38] t(9;22)(q34;q11)", "q34;q11"), 2: ("chr9:g.5(+)::chr22:g.7(+)", "seq[GRCh38] t(9;22)(q34;q11)", "q34;q11"),
         3: ("chrX:g.7(+)::chr5:g.5(-)", "seq[GRCh38] t(X;5)(N/A;q34)", "N/A;q34"), 4: ("chr2:g.7(+)::chr2:g.50(-)", "seq[GRCh38] inv(2)(p12p21)", "p12p21"), 5: ("chr2:g.5(+)::chr2:g.70(-)", "seq[GRCh38] inv(2)(p12q21)", "p12q21"),
     }
+
+
+def test_background_reads_are_capped_exactly(spark):
+    kinds = "read_name string, chrom string, ref_start long, mapq int, cigar string, is_dup int, arm string"
+    rows = [(f"r{k}", "c", 40 * k, 60, "100M", int(k % 9 == 0), "edited") for k in range(400)] + [("r1", "c", 40, 60, "100M", 0, "edited")]
+    df = spark.createDataFrame(rows, kinds)
+    sizes = spark.createDataFrame([("c", 16_000)], "chrom string, size long")
+    targets = spark.createDataFrame([("c", 8_000)], "chrom string, pos long")
+    windows = annotation.background_windows(targets, sizes, 6, far=2_000, width=1_000)
+    mids = [r.st + 500 for r in windows.collect()]
+    assert mids and all(abs(m - 8_000) >= 1_500 for m in mids)
+    want = sorted((r[0], m) for r in rows for m in set(mids) if not r[5] and r[2] < m + 500 and m - 500 < r[2] + 100)
+    every = sorted((r.read_name, r.pos) for r in annotation.background_reads(df, windows, 10**6).collect())
+    assert every == want
+    one, two = (sorted((r.read_name, r.pos) for r in annotation.background_reads(df.repartition(k), windows, 17).collect()) for k in (1, 5))
+    assert one == two and len(one) == 17 and not set(one) - set(want)

@@ -44,6 +44,8 @@ SHARD_TOKENS, SLOTS = 4_000_000, 32
 MOST_ROUNDS, LEAST_GAIN = 4, 0.01
 #: A triple that is more frequent than this is learnt in several steps of a round, each with a part of its count.
 HEAVY = 8
+#: How triples and their counts are packed; there are (symbols + 1)^2 * symbols triples.
+TRIPLE = np.int32
 #: The likelihood is taken of each so many-th batch, and no term of it is less than this below 0.
 GAUGED, LEAST_LOG = 8, 30.0
 SMOOTHING = 0.1
@@ -120,7 +122,7 @@ def counted(keys: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarr
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
     at = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
-    sums = np.diff(np.append(at, len(keys))) if times is None else np.add.reduceat(times[order], at) if len(keys) else times
+    sums = np.diff(np.append(at, len(keys))) if times is None else np.add.reduceat(times[order].astype(np.int64), at) if len(keys) else times
     return keys[at], sums.astype(np.int64)
 
 
@@ -288,7 +290,7 @@ def _shards(docs: DataFrame, scorer: Scorer, shards: int) -> DataFrame:
     frequent = np.flatnonzero(scorer.symbol >= 0)
     shared = docs.sparkSession.sparkContext.broadcast(vars(scorer) | {"words": scorer.words[frequent], "symbol": scorer.symbol[frequent], "counts": scorer.counts[frequent]})
     packed = lambda shard, keys, times: pa.RecordBatch.from_arrays(
-        [pa.array([shard], pa.int64()), pa.array([keys.astype(np.int64).tobytes()], pa.binary()), pa.array([times.astype(np.int64).tobytes()], pa.binary())], ["shard", "keys", "times"]
+        [pa.array([shard], pa.int64()), pa.array([keys.astype(TRIPLE).tobytes()], pa.binary()), pa.array([times.astype(TRIPLE).tobytes()], pa.binary())], ["shard", "keys", "times"]
     )
 
     def boil(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,12 +309,18 @@ def _shards(docs: DataFrame, scorer: Scorer, shards: int) -> DataFrame:
                 yield packed(int(whose[i]), *counted(keys[i:j]))
         give_back_memory()
 
-    def merge(parts: pa.Table) -> pa.Table:
-        keys, times = (np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in parts.column(c)]) for c in ("keys", "times"))
-        return pa.Table.from_batches([packed(parts.column("shard")[0].as_py(), *counted(keys, times))])
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: dict[int, list] = {}
+        for batch in batches:
+            for shard, keys, times in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                parts.setdefault(shard, []).append(tuple(np.frombuffer(x.as_buffer(), TRIPLE).copy() for x in (keys, times)))
+        for shard in sorted(parts):
+            yield packed(shard, *counted(*(np.concatenate(c) for c in zip(*parts.pop(shard)))))
+        del parts
+        give_back_memory()
 
     kinds = "shard long, keys binary, times binary"
-    out = saved(docs.mapInArrow(boil, kinds).groupBy("shard").applyInArrow(merge, kinds), "lm-triples")
+    out = saved(docs.mapInArrow(boil, kinds).repartition(shards, "shard").mapInArrow(merge, kinds), "lm-triples")
     shared.destroy()
     return out
 
@@ -330,8 +338,8 @@ def _fit(docs: DataFrame, scorer: Scorer, noise: np.ndarray, total: int) -> Netw
             noise, state = shared.value
             for batch in batches:
                 for part, keys, times in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                    own, times = Trainer(noise, state), np.frombuffer(times.as_buffer(), np.int64)
-                    told = own.learn(np.frombuffer(keys.as_buffer(), np.int64), times, RATE / (1 + turn), np.random.default_rng((turn, part)))
+                    own, times = Trainer(noise, state), np.frombuffer(times.as_buffer(), TRIPLE)
+                    told = own.learn(np.frombuffer(keys.as_buffer(), TRIPLE), times, RATE / (1 + turn), np.random.default_rng((turn, part)))
                     seen = int(times.sum())
                     yield pa.RecordBatch.from_arrays([pa.array([part % SLOTS]), pa.array([part]), pa.array([seen]), pa.array([told]), pa.array([own.state.tobytes()])], ["slot", "shard", "seen", "told", "state"])
             give_back_memory()

@@ -329,7 +329,8 @@ def _fit(docs: DataFrame, scorer: Scorer, noise: np.ndarray, total: int) -> Netw
     """The network, taught by all texts of docs(doc_id, text), which have `total` tokens, in rounds of averaged parameters."""
     context, shards = docs.sparkSession.sparkContext, max(1, -(-total // SHARD_TOKENS))
     shard = F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("long").alias("shard")
-    taught = _shards(docs.select(shard, "text"), scorer, shards).repartition(shards, "shard")
+    # Read again in each round as it is written, a row a shard: whichever task reads a shard, it teaches the same.
+    taught = _shards(docs.select(shard, "text"), scorer, shards)
     state, likely = Trainer(noise).state, None
     for turn in range(MOST_ROUNDS if total else 0):
         shared = context.broadcast((noise, state))

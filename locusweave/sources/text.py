@@ -244,11 +244,12 @@ def reference_chunks(sequences: DataFrame, chunk: int = 1000) -> DataFrame:
 def bases_at(df: DataFrame, chunks: DataFrame, before: int, after: int, chunk: int = 1000) -> DataFrame:
     """df(chrom, pos, ...) with `bases` from pos - before to pos + after; N beyond the ends or on unknown contigs.
 
-    Every window meets at most the pieces it touches.
+    Every window meets at most the pieces it touches. Both sides are shuffled: the planner takes the pieces' size from the
+    file before sequences are cut, or repeated, and would send a whole genome through the driver.
     """
     keyed = df.withColumn("_row", F.monotonically_increasing_id()).withColumn("_lo", F.col("pos") - before).withColumn("_hi", F.col("pos") + after)
     keyed = keyed.withColumn("chunk", F.explode(F.sequence(F.floor(F.col("_lo") / chunk), F.floor(F.col("_hi") / chunk))))
-    met = keyed.join(chunks, ["chrom", "chunk"], "left")
+    met = keyed.join(chunks.hint("merge"), ["chrom", "chunk"], "left")
     begin = F.greatest(F.col("_lo"), F.col("chunk") * chunk)
     end = F.least(F.col("_hi"), F.col("chunk") * chunk + chunk - 1)
     size = (end - begin + 1).cast("int")

@@ -111,3 +111,13 @@ def test_metrics_of_one_group_equal_a_loop(spark):
     auc = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / len(pos) / len(neg)
     ap = sum(sum(y for s, y in rows if s >= p) / sum(s >= p for s, _ in rows) for p in pos) / len(pos)
     assert math.isclose(r.auc, auc) and math.isclose(r.average_precision, ap)
+
+
+def test_pieces_of_a_reference_are_not_broadcast(spark, tmp_path):
+    from locusweave.sources import text
+
+    spark.createDataFrame([("c", "ACGT")], "chrom string, base string").write.parquet(str(tmp_path / "c"))
+    contigs = spark.read.parquet(str(tmp_path / "c")).select("chrom", F.repeat("base", F.lit(50_000)).alias("seq"))
+    out = text.bases_at(spark.createDataFrame([("c", 9)], "chrom string, pos long"), text.reference_chunks(contigs, 64), 2, 2, 64)
+    assert out.first().bases == "TACGT"
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()

@@ -469,6 +469,21 @@ def test_toxicity_on_held_out_rows(spark, odd):
     assert toxicity.reject(df, labels).columns == df.columns
 
 
+def test_toxicity_learns_from_all_labelled_texts(spark):
+    """A text stands for each of its words, so words that few texts hold are known only to a model that saw them all."""
+    docs = [(k, f"plain{k % 50} word{k} " + ("grumpo" if k % 4 == 0 else "lamp"), "en", "s", 0, "") for k in range(14_000)]
+    df = spark.createDataFrame(docs, DOCS)
+    labels = spark.createDataFrame([(k, 1, int(k % 4 == 0)) for k in range(14_000)], "doc_id long, quality int, toxic int")
+    rows = toxicity.training_rows(df.unionByName(df), labels)
+    kept = [k for k in range(14_000) if zlib.crc32(str(k).encode()) % 3 != 1]
+    assert sorted(r.text for r in rows.collect()) == sorted(docs[k][1] for k in kept)
+    one, two = (toxicity.train(rows.repartition(n), epochs=2, shard_chars=60_000) for n in (1, 5))
+    assert (one.embed == two.embed).all() and (one.dense == two.dense).all() and one.bias == two.bias and (one.thresholds == two.thresholds).all()
+    ids, ends = toxicity.word_ids(pa.array(["plain7 grumpo", "plain7 lamp", ""]))
+    found = one.scores(ids, ends)
+    assert found[0] >= toxicity.THRESHOLD > found[1] and found[2] < toxicity.THRESHOLD
+
+
 # 9 secrets
 
 

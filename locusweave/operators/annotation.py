@@ -209,17 +209,23 @@ def background_reads(reads: DataFrame, windows: DataFrame, n: int) -> DataFrame:
     """Primary reads in the windows (chrom, st, en) of background_windows, n of them exactly where there are so many.
 
     A read is there once for each window that it meets, with `pos`, the window's middle. Those with the least hashes of
-    name, start and window stay; the edge is found by counting hashes, so nothing is sorted and reruns agree.
+    name, start and window stay. A first pass counts the hashes by their first four digits, which tells the digits up to
+    which rows are needed; only those rows are written and looked into for the exact edge, so nothing is sorted and
+    reruns agree.
     """
     half = F.floor((F.col("en") - F.col("st")) / 2).cast("long")
-    loci = windows.select("chrom", (F.col("st") + half).alias("pos"), half.alias("_half")).distinct()
+    loci = saved(windows.select("chrom", (F.col("st") + half).alias("pos"), half.alias("_half")).distinct(), "background-loci")
     pad = loci.agg(F.max("_half")).first()[0] or 0  # windows are of one width
     met = reads_at_loci(primary_reads(reads), loci.select("chrom", "pos"), int(pad), 0).select(*reads.columns, "pos")
-    key = F.concat_ws(":", "chrom", "pos", "read_name", "ref_start", "cigar")
-    met = saved(met.withColumn("_key", key).withColumn("_all", F.lit("all")), "background-reads")
-    quotas = saved(met.groupBy("_all").agg(F.count(F.lit(1)).alias("n")).withColumn("quota", F.lit(n)), "background-quota")
-    hashed = F.conv(F.substring(F.md5("_key"), 1, 12), 16, 10).cast("double")
-    return first_rows(met, "_all", hashed, "_key", quotas, "_first").where("_first").select(*reads.columns, "pos")
+    met = met.withColumn("_key", F.concat_ws(":", "chrom", "pos", "read_name", "ref_start", "cigar"))
+    cells = saved(met.groupBy(F.substring(F.md5("_key"), 1, 4).alias("_cell")).agg(F.count(F.lit(1)).alias("_n")), "background-cells")
+    # One row for each cell, 65,536 at most.
+    upto = cells.select("_cell", (F.sum("_n").over(W.orderBy("_cell")) - F.col("_n")).alias("_before"))
+    edge = upto.where(F.col("_before") < n).agg(F.max("_cell")).first()[0] or ""
+    near = met.where(F.substring(F.md5("_key"), 1, 4) <= edge)
+    near = saved(near.withColumn("_hash", F.conv(F.substring(F.md5("_key"), 1, 12), 16, 10).cast("double")).withColumn("_all", F.lit("all")), "background-reads")
+    quotas = saved(near.groupBy("_all").agg(F.count(F.lit(1)).alias("n")).withColumn("quota", F.lit(n)), "background-quota")
+    return first_rows(near, "_all", F.col("_hash"), "_key", quotas, "_first").where("_first").select(*reads.columns, "pos")
 
 
 def cross_sample_negatives(labels: DataFrame, owners: DataFrame, least: int = 5, low: float = 0.01, most: int | None = None) -> DataFrame:

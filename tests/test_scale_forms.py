@@ -136,3 +136,24 @@ def test_shares_at_the_threshold_do_not_hang_on_the_order_of_rows(spark, tmp_pat
     orders = spark.createDataFrame([(k, 1, "P", 1.0) for k in rows], "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double")
     orders.coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
     assert QUERIES["l10_cross_sample_negatives"](spark, str(tmp_path)).collect() == []
+
+
+def test_background_reads_are_narrowed_before_they_are_written(spark):
+    from unittest import mock
+
+    from locusweave.operators import annotation
+
+    kinds = "read_name string, chrom string, ref_start long, mapq int, cigar string, is_dup int, arm string"
+    df = spark.createDataFrame([(f"r{k}", "c", k % 50, 60, "100M", 0, "edited") for k in range(3000)], kinds)
+    windows = spark.createDataFrame([("c", 0, 100)], "chrom string, st long, en long")
+    written, real = {}, annotation.saved
+
+    def spy(table, name):
+        written[name] = out = real(table, name)
+        return out
+
+    with mock.patch.object(annotation, "saved", spy):
+        got = sorted((r.read_name, r.ref_start) for r in annotation.background_reads(df, windows, 20).collect())
+    key = F.concat_ws(":", "chrom", F.lit("50"), "read_name", "ref_start", "cigar")
+    assert got == sorted((r.read_name, r.ref_start) for r in df.orderBy(F.substring(F.md5(key), 1, 12)).limit(20).collect())
+    assert 20 <= written["background-reads"].count() < 60

@@ -5,19 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_OPS = r"(\d+)([MIDNSHP=X])"
+_OPS = r"\d+[MIDNSHP=X]"
+
+
+def once(value: Column, f) -> Column:
+    """f(value), where value is worked out once for each row, however often f names it, also inside lambdas."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
 def parse_cigar(cigar: Column) -> Column:
     """Array of (op, len); null, empty and * give an empty array."""
-    ops, lens = (F.regexp_extract_all(F.coalesce(cigar, F.lit("")), F.lit(_OPS), F.lit(k)) for k in (2, 1))
-    return F.zip_with(ops, lens, lambda o, n: F.struct(o.alias("op"), n.cast("long").alias("len")))
+    found = F.regexp_extract_all(F.coalesce(cigar, F.lit("")), F.lit(_OPS), F.lit(0))
+    return F.transform(found, lambda x: F.struct(F.right(x, F.lit(1)).alias("op"), F.left(x, F.length(x) - 1).cast("long").alias("len")))
 
 
 def bases(parsed: Column, ops: str) -> Column:
     """Bases of the given operations together, of a parsed CIGAR."""
-    mine = F.filter(parsed, lambda x: x["op"].isin(*ops))
-    return F.aggregate(mine, F.lit(0).cast("long"), lambda a, x: a + x["len"])
+    return F.aggregate(parsed, F.lit(0).cast("long"), lambda a, x: F.when(x["op"].isin(*ops), a + x["len"]).otherwise(a))
 
 
 def cigar_total(cigar: Column, ops: str) -> Column:
@@ -171,8 +175,14 @@ def indel_evidence(cigar: Column, nm: Column, md: Column, sa: Column) -> Column:
     deleted holds the CIGAR's deletions, what its clips hint at, and the clips of its supplementary alignments.
     Mismatches are told by the NM tag and, in the other form, by the letters of the MD tag.
     """
-    parsed = parse_cigar(cigar)
-    dele = bases(parsed, "D") + clip_deletions(parsed) + F.when(F.size(parsed) > 0, supplementary_clips(sa)).otherwise(F.lit(0).cast("long"))
+    return once(parse_cigar(cigar), lambda parsed: evidence_of(parsed, nm, md, sa))
+
+
+def evidence_of(parsed: Column, nm: Column, md: Column, sa: Column) -> Column:
+    """`indel_evidence` of a parsed CIGAR, a column or a variable: it is named many times."""
+    zero = F.lit(0).cast("long")
+    has = F.exists(parsed, lambda x: x["op"].isin("S", "D"))
+    dele = bases(parsed, "D") + F.when(has, clip_deletions(parsed)).otherwise(zero) + F.when(F.size(parsed) > 0, supplementary_clips(sa)).otherwise(zero)
     return F.struct(
         bases(parsed, "I").alias("inserted"), dele.alias("deleted"), bases(parsed, "S").alias("clipped"), edit_mismatches(nm, parsed).alias("mismatches"), tag_letters(md).alias("md_mismatches")
     )

@@ -157,3 +157,12 @@ def test_background_reads_are_narrowed_before_they_are_written(spark):
     key = F.concat_ws(":", "chrom", F.lit("50"), "read_name", "ref_start", "cigar")
     assert got == sorted((r.read_name, r.ref_start) for r in df.orderBy(F.substring(F.md5(key), 1, 12)).limit(20).collect())
     assert 20 <= written["background-reads"].count() < 60
+
+
+def test_cigars_are_parsed_once_for_all_evidence(spark):
+    from locusweave.functions import cigar as cg
+
+    df = spark.createDataFrame([("5S3D2M",)], "cigar string").select(cg.indel_evidence(F.col("cigar"), F.lit(0), F.lit(None).cast("string"), F.lit(None).cast("string")).alias("x"))
+    plan = df.select("x.*")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") <= 2  # the clips of supplementary alignments are the other
+    assert cg.parse_cigar(F.lit("10M2I")) is not None and spark.range(1).select(cg.parse_cigar(F.lit("10M2I*")).alias("p")).first().p == [("M", 10), ("I", 2)]

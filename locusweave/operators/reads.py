@@ -249,7 +249,7 @@ def read_features(reads: DataFrame, loci: DataFrame, pad: int = 150) -> DataFram
     told = {"pams": F.array(F.col("pos").cast("long")), "on_target": F.lit(0), "homopolymer": F.lit(False), "repeat_distance": F.lit(999)}
     sites = loci.select(*LOCUS, *[(F.col(c) if c in loci.columns else v).alias(f"_{c}") for c, v in told.items()]).dropDuplicates(list(LOCUS))
     hint = F.broadcast if small else (lambda df: df)
-    evidence = cg.indel_evidence(F.col("cigar"), optional(reads, "nm", "int"), optional(reads, "md", "string"), optional(reads, "sa", "string"))
+    evidence = cg.evidence_of(F.col("ops"), optional(reads, "nm", "int"), optional(reads, "md", "string"), optional(reads, "sa", "string"))
     own = {"_e": evidence, "_del": _has("D"), "_ops": F.size(F.filter("found", lambda x: x["op"].isin("I", "D"))), "_clips": F.filter("found", lambda x: x["op"] == "S")}
     met = reads_at_loci(primary_reads(reads.where("arm = 'edited'")), loci, pad, 0, **own)
     met = met.join(hint(sites), list(LOCUS)).join(hint(marks), list(LOCUS), "left").withColumn("_size", F.col("_e.inserted") + F.col("_e.deleted"))
